@@ -1,0 +1,67 @@
+"""Registered queries: name -> Spark builder and DuckDB oracle.
+
+Each Spark builder takes ``(spark, sf_dir)``, derives claims from the driver
+tables (``sources.fixture``) and returns the operator's DataFrame. Outputs
+pass through ``compare_ready``: DECIMAL money becomes DOUBLE so both engines
+report the same types (DuckDB hands decimals to clients as DOUBLE).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from claimlake import oracle as O
+from claimlake.plans import views as V
+from claimlake.plans.pipeline import star_from_tables
+
+SparkFn = Callable[[SparkSession, str], DataFrame]
+REGISTRY: dict[str, tuple[SparkFn, str | None]] = {}
+
+
+def compare_ready(df: DataFrame) -> DataFrame:
+    """DECIMAL -> DOUBLE; everything else unchanged."""
+    return df.select([F.col(f.name).cast("double").alias(f.name)
+                      if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                      for f in df.schema.fields])
+
+
+def register(name: str, oracle: str | None):
+    def deco(fn: SparkFn) -> SparkFn:
+        REGISTRY[name] = (lambda spark, sf_dir: compare_ready(fn(spark, sf_dir)), oracle)
+        return fn
+    return deco
+
+
+def star_query(name: str, view_fn, oracle: str | None) -> None:
+    """Register a function of the star built from the driver tables."""
+    register(name, oracle)(lambda spark, sf_dir: view_fn(star_from_tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- V7 first
+O.cte("vw_financial_summary", f"""
+SELECT {O.MONTH} AS month,
+       COUNT(DISTINCT claimant_id) AS unique_patients,
+       CAST(SUM(units) AS BIGINT) AS total_service_units,
+       SUM(charge_amt) AS gross_revenue,
+       SUM(allowed_amt) AS net_revenue,
+       SUM(charge_amt - allowed_amt) AS total_contractual_adjustments,
+       {O.r2('SUM(charge_amt - allowed_amt) / NULLIF(SUM(charge_amt), 0) * 100')} AS discount_rate_pct
+FROM fact_claims GROUP BY 1
+""", ["fact_claims"])
+
+star_query("vw_financial_summary", V.financial_summary, O.query("""
+SELECT month, unique_patients, total_service_units, CAST(gross_revenue AS DOUBLE) AS gross_revenue,
+       CAST(net_revenue AS DOUBLE) AS net_revenue,
+       CAST(total_contractual_adjustments AS DOUBLE) AS total_contractual_adjustments,
+       discount_rate_pct
+FROM vw_financial_summary""", ["vw_financial_summary"]))
+
+
+def queries() -> dict[str, SparkFn]:
+    return {k: v[0] for k, v in REGISTRY.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
