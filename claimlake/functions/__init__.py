@@ -6,7 +6,7 @@ from claimlake.functions.text import (  # noqa: F401
 )
 from claimlake.functions.money import (  # noqa: F401
     to_money, to_number, to_long, to_int_truncated, round2, exact_avg, safe_ratio,
-    pct_of, clip_negative,
+    pct_of, clip_negative, money_ratio, money_avg,
 )
 from claimlake.functions.dates import (  # noqa: F401
     to_date_lenient, month_start, date_key, service_month, fiscal_year, fiscal_period,

@@ -57,6 +57,22 @@ def safe_ratio(num: Column, den: Column) -> Column:
     return F.when(den != 0, num / den)
 
 
+# Operand type for money divisions: DECIMAL(20,2) (up to 10^18) keeps the
+# quotient at >= 18 decimal places; a wider operand (e.g. a sum of sums)
+# would make Spark cut the quotient to 6 places before a later rounding.
+MONEY_SUM = "decimal(20,2)"
+
+
+def money_ratio(num: Column, den: Column) -> Column:
+    """``num / NULLIF(den, 0)`` for money totals, exact to 18+ places."""
+    return safe_ratio(num.cast(MONEY_SUM), den.cast(MONEY_SUM))
+
+
+def money_avg(total: Column, count: Column) -> Column:
+    """Average from a money total and a row count, exact to 18+ places."""
+    return F.try_divide(total.cast(MONEY_SUM), count)
+
+
 def pct_of(part: Column, whole: Column) -> Column:
     """``part * 100.0 / whole`` in DOUBLE arithmetic, unrounded."""
     return part.cast("double") * F.lit(100.0) / whole.cast("double")

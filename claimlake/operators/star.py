@@ -45,11 +45,13 @@ def dim_provider(silver: DataFrame) -> DataFrame:
 
 
 def dim_provider_unique(silver: DataFrame) -> DataFrame:
-    """One row per NPI: the smallest (name, city, state) seen for it."""
+    """One row per NPI: the smallest (name, city, state) seen for it, NULLs
+    last. A partial/final aggregate, so a hot NPI is combined map-side."""
+    name, city, state = F.col("service_provider"), F.col("city"), F.col("state")
+    order = F.struct(name.isNull(), name, city.isNull(), city, state.isNull(), state)
     return (silver.where(F.col("provider_npi").isNotNull())
                   .groupBy("provider_npi")
-                  .agg(F.min(F.struct(F.col("service_provider").alias("provider_name"),
-                                      "city", "state")).alias("p"))
+                  .agg(F.min_by(F.struct(name.alias("provider_name"), city, state), order).alias("p"))
                   .select("provider_npi", "p.*"))
 
 

@@ -68,6 +68,12 @@ def _with_provider(star: Star, fact_keys: list, fact: DataFrame | None = None) -
 
 
 def _avg(sum_col: str, n_col: str) -> Column:
+    """Average from partial sums and counts (money totals)."""
+    return X.money_avg(F.sum(sum_col), F.sum(n_col))
+
+
+def _ratio_avg(sum_col: str, n_col: str) -> Column:
+    """Average of per-line ratios from partial sums and counts."""
     return F.try_divide(F.sum(sum_col), F.sum(n_col))
 
 
@@ -80,7 +86,7 @@ def monthly_costs(star: Star) -> DataFrame:
                        F.sum("_charge").alias("total_charged"),
                        F.sum("_allowed").alias("total_allowed"),
                        F.sum("_discount").alias("total_discount"),
-                       X.round2(_avg("_ratio", "_n_ratio") * 100).alias("avg_discount_pct")))
+                       X.round2(_ratio_avg("_ratio", "_n_ratio") * 100).alias("avg_discount_pct")))
 
 
 def monthly_costs_by_payer(star: Star) -> DataFrame:
@@ -92,7 +98,7 @@ def monthly_costs_by_payer(star: Star) -> DataFrame:
                        F.sum("_charge").alias("total_charged"),
                        F.sum("_allowed").alias("total_allowed"),
                        F.sum("_discount").alias("total_discount"),
-                       X.round2(_avg("_ratio", "_n_ratio") * 100).alias("avg_discount_pct")))
+                       X.round2(_ratio_avg("_ratio", "_n_ratio") * 100).alias("avg_discount_pct")))
 
 
 # ----------------------------------------------------------------- V2 / V2b
@@ -114,7 +120,7 @@ def provider_kpis_wide(star: Star) -> DataFrame:
                        F.sum("_charge").alias("total_charged"),
                        X.round2(_avg("_charge", "_n_charge")).alias("avg_charge"),
                        X.pct_of(F.sum("_n_in"), F.sum("_n")).alias("in_network_pct"),
-                       X.round2(X.safe_ratio(F.sum("_allowed"), F.sum("_charge")) * 100)
+                       X.round2(X.money_ratio(F.sum("_allowed"), F.sum("_charge")) * 100)
                        .alias("payment_to_charge_pct")))
 
 
@@ -184,7 +190,7 @@ def financial_summary(star: Star) -> DataFrame:
                   F.sum("charge_amt").alias("gross_revenue"),
                   F.sum("allowed_amt").alias("net_revenue"),
                   F.sum(adj).alias("total_contractual_adjustments"),
-                  X.round2(X.safe_ratio(F.sum(adj), F.sum("charge_amt")) * 100)
+                  X.round2(X.money_ratio(F.sum(adj), F.sum("charge_amt")) * 100)
                   .alias("discount_rate_pct")))
 
 
@@ -203,7 +209,8 @@ def top_procedures(star: Star) -> DataFrame:
                 .groupBy("claim_code", "procedure_desc")
                 .agg(F.sum("_n").alias("times_billed"), F.sum("_units").alias("total_units"),
                      F.sum("_charge").alias("total_charges")))
-    return agg.withColumn("rank_by_volume", F.rank().over(Window.orderBy(F.col("times_billed").desc())))
+    return agg.withColumn("rank_by_volume",
+                          F.rank().over(Window.orderBy(F.col("times_billed").desc())).cast("bigint"))
 
 
 # ---------------------------------------------------------------------- V9
@@ -318,7 +325,7 @@ def revenue_cycle_kpi(star: Star) -> DataFrame:
                   .agg(F.sum("_n_id").alias("total_claims"),
                        F.sum("_charge").alias("gross_charges"),
                        F.sum("_allowed").alias("total_allowed"),
-                       X.round2(X.safe_ratio(F.sum("_allowed"), F.sum("_charge")) * 100)
+                       X.round2(X.money_ratio(F.sum("_allowed"), F.sum("_charge")) * 100)
                        .alias("payment_to_charge_pct")))
 
 
@@ -347,7 +354,7 @@ def revenue_cycle_kpi_wide(star: Star) -> DataFrame:
                        F.sum("_allowed").alias("total_allowed"),
                        F.sum("_discount").alias("total_discounts"),
                        F.coalesce(F.sum("_paid"), F.lit(0)).alias("total_payments"),
-                       X.round2(X.safe_ratio(F.sum("_allowed"), F.sum("_charge")) * 100)
+                       X.round2(X.money_ratio(F.sum("_allowed"), F.sum("_charge")) * 100)
                        .alias("payment_to_charge_pct"),
                        F.sum("_denied").alias("denied_claims"),
                        X.round2(F.sum("_denied") * F.lit(100.0).cast("decimal(4,1)") / F.sum("_n"))

@@ -12,8 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from claimlake import oracle as O
-from claimlake.plans import views as V
 from claimlake.plans.pipeline import star_from_tables
 
 SparkFn = Callable[[SparkSession, str], DataFrame]
@@ -39,24 +37,15 @@ def star_query(name: str, view_fn, oracle: str | None) -> None:
     register(name, oracle)(lambda spark, sf_dir: view_fn(star_from_tables(spark, sf_dir)))
 
 
-# ---------------------------------------------------------------- V7 first
-O.cte("vw_financial_summary", f"""
-SELECT {O.MONTH} AS month,
-       COUNT(DISTINCT claimant_id) AS unique_patients,
-       CAST(SUM(units) AS BIGINT) AS total_service_units,
-       SUM(charge_amt) AS gross_revenue,
-       SUM(allowed_amt) AS net_revenue,
-       SUM(charge_amt - allowed_amt) AS total_contractual_adjustments,
-       {O.r2('SUM(charge_amt - allowed_amt) / NULLIF(SUM(charge_amt), 0) * 100')} AS discount_rate_pct
-FROM fact_claims GROUP BY 1
-""", ["fact_claims"])
-
-star_query("vw_financial_summary", V.financial_summary, O.query("""
-SELECT month, unique_patients, total_service_units, CAST(gross_revenue AS DOUBLE) AS gross_revenue,
-       CAST(net_revenue AS DOUBLE) AS net_revenue,
-       CAST(total_contractual_adjustments AS DOUBLE) AS total_contractual_adjustments,
-       discount_rate_pct
-FROM vw_financial_summary""", ["vw_financial_summary"]))
+def select_typed(cte_name: str, spec: str) -> str:
+    """``SELECT`` over a CTE with casts from a compact spec: ``name`` keeps the
+    type, ``name:D`` -> DOUBLE, ``name:B`` -> BIGINT, ``name:I`` -> INT."""
+    casts = {"D": "DOUBLE", "B": "BIGINT", "I": "INT"}
+    cols = []
+    for item in [x.strip() for x in spec.split(",") if x.strip()]:
+        name, _, t = item.partition(":")
+        cols.append(f"CAST({name} AS {casts[t]}) AS {name}" if t else name)
+    return f"SELECT {', '.join(cols)} FROM {cte_name}"
 
 
 def queries() -> dict[str, SparkFn]:
@@ -65,3 +54,7 @@ def queries() -> dict[str, SparkFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
+
+
+# register every group (import for side effects, after the helpers exist)
+from claimlake.registry import gold, views, analysis  # noqa: E402,F401
