@@ -165,3 +165,83 @@ def query(final_sql: str, uses) -> str:
         visit(u)
     body = ",\n".join(f"{n} AS (\n{CTES[n][0].strip()}\n)" for n in order)
     return f"WITH {body}\n{final_sql.strip()}"
+
+
+# ---------------------------------------------------------- other profiles
+SILVER_DOC = r"""
+SELECT claimant_id_raw AS _claimant_raw, sha256(claimant_id_raw) AS claimant_id, claim_item_id,
+       COALESCE(type, CASE WHEN starts_with(COALESCE(claim_code, 'None'), '9')
+                             OR starts_with(COALESCE(claim_code, 'None'), 'G') THEN 'Medicare' ELSE 'Group' END) AS type,
+       received_date, charge_amt, allowed_amt, diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5,
+       claim_code, proc_desc, claim_code_modifier, claim_code_modifier_2, units, oi_in_network,
+       service_provider, service_address_3, service_address_2,
+       NULLIF(regexp_extract(service_address_3, '\b(\d{10})\b', 1), '') AS provider_npi,
+       CASE WHEN contains(service_address_2, ',') THEN trim(regexp_extract(service_address_2, '^(.*),[^,]*$', 1))
+            ELSE trim(service_address_2) END AS city,
+       CASE WHEN contains(service_address_2, ',') THEN trim(string_split(service_address_2, ',')[-1]) END AS state,
+       charge_amt - allowed_amt AS discount_amt,
+       charge_amt IS NOT NULL AND received_date IS NOT NULL AS is_valid
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY claimant_id_raw, received_date, claim_code, charge_amt
+                               ORDER BY claim_item_id NULLS LAST, type NULLS LAST, allowed_amt NULLS LAST,
+                                        diag_code_1 NULLS LAST, diag_code_2 NULLS LAST, diag_code_3 NULLS LAST,
+                                        diag_code_4 NULLS LAST, diag_code_5 NULLS LAST, proc_desc NULLS LAST,
+                                        claim_code_modifier NULLS LAST, claim_code_modifier_2 NULLS LAST,
+                                        units NULLS LAST, oi_in_network NULLS LAST, service_provider NULLS LAST,
+                                        service_address_3 NULLS LAST, service_address_2 NULLS LAST) AS rn
+  FROM (
+    SELECT claimant_id AS claimant_id_raw, TRY_CAST(claim_item_id AS BIGINT) AS claim_item_id, type,
+           TRY_CAST(received_date AS DATE) AS received_date,
+           TRY_CAST(charge_amt AS DECIMAL(12,2)) AS charge_amt, TRY_CAST(allowed_amt AS DECIMAL(12,2)) AS allowed_amt,
+           diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5, claim_code, proc_desc,
+           claim_code_modifier, claim_code_modifier_2,
+           TRY_CAST(trunc(TRY_CAST(units AS DOUBLE)) AS INT) AS units,
+           oi_in_network, service_provider, service_address_3, service_address_2
+    FROM raw) typed
+) numbered
+WHERE rn = 1
+"""
+
+SILVER_NOTEBOOK = f"""
+SELECT claimant_id, claim_item_id, type, received_date, charge_amt, allowed_amt,
+       diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5, claim_code, proc_desc,
+       claim_code_modifier, claim_code_modifier_2, units, oi_in_network, service_provider,
+       service_address_3, service_address_2,
+       charge_amt - allowed_amt AS discount_amt,
+       CASE WHEN charge_amt > 0 THEN {r2('CAST(charge_amt - allowed_amt AS DOUBLE) / CAST(charge_amt AS DOUBLE) * 100')}
+            ELSE 0.0 END AS discount_pct,
+       CASE WHEN type IS NOT NULL AND type <> '' THEN type
+            WHEN starts_with(COALESCE(claim_code, 'nan'), 'U') THEN 'COVID_TEST'
+            WHEN COALESCE(claim_code, 'nan') IN ('90837', '90834', '90853') THEN 'MENTAL_HEALTH'
+            WHEN contains(lower(COALESCE(proc_desc, 'nan')), 'therapy')
+              OR contains(COALESCE(claim_code_modifier, 'nan'), 'PT') THEN 'PHYSICAL_THERAPY'
+            ELSE 'UNKNOWN' END AS claim_type,
+       CASE WHEN {BLANK.format(a='service_address_3')} THEN NULL
+            WHEN contains(service_address_3, ' - ') THEN string_split(service_address_3, ' - ')[1]
+            ELSE service_address_3 END AS provider_street,
+       CASE WHEN NOT {BLANK.format(a='service_address_3')} AND contains(service_address_3, ' - ')
+            THEN string_split(service_address_3, ' - ')[2] END AS provider_npi,
+       {CITY_FIRST_COMMA.format(a='service_address_2')} AS city,
+       CASE WHEN NOT {BLANK.format(a='service_address_2')} AND contains(service_address_2, ',')
+            THEN substr(trim(string_split(service_address_2, ',')[2]), 1, 2) END AS state,
+       oi_in_network = 'Y' AS in_network_flag,
+       CAST(year(received_date) AS INT) AS year, CAST(month(received_date) AS INT) AS month,
+       true AS is_valid
+FROM (
+  SELECT TRY_CAST(claimant_id AS BIGINT) AS claimant_id, TRY_CAST(claim_item_id AS BIGINT) AS claim_item_id,
+         upper(COALESCE(type, '')) AS type, TRY_CAST(received_date AS DATE) AS received_date,
+         CASE WHEN TRY_CAST(charge_amt AS DECIMAL(12,2)) < 0 THEN CAST(0 AS DECIMAL(12,2))
+              ELSE TRY_CAST(charge_amt AS DECIMAL(12,2)) END AS charge_amt,
+         CASE WHEN TRY_CAST(allowed_amt AS DECIMAL(12,2)) < 0 THEN CAST(0 AS DECIMAL(12,2))
+              ELSE TRY_CAST(allowed_amt AS DECIMAL(12,2)) END AS allowed_amt,
+         diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5, claim_code, proc_desc,
+         upper(COALESCE(claim_code_modifier, '')) AS claim_code_modifier,
+         upper(COALESCE(claim_code_modifier_2, '')) AS claim_code_modifier_2,
+         TRY_CAST(trunc(COALESCE(TRY_CAST(units AS DOUBLE), 1.0)) AS INT) AS units,
+         upper(COALESCE(oi_in_network, '')) AS oi_in_network,
+         service_provider, service_address_3, service_address_2
+  FROM raw) bronze
+"""
+
+CTES["silver_doc"] = (SILVER_DOC, ("raw",))
+CTES["silver_nb"] = (SILVER_NOTEBOOK, ("raw",))
