@@ -57,4 +57,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 # register every group (import for side effects, after the helpers exist)
-from claimlake.registry import gold, views, analysis, profiles, quality  # noqa: E402,F401
+from claimlake.registry import gold, views, analysis, profiles, quality, streaming  # noqa: E402,F401
