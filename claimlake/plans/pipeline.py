@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimlake.operators.cleaning import clean_claims
 from claimlake.operators.star import Star, build_star
+from claimlake.sources import writers as W
 from claimlake.sources.fixture import raw_claims
+from claimlake.sources.readers import read_run
 
 GOLD_PARTITIONS = {"fact_claims": ["service_month"]}
 
@@ -32,17 +34,6 @@ def star_from_tables(spark: SparkSession, sf_dir: str, profile: str = "lambda")
     return build_star(silver_from_tables(spark, sf_dir, profile))
 
 
-def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> str:
-    w = df.write.mode(mode)
-    if partition_by:
-        # one writer per partition value per task: cluster rows by the
-        # partition column first so each task opens few files
-        df = df.repartition(*partition_by)
-        w = df.write.mode(mode).partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
 def read_star(spark: SparkSession, gold_dir: str, silver_path: str | None = None) -> Star:
     """Read a written Gold star back (partition pruning applies to fact_claims)."""
     r = lambda n: spark.read.parquet(os.path.join(gold_dir, n))
@@ -56,22 +47,24 @@ def read_star(spark: SparkSession, gold_dir: str, silver_path: str | None = None
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambda",
         batch_id: str | None = None) -> DataFrame:
     """Bronze -> Silver -> Gold under ``out_dir``; returns a status table
-    (table, status, rows) -- a failed table does not stop the others."""
+    (table, status) -- a failed table does not stop the others.
+
+    Re-running a batch overwrites its own Bronze partition and rebuilds
+    Silver and Gold, so a retry never duplicates claims."""
     batch_id = batch_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d_%H%M%S")
+    run_date = batch_id[:8]
     bronze_path = os.path.join(out_dir, "bronze")
     silver_path = os.path.join(out_dir, "silver")
     gold_dir = os.path.join(out_dir, "gold")
-    (raw.select([F.col(c).cast("string") for c in raw.columns])
-        .withColumn("run_date", F.lit(batch_id[:8]))
-        .write.mode("overwrite").partitionBy("run_date").parquet(bronze_path))
-    bronze = spark.read.parquet(bronze_path).where(F.col("run_date") == batch_id[:8]).drop("run_date")
+    W.write_bronze(raw, bronze_path, run_date)
+    bronze = read_run(spark, bronze_path, run_date)
     silver = clean_claims(bronze, profile=profile, batch_id=batch_id)
     silver.write.mode("overwrite").parquet(silver_path)
     star = build_star(spark.read.parquet(silver_path))
     status = []
     for name, df in star.tables().items():
         try:
-            write_table(df, os.path.join(gold_dir, name), GOLD_PARTITIONS.get(name))
+            W.write_table(df, os.path.join(gold_dir, name), GOLD_PARTITIONS.get(name))
             status.append((name, "SUCCESS"))
         except Exception as e:  # status per table, as the orchestrator reports
             status.append((name, f"ERROR: {e}"[:500]))

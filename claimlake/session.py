@@ -65,6 +65,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _LOCAL_CKPT: str | None = None
 
 
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread a scan that arrives in fewer splits than the cluster has cores.
+
+    A small input written as one Parquet row group is read by one task,
+    and everything before the first shuffle would run single-threaded. Only
+    then is it round-robin repartitioned to the default parallelism; a
+    large input (many splits) is returned unchanged, with no extra shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for a written table."""
     return os.path.join(checkpoint_dir(spark), name)

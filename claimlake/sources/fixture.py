@@ -14,6 +14,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from claimlake.session import ensure_parallelism
+
 LENS_TABLES = ("lineitem", "orders", "supplier", "nation")
 
 # Portable SQL (runs unchanged in DuckDB; Spark reads VARCHAR(n) as STRING).
@@ -85,7 +87,11 @@ def spark_lens_sql() -> str:
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=LENS_TABLES) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    tables = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    if "lineitem" in tables:
+        # the driving table: make sure its scan feeds every core
+        tables["lineitem"] = ensure_parallelism(tables["lineitem"])
+    return tables
 
 
 def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:

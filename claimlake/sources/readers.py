@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from claimlake.operators.cleaning import normalize_columns
+from claimlake.session import ensure_parallelism
 
 
 def ingest_raw(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,
@@ -25,7 +26,7 @@ def ingest_raw(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struc
     else:
         df = reader.format(fmt).options(**options).load(path)
     df = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    return normalize_columns(df)
+    return normalize_columns(ensure_parallelism(df))
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

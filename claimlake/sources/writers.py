@@ -17,8 +17,24 @@ from claimlake.operators import quality as Q
 from claimlake.operators.dedup import quarantine
 
 
+# Bound on rows per output file, so one huge partition value becomes many
+# files written by many tasks instead of one giant file.
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
 def _dynamic(df: DataFrame):
-    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
+
+
+def clustered(df: DataFrame, cols) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned write.
+
+    A ``rebalance`` hint (not ``repartition``): rows of one partition value
+    go to few tasks so each task opens few files, and AQE splits a value
+    that is skewed (a month holding a third of the data) across many tasks
+    instead of sending it all to one writer."""
+    return df.hint("rebalance", *cols) if cols else df
 
 
 def write_bronze(raw: DataFrame, path: str, run_date: str) -> str:
@@ -34,7 +50,7 @@ def write_silver(silver: DataFrame, path: str, partition_by=("year", "month")) -
     partitions present in this batch). Rows are clustered by the partition
     columns first so each task writes few files."""
     cols = list(partition_by or [])
-    out = silver.repartition(*cols) if cols else silver
+    out = clustered(silver, cols)
     w = _dynamic(out)
     (w.partitionBy(*cols) if cols else w).parquet(path)
     return path
@@ -57,8 +73,8 @@ def write_routed(df: DataFrame, rules, path: str) -> str:
 def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> str:
     """A Gold table, optionally partitioned."""
     cols = list(partition_by or [])
-    out = df.repartition(*cols) if cols else df
-    w = out.write.mode(mode)
+    out = clustered(df, cols)
+    w = out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
     (w.partitionBy(*cols) if cols else w).parquet(path)
     return path
 
