@@ -167,6 +167,8 @@ def infer_claim_type(type_col: Column, code: Column, desc: Column, modifier: Col
 
 def _silver_notebook(df: DataFrame, batch_id: str | None) -> DataFrame:
     charge, allowed = F.col("charge_amt"), F.col("allowed_amt")
+    if "_ingested_at" not in df.columns:
+        df = add_ingestion_metadata(df, source_file="claims")
     bronze = df.withColumns({
         "received_date": X.to_date_lenient(F.col("received_date")),
         "claimant_id": X.to_long(F.col("claimant_id")),

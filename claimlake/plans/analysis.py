@@ -211,13 +211,16 @@ def same_month_by_year_pivot(star: Star, years=(2020, 2021, 2022)) -> DataFrame:
 
 
 # ----------------------------------------------------------------- Q16, Q17
-def patient_distribution(star: Star) -> DataFrame:
+def patient_distribution(star: Star, approx: bool = False) -> DataFrame:
     """Q16: percentiles of lines per patient, mean and deviation of spend.
 
     ``percentile`` keeps a count per distinct value, so its buffer grows
-    with the number of distinct line counts, not with patients."""
+    with the number of distinct line counts, not with patients;
+    ``approx=True`` uses ``percentile_approx`` (a fixed-size sketch)."""
     p = V.patient_activity(star)
-    return p.agg(*[F.percentile("total_claims", q).alias(n) for q, n in
+    pct = ((lambda c, q: F.percentile_approx(c, q).cast("double")) if approx
+           else (lambda c, q: F.percentile(c, q)))
+    return p.agg(*[pct("total_claims", q).alias(n) for q, n in
                    [(0.25, "p25_claims"), (0.5, "median_claims"), (0.75, "p75_claims"),
                     (0.9, "p90_claims")]],
                  X.round2(X.exact_avg(F.col("total_patient_charges"))).alias("avg_spending"),

@@ -45,7 +45,7 @@ def read_star(spark: SparkSession, gold_dir: str, silver_path: str | None = None
 
 
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambda",
-        batch_id: str | None = None) -> DataFrame:
+        batch_id: str | None = None, marts: bool = False) -> DataFrame:
     """Bronze -> Silver -> Gold under ``out_dir``; returns a status table
     (table, status) -- a failed table does not stop the others.
 
@@ -68,4 +68,13 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambd
             status.append((name, "SUCCESS"))
         except Exception as e:  # status per table, as the orchestrator reports
             status.append((name, f"ERROR: {e}"[:500]))
+    if marts:  # S19: materialised marts over the written Gold tables
+        from claimlake.plans import views as V
+        gold = read_star(spark, gold_dir)
+        for name, fn in {"mart_monthly_costs": V.monthly_costs, "mart_provider_kpis": V.provider_kpis}.items():
+            try:
+                W.write_table(fn(gold), os.path.join(out_dir, "marts", name))
+                status.append((name, "SUCCESS"))
+            except Exception as e:
+                status.append((name, f"ERROR: {e}"[:500]))
     return spark.createDataFrame(status, "table string, status string")

@@ -177,7 +177,7 @@ _reg("mart_pipeline_summary",
      lambda s, d: M.pipeline_summary(raw_claims(s, d), silver_from_tables(s, d, "notebook")), """
 SELECT 'raw' AS layer, 'claims' AS table_name, COUNT(*) AS rows, 20 AS columns FROM raw
 UNION ALL SELECT 'bronze', 'claims', COUNT(*), 20 FROM raw
-UNION ALL SELECT 'silver', 'fact_claim_items', COUNT(*), 15 FROM fact_items
+UNION ALL SELECT 'silver', 'fact_claim_items', COUNT(*), 17 FROM fact_items
 UNION ALL SELECT 'silver', 'dim_provider', COUNT(*), 5 FROM dim_provider_notebook
 UNION ALL SELECT 'silver', 'bridge_diagnosis', COUNT(*), 3 FROM bridge_diagnosis_notebook
 UNION ALL SELECT 'gold', 'monthly_summary', COUNT(*), 9 FROM mart_monthly_summary
