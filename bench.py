@@ -8,7 +8,9 @@ Bronze -> Silver -> Gold star, each layer written as Parquet under the
 shared checkpoint folder (fact partitioned by service_month).
 Step 2: every view and analyst query over the written star, each forced to
 completion through the ``noop`` sink (full execution, nothing collected).
-``value`` is the sum of step 2; the build time is reported separately.
+The query set runs twice; ``value`` is the sum of the second (warm JVM)
+pass, the first pass is reported as ``cold_total_sec`` and the build time
+as ``pipeline_build_sec``.
 """
 
 from __future__ import annotations
@@ -59,20 +61,23 @@ def main() -> None:
         "q16_patient_distribution": lambda: A.patient_distribution(star),
         "q17_patient_cohorts": lambda: A.patient_cohorts(star),
     })
-    # warm-up: JIT and file listing caches, not timed
-    V.financial_summary(star).write.format("noop").mode("overwrite").save()
+    def timed_pass() -> dict:
+        out = {}
+        for name, build_df in plan.items():
+            t = time.time()
+            build_df().write.format("noop").mode("overwrite").save()
+            out[name] = round(time.time() - t, 3)
+        return out
 
-    times = {}
-    for name, build_df in plan.items():
-        t = time.time()
-        build_df().write.format("noop").mode("overwrite").save()
-        times[name] = round(time.time() - t, 3)
+    cold = timed_pass()   # first pass: JIT warm-up, file footers, broadcast sizing
+    times = timed_pass()  # reported pass
     total = round(sum(times.values()), 3)
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_sec", "value": total, "unit": "sec", "queries": times,
         "sf": float(sf.group(1)) if sf else sf_dir, "cpus": cpus,
         "pipeline_build_sec": round(build, 3), "gold_tables_failed": len(failed),
+        "cold_total_sec": round(sum(cold.values()), 3),
     }))
     spark.stop()
 
