@@ -92,3 +92,13 @@ SELECT provider_npi, p.provider_name, p.city, p.state FROM (
 
 
 __all__ = ["F"]
+
+_gold("staging_claims", lambda s: __import__("claimlake.sources.writers", fromlist=["stage"]).stage(s), """
+SELECT claim_item_id, claimant_id, claim_code, provider_npi, service_provider, city, state, type,
+       CAST(charge_amt AS DOUBLE) AS charge_amt, CAST(allowed_amt AS DOUBLE) AS allowed_amt, units,
+       strftime(received_date, '%Y-%m-%d') AS received_date, oi_in_network, proc_desc,
+       claim_code_modifier, claim_code_modifier_2
+FROM silver""", ["silver"],
+      "claim_item_id, claimant_id, claim_code, provider_npi, service_provider, city, state, type, charge_amt, "
+      "allowed_amt, units, received_date, oi_in_network, proc_desc, claim_code_modifier, claim_code_modifier_2",
+      drop=())

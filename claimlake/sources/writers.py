@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from claimlake.operators import quality as Q
 from claimlake.operators.dedup import quarantine
@@ -82,3 +82,36 @@ def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwr
 def write_marts(views: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """Materialise named marts (e.g. monthly costs, provider KPIs)."""
     return {name: write_table(df, os.path.join(out_dir, name)) for name, df in views.items()}
+
+
+# The 16-column staging layout the Gold build reads.
+STAGING_SCHEMA = T.StructType([
+    T.StructField("claim_item_id", T.LongType()), T.StructField("claimant_id", T.LongType()),
+    T.StructField("claim_code", T.StringType()), T.StructField("provider_npi", T.StringType()),
+    T.StructField("service_provider", T.StringType()), T.StructField("city", T.StringType()),
+    T.StructField("state", T.StringType()), T.StructField("type", T.StringType()),
+    T.StructField("charge_amt", T.DoubleType()), T.StructField("allowed_amt", T.DoubleType()),
+    T.StructField("units", T.IntegerType()), T.StructField("received_date", T.StringType()),
+    T.StructField("oi_in_network", T.StringType()), T.StructField("proc_desc", T.StringType()),
+    T.StructField("claim_code_modifier", T.StringType()), T.StructField("claim_code_modifier_2", T.StringType()),
+])
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Project ``df`` onto a declared schema (by name, with casts);
+    declared columns the input lacks become typed NULL."""
+    cols = set(df.columns)
+    return df.select([(F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in schema.fields])
+
+
+def stage(silver: DataFrame) -> DataFrame:
+    """The staging projection (money as DOUBLE, date as 'yyyy-MM-dd' text)
+    that gives a schema-on-read table a predictable layout."""
+    return conform(silver.withColumn("received_date", F.date_format("received_date", "yyyy-MM-dd")),
+                   STAGING_SCHEMA)
+
+
+def insert_into(df: DataFrame, schema: T.StructType, path: str, partition_by=None, mode: str = "append") -> str:
+    """Define-then-insert: conform to the declared schema, then write."""
+    return write_table(conform(df, schema), path, partition_by, mode)

@@ -76,6 +76,24 @@ def bronze_to_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, chec
     return _trigger(w, available_now, SILVER_INTERVAL).start(silver_dir)
 
 
+def silver_to_fact(spark: SparkSession, silver_dir: str, fact_dir: str, checkpoint: str,
+                   available_now: bool = False) -> StreamingQuery:
+    """T3 -> T4: each Silver micro-batch becomes fact rows upserted by
+    ``claim_item_id`` into the month-partitioned fact (``foreachBatch``;
+    the upsert is idempotent, so a replayed batch changes nothing)."""
+    from claimlake.operators.star import fact_claims
+    from claimlake.streaming.incremental import upsert
+
+    schema = spark.read.parquet(silver_dir).schema
+    stream = spark.readStream.schema(schema).parquet(silver_dir)
+
+    def merge(batch: DataFrame, _epoch: int) -> None:
+        upsert(batch.sparkSession, fact_dir, fact_claims(batch).drop("_loaded_at"))
+
+    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, SILVER_INTERVAL).start()
+
+
 def run_available_now(spark: SparkSession, source_dir: str, work_dir: str) -> str:
     """Drive both hops to completion over what is available (tests, backfills).
     Returns the Silver folder."""

@@ -77,3 +77,17 @@ def test_json_payload(spark):
     df = spark.createDataFrame([('{"claim_item_id": "7", "charge_amt": "1.50"}',)], "value string")
     r = S.json_payload(df).first()
     assert r.claim_item_id == "7" and r.charge_amt == "1.50" and r.type is None
+
+
+def test_stream_silver_to_fact_upsert(spark):
+    """foreachBatch upsert from streaming Silver equals the batch fact."""
+    work = _tmp(spark, "s2f")
+    silver = silver_from_tables(spark, SF_SMALL)
+    silver.write.parquet(os.path.join(work, "silver"))
+    q = S.silver_to_fact(spark, os.path.join(work, "silver"), os.path.join(work, "fact"),
+                         os.path.join(work, "_ckpt"), available_now=True)
+    q.awaitTermination()
+    fact = G.fact_claims(silver).drop("_loaded_at")
+    got = spark.read.schema(fact.schema).parquet(os.path.join(work, "fact")).select(*fact.columns)
+    assert got.count() == fact.count()
+    assert got.exceptAll(fact).count() == 0 and fact.exceptAll(got).count() == 0
