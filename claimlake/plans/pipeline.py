@@ -18,6 +18,7 @@ from claimlake.operators.cleaning import clean_claims
 from claimlake.operators.star import Star, build_star
 from claimlake.sources import writers as W
 from claimlake.sources.fixture import raw_claims
+from claimlake.session import size_shuffle_partitions
 from claimlake.sources.readers import read_run
 
 GOLD_PARTITIONS = {"fact_claims": ["service_month"]}
@@ -56,6 +57,7 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambd
     bronze_path = os.path.join(out_dir, "bronze")
     silver_path = os.path.join(out_dir, "silver")
     gold_dir = os.path.join(out_dir, "gold")
+    size_shuffle_partitions(raw)
     W.write_bronze(raw, bronze_path, run_date)
     bronze = read_run(spark, bronze_path, run_date)
     silver = clean_claims(bronze, profile=profile, batch_id=batch_id)

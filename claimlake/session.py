@@ -79,6 +79,29 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     return df
 
 
+# Target bytes per shuffle partition before AQE coalescing.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def size_shuffle_partitions(df, target_bytes: int = TARGET_PARTITION_BYTES,
+                            max_partitions: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the size of the data ``df``
+    reads, so a 100 TB input gets ~400k partitions instead of 200; AQE then
+    coalesces small ones at runtime. Never lowers the current setting.
+
+    The estimate is the sum of the leaf relations (file sizes for scans):
+    without column statistics a join's estimate is the product of its
+    inputs, which would be meaningless here."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    est = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max_partitions, max(current, -(-est // target_bytes)))
+    if wanted != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for a written table."""
     return os.path.join(checkpoint_dir(spark), name)

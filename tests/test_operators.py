@@ -125,3 +125,20 @@ def test_pipeline_run_is_idempotent(spark):
     # month filter prunes partitions of the written fact
     plan = star.fact_claims.where(F.col("service_month") == "2021-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(service_month" in plan
+
+
+def test_star_builds_from_every_profile(spark):
+    from claimlake.plans.pipeline import star_from_tables
+    for profile in ("doc", "notebook"):
+        star = star_from_tables(spark, SF_SMALL, profile)
+        assert V.financial_summary(star).count() > 0
+        assert star.fact_claims.where(F.col("claim_item_id").isNull()).count() == 0
+
+
+def test_shuffle_sizing_never_lowers(spark):
+    from claimlake.session import size_shuffle_partitions
+    before = 8
+    spark.conf.set("spark.sql.shuffle.partitions", str(before))
+    assert size_shuffle_partitions(spark.range(10)) == before
+    assert size_shuffle_partitions(spark.range(10), target_bytes=1) > before
+    spark.conf.set("spark.sql.shuffle.partitions", str(before))
