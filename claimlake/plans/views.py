@@ -337,15 +337,23 @@ def remittance_per_claim(star: Star) -> DataFrame:
 
 
 def revenue_cycle_kpi_wide(star: Star) -> DataFrame:
-    """+ provider, specialty, discounts, payments, denials."""
+    """+ provider, specialty, discounts, payments, denials.
+
+    The only fact-sized join (claim lines to their remittance) carries just a
+    narrow key projection of the fact (claim id -> payer, NPI, date key);
+    payments and claim measures are each aggregated to (payer, NPI, date)
+    before they meet, so no full fact row is shuffled for the join."""
+    keys = ["payer_name", "provider_npi", "service_date_key"]
+    fact = star.fact_claims.join(star.dim_payer.select("payer_name"), "payer_name")
     remit = remittance_per_claim(star).select(F.col("claim_id").alias("claim_item_id"), "payment_amount")
-    f = (star.fact_claims.join(star.dim_payer.select("payer_name"), "payer_name")
-             .join(remit, "claim_item_id", "left"))
-    parts = (f.groupBy("payer_name", "provider_npi", "service_date_key")
-              .agg(F.count("claim_item_id").alias("_n_id"), F.count(F.lit(1)).alias("_n"),
-                   F.sum("charge_amt").alias("_charge"), F.sum("allowed_amt").alias("_allowed"),
-                   F.sum("discount_amt").alias("_discount"), F.sum("payment_amount").alias("_paid"),
-                   F.sum(F.when(F.col("claim_status") == "Denied", 1).otherwise(0)).alias("_denied")))
+    paid = (fact.select("claim_item_id", *keys).join(remit, "claim_item_id")
+                .groupBy(*keys).agg(F.sum("payment_amount").alias("_paid")))
+    parts = (fact.groupBy(*keys)
+                 .agg(F.count("claim_item_id").alias("_n_id"), F.count(F.lit(1)).alias("_n"),
+                      F.sum("charge_amt").alias("_charge"), F.sum("allowed_amt").alias("_allowed"),
+                      F.sum("discount_amt").alias("_discount"),
+                      F.sum(F.when(F.col("claim_status") == "Denied", 1).otherwise(0)).alias("_denied"))
+                 .join(paid, keys, "left"))
     prov = star.dim_provider.select("provider_npi", "provider_name", "specialty")
     joined = parts.join(prov, "provider_npi").join(_dates(star), "service_date_key")
     return (joined.groupBy("payer_name", "provider_name", "specialty", "year", "quarter")
