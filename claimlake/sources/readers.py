@@ -38,12 +38,14 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 def read_run(spark: SparkSession, path: str, run_date: str, col: str = "run_date") -> DataFrame:
     """One batch partition (a partition filter: only its files are listed)."""
-    return spark.read.parquet(path).where(F.col(col) == F.lit(run_date)).drop(col)
+    # compared as text: partition inference may read 20240101 back as a number
+    return spark.read.parquet(path).where(F.col(col).cast("string") == F.lit(str(run_date))).drop(col)
 
 
 def latest_run(spark: SparkSession, path: str, col: str = "run_date") -> str | None:
     """Newest partition value of a run-partitioned layer (one scalar)."""
-    return spark.read.parquet(path).agg(F.max(col)).first()[0]
+    v = spark.read.parquet(path).agg(F.max(F.col(col).cast("string"))).first()[0]
+    return None if v is None else str(v)
 
 
 def read_latest(spark: SparkSession, path: str, col: str = "run_date",
