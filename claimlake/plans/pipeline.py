@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from claimlake.operators.cleaning import clean_claims
 from claimlake.operators.star import Star, build_star
@@ -45,10 +45,18 @@ def read_star(spark: SparkSession, gold_dir: str, silver_path: str | None = None
                 silver=spark.read.parquet(silver_path) if silver_path else None)
 
 
+def _observed(df: DataFrame, name: str):
+    """Attach a row-count Observation: the count is collected while the
+    write runs (no second pass over the data)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambda",
         batch_id: str | None = None, marts: bool = False) -> DataFrame:
     """Bronze -> Silver -> Gold under ``out_dir``; returns a status table
-    (table, status) -- a failed table does not stop the others.
+    (table, status, rows) -- a failed table does not stop the others. Row
+    counts come from Observations on the writes themselves (M6).
 
     Re-running a batch overwrites its own Bronze partition and rebuilds
     Silver and Gold, so a retry never duplicates claims."""
@@ -60,23 +68,25 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambd
     size_shuffle_partitions(raw)
     W.write_bronze(raw, bronze_path, run_date)
     bronze = read_run(spark, bronze_path, run_date)
-    silver = clean_claims(bronze, profile=profile, batch_id=batch_id)
+    silver, silver_obs = _observed(clean_claims(bronze, profile=profile, batch_id=batch_id), "silver")
     silver.write.mode("overwrite").parquet(silver_path)
+    status = [("silver", "SUCCESS", silver_obs.get["rows"])]
     star = build_star(spark.read.parquet(silver_path))
-    status = []
     for name, df in star.tables().items():
         try:
-            W.write_table(df, os.path.join(gold_dir, name), GOLD_PARTITIONS.get(name))
-            status.append((name, "SUCCESS"))
+            observed, obs = _observed(df, name)
+            W.write_table(observed, os.path.join(gold_dir, name), GOLD_PARTITIONS.get(name))
+            status.append((name, "SUCCESS", obs.get["rows"]))
         except Exception as e:  # status per table, as the orchestrator reports
-            status.append((name, f"ERROR: {e}"[:500]))
+            status.append((name, f"ERROR: {e}"[:500], None))
     if marts:  # S19: materialised marts over the written Gold tables
         from claimlake.plans import views as V
         gold = read_star(spark, gold_dir)
         for name, fn in {"mart_monthly_costs": V.monthly_costs, "mart_provider_kpis": V.provider_kpis}.items():
             try:
-                W.write_table(fn(gold), os.path.join(out_dir, "marts", name))
-                status.append((name, "SUCCESS"))
+                observed, obs = _observed(fn(gold), name)
+                W.write_table(observed, os.path.join(out_dir, "marts", name))
+                status.append((name, "SUCCESS", obs.get["rows"]))
             except Exception as e:
-                status.append((name, f"ERROR: {e}"[:500]))
-    return spark.createDataFrame(status, "table string, status string")
+                status.append((name, f"ERROR: {e}"[:500], None))
+    return spark.createDataFrame(status, "table string, status string, rows long")

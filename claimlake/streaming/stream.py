@@ -58,11 +58,16 @@ def raw_to_bronze(spark: SparkSession, source_dir: str, bronze_dir: str, checkpo
     return _trigger(w, available_now, BUFFER_INTERVAL).start(bronze_dir)
 
 
-def silver_stream(bronze: DataFrame, profile: str = "lambda", watermark: str = DEDUP_WATERMARK) -> DataFrame:
-    """Streaming Silver: keyed dedup within the watermark, then cleaning."""
+def silver_stream(bronze: DataFrame, profile: str = "lambda", watermark: str = DEDUP_WATERMARK,
+                  score: bool = True) -> DataFrame:
+    """Streaming Silver: keyed dedup within the watermark, cleaning and
+    (optionally) the per-record quality score of the Silver rules."""
+    from claimlake.operators.quality import SILVER_RULES, score_records
+
     deduped = (bronze.withWatermark("_ingested_at", watermark)
                      .dropDuplicatesWithinWatermark(["claim_item_id"]))
-    return clean_claims(deduped.select(*RAW_COLUMNS, "_ingested_at"), profile=profile, batch_id="stream")
+    out = clean_claims(deduped.select(*RAW_COLUMNS, "_ingested_at"), profile=profile, batch_id="stream")
+    return score_records(out, SILVER_RULES) if score else out
 
 
 def bronze_to_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint: str,

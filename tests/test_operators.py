@@ -119,6 +119,8 @@ def test_pipeline_run_is_idempotent(spark):
     for _ in range(2):
         status = run(spark, raw, out, batch_id="20240101_000000").collect()
         assert all(r.status == "SUCCESS" for r in status)
+        rows = {r.table: r.rows for r in status}
+        assert rows["silver"] == raw.count() and rows["fact_claims"] == 6325
     star = read_star(spark, os.path.join(out, "gold"))
     assert spark.read.parquet(os.path.join(out, "bronze")).count() == raw.count()
     assert star.fact_claims.count() == 6325
