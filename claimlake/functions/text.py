@@ -41,10 +41,11 @@ def npi_with_fallback(address: Column) -> Column:
     """
     after_dash = F.when(address.contains(DASH_SEPARATOR), _part(address, DASH_SEPARATOR, 1))
     runs = F.regexp_extract_all(after_dash, F.lit(DIGIT_RUN), 1)
-    # strict '>' keeps the earlier run on equal length
-    longest = F.aggregate(runs, F.lit(""),
-                          lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc))
-    step2 = F.when(F.length(longest) >= NPI_MIN_FALLBACK_LEN, longest)
+    # strict '>' keeps the earlier run on equal length; the length test is the
+    # finish step, so the array is scanned once per row
+    step2 = F.aggregate(runs, F.lit(""),
+                        lambda acc, x: F.when(F.length(x) > F.length(acc), x).otherwise(acc),
+                        lambda acc: F.when(F.length(acc) >= NPI_MIN_FALLBACK_LEN, acc))
     step3 = _blank_to_null(F.regexp_extract(address, NPI_9_OR_10_DIGITS, 1))
     return F.coalesce(npi_strict(address), step2, step3)
 
