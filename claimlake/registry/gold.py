@@ -6,12 +6,11 @@ projections: they differ per run by design.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from claimlake import oracle as O
 from claimlake.operators import star as G
 from claimlake.plans.pipeline import silver_from_tables
 from claimlake.registry import register, select_typed
+from claimlake.sources.writers import stage
 
 SILVER_COLS = [
     "claimant_id", "claim_item_id", "type", "received_date", "charge_amt", "allowed_amt",
@@ -91,9 +90,7 @@ SELECT provider_npi, p.provider_name, p.city, p.state FROM (
       "provider_npi, provider_name, city, state", drop=())
 
 
-__all__ = ["F"]
-
-_gold("staging_claims", lambda s: __import__("claimlake.sources.writers", fromlist=["stage"]).stage(s), """
+_gold("staging_claims", stage, """
 SELECT claim_item_id, claimant_id, claim_code, provider_npi, service_provider, city, state, type,
        CAST(charge_amt AS DOUBLE) AS charge_amt, CAST(allowed_amt AS DOUBLE) AS allowed_amt, units,
        strftime(received_date, '%Y-%m-%d') AS received_date, oi_in_network, proc_desc,
