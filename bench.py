@@ -33,7 +33,8 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(f"local[{cpus}]", app="claimlake-bench", shuffle_partitions=cpus * 2,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
+    spark = get_spark(f"local[{cpus}]", app="claimlake-bench", shuffle_partitions=parts,
                       extra={"spark.driver.memory": "16g"})
     out = os.path.join(checkpoint_dir(spark), f"bench-{uuid.uuid4().hex}")
 
