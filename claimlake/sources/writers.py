@@ -79,6 +79,20 @@ def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwr
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str,
+                   partition_by=None) -> str:
+    """Write ``df`` as a catalog table bucketed (and sorted) by ``key``.
+
+    Two tables bucketed on their join key with the same bucket count are
+    joined bucket-by-bucket: neither side is shuffled, and a per-key
+    aggregate over a bucketed table needs no shuffle either. Data files go
+    to ``path``; the table definition lives in the session catalog."""
+    w = df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    cols = list(partition_by or [])
+    (w.partitionBy(*cols) if cols else w).saveAsTable(table)
+    return table
+
+
 def write_marts(views: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """Materialise named marts (e.g. monthly costs, provider KPIs)."""
     return {name: write_table(df, os.path.join(out_dir, name)) for name, df in views.items()}

@@ -144,3 +144,26 @@ def test_shuffle_sizing_never_lowers(spark):
     assert size_shuffle_partitions(spark.range(10)) == before
     assert size_shuffle_partitions(spark.range(10), target_bytes=1) > before
     spark.conf.set("spark.sql.shuffle.partitions", str(before))
+
+
+def test_bucketed_claim_facts_join_without_shuffle(spark):
+    from claimlake.plans.pipeline import read_star, run
+    from claimlake.sources.fixture import raw_claims
+    out = os.path.join(checkpoint_dir(spark), f"b-{uuid.uuid4().hex}")
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    status = run(spark, raw_claims(spark, SF_SMALL), out, batch_id="20240101_000000", bucket_claims=8,
+                 table_prefix=prefix).collect()
+    assert all(r.status == "SUCCESS" for r in status)
+    star = read_star(spark, os.path.join(out, "gold"), table_prefix=prefix)
+    plain = read_star(spark, os.path.join(out, "gold"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle-or-bucket choice
+    try:
+        joined = star.fact_claims.join(star.fact_remittance,
+                                       star.fact_claims["claim_item_id"] == star.fact_remittance["claim_id"])
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        a = V.revenue_cycle_kpi_wide(star).drop("specialty")
+        b = V.revenue_cycle_kpi_wide(plain).drop("specialty")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
