@@ -30,27 +30,46 @@ def _n_null(c: str) -> Column:
 
 
 # ------------------------------------------------------------- D1, D2, D5
-def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
-    """Per column: type, nulls, null %, distinct values (one pass, long form).
-
-    pandas ``nunique`` ignores NULL, as ``count(DISTINCT)`` does."""
+def null_profile(df: DataFrame, columns: list[str] | None = None, approx_distinct: bool = False) -> DataFrame:
+    """Per column: type, NULL count and NULL % from one aggregate (long form);
+    with ``approx_distinct`` also a HyperLogLog distinct count."""
     cols = columns or df.columns
     types = dict(df.dtypes)
     one = df.agg(F.count(F.lit(1)).alias("_rows"),
                  *[_n_null(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-                 *[_distinct(c, exact).alias(f"d_{i}") for i, c in enumerate(cols)])
-    rows = [F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
-                     F.col(f"n_{i}").alias("null_count"), F.col(f"d_{i}").alias("unique_values"))
-            for i, c in enumerate(cols)]
-    return (one.select("_rows", F.explode(F.array(*rows)).alias("p"))
-               .select("p.column_name", "p.data_type", "p.null_count",
-                       X.pct_of(F.col("p.null_count"), F.col("_rows")).alias("null_pct"),
-                       "p.unique_values"))
+                 *([_distinct(c, False).alias(f"d_{i}") for i, c in enumerate(cols)] if approx_distinct else []))
+    fields = lambda i, c: [F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
+                           F.col(f"n_{i}").alias("null_count")] + (
+        [F.col(f"d_{i}").alias("unique_values")] if approx_distinct else [])
+    out = (one.select("_rows", F.explode(F.array(*[F.struct(*fields(i, c)) for i, c in enumerate(cols)])).alias("p"))
+              .select("_rows", "p.*"))
+    return out.withColumn("null_pct", X.pct_of(F.col("null_count"), F.col("_rows"))).drop("_rows")
+
+
+def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
+    """Per column type, nulls, null %, distinct values.
+
+    Exact distinct counts are one ``distinct`` per column, unioned: each
+    branch reads only its own Parquet column and shuffles only that column's
+    distinct values, instead of the row expansion (one copy of every row per
+    column) that several ``count(DISTINCT)`` in one aggregate would cause.
+    ``exact=False`` uses HyperLogLog inside the single aggregate. pandas
+    ``nunique`` ignores NULL, as these counts do."""
+    cols = columns or df.columns
+    if not exact:
+        return null_profile(df, cols, approx_distinct=True)
+    distincts = reduce(DataFrame.unionByName, [
+        df.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
+          .agg(F.count(F.lit(1)).alias("unique_values")).select(F.lit(c).alias("_col"), "unique_values")
+        for c in cols])
+    return (null_profile(df, cols)
+            .join(distincts, F.col("column_name") == F.col("_col")).drop("_col")
+            .select("column_name", "data_type", "null_count", "null_pct", "unique_values"))
 
 
 def high_null_columns(df: DataFrame, threshold: float = 50.0) -> DataFrame:
     """Columns with more than ``threshold`` % NULL."""
-    return profile(df).where(F.col("null_pct") > threshold).select("column_name", "null_pct")
+    return null_profile(df).where(F.col("null_pct") > threshold).select("column_name", "null_pct")
 
 
 # --------------------------------------------------------------------- D3
@@ -130,7 +149,7 @@ def _one_row(*dfs: DataFrame) -> DataFrame:
 
 def completeness(df: DataFrame, required: list[str]) -> DataFrame:
     """NULL % per required column, only columns with NULLs."""
-    return (profile(df, required).where(F.col("null_count") > 0)
+    return (null_profile(df, required).where(F.col("null_count") > 0)
             .select("column_name", "null_count", "null_pct"))
 
 
