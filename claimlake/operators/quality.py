@@ -25,6 +25,14 @@ def _distinct(c: str, exact: bool) -> Column:
     return F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c))
 
 
+def _distinct_scalar(df: DataFrame, c: str, exact: bool) -> Column:
+    """Distinct non-NULL values of one column as a scalar subquery: a
+    single-column scan and shuffle, no row expansion in the caller's aggregate."""
+    if not exact:
+        return df.select(F.approx_count_distinct(c)).scalar()
+    return df.select(c).where(F.col(c).isNotNull()).distinct().select(F.count(F.lit(1))).scalar()
+
+
 def _n_null(c: str) -> Column:
     return F.count(F.when(F.col(c).isNull(), 1))
 
@@ -115,12 +123,13 @@ def quality_report(silver: DataFrame, sample_size: int = 5, exact: bool = True)
         F.sum(F.col("has_negative_allowed").cast("int")).alias("negative_allowed"),
         F.sum(F.col("has_missing_provider").cast("int")).alias("missing_providers"),
         F.sum(F.col("has_npi").cast("int")).alias("npi_count"),
-        _distinct("claimant_id", exact).alias("unique_claimants"),
-        _distinct("claim_code", exact).alias("unique_codes"),
-        _distinct("provider_npi", exact).alias("unique_npis"),
         F.min("received_date").alias("date_min"),
         F.max("received_date").alias("date_max"),
-    ).withColumn("sample_npis", F.array_join(sample, ","))
+    ).select("*",
+             _distinct_scalar(silver, "claimant_id", exact).alias("unique_claimants"),
+             _distinct_scalar(silver, "claim_code", exact).alias("unique_codes"),
+             _distinct_scalar(silver, "provider_npi", exact).alias("unique_npis"),
+             F.array_join(sample, ",").alias("sample_npis"))
 
 
 # -------------------------------------------------------------- D7 - D10
