@@ -23,9 +23,6 @@ def _tree(df) -> str:
         df.explain("formatted")
     text = buf.getvalue()
     head, _, rest = text.partition("\n\n")
-    keep = [line for line in rest.splitlines()
-            if line.startswith(("PushedFilters", "PartitionFilters", "ReadSchema", "(", "Location"))
-            and not line.startswith("(") or ("Scan parquet" in line and line.startswith("("))]
     scans = [line for line in rest.splitlines() if line.startswith(("PushedFilters", "PartitionFilters", "ReadSchema"))]
     return head.strip() + "\n\n" + "\n".join(scans)
 
