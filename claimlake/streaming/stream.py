@@ -58,14 +58,24 @@ def raw_to_bronze(spark: SparkSession, source_dir: str, bronze_dir: str, checkpo
     return _trigger(w, available_now, BUFFER_INTERVAL).start(bronze_dir)
 
 
+def dedup_stream(df: DataFrame, keys, ts_col: str, watermark: str) -> DataFrame:
+    """Drop repeated deliveries of a key within ``watermark`` of ``ts_col``.
+    State holds each key only until the watermark passes it, so memory is
+    bounded by the keys seen within the delay, not by the stream's history.
+    A ``timestamp_ntz`` event time is read as a session-zone timestamp
+    (watermarks need TIMESTAMP)."""
+    if dict(df.dtypes)[ts_col] == "timestamp_ntz":
+        df = df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    return df.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(list(keys))
+
+
 def silver_stream(bronze: DataFrame, profile: str = "lambda", watermark: str = DEDUP_WATERMARK,
                   score: bool = True) -> DataFrame:
     """Streaming Silver: keyed dedup within the watermark, cleaning and
     (optionally) the per-record quality score of the Silver rules."""
     from claimlake.operators.quality import SILVER_RULES, score_records
 
-    deduped = (bronze.withWatermark("_ingested_at", watermark)
-                     .dropDuplicatesWithinWatermark(["claim_item_id"]))
+    deduped = dedup_stream(bronze, ["claim_item_id"], "_ingested_at", watermark)
     out = clean_claims(deduped.select(*RAW_COLUMNS, "_ingested_at"), profile=profile, batch_id="stream")
     return score_records(out, SILVER_RULES) if score else out
 

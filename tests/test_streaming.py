@@ -91,3 +91,21 @@ def test_stream_silver_to_fact_upsert(spark):
     got = spark.read.schema(fact.schema).parquet(os.path.join(work, "fact")).select(*fact.columns)
     assert got.count() == fact.count()
     assert got.exceptAll(fact).count() == 0 and fact.exceptAll(got).count() == 0
+
+
+def test_event_stream_keyed_dedup(spark):
+    """Keyed dedup on event time over the driver's events table, each event
+    delivered twice (two files), JSON properties parsed on the stream."""
+    src = "/root/testdata/sf0.001/events.parquet"
+    work = _tmp(spark, "events")
+    events = spark.read.parquet(src)
+    events.write.parquet(os.path.join(work, "in", "a"))
+    events.write.parquet(os.path.join(work, "in", "b"))
+    stream = spark.readStream.schema(events.schema).parquet(os.path.join(work, "in", "*"))
+    parsed = stream.withColumn("props_map", F.from_json("props", "map<string,string>"))
+    q = (S.dedup_stream(parsed, ["event_id"], "ts", "30 days")
+         .writeStream.format("parquet").option("checkpointLocation", os.path.join(work, "_ckpt"))
+         .trigger(availableNow=True).start(os.path.join(work, "out")))
+    q.awaitTermination()
+    out = spark.read.parquet(os.path.join(work, "out"))
+    assert out.count() == events.select("event_id").distinct().count()
