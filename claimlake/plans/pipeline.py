@@ -85,7 +85,7 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambd
     W.write_bronze(raw, bronze_path, run_date)
     bronze = read_run(spark, bronze_path, run_date)
     silver, silver_obs = _observed(clean_claims(bronze, profile=profile, batch_id=batch_id), "silver")
-    silver.write.mode("overwrite").parquet(silver_path)
+    W.write_silver(silver, silver_path, replace_all=True)
     status = [("silver", "SUCCESS", silver_obs.get["rows"])]
     star = build_star(spark.read.parquet(silver_path))
     for name, df in star.tables().items():

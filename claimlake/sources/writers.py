@@ -45,13 +45,16 @@ def write_bronze(raw: DataFrame, path: str, run_date: str) -> str:
     return path
 
 
-def write_silver(silver: DataFrame, path: str, partition_by=("year", "month")) -> str:
-    """Silver as Parquet, partitioned (dynamic overwrite of the
-    partitions present in this batch). Rows are clustered by the partition
-    columns first so each task writes few files."""
+def write_silver(silver: DataFrame, path: str, partition_by=("year", "month"), replace_all: bool = False) -> str:
+    """Silver as Parquet, partitioned. By default only the
+    partitions present in this batch are replaced (incremental batches);
+    ``replace_all`` rewrites the whole table (a full rebuild). Rows are
+    clustered by the partition columns first so each task writes few files."""
     cols = list(partition_by or [])
     out = clustered(silver, cols)
     w = _dynamic(out)
+    if replace_all:
+        w = w.option("partitionOverwriteMode", "static")
     (w.partitionBy(*cols) if cols else w).parquet(path)
     return path
 
