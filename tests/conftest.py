@@ -12,8 +12,11 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
     from claimlake.session import get_spark
-    s = get_spark("local[4]", app="claimlake-tests", shuffle_partitions=8)
+    # catalog tables (bucketed layout test) go to a scratch warehouse, not the repo
+    s = get_spark("local[4]", app="claimlake-tests", shuffle_partitions=8,
+                  extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="claimlake-wh-")})
     yield s
     s.stop()
 
