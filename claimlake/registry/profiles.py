@@ -152,10 +152,11 @@ SELECT * FROM mart_provider_summary_q ORDER BY total_allowed DESC, provider_npi
 
 _reg("mart_discount_histogram", lambda s, d: M.discount_histogram(_items(s, d)), f"""
 WITH pos AS (SELECT discount_pct FROM fact_items WHERE discount_pct > 0),
-     b AS (SELECT MIN(discount_pct) AS lo, MAX(discount_pct) AS hi FROM pos),
+     bounded AS (SELECT discount_pct, (SELECT MIN(discount_pct) FROM pos) AS lo,
+                        (SELECT MAX(discount_pct) FROM pos) AS hi FROM pos),
      binned AS (SELECT CAST(CASE WHEN hi = lo THEN 0
                                  ELSE least(floor((discount_pct - lo) * 30.0 / (hi - lo)), 29) END AS INT) AS bin,
-                       lo, hi FROM pos, b)
+                       lo, hi FROM bounded)
 SELECT bin, lo + bin * ((hi - lo) / 30.0) AS bin_start, lo + (bin + 1) * ((hi - lo) / 30.0) AS bin_end,
        COUNT(*) AS frequency
 FROM binned GROUP BY bin, lo, hi""", ["fact_items"], "bin, bin_start, bin_end, frequency:B")
