@@ -1,6 +1,8 @@
 """Benchmark: build the medallion layers once, then time the headline queries.
 
-Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_SHUFFLE_PARTITIONS (default 2 x cpus), BENCH_EVENT_LOG_DIR (optional
+Spark event log folder for stage and task times).
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 
 Step 1 (``pipeline_build``): claims derived from the driver tables ->
@@ -34,8 +36,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus * 2)))
-    spark = get_spark(f"local[{cpus}]", app="claimlake-bench", shuffle_partitions=parts,
-                      extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):  # stage/task times for later inspection
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
+    spark = get_spark(f"local[{cpus}]", app="claimlake-bench", shuffle_partitions=parts, extra=extra)
     out = os.path.join(checkpoint_dir(spark), f"bench-{uuid.uuid4().hex}")
 
     t0 = time.time()

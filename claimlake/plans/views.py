@@ -180,12 +180,17 @@ def high_discount_alerts(star: Star) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- V7
-def financial_summary(star: Star) -> DataFrame:
-    """V7: monthly patients, units, gross / net revenue, adjustments, rate."""
+def financial_summary(star: Star, approx_patients: bool = False) -> DataFrame:
+    """V7: monthly patients, units, gross / net revenue, adjustments, rate.
+
+    ``approx_patients`` counts patients with HyperLogLog (fixed-size sketch
+    per month, no shuffle of (month, patient) pairs)."""
     f = star.fact_claims
     adj = F.col("charge_amt") - F.col("allowed_amt")
+    patients = (F.approx_count_distinct("claimant_id") if approx_patients
+                else F.count_distinct("claimant_id"))
     return (f.groupBy(_month())
-             .agg(F.count_distinct("claimant_id").alias("unique_patients"),
+             .agg(patients.alias("unique_patients"),
                   F.sum("units").alias("total_service_units"),
                   F.sum("charge_amt").alias("gross_revenue"),
                   F.sum("allowed_amt").alias("net_revenue"),

@@ -167,3 +167,12 @@ def test_bucketed_claim_facts_join_without_shuffle(spark):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_financial_summary_approx_patients(spark):
+    from claimlake.plans.pipeline import star_from_tables
+    star = star_from_tables(spark, SF_SMALL)
+    exact = {r.month: r.unique_patients for r in V.financial_summary(star).collect()}
+    approx = {r.month: r.unique_patients for r in V.financial_summary(star, approx_patients=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[m] - exact[m]) <= max(2, 0.1 * exact[m]) for m in exact)
