@@ -26,3 +26,18 @@ def test_dedup_uses_group_limit(spark):
     from claimlake.operators.dedup import keep_first
     plan = _plan(keep_first(silver_from_tables(spark, SF_SMALL)))
     assert "WindowGroupLimit" in plan or "Window" in plan
+
+
+def test_small_dimension_is_broadcast_over_written_star(spark):
+    import os
+    import uuid
+    from claimlake.plans.pipeline import read_star, run
+    from claimlake.session import checkpoint_dir
+    from claimlake.sources.fixture import raw_claims
+    out = os.path.join(checkpoint_dir(spark), f"pl-{uuid.uuid4().hex}")
+    run(spark, raw_claims(spark, SF_SMALL), out, batch_id="20240101_000000").collect()
+    star = read_star(spark, os.path.join(out, "gold"))
+    df = V.monthly_costs(star)
+    df.collect()  # final adaptive plan
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in final
