@@ -76,3 +76,15 @@ def test_stage_and_conform(spark):
     out = _tmp(spark, "insert")
     W.insert_into(silver, W.STAGING_SCHEMA, out)
     assert spark.read.parquet(out).count() == silver.count()
+
+
+def test_command_line_run_and_view(spark, capsys):
+    from claimlake.__main__ import main
+    d = _tmp(spark, "cli")
+    raw = raw_claims(spark, SF_SMALL)
+    raw.toDF(*[c.upper() for c in raw.columns]).write.option("header", True).csv(d + "/raw")
+    assert main(["run", "--raw", d + "/raw", "--format", "csv", "--out", d + "/lake",
+                 "--batch-id", "20240101_000000"]) == 0
+    assert main(["view", "--out", d + "/lake", "--name", "vw_network_impact"]) == 0
+    assert "avg_discount_rate" in capsys.readouterr().out
+    assert main(["view", "--out", d + "/lake", "--name", "nope"]) == 2
