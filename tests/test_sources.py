@@ -88,3 +88,26 @@ def test_command_line_run_and_view(spark, capsys):
     assert main(["view", "--out", d + "/lake", "--name", "vw_network_impact"]) == 0
     assert "avg_discount_rate" in capsys.readouterr().out
     assert main(["view", "--out", d + "/lake", "--name", "nope"]) == 2
+
+
+def test_schema_on_read_resolves_by_name(spark):
+    from pyspark.sql import types as T
+    silver = silver_from_tables(spark, SF_SMALL)
+    d = _tmp(spark, "sor")
+    W.stage(silver).write.parquet(d)
+    declared = T.StructType([T.StructField("claim_code", T.StringType()),
+                             T.StructField("claim_item_id", T.LongType()),
+                             T.StructField("not_written", T.StringType())])
+    got = R.read_layer(spark, d, declared)
+    assert got.columns == ["claim_code", "claim_item_id", "not_written"]
+    assert got.where(F.col("not_written").isNotNull()).count() == 0
+    assert got.count() == silver.count()
+
+
+def test_marts_materialised(spark):
+    from claimlake.plans.pipeline import run
+    d = _tmp(spark, "marts")
+    status = {r.table: r for r in run(spark, raw_claims(spark, SF_SMALL), d, batch_id="20240101_000000",
+                                      marts=True).collect()}
+    assert status["mart_monthly_costs"].status == "SUCCESS" and status["mart_monthly_costs"].rows > 0
+    assert spark.read.parquet(os.path.join(d, "marts", "mart_provider_kpis")).count() == status["mart_provider_kpis"].rows
