@@ -111,3 +111,13 @@ def test_marts_materialised(spark):
                                       marts=True).collect()}
     assert status["mart_monthly_costs"].status == "SUCCESS" and status["mart_monthly_costs"].rows > 0
     assert spark.read.parquet(os.path.join(d, "marts", "mart_provider_kpis")).count() == status["mart_provider_kpis"].rows
+
+
+def test_newest_file_rows(spark):
+    import time
+    d = _tmp(spark, "newest")
+    spark.range(5).coalesce(1).write.parquet(d)
+    time.sleep(1.2)
+    spark.range(100, 103).coalesce(1).write.mode("append").parquet(d)
+    got = sorted(r.id for r in R.newest_file_rows(spark.read.parquet(d)).collect())
+    assert got == [100, 101, 102]
