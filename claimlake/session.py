@@ -65,16 +65,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _LOCAL_CKPT: str | None = None
 
 
+def _to_bytes(value: str) -> int:
+    """'134217728b', '128m', '1g' -> bytes."""
+    v = value.strip().lower()
+    for suffix, mult in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10),
+                         ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
+        if v.endswith(suffix):
+            return int(float(v[: -len(suffix)]) * mult)
+    return int(v)
+
+
+def _leaf_bytes(df) -> int:
+    """Bytes read by the leaf relations of ``df`` (file sizes for scans)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def ensure_parallelism(df, min_partitions: int | None = None):
     """Spread a scan that arrives in fewer splits than the cluster has cores.
 
-    A small input written as one Parquet row group is read by one task,
-    and everything before the first shuffle would run single-threaded. Only
-    then is it round-robin repartitioned to the default parallelism; a
-    large input (many splits) is returned unchanged, with no extra shuffle.
+    A small input written as one Parquet row group is read by one task, and
+    everything before the first shuffle would run single-threaded. When the
+    input is both few files and fewer bytes than one split per core, it is
+    round-robin repartitioned to the default parallelism. A large input
+    (many files or many splits) is returned unchanged, with no extra shuffle.
+    The decision uses the planner's size estimate and the file list only.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    split = _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    few_bytes = _leaf_bytes(df) < target * split
+    if few_bytes and len(df.inputFiles()) < target:
         return df.repartition(target)
     return df
 
@@ -93,8 +114,7 @@ def size_shuffle_partitions(df, target_bytes: int = TARGET_PARTITION_BYTES,
     without column statistics a join's estimate is the product of its
     inputs, which would be meaningless here."""
     spark = df.sparkSession
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    est = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    est = _leaf_bytes(df)
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = min(max_partitions, max(current, -(-est // target_bytes)))
     if wanted != current:
