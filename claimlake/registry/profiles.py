@@ -203,3 +203,12 @@ FROM fact_claims f LEFT JOIN (SELECT claim_id, COUNT(*) AS adjustment_codes FROM
 GROUP BY f.payer_name""", ["fact_claims", "fact_remittance_long_q"],
      "payer_name, total_claims:B, claim_share_pct, total_charges:D, charge_share_pct, total_adjustments:D, "
      "net_reimbursement:D, adjustment_codes:B")
+
+# ------------------------------------------------ Gold from the doc profile
+O.cte("fact_claims_doc_q", O.FACT.replace("FROM silver WHERE is_valid", "FROM silver_doc WHERE is_valid"),
+      ["silver_doc"])
+register("fact_claims_doc", O.query(select_typed("fact_claims_doc_q", _spec([
+    "claim_item_id", "claimant_id", "provider_npi", "payer_name", "claim_code", "service_date_key",
+    "charge_amt", "allowed_amt", "discount_amt", "units", "in_network", "received_date", "claim_status",
+    "service_month"])), ["fact_claims_doc_q"]))(
+    lambda s, d: G.fact_claims(silver_from_tables(s, d, "doc")).drop("_loaded_at"))
