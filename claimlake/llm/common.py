@@ -9,7 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text that one numpy pass handles; the passes hold about 60 bytes per byte.
 PASS_BYTES = 1 << 20
@@ -190,3 +190,33 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarr
 
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
+
+
+#: Bits of an id filter (see ``id_filter``); a fixed size, whatever the input.
+FILTER_BITS = 25
+
+
+def _slot(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+
+
+def id_filter(ids: DataFrame, column: str) -> bytes:
+    """A bit table of fixed size (4 MB) with a bit set for the hash of every id. It only
+    spares shuffling rows that have no partner; an exact join follows it."""
+    slots = ids.select(_slot(column).alias("s")).select((F.col("s") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(s, 64) AS int))").alias("bit"))
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for r in slots.groupBy("w").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
+        bits[r["w"]] = r["bits"]
+    return bits.tobytes()
+
+
+def maybe_in(rows: DataFrame, column: str, packed: bytes, inside: bool = True) -> DataFrame:
+    """Rows whose id may be in the filter; with ``inside`` false those that are not in it."""
+
+    def run(batches):
+        held = np.frombuffer(packed, np.uint8)
+        for batch in batches:
+            s = batch.column(batch.num_columns - 1).to_numpy()
+            yield batch.filter(pa.array(((held[s >> 3] >> (s & 7).astype(np.uint8)) & 1 == 1) == inside)).select(list(range(batch.num_columns - 1)))
+
+    return rows.withColumn("__slot", _slot(column)).mapInArrow(run, rows.schema)

@@ -36,15 +36,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import passes, shingles, signed, stage, table, text_views
+from claimlake.llm.common import id_filter, maybe_in, passes, shingles, signed, stage, table, text_views
 from claimlake.llm.components import components
 
 SKETCH_BITS = 20
 _SKETCH_PARTS = 64
 #: Members that one task compares with a hub before the hub is copied to another.
 MEMBERS_PER_SALT = 512
-#: Bits of the candidates' filter; it only spares shuffling texts without candidates.
-FILTER_BITS = 25
 _RANGES = 32
 _U = np.uint64
 _KEY_BITS = 58
@@ -233,25 +231,9 @@ def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def _candidate_texts(spark: SparkSession, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, text) of the documents in ``wanted`` (doc). A bit table of fixed size, built
-    from hashes of the wanted ids, keeps other texts out of the shuffle; the join
-    that follows is exact."""
-    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << FILTER_BITS))
-    words = wanted.select(slot("doc").alias("s")).select((F.col("s") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(s, 64) AS int))").alias("bit"))
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for r in words.groupBy("w").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
-        bits[r["w"]] = r["bits"]
-    packed = bits.tobytes()
-
-    def run(batches):
-        held = np.frombuffer(packed, np.uint8)
-        for batch in batches:
-            s = batch.column(2).to_numpy()
-            yield batch.filter(pa.array((held[s >> 3] >> (s & 7)) & 1 == 1)).select([0, 1])
-
-    near = docs.select("doc", "text", slot("doc").alias("s")).mapInArrow(run, "doc long, text string")
-    return near.join(wanted, "doc", "left_semi")
+def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc, text) of the documents in ``wanted`` (doc)."""
+    return maybe_in(docs, "doc", id_filter(wanted, "doc")).join(wanted, "doc", "left_semi")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -304,7 +286,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     ok = hubs.where("ok").groupBy("doc", "hub").agg(F.count("*").alias("shared"))
     best = ok.groupBy("doc").agg(F.max(F.struct("shared", "hub")).alias("best")).select(F.col("best.hub").alias("a"), F.col("doc").alias("b"))
     first = stage(spark, _suffix_filter(best, features, percent), "first")
-    texts = stage(spark, _candidate_texts(spark, docs, hubs.select("doc").union(hubs.select("hub")).distinct()), "texts")
+    texts = stage(spark, _candidate_texts(docs, hubs.select("doc").union(hubs.select("hub")).distinct()), "texts")
     found = stage(spark, verify(first, texts, k, percent), "found")
 
     comps = components(spark, found)

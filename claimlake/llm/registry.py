@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from claimlake.llm import bpe, ngram_join
+from claimlake.llm import bpe, ngram_join, suffix_dedup
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op9_bpe": bpe.op9_bpe,
 }
 
