@@ -118,9 +118,9 @@ def byte_hash() -> ByteHash:
     return _hash
 
 
-def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data = _LOWER[data]
-    inside = ~_SPACE[data]
+    inside = ~gap[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
@@ -133,34 +133,45 @@ def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return h.ranges(h.sums(data), starts, ends), starts, ends
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each row, with A-Z lower-cased,
-    and the rows' offsets into them. A long row is cut at white space, so that
-    memory stays bounded by its longest word and 8 bytes per word."""
-    hashes, counts = [], np.zeros(len(offsets) - 1, np.int64)
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, ends, rows' offsets into them) of the words between bytes of
+    ``gap`` (white space x20, x09 to x0D if not given), with A-Z lower-cased for the
+    hash. A long row is cut at gaps, so that memory stays bounded by its longest word
+    and some bytes per word."""
+    found, counts = [], np.zeros(len(offsets) - 1, np.int64)
     for i, j in passes(offsets):
-        part, at = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+        base = int(offsets[i])
+        part, at = data[base : offsets[j]], offsets[i : j + 1] - base
         if len(part) <= PASS_BYTES:
-            h, starts, _ = _words(part, at)
-            hashes.append(h)
+            h, starts, ends = _words(part, at, gap)
+            found.append((h, starts + base, ends + base))
             counts[i:j] = np.diff(np.searchsorted(starts, at))
             continue
         begin = 0
         while begin < len(part):
             stop = min(begin + PASS_BYTES, len(part))
             while stop < len(part):
-                gaps = np.flatnonzero(_SPACE[part[begin:stop]])
+                gaps = np.flatnonzero(gap[part[begin:stop]])
                 if len(gaps):
                     stop = begin + int(gaps[-1]) + 1
                     break
                 stop = min(stop + PASS_BYTES, len(part))
-            h, _, _ = _words(part[begin:stop], np.array([0, stop - begin]))
-            hashes.append(h)
+            h, starts, ends = _words(part[begin:stop], np.array([0, stop - begin]), gap)
+            found.append((h, starts + (base + begin), ends + (base + begin)))
             counts[i] += len(h)
             begin = stop
     at = np.zeros(len(counts) + 1, np.int64)
     np.cumsum(counts, out=at[1:])
-    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), at
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), at
+    h, starts, ends = (np.concatenate(x) for x in zip(*found, strict=True))
+    return h, starts, ends, at
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of each row, and the rows' offsets."""
+    h, _, _, at = word_spans(data, offsets)
+    return h, at
 
 
 _COEFFICIENTS = mix(np.arange(1, 65, dtype=np.uint64)) | _U(1)
