@@ -15,8 +15,8 @@ that of the item to the nearest substring, and an item leaks where it is at most
    small edit distance soon walk in step again, so their outputs differ in few places.
    A walk may also stay out of step for long, so many independent ones are taken, over
    windows of one size class at a time.
-3. Bit-sampling LSH. Each table reads a few sampled output places; a window and an item
-   of its class meet if they agree in any table. The number of tables is set for the
+3. Bit-sampling LSH. Each table reads a few sampled output places; a window and the item
+   it was laid for meet if they agree in any table. The number of tables is set for the
    target recall and measured by the tests against exact search over all windows.
 4. Exact edit verification of every pair that met, by dynamic programming over the
    window with a margin on either side.
@@ -115,8 +115,8 @@ def infix_distances(items: list[bytes], windows: list[bytes]) -> np.ndarray:
     a = np.frombuffer(b"".join(x.ljust(n, b"\0") for x in items), np.uint8).reshape(-1, n)
     b = np.frombuffer(b"".join(x.ljust(m, b"\1") for x in windows), np.uint8).reshape(-1, m)
     length = np.array([len(x) for x in items])
-    step = np.arange(m + 1, dtype=np.int32)
-    row = np.zeros((len(items), m + 1), np.int32)
+    step = np.arange(m + 1, dtype=np.int16)  # windows are a few thousand characters at most
+    row = np.zeros((len(items), m + 1), np.int16)
     out = np.where(length == 0, 0, 1 << 30)
     for i in range(n):
         new = np.empty_like(row)
@@ -156,12 +156,10 @@ class Block:
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.keys >> _U(64 - _FILTER_BITS)] = True
         self.size = np.array([-(-len(t) // SIZE_STEP) * SIZE_STEP for t in self.texts], np.int64)
-        self.tables = {}
+        self.tables = np.zeros((len(self.ids), WALKS * TABLES), np.int64)
         for size in sorted(set(self.size.tolist())):
             members = np.flatnonzero(self.size == size)
-            k = lsh_keys([self.texts[i] for i in members], size)
-            o = np.argsort(k, axis=0, kind="stable")
-            self.tables[size] = (np.take_along_axis(k, o, axis=0), members[o])
+            self.tables[members] = lsh_keys([self.texts[i] for i in members], size)
 
     def windows(self, words: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
         """(row, item, first word) of the windows laid over rows of word hashes."""
@@ -186,9 +184,12 @@ class Block:
         pair = row * len(self.ids) + item
         o = np.lexsort((i, first, pair))
         pair, first, i = pair[o], first[o], i[o]
+        place = i - first
         hit = np.zeros(len(pair), bool)
-        two = (pair[1:] == pair[:-1]) & (first[1:] - first[:-1] <= 1) & (i[1:] != i[:-1])
-        three = (pair[2:] == pair[:-2]) & (first[2:] - first[:-2] <= 2) & (i[2:] != i[:-2]) & (i[2:] != i[1:-1]) & (i[1:-1] != i[:-2])
+        two = (pair[1:] == pair[:-1]) & (first[1:] - first[:-1] <= 1) & (i[1:] != i[:-1]) & (place[1:] != place[:-1])
+        three = (pair[2:] == pair[:-2]) & (first[2:] - first[:-2] <= 2)
+        for x in (i, place):
+            three &= (x[2:] != x[:-2]) & (x[2:] != x[1:-1]) & (x[1:-1] != x[:-2])
         two &= self.words[pair[1:] % len(self.ids)] == 3  # items with two bigrams only
         hit[1:] |= two
         hit[:-1] |= two
@@ -200,46 +201,43 @@ class Block:
         pair, first = pair[new], first[new]
         return pair // len(self.ids), pair % len(self.ids), first
 
-    def matches(self, data: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
-        """(row, item's index, distance) of the leaks in rows of text."""
+    def laid(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
+        """(row, item's index, window, window with a margin) over rows of text."""
         words, starts, ends, own = word_spans(data, at, _GAP)
         row, item, first = self.windows(words, own)
-        if not len(row):
-            return []
-        found: dict[tuple[int, int], int] = {}
-        sizes = self.size[item]
         margin = np.ceil((1 - self.similarity) * self.words[item]).astype(np.int64) + 1
         cut = lambda a, b: normal(data[starts[a] : ends[b - 1]].tobytes()) if b > a else b""
+        for r, x, f, m in zip(row.tolist(), item.tolist(), first.tolist(), margin.tolist(), strict=True):
+            low, high, n = int(own[r]), int(own[r + 1]), int(self.words[x])
+            yield r, x, cut(max(f, low), min(f + n, high)), cut(max(f - m, low), min(f + n + m, high))
+
+    def matches(self, laid: list[tuple[int, int, bytes, bytes]]) -> list[tuple[int, int, int]]:
+        """(row, item's index, distance) of the leaks among laid windows."""
+        found: dict[tuple[int, int], int] = {}
+        sizes = self.size[[x for _, x, _, _ in laid]] if laid else np.zeros(0, np.int64)
         for size in np.unique(sizes).tolist():
-            for part in np.array_split(np.flatnonzero(sizes == size), -(-int((sizes == size).sum()) // 4096)):
-                r, t, f = row[part], item[part], first[part]
-                low, high = own[r], own[r + 1]
-                texts = [cut(a, b) for a, b in zip(np.maximum(f, low).tolist(), np.minimum(f + self.words[t], high).tolist(), strict=True)]
-                mine = lsh_keys(texts, size)
-                keys, members = self.tables[size]
-                met = set()
-                for k in range(mine.shape[1]):
-                    a, b = np.searchsorted(keys[:, k], mine[:, k], "left"), np.searchsorted(keys[:, k], mine[:, k], "right")
-                    for w in np.flatnonzero(b > a).tolist():
-                        met.update((w, int(members[x, k])) for x in range(a[w], b[w]))
-                todo = []
-                for w, x in met:
-                    if found.get((int(r[w]), x)) == 0:
-                        continue
-                    m = int(margin[part[w]])
-                    wide = cut(max(int(f[w]) - m, int(low[w])), min(int(f[w] + self.words[x]) + m, int(high[w])))
-                    if self.texts[x] in wide:
-                        found[int(r[w]), x] = 0
-                    else:
-                        todo.append((int(r[w]), x, wide))
-                for k in range(0, len(todo), 512):
-                    group = [g for g in todo[k : k + 512] if found.get(g[:2]) != 0]
-                    if group:
-                        d = infix_distances([self.texts[x] for _, x, _ in group], [w for *_, w in group])
-                        for (rr, x, _), v in zip(group, d.tolist(), strict=True):
-                            if v <= (1 - self.similarity) * len(self.texts[x]) + 1e-9:
-                                found[rr, x] = min(v, found.get((rr, x), 1 << 30))
-        return [(a, b, d) for (a, b), d in found.items()]
+            group = [laid[k] for k in np.flatnonzero(sizes == size)]
+            for k in range(0, len(group), 4096):
+                part = group[k : k + 4096]
+                met = (lsh_keys([w for _, _, w, _ in part], size) == self.tables[[x for _, x, _, _ in part]]).any(axis=1)
+                self._verify([part[w] for w in np.flatnonzero(met)], found)
+        return [(r, x, d) for (r, x), d in found.items()]
+
+    def _verify(self, pairs: list[tuple[int, int, bytes, bytes]], found: dict[tuple[int, int], int]) -> None:
+        todo = []
+        for r, x, _, wide in pairs:
+            if self.texts[x] in wide:
+                found[r, x] = 0
+            else:
+                todo.append((r, x, wide))
+        for k in range(0, len(todo), 512):
+            group = [g for g in todo[k : k + 512] if found.get(g[:2]) != 0]
+            if not group:
+                continue
+            d = infix_distances([self.texts[x] for _, x, _ in group], [w for *_, w in group])
+            for (r, x, _), v in zip(group, d.tolist(), strict=True):
+                if v <= (1 - self.similarity) * len(self.texts[x]) + 1e-9:
+                    found[r, x] = min(v, found.get((r, x), 1 << 30))
 
 
 def blocks(benchmark: DataFrame, similarity: float, id: str = "item_id", text: str = "text") -> Iterator[Block]:
@@ -256,11 +254,15 @@ def blocks(benchmark: DataFrame, similarity: float, id: str = "item_id", text: s
         yield Block(held, similarity)
 
 
-def _leaks(batch: pa.RecordBatch, column: int, block: Block) -> Iterator[tuple[int, int, int]]:
+def _leaks(batch: pa.RecordBatch, column: int, block: Block) -> list[tuple[int, int, int]]:
     data, at = text_views(batch.column(column))
+    out, held = [], []
     for i, j in passes(at):
-        for r, x, d in block.matches(data[at[i] : at[j]], at[i : j + 1] - at[i]):
-            yield i + r, x, d
+        held += [(i + r, *rest) for r, *rest in block.laid(data[at[i] : at[j]], at[i : j + 1] - at[i])]
+        if len(held) > 20_000:  # rows are not split between passes
+            out += block.matches(held)
+            held = []
+    return out + block.matches(held)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id: str = "doc_id", text: str = "text") -> DataFrame:
