@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from claimlake.llm import bpe, decontam, ngram_join, pii, suffix_dedup
+from claimlake.llm import bpe, decontam, ngram_join, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op5_pii": pii.op5_pii,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op9_bpe": bpe.op9_bpe,
