@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from claimlake.llm import bpe, decontam, ngram_join, pii, suffix_dedup, toxicity
+from claimlake.llm import bpe, decontam, langid, ngram_join, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op3_toxicity": toxicity.op3_toxicity,
     "op5_pii": pii.op5_pii,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+    "op7_language_id": langid.op7_language_id,
     "op9_bpe": bpe.op9_bpe,
     "op10_decontaminate": decontam.op10_decontaminate,
 }
