@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from claimlake.llm import bpe, decontam, langid, ngram_join, pii, suffix_dedup, toxicity
+from claimlake.llm import bpe, decontam, langid, ngram_join, pii, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_arc_to_warc": warc.op4_arc_to_warc,
     "op5_pii": pii.op5_pii,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
     "op7_language_id": langid.op7_language_id,
@@ -16,4 +17,5 @@ QUERIES = {
 
 ORACLES = {
     "op1_ngram_join": ngram_join.OP1_SQL,
+    "op4_arc_to_warc": warc.OP4_SQL,
 }
