@@ -221,13 +221,13 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), digests: bool = False) -> DataFrame:
-    """``keep`` columns of ``docs`` plus ``token_ids`` (array of int) and ``decoded``;
-    with ``digests`` instead n_tokens, ids_sha256 and decoded_sha256. One narrow pass.
+def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), decoded: bool = True, digests: bool = False) -> DataFrame:
+    """``keep`` columns of ``docs`` plus ``token_ids`` (array of int) and, unless left out,
+    ``decoded``; with ``digests`` instead n_tokens, ids_sha256 and decoded_sha256. One narrow pass.
     Other columns of ``docs`` are left out, so their names cannot clash."""
     kept = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]]
-    made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "token_ids array<int>, decoded string"
+    made = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "token_ids array<int>" + ", decoded string" * decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
@@ -243,11 +243,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                     ]
                     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
                 else:
-                    columns = [
-                        pa.array([np.array(a.split(), np.int32) for a, _ in pairs], pa.list_(pa.int32())),
-                        pa.array([b for _, b in pairs], pa.string()),
-                    ]
+                    columns = [pa.array([np.array(a.split(), np.int32) for a, _ in pairs], pa.list_(pa.int32())), pa.array([b for _, b in pairs], pa.string())]
                     names = ["token_ids", "decoded"]
+                    if not decoded:
+                        columns, names = columns[:1], names[:1]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *names])
 
     return kept.mapInArrow(run, ", ".join([*fields, made]))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from claimlake.llm import bpe, chat, decontam, langid, ngram_join, pii, suffix_dedup, topk_tree, toxicity, warc
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_chat_format": chat.op8_chat_format,
     "op9_bpe": bpe.op9_bpe,
     "op10_decontaminate": decontam.op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
