@@ -9,10 +9,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that one numpy pass handles; the passes hold about 60 bytes per byte.
-PASS_BYTES = 1 << 20
+PASS_BYTES = 1 << 19
 
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C15 | 1
@@ -177,9 +177,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 _COEFFICIENTS = mix(np.arange(1, 65, dtype=np.uint64)) | _U(1)
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
-    """For each row, the sorted distinct hashes of its k-word shingles; fewer words
-    make one shingle, none an empty set."""
+def shingle_positions(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each row, the hashes of its k-word shingles in order, and its word hashes.
+    Fewer words make one shingle, none an empty list."""
     for i, j in passes(offsets):
         words, at = word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
         n = len(words)
@@ -192,11 +192,17 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarr
         for r in range(j - i):
             a, b = int(at[r]), int(at[r + 1])
             if b - a >= k:
-                yield np.unique(whole[a : b - k + 1])
+                yield whole[a : b - k + 1], words[a:b]
             elif b > a:
-                yield mix((words[a:b] * _COEFFICIENTS[: b - a]).sum(dtype=np.uint64, keepdims=True) + _U(b - a))
+                yield mix((words[a:b] * _COEFFICIENTS[: b - a]).sum(dtype=np.uint64, keepdims=True) + _U(b - a)), words[a:b]
             else:
-                yield np.zeros(0, np.uint64)
+                yield np.zeros(0, np.uint64), words[a:b]
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """For each row, the sorted distinct hashes of its k-word shingles."""
+    for s, _ in shingle_positions(data, offsets, k):
+        yield np.unique(s)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -207,27 +213,32 @@ def signed(x: np.ndarray) -> np.ndarray:
 FILTER_BITS = 25
 
 
-def _slot(column: str):
+def slot(column: str) -> Column:
+    """The bit of an id in the filter."""
     return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
 
 
 def id_filter(ids: DataFrame, column: str) -> bytes:
     """A bit table of fixed size (4 MB) with a bit set for the hash of every id. It only
     spares shuffling rows that have no partner; an exact join follows it."""
-    slots = ids.select(_slot(column).alias("s")).select((F.col("s") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(s, 64) AS int))").alias("bit"))
+    slots = ids.select(slot(column).alias("s")).select((F.col("s") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(s, 64) AS int))").alias("bit"))
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     for r in slots.groupBy("w").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         bits[r["w"]] = r["bits"]
     return bits.tobytes()
 
 
+def in_filter(held: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    return (held[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 == 1
+
+
 def maybe_in(rows: DataFrame, column: str, packed: bytes, inside: bool = True) -> DataFrame:
     """Rows whose id may be in the filter; with ``inside`` false those that are not in it."""
 
     def run(batches):
         held = np.frombuffer(packed, np.uint8)
         for batch in batches:
-            s = batch.column(batch.num_columns - 1).to_numpy()
-            yield batch.filter(pa.array(((held[s >> 3] >> (s & 7).astype(np.uint8)) & 1 == 1) == inside)).select(list(range(batch.num_columns - 1)))
+            n = batch.num_columns - 1
+            yield batch.filter(pa.array(in_filter(held, batch.column(n).to_numpy()) == inside)).select(list(range(n)))
 
-    return rows.withColumn("__slot", _slot(column)).mapInArrow(run, rows.schema)
+    return rows.withColumn("__slot", slot(column)).mapInArrow(run, rows.schema)

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import PASS_BYTES, byte_hash, id_filter, maybe_in, mix, passes, signed, stage, table, text_views
+from claimlake.llm.common import PASS_BYTES, byte_hash, id_filter, in_filter, maybe_in, mix, passes, signed, slot, stage, table, text_views
 
 GRAM = 24
 #: Positions of a run at most; longer ones (periodic texts) are cut.
@@ -40,7 +40,7 @@ RUN = 512
 CLASSES_PER_KEY = 2048
 STEP = 16
 #: Bytes of class texts that go into one suffix array, if a key has no more.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 _U = np.uint64
 
 
@@ -362,27 +362,41 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, id:
     spans = places.select("doc", F.transform("heads", lambda x: x + F.col("start")).alias("heads"), F.transform("tails", lambda x: x + F.col("start")).alias("tails"))
     spans = stage(spark, spans.groupBy("doc").agg(F.flatten(F.collect_list("heads")).alias("heads"), F.flatten(F.collect_list("tails")).alias("tails")), "spans")
 
-    def run(batches):
+    bits = id_filter(spans, "doc")
+
+    def untouched(batches):  # the others are joined with their spans
+        held = np.frombuffer(bits, np.uint8)
         for whole in batches:
             for k in range(0, max(1, whole.num_rows), 64):
                 batch = whole.slice(k, 64)
-                n, found, kept = [], [], []
-                for t, heads, tails in zip(*[batch.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
-                    raw = (t or "").encode("utf-8")
-                    own = _merge(list(zip(heads or [], tails or [], strict=True)))
-                    edges = [0, *[x for s in own for x in s], len(raw)]
-                    n.append(len(raw))
-                    found.append([{"start": a, "end": b} for a, b in own])
-                    kept.append(b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(n, pa.int64()), pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())], ["doc", "n_bytes", "spans", "kept"]
-                )
+                batch = batch.filter(pa.array(~in_filter(held, batch.column(2).to_numpy())))
+                none = [[]] * batch.num_rows
+                yield _kept(batch, none, none)
 
-    bits = id_filter(spans, "doc")
-    none = F.lit(None).cast("array<long>")
-    clean = maybe_in(docs, "doc", bits, inside=False).select("doc", "text", none.alias("heads"), none.alias("tails"))
-    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("doc", "text", "heads", "tails")
-    return clean.union(hit).mapInArrow(run, "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    def cut(batches):
+        for whole in batches:
+            for k in range(0, max(1, whole.num_rows), 64):
+                batch = whole.slice(k, 64)
+                yield _kept(batch, batch.column(2).to_pylist(), batch.column(3).to_pylist())
+
+    kinds = "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    clean = docs.select("doc", "text", slot("doc").alias("slot")).mapInArrow(untouched, kinds)
+    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("doc", "text", "heads", "tails").mapInArrow(cut, kinds)
+    return clean.union(hit)
+
+
+def _kept(batch: pa.RecordBatch, heads: list, tails: list) -> pa.RecordBatch:
+    """(doc, n_bytes, spans, kept) of rows (doc, text, ...) and their raw spans."""
+    n, found, kept = [], [], []
+    for t, h, e in zip(batch.column(1).to_pylist(), heads, tails, strict=True):
+        raw = (t or "").encode("utf-8")
+        own = _merge(list(zip(h or [], e or [], strict=True)))
+        edges = [0, *[x for s in own for x in s], len(raw)]
+        n.append(len(raw))
+        found.append([{"start": a, "end": b} for a, b in own])
+        kept.append(b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
+    spans = pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), spans, pa.array(kept, pa.binary())], ["doc", "n_bytes", "spans", "kept"])
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
