@@ -22,13 +22,11 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = links.where("a != b")
     labels = None
-    while True:
+    while labels is None or not edges.isEmpty():
         points = stage(spark, both(edges).groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("to")), "points")
         if labels is None:
             labels = points.select(F.col("a").alias("vertex"), F.col("to").alias("component"))
         else:
-            if points.isEmpty():
-                return labels
             moved = points.select(F.col("a").alias("component"), "to")
             labels = stage(spark, labels.join(moved, "component", "left").select("vertex", F.coalesce("to", "component").alias("component")), "labels")
         head = points.select("a", F.col("to").alias("x"))
@@ -38,3 +36,4 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             edges.join(head, "a").join(tail, "b").where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(),
             "edges",
         )
+    return labels

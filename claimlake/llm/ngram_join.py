@@ -1,28 +1,28 @@
 """Jaccard self-join of documents on word n-grams, with prefix, length, positional
 and suffix filters.
 
-1. Frequencies: every shingle of every document is counted in a fixed table of
-   2**SKETCH_BITS buckets. Shingles are ordered rare first, by the class of their
-   bucket's count and then by their hash. Any total order keeps the join exact; the
-   counts only make prefixes selective, so the table needs no more room at scale.
+1. Frequencies: the words and the shingles of every document are counted in two tables
+   of 2**SKETCH_BITS buckets. A shingle's frequency is estimated by its words' shares,
+   or by what its bucket holds beyond the usual load if that is more (passages that
+   many documents share). Shingles are ordered rare first by that estimate and then by
+   their hash. Any total order keeps the join exact; the counts only make prefixes
+   selective, so the tables need no more room at scale.
 2. Documents of equal shingle sets are one class; its smallest document stands for it.
 3. Prefix filter: sets x and y with 100 * |x & y| >= p * |x | y| share a shingle among
    the first |x| - ceil(p |x| / 100) + 1 of x and likewise of y. Only prefixes are
-   shuffled. Within a shingle's group the rows come sorted by set size and are
-   streamed past the group's first document (its hub), so a group of any size takes
-   constant memory and gives as many rows as it has members.
-4. A member is kept as a candidate of a hub if the length filter (100 |x| >= p |y|) and
-   the positional filter (1 + what is left after the shared shingle in both sets
-   reaches the overlap needed) allow it. Each document first meets the hub with which
-   it shares most prefix shingles; the suffix filter (overlap bounded by the two
-   sets' counts in 32 hash ranges) comes before any text moves.
+   shuffled; groups of one are dropped as the sorted rows stream by.
+4. The task that holds a shingle's group applies the other filters to its pairs: length
+   (100 |x| >= p |y|), positional (1 + what is left after the shared shingle in both
+   sets reaches the overlap needed) and suffix (overlap bounded by the two sets' counts
+   in 128 hash ranges), so that only likely pairs leave it. At first each document
+   meets only its likeliest partner and the first of its group.
 5. Links found so far give components. What is left are pairs of a group that lie in
-   different components: they pass the same filters and are verified once per pair.
-   Pairs inside a component need no check, so no link between components is lost, and
-   thousands of near copies cost one comparison each instead of all pairs.
+   different components: all of those that pass the filters are verified, once per
+   pair. Pairs inside a component need no check, so no link between components is
+   lost, and thousands of near copies are not compared all with all.
 
-Verification joins the candidates' texts: hubs meet their members in salted groups
-and the sets are intersected exactly (64-bit shingle hashes).
+Verification joins the candidates' texts: a document meets its partners in groups of
+bounded size, and the sets are intersected exactly (64-bit shingle hashes).
 
 Null and empty texts have no shingles and no links; equal texts are linked. Other
 columns of the input are ignored, whatever their names.
@@ -36,40 +36,50 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import id_filter, maybe_in, passes, shingles, signed, stage, table, text_views
+from claimlake.llm.common import id_filter, maybe_in, passes, shingle_positions, shingles, signed, stage, table, text_views
 from claimlake.llm.components import components
 
 SKETCH_BITS = 20
 _SKETCH_PARTS = 64
 #: Members that one task compares with a hub before the hub is copied to another.
 MEMBERS_PER_SALT = 512
-_RANGES = 32
+_RANGES = 128
 _U = np.uint64
 _KEY_BITS = 58
 
 
-def _rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[int, np.ndarray]]:
-    for batch in batches:
-        data, at = text_views(batch.column(1))
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        yield from zip(ids, shingles(data, at, k), strict=True)
+def _positions(batch: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    data, at = text_views(batch.column(1))
+    return shingle_positions(data, at, k)
 
 
-def frequency_classes(docs: DataFrame, k: int) -> bytes:
-    """One class (0 rare to 63 frequent) for each bucket of shingle hashes, from the
-    counts over all documents: a table of 2**SKETCH_BITS bytes, whatever the input."""
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> _U(64 - SKETCH_BITS)).astype(np.int64)
+
+
+def frequencies(docs: DataFrame, k: int) -> tuple[bytes, bytes]:
+    """Two tables of 2**SKETCH_BITS bytes, from the counts over all documents: the
+    logarithm of a word bucket's share of all words, and that of the shingles that a
+    shingle bucket holds beyond the usual load. Both are sums of tables of fixed
+    size, whatever the input."""
     size = 1 << SKETCH_BITS
-    part = size // _SKETCH_PARTS
+    part = 2 * size // _SKETCH_PARTS
 
     def count(batches):
-        total = np.zeros(size, np.int64)
-        for _, s in _rows(batches, k):
-            np.add.at(total, s >> _U(64 - SKETCH_BITS), 1) if len(s) < 4096 else np.add(total, np.bincount((s >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=size), out=total)
-        yield _counted(total)
-
-    def _counted(total):
+        total = np.zeros(2 * size, np.int64)
+        held: list[np.ndarray] = []
+        room = 0
+        for batch in batches:
+            for s, w in _positions(batch, k):
+                held += [_bucket(w), _bucket(np.unique(s)) + size]
+                room += len(w)
+                if room > size:
+                    total += np.bincount(np.concatenate(held), minlength=2 * size)
+                    held, room = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=2 * size)
         wide = total.astype(np.uint32)
-        return pa.RecordBatch.from_arrays(
+        yield pa.RecordBatch.from_arrays(
             [pa.array(range(_SKETCH_PARTS), pa.int32()), pa.array([wide[i * part : (i + 1) * part].tobytes() for i in range(_SKETCH_PARTS)], pa.binary())], ["part", "counts"]
         )
 
@@ -81,17 +91,34 @@ def frequency_classes(docs: DataFrame, k: int) -> bytes:
         yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "counts"])
 
     counted = docs.mapInArrow(count, "part int, counts binary").repartition(_SKETCH_PARTS // 4, "part").mapInArrow(add, "part int, counts binary")
-    total = np.zeros(size, np.int64)
+    total = np.zeros(2 * size, np.int64)
     for r in counted.toLocalIterator():  # 64 rows, 8 bytes a bucket in all
         total[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["counts"], np.int64)
-    mean = max(1.0, total.mean())
-    return np.clip(np.round(8 * np.log2(1 + total / mean)), 0, 63).astype(np.uint8).tobytes()
+    words, grams = total[:size], total[size:]
+    rare = np.log2(max(1, words.sum()) / np.maximum(words, 1))
+    many = np.log2(np.maximum(1, grams - 1.5 * grams.mean()))
+    return np.clip(np.round(4 * rare), 0, 255).astype(np.uint8).tobytes(), np.clip(np.round(4 * many), 0, 255).astype(np.uint8).tobytes()
+
 
+class Order:
+    """Rare-first order of shingles: the class (0 to 63) of a shingle grows with the
+    larger of two estimates of its frequency, the product of its words' shares and
+    what its bucket was seen to hold beyond the usual load."""
 
-def _ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Shingle hashes as keys that sort rare first."""
-    c = classes[s >> _U(64 - SKETCH_BITS)].astype(np.uint64)
-    return np.sort((c << _U(_KEY_BITS)) | (s & _U((1 << _KEY_BITS) - 1)))
+    def __init__(self, words: bytes, grams: bytes, k: int):
+        self.words, self.grams, self.k = np.frombuffer(words, np.uint8), np.frombuffer(grams, np.uint8), k
+        self.most = 4 * 40.0  # quarter bits; a trillion words
+
+    def keys(self, shingles_: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """The distinct shingles as sorted keys, class first."""
+        if not len(shingles_):
+            return shingles_
+        share = np.concatenate([[0], np.cumsum(self.words[_bucket(words)], dtype=np.int64)])
+        k = min(self.k, len(words))
+        product = self.most - (share[k:] - share[:-k])  # of the expected count
+        estimate = np.maximum(product, self.grams[_bucket(shingles_)])
+        level = np.clip(np.round((estimate + 480) / 10), 0, 63).astype(np.uint64)
+        return np.unique((level << _U(_KEY_BITS)) | (shingles_ & _U((1 << _KEY_BITS) - 1)))
 
 
 def _needed(nx, ny, percent: int):
@@ -99,20 +126,20 @@ def _needed(nx, ny, percent: int):
     return -((-percent * (nx + ny)) // (100 + percent))
 
 
-def shingle_sets(docs: DataFrame, classes: bytes, k: int, percent: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, tables: tuple[bytes, bytes], k: int, percent: int) -> DataFrame:
     """(doc, n, h1, h2, prefix, ranges): set size, 128-bit digest of the set, prefix keys
-    and counts of the keys in 32 hash ranges. One row per document."""
+    and counts of the keys in 128 hash ranges. One row per document."""
 
     def run(batches):
-        table_ = np.frombuffer(classes, np.uint8)
+        order = Order(*tables, k)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                yield _sets(batch.slice(at, 512), table_)
+                yield _sets(batch.slice(at, 512), order)
 
-    def _sets(batch, table_):
+    def _sets(batch, order):
         n, h1, h2, prefix, ranges = [], [], [], [], []
-        for _, s in _rows([batch], k):
-            keys = _ordered(s, table_)
+        for s, w in _positions(batch, k):
+            keys = order.keys(s, w)
             m = len(keys)
             n.append(m)
             total = np.array([keys.sum(dtype=np.uint64), (keys ^ (keys >> _U(31)) * _U(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)], np.uint64)
@@ -121,7 +148,7 @@ def shingle_sets(docs: DataFrame, classes: bytes, k: int, percent: int) -> DataF
             h2.append(int(b))
             p = m - (-(-percent * m // 100)) + 1 if m else 0
             prefix.append(keys[:p].tobytes())
-            ranges.append(np.minimum(np.bincount((keys & _U(_RANGES - 1)).astype(np.int64), minlength=_RANGES), 65535).astype(np.uint16).tobytes() if m else b"")
+            ranges.append(np.minimum(np.bincount((keys & _U(_RANGES - 1)).astype(np.int64), minlength=_RANGES), 255).astype(np.uint8).tobytes() if m else b"")
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(prefix, pa.binary()), pa.array(ranges, pa.binary())],
             ["doc", "n", "h1", "h2", "prefix", "ranges"],
@@ -154,96 +181,108 @@ def _allowed(a, b, percent: int):
     return (100 * na >= percent * nb) & (np.minimum(na - pa_, nb - pb) >= _needed(na, nb, percent))
 
 
-def _hubs(postings: DataFrame, percent: int) -> DataFrame:
-    """(key, hub, hub_at, doc, at, ok) for every member but the first of every group;
-    ok: the filters allow the pair. Streams sorted groups, whatever their size."""
+def _shared(postings: DataFrame) -> DataFrame:
+    """The postings of shingles that two classes or more have in their prefixes. Streams
+    sorted groups, whatever their size."""
 
     def run(batches):
-        last = None
+        last = None  # the row before, and whether it went out
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, at, doc = (batch.column(i).to_numpy() for i in range(3))
-            new = np.ones(len(key), bool)
-            new[1:] = key[1:] != key[:-1]
-            hub_at, hub = at.copy(), doc.copy()
-            head = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-            hub_at, hub = at[head], doc[head]
-            member = ~new
-            if last is not None and last[0] == key[0]:
-                run_ = head == 0
-                hub_at[run_], hub[run_] = last[1], last[2]
-                member[0] = True
-            last = (key[-1], hub_at[-1], hub[-1])
-            ok = _allowed(hub_at, at, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(x[member]) for x in (key, hub, hub_at, doc, at, ok)], ["key", "hub", "hub_at", "doc", "at", "ok"])
-
-    dealt = postings.repartition("key").sortWithinPartitions("key", "at", "doc")
-    return dealt.mapInArrow(run, "key long, hub long, hub_at long, doc long, at long, ok boolean")
-
-
-def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b) for the pairs of a group that lie in different components and pass the
-    length and positional filters. members: key, at, doc, comp."""
+            key = batch.column(0).to_numpy()
+            keep = np.zeros(len(key), bool)
+            keep[1:] = key[1:] == key[:-1]
+            keep[:-1] |= keep[1:].copy()
+            if last is not None and last[0].column(0)[0].as_py() == key[0]:
+                keep[0] = True
+                if not last[1]:
+                    yield last[0]
+            yield batch.filter(pa.array(keep))
+            last = (batch.slice(len(key) - 1, 1), bool(keep[-1]))
 
-    def run(batches):
-        held, held_key = None, None
-        for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(4)]
-            if not len(cols[0]):
-                continue
-            cuts = [0, *(np.flatnonzero(cols[0][1:] != cols[0][:-1]) + 1), len(cols[0])]
-            for s, e in zip(cuts[:-1], cuts[1:], strict=True):
-                group = [c[s:e] for c in cols[1:]]
-                old = 0
-                if held_key == cols[0][s]:
-                    old = len(held[0])
-                    group = [np.concatenate([x, y]) for x, y in zip(held, group, strict=True)]
-                held_key, held = cols[0][s], group
-                at, doc, comp = group
-                for i in range(max(old, 1), len(at)):
-                    low = np.searchsorted(at >> 32, -(-percent * int(at[i] >> 32) // 100))
-                    if low >= i:
-                        continue
-                    ok = (comp[low:i] != comp[i]) & _allowed(at[low:i], at[i], percent)
-                    a = doc[low:i][ok]
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(np.full(len(a), doc[i]))], ["a", "b"])
-
-    return members.repartition("key").sortWithinPartitions("key", "at", "doc").select("key", "at", "doc", "comp").mapInArrow(run, "a long, b long")
-
-
-def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sets may overlap enough, by the counts in the 32 hash ranges."""
-    a = sets.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("ranges").alias("ra"))
-    b = sets.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("ranges").alias("rb"))
+    return postings.repartition("key").sortWithinPartitions("key").mapInArrow(run, postings.schema)
+
+
+def _bound(na, nb, ra, rb):
+    """Largest overlap that the counts by hash range allow; what full ranges hold
+    beyond 255 is not known by range."""
+    return np.minimum(ra, rb).sum(axis=1, dtype=np.int64) + np.minimum(na - ra.sum(axis=1, dtype=np.int64), nb - rb.sum(axis=1, dtype=np.int64))
+
+
+def _cross_pairs(members: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(a, b) for the pairs of a group that lie in different components and pass the
+    length, positional and suffix filters; unless ``every``, only a member's likeliest
+    partner and its first. members: key, at, doc, comp, ranges. A task names a pair
+    once for all its groups (of each million)."""
+
+    def pairs(cols):
+        key, at, doc, comp, ranges = cols
+        first = np.searchsorted(key, key)
+        left, right, margin = [], [], []
+        live, lag = np.arange(len(key)), 1
+        while True:
+            live = live[live - lag >= first[live]]
+            if not len(live):
+                break
+            i = live[comp[live] != comp[live - lag]]
+            i = i[_allowed(at[i - lag], at[i], percent)]
+            for part in np.array_split(i, -(-len(i) // 8192) or 1):
+                na, nb = at[part - lag] >> 32, at[part] >> 32
+                over = _bound(na, nb, ranges[part - lag], ranges[part]) - _needed(na, nb, percent)
+                ok = over >= 0
+                left.append(part[ok] - lag)
+                right.append(part[ok])
+                margin.append(over[ok])
+            lag += 1
+        left, right, margin = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right, margin))
+        if not every and len(left):
+            picks = []
+            for o in (np.lexsort((left, -margin, right)), np.lexsort((left, right))):
+                new = np.ones(len(o), bool)
+                new[1:] = right[o][1:] != right[o][:-1]
+                picks.append(o[new])
+            pick = np.unique(np.concatenate(picks))
+            left, right = left[pick], right[pick]
+        return np.stack([doc[left], doc[right]], axis=1)
+
+    def named(found):
+        ab = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(ab[:, 0])), pa.array(np.ascontiguousarray(ab[:, 1]))], ["a", "b"])
 
     def run(batches):
+        held, found, size = None, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            ra, rb = (np.frombuffer(text_views(batch.column(i))[0].tobytes(), np.uint16).reshape(-1, _RANGES).astype(np.int64) for i in (4, 5))
-            # a range that holds 65535 keys or more bounds nothing
-            bound = np.where((ra == 65535) | (rb == 65535), np.maximum(ra, rb) + np.maximum(na, nb)[:, None], np.minimum(ra, rb)).sum(axis=1)
-            yield batch.filter(pa.array(bound >= _needed(na, nb, percent))).select([0, 1])
-
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
-
+            if size > 1_000_000:
+                yield named(found)
+                found, size = [], 0
+            cols = [batch.column(i).to_numpy() for i in range(4)]
+            cols.append(text_views(batch.column(4))[0].reshape(-1, _RANGES))
+            if held is not None:
+                cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
+            last = int(np.searchsorted(cols[0], cols[0][-1]))  # this group may go on
+            held = [c[last:] for c in cols]
+            if last:
+                found.append(pairs([c[:last] for c in cols]))
+                size += len(found[-1])
+        if held is not None:
+            yield named([*found, pairs(held)])
 
-def _candidate_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, text) of the documents in ``wanted`` (doc)."""
-    return maybe_in(docs, "doc", id_filter(wanted, "doc")).join(wanted, "doc", "left_semi")
+    return members.repartition("key").sortWithinPartitions("key", "at", "doc").select("key", "at", "doc", "comp", "ranges").mapInArrow(run, "a long, b long")
 
 
-def verify(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+def verify(spark: SparkSession, pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(a, b) for the pairs (columns a, b) whose shingle sets reach the threshold. Each
-    pair is compared once. A document's pairs are dealt over as many tasks as its
-    number of partners asks for, and its text goes to each of them once."""
-    many = pairs.groupBy("a").agg(F.count("*").alias("m")).select("a", F.ceil(F.col("m") / MEMBERS_PER_SALT).cast("int").alias("salts"))
-    hubs = many.join(texts, many["a"] == texts["doc"]).select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "text")
-    salted = pairs.join(many, "a").select("a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b")
-    members = salted.join(texts, salted["b"] == texts["doc"]).select("a", "salt", "b", "text")
+    pair is compared once. A document's partners are dealt out by MEMBERS_PER_SALT, and
+    its text goes to each of these groups once."""
+    wanted = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
+    texts = stage(spark, maybe_in(docs, "doc", id_filter(wanted, "doc")), "texts")
+    ranked = pairs.selectExpr("a", "b", "row_number() OVER (PARTITION BY a ORDER BY b) - 1 AS nth")
+    ranked = ranked.select("a", "b", F.expr(f"nth div {MEMBERS_PER_SALT}").alias("salt"), F.expr(f"nth % {MEMBERS_PER_SALT}").alias("nth"))
+    hubs = ranked.where("nth = 0").join(texts, F.col("a") == F.col("doc")).select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    members = ranked.join(texts, F.col("b") == F.col("doc")).select("a", "salt", "b", "text")
 
     def run(batches):
         hub, own = None, np.zeros(0, np.uint64)
@@ -276,28 +315,22 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     ``groups`` doc, n and component, the smallest id reachable by links of at least
     ``percent`` % Jaccard similarity."""
     docs = docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
-    order = frequency_classes(docs, k)
-    sets = stage(spark, shingle_sets(docs, order, k, percent), "sets")
+    tables = frequencies(docs, k)
+    sets = stage(spark, shingle_sets(docs, tables, k, percent), "sets")
     same = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "prefix", "ranges")).alias("first"))
     reps = stage(spark, same.select("first.doc", "n", "first.prefix", "first.ranges", "h1", "h2"), "reps")
-    hubs = stage(spark, _hubs(_postings(reps), percent), "hubs")
-    features = reps.select("doc", "n", "ranges")
-
-    ok = hubs.where("ok").groupBy("doc", "hub").agg(F.count("*").alias("shared"))
-    best = ok.groupBy("doc").agg(F.max(F.struct("shared", "hub")).alias("best")).select(F.col("best.hub").alias("a"), F.col("doc").alias("b"))
-    first = stage(spark, _suffix_filter(best, features, percent), "first")
-    texts = stage(spark, _candidate_texts(docs, hubs.select("doc").union(hubs.select("hub")).distinct()), "texts")
-    found = stage(spark, verify(first, texts, k, percent), "found")
-
-    comps = components(spark, found)
-    members = hubs.select("key", "at", "doc").union(hubs.select("key", F.col("hub_at").alias("at"), F.col("hub").alias("doc")).distinct())
-    members = members.join(comps.withColumnRenamed("vertex", "doc"), "doc", "left").select("key", "at", "doc", F.coalesce("component", "doc").alias("comp"))
-    members = stage(spark, members, "members")
+    members = stage(spark, _shared(_postings(reps)), "shared")
+    features = reps.select("doc", "ranges")
+
+    likely = _cross_pairs(members.withColumn("comp", F.col("doc")).join(features, "doc"), percent, every=False)
+    first = stage(spark, likely.distinct(), "likely")
+    found = stage(spark, verify(spark, first, docs, k, percent), "found")
+    comps = components(spark, found).withColumnRenamed("vertex", "doc")
+    members = stage(spark, members.join(comps, "doc", "left").select("key", "at", "doc", F.coalesce("component", "doc").alias("comp")), "members")
     open_ = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
-    pairs = _cross_pairs(members.join(open_, "key", "left_semi"), percent).distinct().join(first, ["a", "b"], "left_anti")
-    more = stage(spark, _suffix_filter(pairs, features, percent), "more")
-    links = stage(spark, found.union(verify(more, texts, k, percent)), "links")
-
+    rest = _cross_pairs(members.join(open_, "key", "left_semi").join(features, "doc"), percent, every=True)
+    rest = stage(spark, rest.distinct().join(first, ["a", "b"], "left_anti"), "rest")
+    links = stage(spark, found.union(verify(spark, rest, docs, k, percent)), "links")
     joined = components(spark, links).withColumnRenamed("vertex", "rep")
     rep = reps.select(F.col("doc").alias("rep"), "h1", "h2", "n")
     all_sets = sets.select("doc", "n", "h1", "h2").join(rep, ["h1", "h2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
