@@ -218,10 +218,11 @@ def slot(column: str) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
 
 
-def id_filter(ids: DataFrame, column: str) -> bytes:
+def id_filter(ids: DataFrame, column: str | Column) -> bytes:
     """A bit table of fixed size (4 MB) with a bit set for the hash of every id. It only
-    spares shuffling rows that have no partner; an exact join follows it."""
-    slots = ids.select(slot(column).alias("s")).select((F.col("s") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(s, 64) AS int))").alias("bit"))
+    spares shuffling rows that have no partner; an exact join follows it. column: the id,
+    or an expression of its bit."""
+    slots = ids.select((slot(column) if isinstance(column, str) else column).alias("s")).select((F.col("s") / 64).cast("int").alias("w"), F.expr("shiftleft(1L, cast(pmod(s, 64) AS int))").alias("bit"))
     bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     for r in slots.groupBy("w").agg(F.bit_or("bit").alias("bits")).toLocalIterator():
         bits[r["w"]] = r["bits"]

@@ -30,10 +30,11 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import id_filter, maybe_in, shared_path, stage, table
+from claimlake.llm.common import FILTER_BITS, id_filter, in_filter, shared_path, stage, table
 
 RECORDS_PER_FILE = 4000
 #: Pages that go into one ARC file of the query.
@@ -223,11 +224,19 @@ def _page_id(block: bytes) -> int | None:
     return int(value) if value else None
 
 
-def converted(archives: DataFrame, with_text: bool = True) -> DataFrame:
+def _slot(record_id: str) -> int:
+    """The bit of a record id in a filter: the id is a hash already."""
+    return int(record_id[10:17], 16) % (1 << FILTER_BITS)
+
+
+def converted(archives: DataFrame, bits: bytes | None = None, inside: bool = True) -> DataFrame:
     """WARC records of the ARC files in column ``archive``: page_id, record_id, uri, date,
-    digest and size of the payload, and with ``with_text`` the record's text."""
+    digest and size of the payload; and with a filter of record ids (``bits``) the text
+    of the records that may be in it, or if not ``inside`` of those that are not."""
+    with_text = bits is not None
 
     def run(batches):
+        held = np.frombuffer(bits or b"", np.uint8)
         for batch in batches:
             for data in batch.column(0):
                 rows = []
@@ -235,6 +244,8 @@ def converted(archives: DataFrame, with_text: bool = True) -> DataFrame:
                     w = to_warc(r)
                     if w.headers["WARC-Type"] != "warcinfo":
                         h = w.headers
+                        if with_text and bool(in_filter(held, np.int64(_slot(h["WARC-Record-ID"])))) != inside:
+                            continue
                         size = len(_http_parts(w.block)[1]) if h["WARC-Type"] == "response" else len(w.block)
                         rows.append((_page_id(w.block), h["WARC-Record-ID"], h["WARC-Target-URI"], h["WARC-Date"], h["WARC-Payload-Digest"], size, w.text() if with_text else None))
                 cols = list(zip(*rows, strict=True)) or [[]] * 7
@@ -263,14 +274,14 @@ def _as_revisits(rows: DataFrame) -> DataFrame:
 def write_warcs(spark: SparkSession, archives: DataFrame, path: str, least: int = 0) -> None:
     """Convert ARC files (column ``archive``) and write WARC archives to ``path``. Payloads
     of at least ``least`` bytes are stored once."""
-    known = stage(spark, converted(archives, with_text=False), "digests")
+    known = stage(spark, converted(archives), "digests")
     first = known.where(F.col("size") >= least).groupBy("digest", "size").agg(F.min(F.struct("page_id", "record_id", "uri", "date")).alias("f"), F.count("*").alias("n")).where("n > 1")
     again = known.join(first, ["digest", "size"]).where("NOT (page_id <=> f.page_id)")
     again = stage(spark, again.select("record_id", F.col("f.record_id").alias("first_id"), F.col("f.uri").alias("first_uri"), F.col("f.date").alias("first_date")).distinct(), "revisits")
-    bits = id_filter(again, "record_id")
-    records = converted(archives)
-    plain = maybe_in(records, "record_id", bits, inside=False).select("record")
-    others = maybe_in(records, "record_id", bits).join(again, "record_id", "left")
+    # the bit that _slot reads
+    bits = id_filter(again, F.conv(F.substring("record_id", 11, 7), 16, 10).cast("long") % (1 << FILTER_BITS))
+    plain = converted(archives, bits, inside=False).select("record")
+    others = converted(archives, bits).join(again, "record_id", "left")
     plain.union(_as_revisits(others)).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
