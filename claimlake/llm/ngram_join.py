@@ -10,12 +10,13 @@ and suffix filters.
 2. Documents of equal shingle sets are one class; its smallest document stands for it.
 3. Prefix filter: sets x and y with 100 * |x & y| >= p * |x | y| share a shingle among
    the first |x| - ceil(p |x| / 100) + 1 of x and likewise of y. Only prefixes are
-   shuffled; groups of one are dropped as the sorted rows stream by.
-4. The task that holds a shingle's group applies the other filters to its pairs: length
-   (100 |x| >= p |y|), positional (1 + what is left after the shared shingle in both
-   sets reaches the overlap needed) and suffix (overlap bounded by the two sets' counts
-   in 128 hash ranges), so that only likely pairs leave it. At first each document
-   meets only its likeliest partner and the first of its group.
+   shuffled, and of those only the rows go on that have a partner by the length filter
+   (100 |x| >= p |y|) and the positional filter (1 + what is left after the shared
+   shingle in both sets reaches the overlap needed).
+4. The task that holds a shingle's group applies the suffix filter (overlap bounded by
+   the two sets' counts in 128 hash ranges) to its pairs, so that only likely pairs
+   leave it. At first each document meets only its likeliest partner and the first of
+   its group.
 5. Links found so far give components. What is left are pairs of a group that lie in
    different components: all of those that pass the filters are verified, once per
    pair. Pairs inside a component need no check, so no link between components is
@@ -181,27 +182,53 @@ def _allowed(a, b, percent: int):
     return (100 * na >= percent * nb) & (np.minimum(na - pa_, nb - pb) >= _needed(na, nb, percent))
 
 
-def _shared(postings: DataFrame) -> DataFrame:
-    """The postings of shingles that two classes or more have in their prefixes. Streams
-    sorted groups, whatever their size."""
+def _meetings(key: np.ndarray, at: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places (i, j), i < j, of sorted postings of one shingle that the length
+    and positional filters allow, a distance at a time. A posting is followed back only
+    as far as the sizes allow."""
+    first = np.searchsorted(key, key)
+    live, lag = np.arange(len(key)), 1
+    while True:
+        live = live[live - lag >= first[live]]
+        live = live[100 * (at[live - lag] >> 32) >= percent * (at[live] >> 32)]
+        if not len(live):
+            return
+        j = live[_allowed(at[live - lag], at[live], percent)]
+        if len(j):
+            yield j - lag, j
+        lag += 1
+
+
+def _groups(batches: Iterator[pa.RecordBatch], columns) -> Iterator[list[np.ndarray]]:
+    """Sorted batches as column lists that end where a group (first column) ends."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = columns(batch)
+        if held is not None:
+            cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
+        last = int(np.searchsorted(cols[0], cols[0][-1]))  # this group may go on
+        held = [c[last:] for c in cols]
+        if last:
+            yield [c[:last] for c in cols]
+    if held is not None:
+        yield held
+
+
+def _shared(postings: DataFrame, percent: int) -> DataFrame:
+    """The postings that have a partner: another of the same shingle that the length and
+    positional filters allow beside it."""
 
     def run(batches):
-        last = None  # the row before, and whether it went out
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column(0).to_numpy()
+        for key, at, doc in _groups(batches, lambda b: [b.column(i).to_numpy() for i in range(3)]):
             keep = np.zeros(len(key), bool)
-            keep[1:] = key[1:] == key[:-1]
-            keep[:-1] |= keep[1:].copy()
-            if last is not None and last[0].column(0)[0].as_py() == key[0]:
-                keep[0] = True
-                if not last[1]:
-                    yield last[0]
-            yield batch.filter(pa.array(keep))
-            last = (batch.slice(len(key) - 1, 1), bool(keep[-1]))
+            for i, j in _meetings(key, at, percent):
+                keep[i] = True
+                keep[j] = True
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, at, doc)], ["key", "at", "doc"])
 
-    return postings.repartition("key").sortWithinPartitions("key").mapInArrow(run, postings.schema)
+    return postings.repartition("key").sortWithinPartitions("key", "at", "doc").mapInArrow(run, postings.schema)
 
 
 def _bound(na, nb, ra, rb):
@@ -218,23 +245,18 @@ def _cross_pairs(members: DataFrame, percent: int, every: bool) -> DataFrame:
 
     def pairs(cols):
         key, at, doc, comp, ranges = cols
-        first = np.searchsorted(key, key)
         left, right, margin = [], [], []
-        live, lag = np.arange(len(key)), 1
-        while True:
-            live = live[live - lag >= first[live]]
-            if not len(live):
-                break
-            i = live[comp[live] != comp[live - lag]]
-            i = i[_allowed(at[i - lag], at[i], percent)]
-            for part in np.array_split(i, -(-len(i) // 8192) or 1):
-                na, nb = at[part - lag] >> 32, at[part] >> 32
-                over = _bound(na, nb, ranges[part - lag], ranges[part]) - _needed(na, nb, percent)
+        for i, j in _meetings(key, at, percent):
+            other = comp[i] != comp[j]
+            i, j = i[other], j[other]
+            for k in range(0, len(i), 8192):
+                p, q = i[k : k + 8192], j[k : k + 8192]
+                na, nb = at[p] >> 32, at[q] >> 32
+                over = _bound(na, nb, ranges[p], ranges[q]) - _needed(na, nb, percent)
                 ok = over >= 0
-                left.append(part[ok] - lag)
-                right.append(part[ok])
+                left.append(p[ok])
+                right.append(q[ok])
                 margin.append(over[ok])
-            lag += 1
         left, right, margin = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right, margin))
         if not every and len(left):
             picks = []
@@ -250,25 +272,19 @@ def _cross_pairs(members: DataFrame, percent: int, every: bool) -> DataFrame:
         ab = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(ab[:, 0])), pa.array(np.ascontiguousarray(ab[:, 1]))], ["a", "b"])
 
+    def columns(batch):
+        return [batch.column(i).to_numpy() for i in range(4)] + [text_views(batch.column(4))[0].reshape(-1, _RANGES)]
+
     def run(batches):
-        held, found, size = None, [], 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        found, size = [], 0
+        for cols in _groups(batches, columns):
+            found.append(pairs(cols))
+            size += len(found[-1])
             if size > 1_000_000:
                 yield named(found)
                 found, size = [], 0
-            cols = [batch.column(i).to_numpy() for i in range(4)]
-            cols.append(text_views(batch.column(4))[0].reshape(-1, _RANGES))
-            if held is not None:
-                cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
-            last = int(np.searchsorted(cols[0], cols[0][-1]))  # this group may go on
-            held = [c[last:] for c in cols]
-            if last:
-                found.append(pairs([c[:last] for c in cols]))
-                size += len(found[-1])
-        if held is not None:
-            yield named([*found, pairs(held)])
+        if found:
+            yield named(found)
 
     return members.repartition("key").sortWithinPartitions("key", "at", "doc").select("key", "at", "doc", "comp", "ranges").mapInArrow(run, "a long, b long")
 
@@ -319,7 +335,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     sets = stage(spark, shingle_sets(docs, tables, k, percent), "sets")
     same = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "prefix", "ranges")).alias("first"))
     reps = stage(spark, same.select("first.doc", "n", "first.prefix", "first.ranges", "h1", "h2"), "reps")
-    members = stage(spark, _shared(_postings(reps)), "shared")
+    members = stage(spark, _shared(_postings(reps), percent), "shared")
     features = reps.select("doc", "ranges")
 
     likely = _cross_pairs(members.withColumn("comp", F.col("doc")).join(features, "doc"), percent, every=False)
