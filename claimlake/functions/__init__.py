@@ -5,7 +5,7 @@ from claimlake.functions.text import (  # noqa: F401
     city_state_first_comma, city_state_last_comma, city_state_two_chars, code_type,
 )
 from claimlake.functions.money import (  # noqa: F401
-    to_money, to_number, to_long, to_int_truncated, round2, exact_avg, safe_ratio,
+    to_money, money_or_zero, to_claim_id, to_number, to_long, to_int_truncated, round2, exact_avg, safe_ratio,
     pct_of, clip_negative, money_ratio, money_avg,
 )
 from claimlake.functions.dates import (  # noqa: F401

@@ -9,14 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(12,2)"
+MONEY = "decimal(18,2)"
+#: Claim ids: the joined keys of a line need more than a BIGINT (see ``sources.fixture``).
+CLAIM_ID = "decimal(38,0)"
 
 
 def to_money(c: Column) -> Column:
-    """Text -> DECIMAL(12,2); anything unparseable becomes NULL (never an error)."""
+    """Text -> DECIMAL(18,2); anything unparseable or too large becomes NULL (never an error)."""
     return c.try_cast(MONEY)
 
 
+def money_or_zero(c: Column) -> Column:
+    """Text -> DECIMAL(18,2) with 0 for what is no number; a number that is too large
+    stays NULL, so that the line is flagged invalid instead of counting as free."""
+    money = to_money(c)
+    return F.when(money.isNull() & to_number(c).isNotNull(), money).otherwise(F.coalesce(money, F.lit(0).cast(MONEY)))
+
+
+def to_claim_id(c: Column) -> Column:
+    return c.try_cast(CLAIM_ID)
+
+
 def to_number(c: Column) -> Column:
     """Text -> DOUBLE, NULL when unparseable."""
     return c.try_cast("double")

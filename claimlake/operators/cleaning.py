@@ -84,9 +84,9 @@ def _silver_lambda(df: DataFrame, batch_id: str | None) -> DataFrame:
     typed = df.withColumns({
         "received_date": X.to_date_lenient(F.col("received_date")),
         "claimant_id": X.to_long(F.col("claimant_id")),
-        "claim_item_id": X.to_long(F.col("claim_item_id")),
-        "charge_amt": F.coalesce(X.to_money(charge), F.lit(0).cast(X.money.MONEY)),
-        "allowed_amt": F.coalesce(X.to_money(allowed), F.lit(0).cast(X.money.MONEY)),
+        "claim_item_id": X.to_claim_id(F.col("claim_item_id")),
+        "charge_amt": X.money_or_zero(charge),
+        "allowed_amt": X.money_or_zero(allowed),
         "units": X.to_int_truncated(F.col("units"), default=1),
     })
     city, state = X.city_state_first_comma(F.col("service_address_2"))
@@ -127,7 +127,7 @@ def _silver_doc(df: DataFrame, batch_id: str | None, mask: str | None) -> DataFr
 
     typed = df.withColumns({
         "received_date": X.to_date_lenient(F.col("received_date")),
-        "claim_item_id": X.to_long(F.col("claim_item_id")),
+        "claim_item_id": X.to_claim_id(F.col("claim_item_id")),
         "charge_amt": X.to_money(F.col("charge_amt")),
         "allowed_amt": X.to_money(F.col("allowed_amt")),
         "units": X.to_int_truncated(F.col("units")),
@@ -172,7 +172,7 @@ def _silver_notebook(df: DataFrame, batch_id: str | None) -> DataFrame:
     bronze = df.withColumns({
         "received_date": X.to_date_lenient(F.col("received_date")),
         "claimant_id": X.to_long(F.col("claimant_id")),
-        "claim_item_id": X.to_long(F.col("claim_item_id")),
+        "claim_item_id": X.to_claim_id(F.col("claim_item_id")),
         "charge_amt": X.clip_negative(X.to_money(charge)),
         "allowed_amt": X.clip_negative(X.to_money(allowed)),
         "units": X.to_int_truncated(F.col("units"), default=1),

@@ -20,6 +20,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimlake import functions as X
+from claimlake.functions.money import CLAIM_ID, MONEY
 from claimlake.schema import DIAG_COLUMNS, DIAG_RANKS
 
 # The calendar spine of dim_date.
@@ -122,9 +123,9 @@ def fact_claims(silver: DataFrame, valid_only: bool = True) -> DataFrame:
     """G10 (canonical superset fact): valid lines, view column names."""
     src = silver.where(F.col("is_valid")) if valid_only else silver
     d = F.col("received_date")
-    charge, allowed = F.col("charge_amt").cast("decimal(12,2)"), F.col("allowed_amt").cast("decimal(12,2)")
+    charge, allowed = F.col("charge_amt").cast(MONEY), F.col("allowed_amt").cast(MONEY)
     return src.select(
-        F.col("claim_item_id").cast("bigint").alias("claim_item_id"),
+        F.col("claim_item_id").cast(CLAIM_ID).alias("claim_item_id"),
         F.col("claimant_id"),
         F.col("provider_npi"),
         F.col("type").alias("payer_name"),
@@ -146,7 +147,7 @@ def fact_claims_orchestrated(silver: DataFrame) -> DataFrame:
     """The orchestrator's 12-column fact over all lines (no validity filter)."""
     d = F.col("received_date")
     return silver.select(
-        F.col("claim_item_id").cast("bigint").alias("claim_id"),
+        F.col("claim_item_id").cast(CLAIM_ID).alias("claim_id"),
         F.col("claimant_id").alias("member_id"),
         "provider_npi",
         F.col("type").alias("payer_name"),
@@ -181,7 +182,7 @@ def fact_remittance(silver: DataFrame) -> DataFrame:
     """One row per line with a first modifier; allowed as payment,
     modifiers as CARC / RARC."""
     return (silver.where(F.col("claim_code_modifier").isNotNull())
-                  .select(F.col("claim_item_id").cast("bigint").alias("claim_id"),
+                  .select(F.col("claim_item_id").cast(CLAIM_ID).alias("claim_id"),
                           F.col("allowed_amt").cast("decimal(18,2)").alias("payment_amount"),
                           F.col("claim_code_modifier").alias("carc_code"),
                           F.col("claim_code_modifier_2").alias("rarc_code"),
@@ -191,7 +192,7 @@ def fact_remittance(silver: DataFrame) -> DataFrame:
 
 def fact_remittance_long(silver: DataFrame) -> DataFrame:
     """The stated 1:N grain, one row per non-null modifier (unpivot)."""
-    base = silver.select(F.col("claim_item_id").cast("bigint").alias("claim_id"),
+    base = silver.select(F.col("claim_item_id").cast(CLAIM_ID).alias("claim_id"),
                          F.col("claim_code_modifier").alias("1"),
                          F.col("claim_code_modifier_2").alias("2"))
     return (base.unpivot("claim_id", ["1", "2"], "adjustment_seq", "adjustment_code")
@@ -210,7 +211,7 @@ def bridge_diagnosis(silver: DataFrame) -> DataFrame:
 def diagnosis_wide(silver: DataFrame) -> DataFrame:
     """Claim line with its five diagnoses renamed."""
     return silver.select(
-        F.col("claim_item_id").cast("bigint").alias("claim_item_id"),
+        F.col("claim_item_id").cast(CLAIM_ID).alias("claim_item_id"),
         F.col("claimant_id").cast("bigint").alias("claimant_id"),
         "claim_code", "provider_npi",
         F.col("diag_code_1").alias("primary_diagnosis"),
@@ -235,8 +236,9 @@ class Star:
     silver: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)
-                if f.name != "silver" and getattr(self, f.name) is not None}
+        """The tables by name, dimensions before the facts that refer to them."""
+        names = sorted((f.name for f in fields(self) if f.name != "silver"), key=lambda n: not n.startswith("dim_"))
+        return {n: getattr(self, n) for n in names if getattr(self, n) is not None}
 
     def register(self, prefix: str = "") -> "Star":
         """Expose every table (and Silver) as a temp view for SQL users."""

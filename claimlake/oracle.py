@@ -66,11 +66,13 @@ SELECT claimant_id, claim_item_id, type, received_date, charge_amt, allowed_amt,
        COALESCE(charge_amt >= 0 AND allowed_amt >= 0 AND units > 0, false) AS is_valid
 FROM (
   SELECT TRY_CAST(claimant_id AS BIGINT) AS claimant_id,
-         TRY_CAST(claim_item_id AS BIGINT) AS claim_item_id,
+         TRY_CAST(claim_item_id AS DECIMAL(38,0)) AS claim_item_id,
          type,
          TRY_CAST(received_date AS DATE) AS received_date,
-         COALESCE(TRY_CAST(charge_amt AS DECIMAL(12,2)), 0) AS charge_amt,
-         COALESCE(TRY_CAST(allowed_amt AS DECIMAL(12,2)), 0) AS allowed_amt,
+         CASE WHEN TRY_CAST(charge_amt AS DECIMAL(18,2)) IS NULL AND TRY_CAST(charge_amt AS DOUBLE) IS NOT NULL THEN NULL
+              ELSE COALESCE(TRY_CAST(charge_amt AS DECIMAL(18,2)), 0) END AS charge_amt,
+         CASE WHEN TRY_CAST(allowed_amt AS DECIMAL(18,2)) IS NULL AND TRY_CAST(allowed_amt AS DOUBLE) IS NOT NULL THEN NULL
+              ELSE COALESCE(TRY_CAST(allowed_amt AS DECIMAL(18,2)), 0) END AS allowed_amt,
          diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5,
          claim_code, proc_desc, claim_code_modifier, claim_code_modifier_2,
          TRY_CAST(trunc(COALESCE(TRY_CAST(units AS DOUBLE), 1.0)) AS INT) AS units,
@@ -190,9 +192,9 @@ FROM (
                                         units NULLS LAST, oi_in_network NULLS LAST, service_provider NULLS LAST,
                                         service_address_3 NULLS LAST, service_address_2 NULLS LAST) AS rn
   FROM (
-    SELECT claimant_id AS claimant_id_raw, TRY_CAST(claim_item_id AS BIGINT) AS claim_item_id, type,
+    SELECT claimant_id AS claimant_id_raw, TRY_CAST(claim_item_id AS DECIMAL(38,0)) AS claim_item_id, type,
            TRY_CAST(received_date AS DATE) AS received_date,
-           TRY_CAST(charge_amt AS DECIMAL(12,2)) AS charge_amt, TRY_CAST(allowed_amt AS DECIMAL(12,2)) AS allowed_amt,
+           TRY_CAST(charge_amt AS DECIMAL(18,2)) AS charge_amt, TRY_CAST(allowed_amt AS DECIMAL(18,2)) AS allowed_amt,
            diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5, claim_code, proc_desc,
            claim_code_modifier, claim_code_modifier_2,
            TRY_CAST(trunc(TRY_CAST(units AS DOUBLE)) AS INT) AS units,
@@ -228,12 +230,12 @@ SELECT claimant_id, claim_item_id, type, received_date, charge_amt, allowed_amt,
        CAST(year(received_date) AS INT) AS year, CAST(month(received_date) AS INT) AS month,
        true AS is_valid
 FROM (
-  SELECT TRY_CAST(claimant_id AS BIGINT) AS claimant_id, TRY_CAST(claim_item_id AS BIGINT) AS claim_item_id,
+  SELECT TRY_CAST(claimant_id AS BIGINT) AS claimant_id, TRY_CAST(claim_item_id AS DECIMAL(38,0)) AS claim_item_id,
          upper(COALESCE(type, '')) AS type, TRY_CAST(received_date AS DATE) AS received_date,
-         CASE WHEN TRY_CAST(charge_amt AS DECIMAL(12,2)) < 0 THEN CAST(0 AS DECIMAL(12,2))
-              ELSE TRY_CAST(charge_amt AS DECIMAL(12,2)) END AS charge_amt,
-         CASE WHEN TRY_CAST(allowed_amt AS DECIMAL(12,2)) < 0 THEN CAST(0 AS DECIMAL(12,2))
-              ELSE TRY_CAST(allowed_amt AS DECIMAL(12,2)) END AS allowed_amt,
+         CASE WHEN TRY_CAST(charge_amt AS DECIMAL(18,2)) < 0 THEN CAST(0 AS DECIMAL(18,2))
+              ELSE TRY_CAST(charge_amt AS DECIMAL(18,2)) END AS charge_amt,
+         CASE WHEN TRY_CAST(allowed_amt AS DECIMAL(18,2)) < 0 THEN CAST(0 AS DECIMAL(18,2))
+              ELSE TRY_CAST(allowed_amt AS DECIMAL(18,2)) END AS allowed_amt,
          diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5, claim_code, proc_desc,
          upper(COALESCE(claim_code_modifier, '')) AS claim_code_modifier,
          upper(COALESCE(claim_code_modifier_2, '')) AS claim_code_modifier_2,

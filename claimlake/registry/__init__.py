@@ -19,10 +19,13 @@ REGISTRY: dict[str, tuple[SparkFn, str | None]] = {}
 
 
 def compare_ready(df: DataFrame) -> DataFrame:
-    """DECIMAL -> DOUBLE; everything else unchanged."""
-    return df.select([F.col(f.name).cast("double").alias(f.name)
-                      if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-                      for f in df.schema.fields])
+    """DECIMAL money -> DOUBLE, DECIMAL claim ids -> text, the rest unchanged."""
+    def ready(f):
+        if not isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name)
+        return F.col(f.name).cast("string" if f.name in CLAIM_IDS else "double").alias(f.name)
+
+    return df.select([ready(f) for f in df.schema.fields])
 
 
 def register(name: str, oracle: str | None):
@@ -37,13 +40,17 @@ def star_query(name: str, view_fn, oracle: str | None) -> None:
     register(name, oracle)(lambda spark, sf_dir: view_fn(star_from_tables(spark, sf_dir)))
 
 
+CLAIM_IDS = ("claim_item_id", "claim_id")
+
+
 def select_typed(cte_name: str, spec: str) -> str:
     """``SELECT`` over a CTE with casts from a compact spec: ``name`` keeps the
-    type, ``name:D`` -> DOUBLE, ``name:B`` -> BIGINT, ``name:I`` -> INT."""
-    casts = {"D": "DOUBLE", "B": "BIGINT", "I": "INT"}
+    type, ``name:D`` -> DOUBLE, ``name:B`` -> BIGINT, ``name:I`` -> INT; claim ids -> text."""
+    casts = {"D": "DOUBLE", "B": "BIGINT", "I": "INT", "V": "VARCHAR"}
     cols = []
     for item in [x.strip() for x in spec.split(",") if x.strip()]:
         name, _, t = item.partition(":")
+        t = t or ("V" if name in CLAIM_IDS else "")
         cols.append(f"CAST({name} AS {casts[t]}) AS {name}" if t else name)
     return f"SELECT {', '.join(cols)} FROM {cte_name}"
 

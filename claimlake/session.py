@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -21,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.legacy.charVarcharAsString": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -47,15 +51,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this comes from ``spark.checkpoint.dir`` (a shared file
-    system the operator configured). Only when it is unset, as in local
-    tests, a fresh scratch folder is created and registered.
+    system the operator configured). A local master (tests) gets a fresh scratch
+    folder that goes with the process; any other master without it is refused.
     """
     global _LOCAL_CKPT
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="claimlake-ckpt-")
+            atexit.register(shutil.rmtree, _LOCAL_CKPT, ignore_errors=True)
         d = _LOCAL_CKPT
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
@@ -65,63 +72,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _LOCAL_CKPT: str | None = None
 
 
-def _to_bytes(value: str) -> int:
-    """'134217728b', '128m', '1g' -> bytes."""
-    v = value.strip().lower()
-    for suffix, mult in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10),
-                         ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
-        if v.endswith(suffix):
-            return int(float(v[: -len(suffix)]) * mult)
-    return int(v)
-
-
-def _leaf_bytes(df) -> int:
-    """Bytes read by the leaf relations of ``df`` (file sizes for scans)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a scan that arrives in fewer splits than the cluster has cores.
-
-    A small input written as one Parquet row group is read by one task, and
-    everything before the first shuffle would run single-threaded. When the
-    input is both few files and fewer bytes than one split per core, it is
-    round-robin repartitioned to the default parallelism. A large input
-    (many files or many splits) is returned unchanged, with no extra shuffle.
-    The decision uses the planner's size estimate and the file list only.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    split = _to_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    few_bytes = _leaf_bytes(df) < target * split
-    if few_bytes and len(df.inputFiles()) < target:
-        return df.repartition(target)
-    return df
-
-
-# Target bytes per shuffle partition before AQE coalescing.
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def size_shuffle_partitions(df, target_bytes: int = TARGET_PARTITION_BYTES,
-                            max_partitions: int = 200_000) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the size of the data ``df``
-    reads, so a 100 TB input gets ~400k partitions instead of 200; AQE then
-    coalesces small ones at runtime. Never lowers the current setting.
-
-    The estimate is the sum of the leaf relations (file sizes for scans):
-    without column statistics a join's estimate is the product of its
-    inputs, which would be meaningless here."""
-    spark = df.sparkSession
-    est = _leaf_bytes(df)
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max_partitions, max(current, -(-est // target_bytes)))
-    if wanted != current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for a written table."""
     return os.path.join(checkpoint_dir(spark), name)

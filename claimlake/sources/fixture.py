@@ -6,6 +6,11 @@ text columns of a claim line (with planted defects) from ``lineitem``,
 DuckDB oracle (``claimlake.oracle``) and, run by Spark, the input of every
 registered query, so both sides start from identical rows. Its work grows
 with the tables: one output row per line item plus one copy per tenth part.
+
+The claim id joins a line's keys (order, line, part, supplier), its quantity and the
+copy as digits, the part padded to 11, the supplier to 10 and the quantity to 2 places:
+up to 38 digits, one id per line at any size the keys reach (orders to 13 places). Planted amounts include
+one of 11 digits and one that exceeds DECIMAL(18,2).
 """
 
 from __future__ import annotations
@@ -14,14 +19,15 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimlake.session import ensure_parallelism
-
 LENS_TABLES = ("lineitem", "orders", "supplier", "nation")
 
 # Portable SQL (runs unchanged in DuckDB; Spark reads VARCHAR(n) as STRING).
 LENS_SQL = """
 WITH base AS (
-  SELECT ((l_orderkey*8 + l_linenumber)*1048576 + l_partkey)*65536 + l_suppkey AS k,
+  SELECT CONCAT(CAST(l_orderkey AS VARCHAR(20)), CAST(l_linenumber AS VARCHAR(20)),
+                LPAD(CAST(l_partkey AS VARCHAR(20)), CAST(GREATEST(11, LENGTH(CAST(l_partkey AS VARCHAR(20)))) AS INT), '0'),
+                LPAD(CAST(l_suppkey AS VARCHAR(20)), CAST(GREATEST(10, LENGTH(CAST(l_suppkey AS VARCHAR(20)))) AS INT), '0'),
+                LPAD(CAST(CAST(l_quantity AS INT) AS VARCHAR(20)), CAST(GREATEST(2, LENGTH(CAST(CAST(l_quantity AS INT) AS VARCHAR(20)))) AS INT), '0')) AS k,
          l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag,
          CAST(l_quantity AS INT) AS qty,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
@@ -30,8 +36,7 @@ WITH base AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 ), copies AS (
-  SELECT base.*, 0 AS copy FROM base
-  UNION ALL SELECT base.*, 1 AS copy FROM base WHERE l_partkey % 10 = 0
+  SELECT base.*, unnest(CASE WHEN l_partkey % 10 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM base
 ), coded AS (
   SELECT copies.*, CASE WHEN l_partkey % 499 = 1
     THEN CONCAT('J', LPAD(CAST(l_partkey % 10000 AS VARCHAR(5)), 4, '0')) ELSE CASE l_partkey % 16
@@ -43,11 +48,12 @@ WITH base AS (
 )
 SELECT
   CAST(o_custkey AS VARCHAR(20)) AS claimant_id,
-  CAST(CAST(k AS DECIMAL(20,0))*2 + copy AS VARCHAR(24)) AS claim_item_id,
+  CONCAT(k, CAST(copy AS VARCHAR(2))) AS claim_item_id,
   CASE l_partkey % 25 WHEN 0 THEN 'Medicare' WHEN 1 THEN 'Group' END AS type,
   CASE WHEN l_orderkey % 997 = 0 THEN 'not-a-date'
        ELSE CAST(DATE '2020-01-01' + CAST(l_orderkey % 1096 AS INT) AS VARCHAR(10)) END AS received_date,
   CASE WHEN l_partkey % 331 = 0 THEN 'n/a'
+       WHEN l_partkey % 389 = 7 THEN '12345678901.25' WHEN l_partkey % 397 = 5 THEN '98765432109876543.21'
        WHEN l_partkey % 97 = 0 THEN CAST(-price AS VARCHAR(20)) ELSE CAST(price AS VARCHAR(20)) END AS charge_amt,
   CASE WHEN l_suppkey % 11 = 0 AND l_linenumber IN (1, 7) THEN '0.00'
        WHEN l_partkey % 89 = 0 THEN '-5.00'
@@ -67,9 +73,9 @@ SELECT
   CASE l_returnflag WHEN 'A' THEN 'Y' WHEN 'N' THEN 'y' ELSE CASE WHEN l_linenumber > 3 THEN 'N' END END AS oi_in_network,
   CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE s_name END AS service_provider,
   CASE WHEN l_suppkey % 50 = 49 THEN NULL
-       WHEN l_suppkey % 4 = 0 THEN CONCAT('12 MAIN ST - 1', LPAD(CAST(l_suppkey AS VARCHAR(9)), 9, '0'))
-       WHEN l_suppkey % 4 = 1 THEN CONCAT('8885 VENICE BLVD STE 104 - 9', LPAD(CAST(l_suppkey AS VARCHAR(8)), 8, '0'))
-       WHEN l_suppkey % 4 = 2 THEN CONCAT('STE 2', LPAD(CAST(l_suppkey AS VARCHAR(9)), 9, '0'), ' BLDG 7')
+       WHEN l_suppkey % 4 = 0 THEN CONCAT('12 MAIN ST - 1', LPAD(CAST(l_suppkey AS VARCHAR(20)), CAST(GREATEST(9, LENGTH(CAST(l_suppkey AS VARCHAR(20)))) AS INT), '0'))
+       WHEN l_suppkey % 4 = 1 THEN CONCAT('8885 VENICE BLVD STE 104 - 9', LPAD(CAST(l_suppkey AS VARCHAR(20)), CAST(GREATEST(8, LENGTH(CAST(l_suppkey AS VARCHAR(20)))) AS INT), '0'))
+       WHEN l_suppkey % 4 = 2 THEN CONCAT('STE 2', LPAD(CAST(l_suppkey AS VARCHAR(20)), CAST(GREATEST(9, LENGTH(CAST(l_suppkey AS VARCHAR(20)))) AS INT), '0'), ' BLDG 7')
        ELSE 'PO BOX 95970' END AS service_address_3,
   CASE WHEN l_suppkey % 17 = 0 THEN n_name
        ELSE CONCAT(n_name, ', ', CASE s_nationkey % 8 WHEN 0 THEN 'NY' WHEN 1 THEN 'CA' WHEN 2 THEN 'TX'
@@ -81,17 +87,14 @@ FROM coded
 def spark_lens_sql() -> str:
     """The lens text with table names as DataFrame placeholders for ``spark.sql``."""
     sql = re.sub(r"VARCHAR\(\d+\)", "STRING", LENS_SQL)
+    sql = re.sub(r"\[([\d, ]+)\]", r"array(\1)", sql).replace("unnest(", "explode(")
     for t in LENS_TABLES:
         sql = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", sql)
     return sql
 
 
 def read_tables(spark: SparkSession, sf_dir: str, names=LENS_TABLES) -> dict[str, DataFrame]:
-    tables = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
-    if "lineitem" in tables:
-        # the driving table: make sure its scan feeds every core
-        tables["lineitem"] = ensure_parallelism(tables["lineitem"])
-    return tables
+    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
 def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from claimlake.operators.cleaning import normalize_columns
-from claimlake.session import ensure_parallelism
 
 
 def ingest_raw(spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType | None = None,
@@ -26,7 +25,7 @@ def ingest_raw(spark: SparkSession, path: str, fmt: str = "csv", schema: T.Struc
     else:
         df = reader.format(fmt).options(**options).load(path)
     df = df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-    return normalize_columns(ensure_parallelism(df))
+    return normalize_columns(df)
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -42,22 +41,39 @@ def read_run(spark: SparkSession, path: str, run_date: str, col: str = "run_date
     return spark.read.parquet(path).where(F.col(col).cast("string") == F.lit(str(run_date))).drop(col)
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder, by the path's own scheme."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there; any other fault (rights, network) is raised."""
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def partition_folders(spark: SparkSession, path: str, col: str) -> dict[str, str]:
+    """value -> folder of the partitions ``col=value`` right under ``path``, as escaped
+    in the folder's name; no file is opened."""
+    fs, p = _folder(spark, path)
+    names = [s.getPath() for s in fs.listStatus(p) if s.isDirectory()]
+    return {n.getName().partition("=")[2]: n.toString() for n in names if n.getName().startswith(f"{col}=")}
+
+
 def latest_run(spark: SparkSession, path: str, col: str = "run_date") -> str | None:
-    """Newest partition value of a run-partitioned layer (one scalar)."""
-    v = spark.read.parquet(path).agg(F.max(F.col(col).cast("string"))).first()[0]
-    return None if v is None else str(v)
+    """Newest partition value of a run-partitioned layer, from the folder names."""
+    return max(partition_folders(spark, path, col), default=None)
 
 
 def read_latest(spark: SparkSession, path: str, col: str = "run_date",
                 schema: T.StructType | None = None) -> DataFrame:
-    """S3: the newest run of a layer, or an empty DataFrame with ``schema``.
+    """S3: the newest run of a layer, or an empty DataFrame with ``schema`` if the folder
+    does not exist or holds no run. Any other fault is raised.
 
     The newest run is a partition value, so the read is pruned to that
     partition instead of filtering every file."""
-    try:
-        run = latest_run(spark, path, col)
-    except Exception:  # missing folder: nothing ingested yet
-        run = None
+    run = latest_run(spark, path, col) if path_exists(spark, path) else None
     if run is None:
         if schema is None:
             raise FileNotFoundError(f"no runs under {path}")

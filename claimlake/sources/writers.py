@@ -27,6 +27,10 @@ def _dynamic(df: DataFrame):
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
 
 
+def _static(df: DataFrame):
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+
+
 def clustered(df: DataFrame, cols) -> DataFrame:
     """Cluster rows by the output partition columns before a partitioned write.
 
@@ -38,7 +42,8 @@ def clustered(df: DataFrame, cols) -> DataFrame:
 
 
 def write_bronze(raw: DataFrame, path: str, run_date: str) -> str:
-    """Raw rows unchanged (text) under ``run_date=<run>``."""
+    """Raw rows unchanged (text) under ``run_date=<run>``, the whole batch id: a later
+    batch of the same day stands beside it."""
     (_dynamic(raw.select([F.col(c).cast("string") for c in raw.columns])
               .withColumn("run_date", F.lit(run_date)))
      .partitionBy("run_date").parquet(path))
@@ -62,22 +67,25 @@ def write_silver(silver: DataFrame, path: str, partition_by=("year", "month"), r
 def write_quarantine(df: DataFrame, path: str, keys=None) -> str:
     """Every member of a duplicated key to the audit folder."""
     q = quarantine(df, keys) if keys else quarantine(df)
-    q.write.mode("overwrite").parquet(path)
+    _static(q).parquet(path)
     return path
 
 
 def write_routed(df: DataFrame, rules, path: str) -> str:
     """Pass and fail rows in one pass, as ``dq_route=pass`` and
     ``dq_route=quarantine`` partitions (no cache, no second scan)."""
-    Q.score_records(df, rules).write.mode("overwrite").partitionBy("dq_route").parquet(path)
+    _static(Q.score_records(df, rules)).partitionBy("dq_route").parquet(path)
     return path
 
 
 def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite") -> str:
-    """A Gold table, optionally partitioned."""
+    """A Gold table, optionally partitioned. An overwrite replaces all of
+    it, whatever the session's partition overwrite mode: no partition of an earlier
+    run stays behind."""
     cols = list(partition_by or [])
     out = clustered(df, cols)
-    w = out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    w = (out.write.mode(mode).option("partitionOverwriteMode", "static")
+         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
     (w.partitionBy(*cols) if cols else w).parquet(path)
     return path
 
@@ -90,7 +98,7 @@ def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str,
     joined bucket-by-bucket: neither side is shuffled, and a per-key
     aggregate over a bucketed table needs no shuffle either. Data files go
     to ``path``; the table definition lives in the session catalog."""
-    w = df.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key)
+    w = _static(df).option("path", path).bucketBy(buckets, key).sortBy(key)
     cols = list(partition_by or [])
     (w.partitionBy(*cols) if cols else w).saveAsTable(table)
     return table
@@ -103,7 +111,7 @@ def write_marts(views: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
 
 # The 16-column staging layout the Gold build reads.
 STAGING_SCHEMA = T.StructType([
-    T.StructField("claim_item_id", T.LongType()), T.StructField("claimant_id", T.LongType()),
+    T.StructField("claim_item_id", T.DecimalType(38, 0)), T.StructField("claimant_id", T.LongType()),
     T.StructField("claim_code", T.StringType()), T.StructField("provider_npi", T.StringType()),
     T.StructField("service_provider", T.StringType()), T.StructField("city", T.StringType()),
     T.StructField("state", T.StringType()), T.StructField("type", T.StringType()),

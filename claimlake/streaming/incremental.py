@@ -6,7 +6,8 @@
 an incoming row or the old month of an incoming key (a claim whose date
 changed must leave its old month). The merged partitions are first staged
 under the shared checkpoint folder, which cuts lineage and means a lost
-executor recomputes from the staged files, not from the source.
+executor recomputes from the staged files, not from the source. A table without
+partitions (a dimension) is merged by a full rewrite.
 """
 
 from __future__ import annotations
@@ -14,17 +15,11 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimlake.session import checkpoint_dir
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - lists the folder
-        return True
-    except Exception:
-        return False
+from claimlake.sources import writers as W
+from claimlake.sources.readers import _folder, partition_folders, path_exists
 
 
 def select_new(existing: DataFrame, new: DataFrame, date_col: str = "received_date") -> DataFrame:
@@ -34,39 +29,74 @@ def select_new(existing: DataFrame, new: DataFrame, date_col: str = "received_da
     return new.where(F.col(date_col) > newest)
 
 
+def _merge_key(columns: list[str], key: str) -> Column:
+    """The key as text; a row without one is known by its whole content, so that sending
+    it again changes nothing and no two different rows are taken for one."""
+    content = F.sha2(F.to_json(F.struct(*sorted(columns))), 256)
+    return F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.concat(F.lit("row"), content))
+
+
+def _staged(spark: SparkSession, df: DataFrame, partition_col: str | None = None) -> str:
+    path = os.path.join(checkpoint_dir(spark), f"upsert-{uuid.uuid4().hex}")
+    return W.write_table(df, path, [partition_col] if partition_col else None)
+
+
 def upsert(spark: SparkSession, path: str, new: DataFrame, key: str = "claim_item_id",
-           partition_col: str = "service_month", mode: str = "key") -> str:
-    """Merge ``new`` into the partitioned Parquet table at ``path``.
-
-    ``mode="key"``: insert-or-replace by key (re-running a batch changes
-    nothing). ``mode="literal"``: only rows newer than the table's newest
-    ``received_date`` are inserted, as the documented incremental model does.
-    """
-    if not _exists(spark, path):
-        new.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return path
-    # read back with the incoming schema: a 'yyyy-MM' partition value must
-    # stay text (type inference would turn it into a date)
-    existing = spark.read.schema(new.schema).parquet(path)
+           partition_col: str | None = "service_month", mode: str = "key", order_col: str | None = None,
+           deleted: Column | None = None, helper_cols: tuple[str, ...] = ()) -> str:
+    """Merge ``new`` into the Parquet table at ``path``.
+
+    ``mode="key"``: insert-or-replace by key; re-running a batch changes nothing. Of
+    several rows of a key the last by ``order_col`` counts (else the largest). Rows
+    for which ``deleted`` holds remove their key. ``helper_cols`` of the batch (an
+    operation, a sequence number) do not go into the table. ``mode="literal"``: only rows newer
+    than the table's newest ``received_date`` are inserted, as the documented
+    incremental model does.
+
+    With a ``partition_col`` only the partitions that a batch touches are rewritten,
+    and one that loses its last row is deleted; without (a dimension) the table is
+    rewritten. The batch and the merged rows are staged in the shared folder."""
+    columns = [c for c in new.columns if c not in helper_cols]
+    schema = new.select(*columns).schema
+    gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
+    if not path_exists(spark, path):
+        existing = spark.createDataFrame([], schema)
+    else:
+        # read back with the incoming schema: a 'yyyy-MM' partition value must
+        # stay text (type inference would turn it into a date)
+        existing = spark.read.schema(schema).parquet(path)
     if mode == "literal":
-        new = select_new(existing, new)
-    incoming_keys = new.select(F.col(key).alias("_k")).distinct()
-    # months of incoming rows + old months of incoming keys (bounded by the month count)
-    old_months = (existing.join(incoming_keys, existing[key] == incoming_keys["_k"], "left_semi")
-                          .select(partition_col))
-    touched = [r[0] for r in new.select(partition_col).union(old_months).distinct().collect()]
+        new = select_new(existing, new) if path_exists(spark, path) else new
+    row = F.struct(*[F.col(c) for c in columns], gone.alias("_gone"))
+    order = F.struct(F.col(order_col), row) if order_col else row
+    last = new.withColumn("_k", _merge_key(columns, key)).groupBy("_k").agg(F.max_by(row, order).alias("_r")).select("_k", "_r.*")
+    incoming = spark.read.parquet(_staged(spark, last))
+    keys = incoming.select("_k")
+    known = existing.withColumn("_k", _merge_key(columns, key))
+    images = incoming.where(~F.col("_gone")).select(*columns)
+    if partition_col is None:
+        stage = _staged(spark, known.join(keys, "_k", "left_anti").select(*columns).unionByName(images))
+        W.write_table(spark.read.schema(schema).parquet(stage), path)
+        return path
+    old = known.join(keys, "_k", "left_semi").select(partition_col)
+    # bounded by the number of partition values (months)
+    touched = [r[0] for r in images.select(partition_col).union(old).distinct().collect()]
     if not touched:
         return path
-    months = [m for m in touched if m is not None]
-    in_touched = F.col(partition_col).isin(months) if months else F.lit(False)
+    values = [m for m in touched if m is not None]
+    in_touched = F.col(partition_col).isin(values) if values else F.lit(False)
     if None in touched:
         in_touched = in_touched | F.col(partition_col).isNull()
-    kept = existing.where(in_touched).join(incoming_keys, F.col(key) == F.col("_k"), "left_anti")
-    merged = kept.unionByName(new.select(*existing.columns))
-    stage = os.path.join(checkpoint_dir(spark), f"upsert-{uuid.uuid4().hex}")
-    merged.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.schema(new.schema).parquet(stage).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    kept = known.where(in_touched).join(keys, "_k", "left_anti").select(*columns)
+    stage = _staged(spark, kept.unionByName(images), partition_col)
+    filled = set(partition_folders(spark, stage, partition_col))
+    (W.clustered(spark.read.schema(schema).parquet(stage), [partition_col]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    names = {"__HIVE_DEFAULT_PARTITION__" if m is None else m for m in touched}
+    for value, folder in partition_folders(spark, path, partition_col).items():
+        if value in names - filled:  # the batch took its last row
+            fs, p = _folder(spark, folder)
+            fs.delete(p, True)
     return path
 
 

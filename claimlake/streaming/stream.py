@@ -17,7 +17,7 @@ the raw claim columns with ``from_json``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from claimlake.operators.cleaning import clean_claims
@@ -66,7 +66,12 @@ def dedup_stream(df: DataFrame, keys, ts_col: str, watermark: str) -> DataFrame:
     (watermarks need TIMESTAMP)."""
     if dict(df.dtypes)[ts_col] == "timestamp_ntz":
         df = df.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
-    return df.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark(list(keys))
+    df = df.withWatermark(ts_col, watermark)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    # rows without a key are no deliveries of one another: all of them stay
+    return df.where(known).dropDuplicatesWithinWatermark(list(keys)).unionByName(df.where(~known))
 
 
 def silver_stream(bronze: DataFrame, profile: str = "lambda", watermark: str = DEDUP_WATERMARK,
@@ -82,12 +87,12 @@ def silver_stream(bronze: DataFrame, profile: str = "lambda", watermark: str = D
 
 def bronze_to_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, checkpoint: str,
                      available_now: bool = False) -> StreamingQuery:
-    """Micro-batch Silver from streaming Bronze into Parquet."""
+    """Micro-batch Silver from streaming Bronze, by year and month as batch Silver."""
     bronze_schema = spark.read.parquet(bronze_dir).schema
     bronze = spark.readStream.schema(bronze_schema).parquet(bronze_dir)
     out = silver_stream(bronze)
     w = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .outputMode("append"))
+         .partitionBy("year", "month").outputMode("append"))
     return _trigger(w, available_now, SILVER_INTERVAL).start(silver_dir)
 
 
@@ -109,6 +114,25 @@ def silver_to_fact(spark: SparkSession, silver_dir: str, fact_dir: str, checkpoi
     return _trigger(w, available_now, SILVER_INTERVAL).start()
 
 
+def change_feed(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
+                key: str = "claim_item_id", available_now: bool = False) -> StreamingQuery:
+    """A feed of changed claims (JSON with ``op`` I/U/D and ``seq``) streamed into an
+    unpartitioned table: each micro-batch merges the last change of every key, and
+    deletes drop it. Replaying a batch changes nothing. A later batch must not
+    carry older changes of a key than an earlier one."""
+    from claimlake.streaming.incremental import upsert
+
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("op", T.StringType()), T.StructField("seq", T.LongType())])
+    stream = spark.readStream.schema(schema).json(source_dir)
+
+    def merge(batch: DataFrame, _epoch: int) -> None:
+        upsert(batch.sparkSession, table_dir, batch, key, partition_col=None, order_col="seq",
+               deleted=F.col("op") == "D", helper_cols=("op", "seq"))
+
+    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return _trigger(w, available_now, SILVER_INTERVAL).start()
+
+
 def run_available_now(spark: SparkSession, source_dir: str, work_dir: str) -> str:
     """Drive both hops to completion over what is available (tests, backfills).
     Returns the Silver folder."""

@@ -137,15 +137,6 @@ def test_star_builds_from_every_profile(spark):
         assert star.fact_claims.where(F.col("claim_item_id").isNull()).count() == 0
 
 
-def test_shuffle_sizing_never_lowers(spark):
-    from claimlake.session import size_shuffle_partitions
-    before = 8
-    spark.conf.set("spark.sql.shuffle.partitions", str(before))
-    assert size_shuffle_partitions(spark.range(10)) == before
-    assert size_shuffle_partitions(spark.range(10), target_bytes=1) > before
-    spark.conf.set("spark.sql.shuffle.partitions", str(before))
-
-
 def test_bucketed_claim_facts_join_without_shuffle(spark):
     from claimlake.plans.pipeline import read_star, run
     from claimlake.sources.fixture import raw_claims
@@ -176,13 +167,3 @@ def test_financial_summary_approx_patients(spark):
     approx = {r.month: r.unique_patients for r in V.financial_summary(star, approx_patients=True).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[m] - exact[m]) <= max(2, 0.1 * exact[m]) for m in exact)
-
-
-def test_ensure_parallelism_only_spreads_small_inputs(spark):
-    from claimlake.session import ensure_parallelism
-    d = os.path.join(checkpoint_dir(spark), f"par-{uuid.uuid4().hex}")
-    spark.range(1000).coalesce(1).write.parquet(d + "/one")
-    spark.range(1000).repartition(32).write.parquet(d + "/many")
-    one, many = spark.read.parquet(d + "/one"), spark.read.parquet(d + "/many")
-    assert "Repartition" in ensure_parallelism(one)._jdf.queryExecution().optimizedPlan().toString()
-    assert ensure_parallelism(many) is many
