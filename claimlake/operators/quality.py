@@ -254,16 +254,15 @@ def evaluate_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     for i, r in enumerate(fresh):
         aggs.append(F.max(r.column).alias(f"m_{i}"))
     one = df.agg(*aggs)
-    out = []
-    for i, r in enumerate(row_rules):
-        out.append(one.select(F.lit(r.name).alias("rule"), (F.col(f"f_{i}") == 0).alias("passed"),
-                              F.col(f"f_{i}").alias("failing_rows"),
-                              F.try_divide(F.col("_rows") - F.col(f"f_{i}"), F.col("_rows")).cast("double")
-                              .alias("metric")))
+    line = lambda r, passed, failing, metric: F.struct(
+        F.lit(r.name).alias("rule"), passed.alias("passed"), failing.cast("bigint").alias("failing_rows"),
+        metric.cast("double").alias("metric"))
+    lines = [line(r, F.col(f"f_{i}") == 0, F.col(f"f_{i}"),
+                  F.try_divide(F.col("_rows") - F.col(f"f_{i}"), F.col("_rows"))) for i, r in enumerate(row_rules)]
     for i, r in enumerate(fresh):
         age = F.datediff(F.current_date(), F.col(f"m_{i}"))
-        out.append(one.select(F.lit(r.name).alias("rule"), F.coalesce(age <= r.value, F.lit(False)).alias("passed"),
-                              F.lit(None).cast("bigint").alias("failing_rows"), age.cast("double").alias("metric")))
+        lines.append(line(r, F.coalesce(age <= r.value, F.lit(False)), F.lit(None), age))
+    out = [_long(one, lines)] if lines else []
     for r in [r for r in rules if r.kind == "unique"]:
         u = uniqueness(df, r.column)
         out.append(u.select(F.lit(r.name).alias("rule"), F.col("is_unique").alias("passed"),
@@ -272,6 +271,12 @@ def evaluate_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, out)
 
 
+def _long(one: DataFrame, lines: list[Column]) -> DataFrame:
+    """A one-row aggregate as one row per struct: exploding the structs together keeps the
+    single scan, where a union of selections would read the input once for each."""
+    return one.select(F.explode(F.array(*lines)).alias("_l")).select("_l.*")
+
+
 def score_records(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Per-row passed / total row rules, a score and a route."""
     checks = [r.row_check() for r in rules if r.row_level]
@@ -297,11 +302,9 @@ def post_build_checks(tables: dict[str, DataFrame], not_null: dict[str, list[str
     for name, df in tables.items():
         cols = not_null.get(name, [])
         one = df.agg(F.count(F.lit(1)).alias("rows"), *[_n_null(c).alias(f"null_{c}") for c in cols])
-        parts.append(one.select(F.lit(name).alias("table_name"), F.lit("row_count").alias("check_name"),
-                                F.col("rows").alias("value")))
-        for c in cols:
-            parts.append(one.select(F.lit(name).alias("table_name"), F.lit(f"null_{c}").alias("check_name"),
-                                    F.col(f"null_{c}").alias("value")))
+        line = lambda check, value: F.struct(F.lit(name).alias("table_name"), F.lit(check).alias("check_name"),  # noqa: B023, E731
+                                             F.col(value).alias("value"))
+        parts.append(_long(one, [line("row_count", "rows"), *[line(f"null_{c}", f"null_{c}") for c in cols]]))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -245,6 +245,14 @@ def sample_financial_summary(star: Star, n: int = 5) -> DataFrame:
     return sample_view(V.financial_summary(star), [F.col("month").desc_nulls_last()], n)
 
 
+def sample_monthly_costs(star: Star, n: int = 5) -> DataFrame:
+    return sample_view(V.monthly_costs(star), [F.col("month").desc_nulls_last(), *_asc("state", "in_network")], n)
+
+
+def sample_provider_kpis(star: Star, n: int = 5) -> DataFrame:
+    return sample_view(V.provider_kpis(star), [F.col("total_claims").desc(), *_asc("provider_name", "city", "state")], n)
+
+
 def sample_top_procedures(star: Star, n: int = 5) -> DataFrame:
     return sample_view(V.top_procedures(star),
                        [F.col("times_billed").desc(), F.col("claim_code").asc_nulls_last(),

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimlake import functions as X
-from claimlake.operators import star as G
+from claimlake.operators import quality as Q, star as G
 
 # Fixed value: number of equal-width bins of the discount histogram.
 HISTOGRAM_BINS = 30
@@ -84,13 +84,14 @@ def key_metrics(items: DataFrame) -> DataFrame:
     return wide.unpivot([], names, "metric", "value")
 
 
-def monthly_type_pivot(items: DataFrame, claim_types: list[str] | None = None) -> DataFrame:
-    """year_month x claim type of total allowed (chart data)."""
-    m = monthly_summary(items)
-    g = m.groupBy("year_month")
-    p = g.pivot("claim_type", claim_types) if claim_types else g.pivot("claim_type")
-    out = p.agg(F.sum("total_allowed"))
-    return out.toDF("year_month", *[f"allowed_{c.lower()}" for c in out.columns[1:]])
+def monthly_type_pivot(items: DataFrame, claim_types: list[str]) -> DataFrame:
+    """year_month x claim type of total allowed (chart data): a column for each type
+    asked for and ``allowed_other`` for all types that are not, so that none is lost.
+    The columns are the caller's, not the data's: no pass to find them, no limit."""
+    m = monthly_summary(items).where(F.col("claim_type").isNotNull())
+    shown = F.when(F.col("claim_type").isin(claim_types), F.col("claim_type"))
+    sums = [F.sum(F.when(shown == t, F.col("total_allowed"))).alias(f"allowed_{t.lower()}") for t in claim_types]
+    return m.groupBy("year_month").agg(*sums, F.sum(F.when(shown.isNull(), F.col("total_allowed"))).alias("allowed_other"))
 
 
 def top_providers_by_allowed(items: DataFrame, k: int = 10) -> DataFrame:
@@ -132,21 +133,19 @@ def claim_type_share(items: DataFrame) -> DataFrame:
 
 
 def pipeline_summary(raw: DataFrame, silver_nb: DataFrame) -> DataFrame:
-    """M6: row counts per layer and table, one job (union of one-row counts)."""
+    """M6: row counts per layer and table, in one job. Raw and Bronze are one count; of
+    the summaries only their keys are counted (the optimizer drops the sums)."""
     items = G.fact_claim_items(silver_nb)
-    parts = {
-        ("raw", "claims"): raw,
-        ("bronze", "claims"): raw,
-        ("silver", "fact_claim_items"): items,
-        ("silver", "dim_provider"): G.dim_provider_notebook(silver_nb),
-        ("silver", "bridge_diagnosis"): G.bridge_diagnosis(silver_nb),
-        ("gold", "monthly_summary"): monthly_summary(items),
-        ("gold", "provider_summary"): provider_summary(items),
-    }
-    dfs = [df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"))
-             .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "rows", "columns")
-           for (layer, table), df in parts.items()]
-    return reduce(DataFrame.unionByName, dfs)
+    monthly, providers = monthly_summary(items), provider_summary(items)
+    line = lambda layer, table, value, width: F.struct(
+        F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), value.alias("rows"), F.lit(width).alias("columns"))
+    n = F.count(F.lit(1)).alias("n")
+    raw_lines = [line(x, "claims", F.col("n"), len(raw.columns)) for x in ("raw", "bronze")]
+    parts = [Q._long(raw.agg(n), raw_lines), Q._long(items.agg(n), [line("silver", "fact_claim_items", F.col("n"), len(items.columns))])]
+    for layer, table, df in (("silver", "dim_provider", G.dim_provider_notebook(silver_nb)), ("silver", "bridge_diagnosis", G.bridge_diagnosis(silver_nb)),
+                             ("gold", "monthly_summary", monthly), ("gold", "provider_summary", providers)):
+        parts.append(Q._long(df.agg(n), [line(layer, table, F.col("n"), len(df.columns))]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def payer_mix(fact: DataFrame, remittance_long: DataFrame | None = None) -> DataFrame:

@@ -138,13 +138,14 @@ UNPIVOT (value FOR metric IN (total_allowed_amount, total_claims_processed, aver
                               in_network_rate, unique_patients, unique_claim_types))""", ["fact_items"],
      "metric, value")
 
-# The claim types this fixture produces (pivot columns).
-CLAIM_TYPES = ["MEDICARE", "GROUP", "COVID_TEST", "MENTAL_HEALTH", "PHYSICAL_THERAPY", "UNKNOWN"]
+# The types shown in columns of their own; the rest are summed as "other".
+CLAIM_TYPES = ["MEDICARE", "GROUP", "COVID_TEST", "MENTAL_HEALTH", "UNKNOWN"]
 _reg("mart_monthly_type_pivot", lambda s, d: M.monthly_type_pivot(_items(s, d), CLAIM_TYPES),
      "SELECT strftime(received_date, '%Y-%m') AS year_month, " + ", ".join(
          f"SUM(CASE WHEN claim_type = '{t}' THEN allowed_amt END) AS allowed_{t.lower()}" for t in CLAIM_TYPES)
+     + f", SUM(CASE WHEN claim_type NOT IN ({', '.join(map(repr, CLAIM_TYPES))}) THEN allowed_amt END) AS allowed_other"
      + " FROM fact_items WHERE received_date IS NOT NULL AND claim_type IS NOT NULL GROUP BY 1",
-     ["fact_items"], "year_month, " + ", ".join(f"allowed_{t.lower()}:D" for t in CLAIM_TYPES))
+     ["fact_items"], "year_month, " + ", ".join(f"allowed_{t.lower()}:D" for t in [*CLAIM_TYPES, "other"]))
 
 _reg("mart_top_providers", lambda s, d: M.top_providers_by_allowed(_items(s, d)), """
 SELECT * FROM mart_provider_summary_q ORDER BY total_allowed DESC, provider_npi LIMIT 10""",
