@@ -7,10 +7,15 @@ from pyspark.sql import Column, functions as F
 # Fixed value: the federal fiscal year starts on 1 October.
 FISCAL_YEAR_START_MONTH = 10
 
+#: Formats read beside ISO; the oracle's are the same in its own spelling.
+DATE_FORMATS = ("M/d/yyyy", "yyyy/M/d", "dd-MMM-yyyy")
+ORACLE_DATE_FORMATS = ("%m/%d/%Y", "%Y/%m/%d", "%d-%b-%Y")
+
 
 def to_date_lenient(c: Column) -> Column:
-    """Text -> DATE, NULL when it does not parse (the coerce rule)."""
-    return c.try_cast("date")
+    """Text -> DATE, NULL when it does not parse (the coerce rule). ISO text first, then
+    DATE_FORMATS in order; of two readings of 01/02/2021 the month comes first."""
+    return F.coalesce(c.try_cast("date"), *[F.try_to_date(c, f) for f in DATE_FORMATS])
 
 
 def month_start(d: Column) -> Column:

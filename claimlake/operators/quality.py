@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimlake import functions as X
-from claimlake.schema import COLUMN_DESCRIPTIONS, PHI_TAGS, TABLE_DESCRIPTIONS
+from claimlake.schema import COLUMN_DESCRIPTIONS, OPEN_COLUMNS, PHI_TAGS, TABLE_DESCRIPTIONS
 
 
 def _distinct(c: str, exact: bool) -> Column:
@@ -312,24 +312,25 @@ def post_build_checks(tables: dict[str, DataFrame], not_null: dict[str, list[str
 ROLES = ("engineer", "scientist", "analyst", "billing_manager", "executive")
 
 
-def role_view(df: DataFrame, role: str) -> DataFrame:
+def role_view(df: DataFrame, role: str, salt: str = "", unknown: str = "drop") -> DataFrame:
     """Role-scoped projection. Engineers see everything; scientists see
-    PHI hashed (SHA-256); analysts and billing managers lose PII and see PHI
-    hashed; executives get no row-level access (use the aggregate views)."""
+    PHI hashed (SHA-256, after ``salt``); analysts and billing managers lose PII and
+    see PHI hashed; executives get no row-level access (use the aggregate views).
+    Columns without a tag are withheld unless ``unknown`` is "keep"."""
     if role not in ROLES:
         raise ValueError(f"unknown role {role!r}")
     if role == "engineer":
         return df
     if role == "executive":
         raise PermissionError("executives read aggregate views only")
-    out = df
+    shown = []
     for c in df.columns:
         tag = PHI_TAGS.get(c)
         if tag == "PHI":
-            out = out.withColumn(c, X.mask_sha256(F.col(c)))
-        elif tag == "PII" and role != "scientist":
-            out = out.drop(c)
-    return out
+            shown.append(X.mask_sha256(F.col(c), salt).alias(c))
+        elif tag == "masked" or (tag == "PII" and role == "scientist") or (tag is None and (c in OPEN_COLUMNS or unknown == "keep")):
+            shown.append(F.col(c))
+    return df.select(*shown)
 
 
 def data_dictionary(tables: dict[str, DataFrame]) -> DataFrame:

@@ -13,6 +13,7 @@ first); counts and integer sums are BIGINT; months are DATE.
 
 from __future__ import annotations
 
+from claimlake.functions.dates import ORACLE_DATE_FORMATS
 from claimlake.sources.fixture import LENS_SQL
 
 
@@ -30,6 +31,8 @@ def pct(part: str, whole: str) -> str:
     return f"(CAST({part} AS DOUBLE) * 100.0 / CAST({whole} AS DOUBLE))"
 
 
+DATE_SQL = ("COALESCE(TRY_CAST(received_date AS DATE), CAST(try_strptime(received_date, ["
+            + ", ".join(f"'{f}'" for f in ORACLE_DATE_FORMATS) + "]) AS DATE))")
 MONTH = "CAST(date_trunc('month', received_date) AS DATE)"
 
 # ----------------------------------------------------------------- Silver
@@ -68,7 +71,7 @@ FROM (
   SELECT TRY_CAST(claimant_id AS BIGINT) AS claimant_id,
          TRY_CAST(claim_item_id AS DECIMAL(38,0)) AS claim_item_id,
          type,
-         TRY_CAST(received_date AS DATE) AS received_date,
+         {DATE_SQL} AS received_date,
          CASE WHEN TRY_CAST(charge_amt AS DECIMAL(18,2)) IS NULL AND TRY_CAST(charge_amt AS DOUBLE) IS NOT NULL THEN NULL
               ELSE COALESCE(TRY_CAST(charge_amt AS DECIMAL(18,2)), 0) END AS charge_amt,
          CASE WHEN TRY_CAST(allowed_amt AS DECIMAL(18,2)) IS NULL AND TRY_CAST(allowed_amt AS DOUBLE) IS NOT NULL THEN NULL
@@ -170,14 +173,14 @@ def query(final_sql: str, uses) -> str:
 
 
 # ---------------------------------------------------------- other profiles
-SILVER_DOC = r"""
+SILVER_DOC = rf"""
 SELECT claimant_id_raw AS _claimant_raw, sha256(claimant_id_raw) AS claimant_id, claim_item_id,
        COALESCE(type, CASE WHEN starts_with(COALESCE(claim_code, 'None'), '9')
                              OR starts_with(COALESCE(claim_code, 'None'), 'G') THEN 'Medicare' ELSE 'Group' END) AS type,
        received_date, charge_amt, allowed_amt, diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5,
        claim_code, proc_desc, claim_code_modifier, claim_code_modifier_2, units, oi_in_network,
        service_provider, service_address_3, service_address_2,
-       NULLIF(regexp_extract(service_address_3, '\b(\d{10})\b', 1), '') AS provider_npi,
+       NULLIF(regexp_extract(service_address_3, '\b(\d{{10}})\b', 1), '') AS provider_npi,
        CASE WHEN contains(service_address_2, ',') THEN trim(regexp_extract(service_address_2, '^(.*),[^,]*$', 1))
             ELSE trim(service_address_2) END AS city,
        CASE WHEN contains(service_address_2, ',') THEN trim(string_split(service_address_2, ',')[-1]) END AS state,
@@ -193,7 +196,7 @@ FROM (
                                         service_address_3 NULLS LAST, service_address_2 NULLS LAST) AS rn
   FROM (
     SELECT claimant_id AS claimant_id_raw, TRY_CAST(claim_item_id AS DECIMAL(38,0)) AS claim_item_id, type,
-           TRY_CAST(received_date AS DATE) AS received_date,
+           {DATE_SQL} AS received_date,
            TRY_CAST(charge_amt AS DECIMAL(18,2)) AS charge_amt, TRY_CAST(allowed_amt AS DECIMAL(18,2)) AS allowed_amt,
            diag_code_1, diag_code_2, diag_code_3, diag_code_4, diag_code_5, claim_code, proc_desc,
            claim_code_modifier, claim_code_modifier_2,
@@ -231,7 +234,7 @@ SELECT claimant_id, claim_item_id, type, received_date, charge_amt, allowed_amt,
        true AS is_valid
 FROM (
   SELECT TRY_CAST(claimant_id AS BIGINT) AS claimant_id, TRY_CAST(claim_item_id AS DECIMAL(38,0)) AS claim_item_id,
-         upper(COALESCE(type, '')) AS type, TRY_CAST(received_date AS DATE) AS received_date,
+         upper(COALESCE(type, '')) AS type, {DATE_SQL} AS received_date,
          CASE WHEN TRY_CAST(charge_amt AS DECIMAL(18,2)) < 0 THEN CAST(0 AS DECIMAL(18,2))
               ELSE TRY_CAST(charge_amt AS DECIMAL(18,2)) END AS charge_amt,
          CASE WHEN TRY_CAST(allowed_amt AS DECIMAL(18,2)) < 0 THEN CAST(0 AS DECIMAL(18,2))

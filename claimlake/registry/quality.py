@@ -176,11 +176,11 @@ _reg("dq_post_build", _post_build, "\nUNION ALL\n".join(
        "SELECT 'dim_provider', 'null_provider_npi', COUNT(*) FILTER (WHERE provider_npi IS NULL) FROM dim_provider"]),
      _TABLES, "table_name, check_name, value:B")
 
-_reg("role_view_analyst_fact",
-     lambda s, d: Q.role_view(G.fact_claims(silver_from_tables(s, d)).drop("_loaded_at"), "analyst"), """
-SELECT claim_item_id, sha256(CAST(claimant_id AS VARCHAR)) AS claimant_id, provider_npi, payer_name, claim_code,
-       service_date_key, charge_amt, allowed_amt, discount_amt, units, in_network, received_date, claim_status,
-       service_month
-FROM fact_claims""", ["fact_claims"],
-     "claim_item_id, claimant_id, provider_npi, payer_name, claim_code, service_date_key, charge_amt:D, "
-     "allowed_amt:D, discount_amt:D, units, in_network, received_date, claim_status, service_month")
+_ROLE_SPEC = ("claim_item_id, claimant_id, provider_npi, payer_name, claim_code, service_date_key, charge_amt:D, "
+              "allowed_amt:D, discount_amt:D, units, in_network, received_date, claim_status, service_month")
+for _role, _salt in (("analyst", ""), ("scientist", "s3"), ("billing_manager", "s3"), ("engineer", "")):
+    _hashed = "claimant_id" if _role == "engineer" else f"sha256('{_salt}' || CAST(claimant_id AS VARCHAR)) AS claimant_id"
+    _reg(f"role_view_{_role}_fact",
+         lambda s, d, role=_role, salt=_salt: Q.role_view(
+             G.fact_claims(silver_from_tables(s, d)).drop("_loaded_at"), role, salt),
+         f"SELECT * EXCLUDE (claimant_id), {_hashed} FROM fact_claims", ["fact_claims"], _ROLE_SPEC)

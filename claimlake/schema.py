@@ -60,6 +60,17 @@ PHI_TAGS = {
     "secondary_diagnosis_3": "PHI", "secondary_diagnosis_4": "PHI",
 }
 
+# Columns that say nothing about a person by themselves. A column that is neither here
+# nor in PHI_TAGS is unknown, and role views withhold it.
+OPEN_COLUMNS = frozenset("""
+    claim_item_id claim_id type claim_type payer_name claim_code procedure_code proc_desc procedure_desc code_type
+    claim_code_modifier claim_code_modifier_2 modifier_1 modifier_2 carc_code rarc_code adjustment_reason adjustment_seq
+    adjustment_code diag_rank units oi_in_network in_network in_network_flag service_provider provider_npi provider_name
+    specialty city state charge_amt allowed_amt discount_amt discount_pct total_charges payment_amount claim_status
+    received_date service_date_key service_month year month quarter is_valid has_negative_charge has_negative_allowed
+    has_missing_provider has_npi
+""".split())
+
 # Business descriptions (D17); columns not listed get an empty description.
 COLUMN_DESCRIPTIONS = {
     "claim_item_id": "Claim line identifier; grain of fact_claims.",

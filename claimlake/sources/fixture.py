@@ -51,6 +51,9 @@ SELECT
   CONCAT(k, CAST(copy AS VARCHAR(2))) AS claim_item_id,
   CASE l_partkey % 25 WHEN 0 THEN 'Medicare' WHEN 1 THEN 'Group' END AS type,
   CASE WHEN l_orderkey % 997 = 0 THEN 'not-a-date'
+       WHEN l_orderkey % 41 = 3 THEN CONCAT(CAST(MONTH(DATE '2020-01-01' + CAST(l_orderkey % 1096 AS INT)) AS VARCHAR(2)), '/',
+         CAST(DAY(DATE '2020-01-01' + CAST(l_orderkey % 1096 AS INT)) AS VARCHAR(2)), '/',
+         CAST(YEAR(DATE '2020-01-01' + CAST(l_orderkey % 1096 AS INT)) AS VARCHAR(4)))
        ELSE CAST(DATE '2020-01-01' + CAST(l_orderkey % 1096 AS INT) AS VARCHAR(10)) END AS received_date,
   CASE WHEN l_partkey % 331 = 0 THEN 'n/a'
        WHEN l_partkey % 389 = 7 THEN '12345678901.25' WHEN l_partkey % 397 = 5 THEN '98765432109876543.21'
