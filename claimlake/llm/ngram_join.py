@@ -127,9 +127,10 @@ def _needed(nx, ny, percent: int):
     return -((-percent * (nx + ny)) // (100 + percent))
 
 
-def shingle_sets(docs: DataFrame, tables: tuple[bytes, bytes], k: int, percent: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, tables: tuple[bytes, bytes], k: int, percent: int, keys_only: bool = False) -> DataFrame:
     """(doc, n, h1, h2, prefix, ranges): set size, 128-bit digest of the set, prefix keys
-    and counts of the keys in 128 hash ranges. One row per document."""
+    and counts of the keys in 128 hash ranges (these two are left empty if ``keys_only``).
+    One row per document."""
 
     def run(batches):
         order = Order(*tables, k)
@@ -147,6 +148,10 @@ def shingle_sets(docs: DataFrame, tables: tuple[bytes, bytes], k: int, percent:
             a, b = signed(total)
             h1.append(int(a))
             h2.append(int(b))
+            if keys_only:
+                prefix.append(b"")
+                ranges.append(b"")
+                continue
             p = m - (-(-percent * m // 100)) + 1 if m else 0
             prefix.append(keys[:p].tobytes())
             ranges.append(np.minimum(np.bincount((keys & _U(_RANGES - 1)).astype(np.int64), minlength=_RANGES), 255).astype(np.uint8).tobytes() if m else b"")
@@ -332,8 +337,9 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     ``percent`` % Jaccard similarity."""
     docs = docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
     tables = frequencies(docs, k)
-    sets = stage(spark, shingle_sets(docs, tables, k, percent), "sets")
-    same = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "prefix", "ranges")).alias("first"))
+    # read twice: the prefixes of all documents need not be kept on disk
+    sets = stage(spark, shingle_sets(docs, tables, k, percent, keys_only=True).select("doc", "n", "h1", "h2"), "sets")
+    same = shingle_sets(docs, tables, k, percent).where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "prefix", "ranges")).alias("first"))
     reps = stage(spark, same.select("first.doc", "n", "first.prefix", "first.ranges", "h1", "h2"), "reps")
     members = stage(spark, _shared(_postings(reps), percent), "shared")
     features = reps.select("doc", "ranges")
@@ -349,7 +355,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     links = stage(spark, found.union(verify(spark, rest, docs, k, percent)), "links")
     joined = components(spark, links).withColumnRenamed("vertex", "rep")
     rep = reps.select(F.col("doc").alias("rep"), "h1", "h2", "n")
-    all_sets = sets.select("doc", "n", "h1", "h2").join(rep, ["h1", "h2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
+    all_sets = sets.join(rep, ["h1", "h2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
     groups = all_sets.join(joined, "rep", "left").select("doc", "n", F.coalesce("component", "rep").alias("component"))
     return all_sets, links, groups
 
