@@ -34,6 +34,8 @@ BLOCK = 4096
 #: Queries that search a block together.
 GROUP = 512
 LEAF = 32
+#: Points that a node's children hold on average, at least.
+FILL = 4
 PIVOTS = 16
 #: Rows that the pivots are chosen from.
 SAMPLE = 2048
@@ -66,17 +68,28 @@ class CoverTree:
         self.members.append(rows)
         self.least.append(int(self.ids[rows].min()))
         if len(rows) > LEAF and radius > 0:
-            self.members[k] = rows[:0]
-            half, left, dist, c = radius / 2, rows, far, center
-            while len(left):
-                near = dist <= half
-                self.children[k].append(self._node(c, left[near], dist[near]))
-                left = left[~near]
-                if len(left):
-                    c = int(left[0])
-                    dist = self._distances(c, left)
+            parts = self._parts(center, rows, far, radius / 2)
+            if parts:
+                self.members[k] = rows[:0]
+                self.children[k] = [self._node(*p) for p in parts]
         return k
 
+    def _parts(self, center: int, rows: np.ndarray, far: np.ndarray, half: float) -> list[tuple]:
+        """Points in balls of half the radius; none where the balls are nearly empty, as in
+        many dimensions without clusters: such a node stays a leaf and is compared as
+        a matrix."""
+        out, left, dist, c = [], rows, far, center
+        while len(left):
+            near = dist <= half
+            out.append((c, left[near], dist[near]))
+            left = left[~near]
+            if len(out) > 8 and len(rows) - len(left) < FILL * len(out):
+                return []
+            if len(left):
+                c = int(left[0])
+                dist = self._distances(c, left)
+        return out
+
 
 class Best:
     """The k best (score, id) of each query, worst last."""
@@ -96,12 +109,18 @@ class Best:
 
     def add(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         k = self.score.shape[1]
-        s = np.concatenate([self.score[rows], scores], axis=1)
-        i = np.concatenate([self.id[rows], np.broadcast_to(ids, scores.shape)], axis=1)
-        o = np.lexsort((i, -s.astype(np.float64)), axis=1) if np.abs(scores).max(initial=0) < 2**52 else np.lexsort((i, ~s), axis=1)
-        o = o[:, :k]
-        self.score[rows] = np.take_along_axis(s, o, axis=1)
-        self.id[rows] = np.take_along_axis(i, o, axis=1)
+        low = self.score[rows, -1]
+        if scores.shape[1] > k:
+            low = np.maximum(low, np.partition(scores, scores.shape[1] - k, axis=1)[:, -k])
+        r, c = np.nonzero((scores >= low[:, None]) & (ids < np.iinfo(np.int64).max))
+        old = np.repeat(np.arange(len(rows)), k)
+        row = np.concatenate([old, r])
+        s = np.concatenate([self.score[rows].ravel(), scores[r, c]])
+        i = np.concatenate([self.id[rows].ravel(), ids[r, c]])
+        o = np.lexsort((i, ~s, row))  # ~ turns the order around, without overflow
+        first = np.searchsorted(row[o], np.arange(len(rows)))
+        o = o[first[:, None] + np.arange(k)]
+        self.score[rows], self.id[rows] = s[o], i[o]
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
