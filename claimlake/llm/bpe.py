@@ -31,7 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import table
+from claimlake.llm.common import table, tidy
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words a task remembers before it starts afresh.
@@ -249,7 +249,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                         columns, names = columns[:1], names[:1]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *names])
 
-    return kept.mapInArrow(run, ", ".join([*fields, made]))
+    return kept.mapInArrow(tidy(run), ", ".join([*fields, made]))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@ of Arrow columns and word hashes."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: Bytes of text that one numpy pass handles; the passes hold about 60 bytes per byte.
 PASS_BYTES = 1 << 19
 
+#: Rows of an Arrow batch in staged jobs.
+BATCH_ROWS = 1024
+
 _U = np.uint64
 _MULT = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -35,14 +40,51 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of BATCH_ROWS rows for the jobs run meanwhile: rows hold whole texts,
+    and a batch is held several times over on its way to Python and back. The
+    session's own setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and a
     lost executor costs no recomputation."""
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(job):
+    """A mapInArrow function that hands its freed memory back to the system when a task
+    ends: Python workers live on between tasks, side by side with the JVM."""
+
+    def run(batches):
+        try:
+            yield from job(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches cut to ``rows`` rows, so that what is made of them stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_views(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(data, offsets) of a string or binary Arrow array; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -238,8 +280,8 @@ def maybe_in(rows: DataFrame, column: str, packed: bytes, inside: bool = True) -
 
     def run(batches):
         held = np.frombuffer(packed, np.uint8)
-        for batch in batches:
+        for batch in parts(batches):
             n = batch.num_columns - 1
             yield batch.filter(pa.array(in_filter(held, batch.column(n).to_numpy()) == inside)).select(list(range(n)))
 
-    return rows.withColumn("__slot", slot(column)).mapInArrow(run, rows.schema)
+    return rows.withColumn("__slot", slot(column)).mapInArrow(tidy(run), rows.schema)

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import mix, passes, table, text_views, word_spans
+from claimlake.llm.common import mix, parts, passes, table, text_views, tidy, word_spans
 
 SIMILARITY = 0.9
 #: Independent walks, tables per walk and sampled places per table.
@@ -68,7 +68,7 @@ class Walk:
     def __init__(self, size: int, walk: int):
         rng = np.random.default_rng([size, walk])
         steps = 2 * size
-        self.bits = rng.integers(0, 2, (steps, 256), dtype=np.int64)
+        self.bits = rng.integers(0, 2, (steps, 256), dtype=np.uint8)
         self.places = np.sort(rng.integers(0, steps, (TABLES, SAMPLES)), axis=1)
 
     def keys(self, texts: np.ndarray) -> np.ndarray:
@@ -274,7 +274,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     for block in blocks(benchmark, similarity):
 
         def run(batches, block=block):
-            for batch in batches:
+            for batch in parts(batches, 4096):
                 found = sorted(_leaks(batch, 1, block))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -286,7 +286,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                     ["doc", "item", "distance", "item_chars"],
                 )
 
-        part = docs.mapInArrow(run, kinds)
+        part = docs.mapInArrow(tidy(run), kinds)
         out = part if out is None else out.union(part)
     return docs.sparkSession.createDataFrame([], kinds) if out is None else out
 
@@ -297,12 +297,12 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     for block in blocks(benchmark, similarity):
 
         def run(batches, block=block):
-            for batch in batches:
+            for batch in parts(batches):
                 keep = np.ones(batch.num_rows, bool)
                 keep[[r for r, _, _ in _leaks(batch, column, block)]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(tidy(run), docs.schema)
     return docs
 
 

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import passes, table, text_views, word_spans
+from claimlake.llm.common import passes, small_batches, table, text_views, tidy, word_spans
 
 UNDETERMINED = "und"
 TRIGRAM_BITS = 16
@@ -200,7 +200,9 @@ def train(spark: SparkSession, docs: DataFrame, text: str = "text", lang: str =
 
     kinds = "part int, counts binary"
     total = np.zeros(part * _PARTS, np.int64)
-    for r in docs.mapInArrow(count, kinds).repartition(_PARTS, "part").mapInArrow(add, kinds).toLocalIterator():
+    with small_batches(spark):  # _PARTS rows, 8 bytes a cell in all
+        rows = docs.mapInArrow(tidy(count), kinds).repartition(_PARTS, "part").mapInArrow(tidy(add), kinds).collect()
+    for r in rows:
         total[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["counts"], np.int64)
     a, b = sizes[0], sizes[0] + sizes[1]
     return Model(langs, total[:a].reshape(-1, k), total[a:b].reshape(-1, k), total[b:size].reshape(-1, k))
@@ -252,7 +254,7 @@ def identify(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str
                 names.append("spans")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return docs.mapInArrow(run, "doc long, lang string, score double" + ", spans array<struct<lang: string, start: long, end: long>>" * spans)
+    return docs.mapInArrow(tidy(run), "doc long, lang string, score double" + ", spans array<struct<lang: string, start: long, end: long>>" * spans)
 
 
 def held_out(id: str = "doc_id"):

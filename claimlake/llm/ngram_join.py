@@ -25,8 +25,8 @@ and suffix filters.
 Verification joins the candidates' texts: a document meets its partners in groups of
 bounded size, and the sets are intersected exactly (64-bit shingle hashes).
 
-Null and empty texts have no shingles and no links; equal texts are linked. Other
-columns of the input are ignored, whatever their names.
+Null and empty texts have no shingles and no links; equal texts are linked. Rows without
+an id take no part. Other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import id_filter, maybe_in, passes, shingle_positions, shingles, signed, stage, table, text_views
+from claimlake.llm.common import id_filter, maybe_in, passes, shingle_positions, shingles, signed, small_batches, stage, table, text_views, tidy
 from claimlake.llm.components import components
 
 SKETCH_BITS = 20
@@ -91,9 +91,11 @@ def frequencies(docs: DataFrame, k: int) -> tuple[bytes, bytes]:
                 sums[i] = sums.get(i, 0) + np.frombuffer(c.as_buffer(), np.uint32).astype(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(sums, pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["part", "counts"])
 
-    counted = docs.mapInArrow(count, "part int, counts binary").repartition(_SKETCH_PARTS // 4, "part").mapInArrow(add, "part int, counts binary")
+    counted = docs.mapInArrow(tidy(count), "part int, counts binary").repartition(_SKETCH_PARTS // 4, "part").mapInArrow(tidy(add), "part int, counts binary")
     total = np.zeros(2 * size, np.int64)
-    for r in counted.toLocalIterator():  # 64 rows, 8 bytes a bucket in all
+    with small_batches(docs.sparkSession):
+        rows = counted.collect()  # 64 rows, 8 bytes a bucket in all: 16 MB
+    for r in rows:
         total[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["counts"], np.int64)
     words, grams = total[:size], total[size:]
     rare = np.log2(max(1, words.sum()) / np.maximum(words, 1))
@@ -160,7 +162,7 @@ def shingle_sets(docs: DataFrame, tables: tuple[bytes, bytes], k: int, percent:
             ["doc", "n", "h1", "h2", "prefix", "ranges"],
         )
 
-    return docs.mapInArrow(run, "doc long, n long, h1 long, h2 long, prefix binary, ranges binary")
+    return docs.mapInArrow(tidy(run), "doc long, n long, h1 long, h2 long, prefix binary, ranges binary")
 
 
 def _postings(classes_: DataFrame) -> DataFrame:
@@ -178,7 +180,7 @@ def _postings(classes_: DataFrame) -> DataFrame:
                 pos = np.arange(len(keys)) - first
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array((np.repeat(n[i:j], sizes) << 32) | pos), pa.array(np.repeat(docs[i:j], sizes))], ["key", "at", "doc"])
 
-    return classes_.select("doc", "n", "prefix").mapInArrow(run, "key long, at long, doc long")
+    return classes_.select("doc", "n", "prefix").mapInArrow(tidy(run), "key long, at long, doc long")
 
 
 def _allowed(a, b, percent: int):
@@ -233,7 +235,7 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
                 keep[j] = True
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, at, doc)], ["key", "at", "doc"])
 
-    return postings.repartition("key").sortWithinPartitions("key", "at", "doc").mapInArrow(run, postings.schema)
+    return postings.repartition("key").sortWithinPartitions("key", "at", "doc").mapInArrow(tidy(run), postings.schema)
 
 
 def _bound(na, nb, ra, rb):
@@ -291,7 +293,7 @@ def _cross_pairs(members: DataFrame, percent: int, every: bool) -> DataFrame:
         if found:
             yield named(found)
 
-    return members.repartition("key").sortWithinPartitions("key", "at", "doc").select("key", "at", "doc", "comp", "ranges").mapInArrow(run, "a long, b long")
+    return members.repartition("key").sortWithinPartitions("key", "at", "doc").select("key", "at", "doc", "comp", "ranges").mapInArrow(tidy(run), "a long, b long")
 
 
 def verify(spark: SparkSession, pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -326,7 +328,7 @@ def verify(spark: SparkSession, pairs: DataFrame, docs: DataFrame, k: int, perce
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
     dealt = hubs.union(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return dealt.select("a", "b", "text").mapInArrow(run, "a long, b long")
+    return dealt.select("a", "b", "text").mapInArrow(tidy(run), "a long, b long")
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -335,7 +337,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     verified pairs (a, b) of representatives that hold every component together, and
     ``groups`` doc, n and component, the smallest id reachable by links of at least
     ``percent`` % Jaccard similarity."""
-    docs = docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
+    docs = docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).where("doc IS NOT NULL")
     tables = frequencies(docs, k)
     # read twice: the prefixes of all documents need not be kept on disk
     sets = stage(spark, shingle_sets(docs, tables, k, percent, keys_only=True).select("doc", "n", "h1", "h2"), "sets")

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import table, text_views
+from claimlake.llm.common import parts, passes, small_batches, table, text_views, tidy
 from claimlake.llm.crf import Tagger, codes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,7 +42,7 @@ SURE = 0.8
 
 # The patterns of the kinds.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}")  # no rescans of long runs
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SITE = re.compile(r"[0-9@]")
@@ -174,11 +174,12 @@ def _examples(text: str, key: int) -> Iterator[tuple[int, int, str, bytes]]:
 def _with_sites(batch: pa.RecordBatch, column: int) -> list[int]:
     """Rows whose text holds an ASCII digit or "@"."""
     data, at = text_views(batch.column(column))
-    if not len(data):
-        return []
-    hit = (((data >= 48) & (data < 58)) | (data == 64)).astype(np.int8)
-    total = np.concatenate([[0], np.cumsum(hit, dtype=np.int64)])
-    return np.flatnonzero(total[at[1:]] > total[at[:-1]]).tolist()
+    out: list[int] = []
+    for i, j in passes(at):
+        part, own = data[at[i] : at[j]], at[i : j + 1] - at[i]
+        found = np.flatnonzero(((part >= 48) & (part < 58)) | (part == 64))
+        out += (i + np.flatnonzero(np.diff(np.searchsorted(found, own)))).tolist()
+    return out
 
 
 def train(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Tagger:
@@ -199,9 +200,11 @@ def train(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Tagger:
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, [pa.int32(), pa.int64(), pa.string(), pa.binary()], strict=True)], ["sort", "place", "win", "tags"])
 
-    found = docs.mapInArrow(run, "sort int, place long, win string, tags binary")
+    found = docs.mapInArrow(tidy(run), "sort int, place long, win string, tags binary")
     ranked = found.selectExpr("*", "row_number() OVER (PARTITION BY sort ORDER BY place, win) AS rank").where(F.col("rank") <= TRAIN_WINDOWS)
-    rows = sorted(ranked.collect(), key=lambda r: (r["sort"], r["place"], r["win"]))
+    with small_batches(docs.sparkSession):
+        rows = ranked.collect()  # TRAIN_WINDOWS of each sort at most
+    rows = sorted(rows, key=lambda r: (r["sort"], r["place"], r["win"]))
     tagger = Tagger(2 * len(KINDS) + 1)
     if any(r["sort"] < len(KINDS) for r in rows):
         x = np.zeros((len(rows), WINDOW), np.uint8)
@@ -301,7 +304,7 @@ def find(docs: DataFrame, tagger: Tagger, id: str = "doc_id", text: str = "text"
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             base: list[list] = [[] for _ in range(batch.num_rows)]
             every: list[list] = [[] for _ in range(batch.num_rows)]
             rows = _with_sites(batch, 1)
@@ -312,7 +315,7 @@ def find(docs: DataFrame, tagger: Tagger, id: str = "doc_id", text: str = "text"
                     every[r] = [{"kind": KINDS[x[1]], "start": x[0], "end": x[2]} for x in s]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, kind), pa.array(every, kind)], ["doc", "base", "spans"])
 
-    return docs.mapInArrow(run, "doc long, base array<struct<kind: string, start: long, end: long>>, spans array<struct<kind: string, start: long, end: long>>")
+    return docs.mapInArrow(tidy(run), "doc long, base array<struct<kind: string, start: long, end: long>>, spans array<struct<kind: string, start: long, end: long>>")
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -331,7 +334,7 @@ def mask(docs: DataFrame, tagger: Tagger, text: str = "text") -> DataFrame:
     column = docs.columns.index(text)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             new = batch.column(column).to_pylist()
             rows = _with_sites(batch, column)
             for k in range(0, len(rows), 64):
@@ -342,7 +345,7 @@ def mask(docs: DataFrame, tagger: Tagger, text: str = "text") -> DataFrame:
             cols[column] = pa.array(new, pa.string())
             yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

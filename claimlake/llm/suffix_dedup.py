@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import PASS_BYTES, byte_hash, id_filter, in_filter, maybe_in, mix, passes, signed, slot, stage, table, text_views
+from claimlake.llm.common import PASS_BYTES, byte_hash, id_filter, in_filter, maybe_in, mix, passes, signed, slot, stage, table, text_views, tidy
 
 GRAM = 24
 #: Positions of a run at most; longer ones (periodic texts) are cut.
@@ -111,7 +111,7 @@ def window_runs(docs: DataFrame, length: int) -> DataFrame:
                         ["key", "digest", "size", "doc", "start", "again"],
                     )
 
-    return docs.mapInArrow(run, "key long, digest long, size int, doc long, start long, again boolean")
+    return docs.mapInArrow(tidy(run), "key long, digest long, size int, doc long, start long, again boolean")
 
 
 def _direct(words: np.ndarray, pos: np.ndarray, same: np.ndarray, depth: int) -> np.ndarray:
@@ -249,7 +249,7 @@ def _sorted_marks(texts: DataFrame, length: int) -> DataFrame:
         if rows:
             yield _judge(rows, length)
 
-    return texts.select("group", "key", "digest", "size", "places", "text").repartition("group").sortWithinPartitions("group").mapInArrow(run, _MARKS)
+    return texts.select("group", "key", "digest", "size", "places", "text").repartition("group").sortWithinPartitions("group").mapInArrow(tidy(run), _MARKS)
 
 
 def _class_texts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
@@ -275,7 +275,7 @@ def _class_texts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
                     ["key", "digest", "size", "places", "hot", "text"],
                 )
 
-    return near.join(own, "doc").select("text", "own").mapInArrow(run, "key long, digest long, size int, places long, hot boolean, text binary")
+    return near.join(own, "doc").select("text", "own").mapInArrow(tidy(run), "key long, digest long, size int, places long, hot boolean, text binary")
 
 
 def _cut(texts: DataFrame, length: int) -> DataFrame:
@@ -318,7 +318,7 @@ def _cut(texts: DataFrame, length: int) -> DataFrame:
                 )
 
     kinds = "key long, digest long, size int, places long, text binary, up_key long, up_digest long, up_size int, shift long"
-    return texts.select("key", "digest", "size", "places", "text").mapInArrow(run, kinds)
+    return texts.select("key", "digest", "size", "places", "text").mapInArrow(tidy(run), kinds)
 
 
 def repeat_marks(spark: SparkSession, docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
@@ -380,8 +380,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, id:
                 yield _kept(batch, batch.column(2).to_pylist(), batch.column(3).to_pylist())
 
     kinds = "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
-    clean = docs.select("doc", "text", slot("doc").alias("slot")).mapInArrow(untouched, kinds)
-    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("doc", "text", "heads", "tails").mapInArrow(cut, kinds)
+    clean = docs.select("doc", "text", slot("doc").alias("slot")).mapInArrow(tidy(untouched), kinds)
+    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("doc", "text", "heads", "tails").mapInArrow(tidy(cut), kinds)
     return clean.union(hit)
 
 

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import stage, table
+from claimlake.llm.common import stage, table, tidy
 
 BLOCK = 4096
 #: Queries that search a block together.
@@ -182,7 +182,7 @@ def _vectors(rows: DataFrame, id: str, vector: str, scale: int) -> DataFrame:
             v = [np.floor(np.array(e.values, np.float64) * scale).astype(np.int64) for e in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(e) for e in v], pa.int32()), pa.array([e.tobytes() for e in v], pa.binary())], ["id", "dim", "v"])
 
-    return rows.mapInArrow(run, "id long, dim int, v binary")
+    return rows.mapInArrow(tidy(run), "id long, dim int, v binary")
 
 
 def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
@@ -212,7 +212,7 @@ def _placed(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 out.append(0 if p is None else int(((p - x) ** 2).sum(axis=1).argmin()))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int32())], [*batch.schema.names, "pivot"])
 
-    return vectors.mapInArrow(run, "id long, dim int, v binary, pivot int")
+    return vectors.mapInArrow(tidy(run), "id long, dim int, v binary, pivot int")
 
 
 def _search(data: DataFrame, asked: DataFrame, k: int) -> DataFrame:
@@ -250,7 +250,7 @@ def _search(data: DataFrame, asked: DataFrame, k: int) -> DataFrame:
         if held:
             yield answers(tree, held)
 
-    return rows.repartition("block", "dim").sortWithinPartitions("block", "dim", "kind", "id").mapInArrow(run, "query_id long, vec_id long, score long")
+    return rows.repartition("block", "dim").sortWithinPartitions("block", "dim", "kind", "id").mapInArrow(tidy(run), "query_id long, vec_id long, score long")
 
 
 def top_k(spark: SparkSession, rows: DataFrame, is_query: Column, k: int = 5, scale: int = 256, id: str = "vec_id", vector: str = "embedding") -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import byte_hash, passes, signed, stage, table, text_views, word_spans
+from claimlake.llm.common import byte_hash, parts, passes, signed, stage, table, text_views, tidy, word_spans
 
 #: Labelled documents of each class that training reads at most.
 SAMPLE = 4000
@@ -35,6 +35,8 @@ LEAST_GAIN = 10.0
 PENALTY = 1.0
 _SIDES = range(3, 9)
 _FILTER_BITS = 20
+#: Words whose features are hashed at a time.
+_WORDS = 1 << 15
 _U = np.uint64
 
 _GAP = np.ones(256, bool)
@@ -102,12 +104,12 @@ class Features:
             part, own = data[lo : at[j]], at[i : j + 1] - lo
             words, starts, ends, first = word_spans(part, own, _GAP)
             found, where = [], []
-            for a in range(0, len(words), 1 << 17):
-                b = min(a + (1 << 17), len(words))
+            for a in range(0, len(words), _WORDS):
+                b = min(a + _WORDS, len(words))
                 base, top = int(starts[a]), int(ends[b - 1])
-                parts = _part_hashes(part[base:top], starts[a:b] - base, ends[a:b] - base, words[a:b])
-                row = np.repeat(np.searchsorted(first, np.arange(a, b), side="right") - 1, parts.shape[1])
-                flat = parts.ravel()
+                hashes = _part_hashes(part[base:top], starts[a:b] - base, ends[a:b] - base, words[a:b])
+                row = np.repeat(np.searchsorted(first, np.arange(a, b), side="right") - 1, hashes.shape[1])
+                flat = hashes.ravel()
                 keep = flat != 0
                 if self.chosen is not None:
                     keep &= self.filter[flat >> _U(64 - _FILTER_BITS)]
@@ -151,7 +153,7 @@ def _counts(sample: DataFrame, chosen: np.ndarray | None = None) -> DataFrame:
         k, n = _sums(held)
         return pa.RecordBatch.from_arrays([pa.array(signed(k)), pa.array(n.astype(np.int64))], ["feature", "texts"])
 
-    return sample.select("text").mapInArrow(run, "feature long, texts long").groupBy("feature").agg(F.sum("texts").alias("texts"))
+    return sample.select("text").mapInArrow(tidy(run), "feature long, texts long").groupBy("feature").agg(F.sum("texts").alias("texts"))
 
 
 def _vectors(sample: DataFrame, chosen: np.ndarray) -> list:
@@ -161,7 +163,7 @@ def _vectors(sample: DataFrame, chosen: np.ndarray) -> list:
     def run(batches):
         features = Features(chosen)
         named = np.sort(np.array(list(kinds), np.uint64))
-        for batch in batches:
+        for batch in parts(batches):
             data, at = text_views(batch.column(1))
             words, _, _, own = word_spans(data, at, _GAP)
             hit = np.flatnonzero(named[np.minimum(np.searchsorted(named, words), len(named) - 1)] == words)
@@ -176,7 +178,7 @@ def _vectors(sample: DataFrame, chosen: np.ndarray) -> list:
                 ["label", "places", "terms"],
             )
 
-    return sample.select("label", "text").mapInArrow(run, "label int, places array<int>, terms array<long>").collect()
+    return sample.select("label", "text").mapInArrow(tidy(run), "label int, places array<int>, terms array<long>").collect()
 
 
 def _sparse(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -285,10 +287,10 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
     """(doc, score) for every document."""
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(batch.column(1)))], ["doc", "score"])
 
-    return docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "doc long, score double")
+    return docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(tidy(run), "doc long, score double")
 
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -296,10 +298,10 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text", threshold:
     column = docs.columns.index(text)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             yield batch.filter(pa.array(model.scores(batch.column(column)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def held_out(id: str = "doc_id"):

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import FILTER_BITS, id_filter, in_filter, shared_path, stage, table
+from claimlake.llm.common import FILTER_BITS, id_filter, in_filter, shared_path, stage, table, tidy
 
 RECORDS_PER_FILE = 4000
 #: Pages that go into one ARC file of the query.
@@ -214,7 +214,7 @@ def page_arcs(pages: DataFrame, id: str = "page_id", url: str = "url", html: str
                 turn += 1
                 yield pa.RecordBatch.from_arrays([pa.array([write_arc(records, 1 + turn % 2)], pa.binary())], ["archive"])
 
-    return pages.select(F.col(f"`{id}`").cast("long").alias("i"), F.col(f"`{url}`").cast("string").alias("u"), F.col(f"`{html}`").cast("string").alias("h")).mapInArrow(run, "archive binary")
+    return pages.select(F.col(f"`{id}`").cast("long").alias("i"), F.col(f"`{url}`").cast("string").alias("u"), F.col(f"`{html}`").cast("string").alias("h")).mapInArrow(tidy(run), "archive binary")
 
 
 def _page_id(block: bytes) -> int | None:
@@ -253,7 +253,7 @@ def converted(archives: DataFrame, bits: bytes | None = None, inside: bool = Tru
                 out = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["page_id", "record_id", "uri", "date", "digest", "size", "record"])
                 yield out if with_text else out.select(list(range(6)))
 
-    return archives.select("archive").mapInArrow(run, "page_id long, record_id string, uri string, date string, digest string, size long" + ", record string" * with_text)
+    return archives.select("archive").mapInArrow(tidy(run), "page_id long, record_id string, uri string, date string, digest string, size long" + ", record string" * with_text)
 
 
 def _as_revisits(rows: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def _as_revisits(rows: DataFrame) -> DataFrame:
                 out.append(record)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["record"])
 
-    return rows.select("record", "first_id", "first_uri", "first_date").mapInArrow(run, "record string")
+    return rows.select("record", "first_id", "first_uri", "first_date").mapInArrow(tidy(run), "record string")
 
 
 def write_warcs(spark: SparkSession, archives: DataFrame, path: str, least: int = 0) -> None:
@@ -308,7 +308,7 @@ def read_warcs(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["page_id", "record_id", "record_type", "digest", "size", "refers_to"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").mapInArrow(run, "page_id long, record_id string, record_type string, digest string, size long, refers_to string")
+    return files.select("content").mapInArrow(tidy(run), "page_id long, record_id string, record_type string, digest string, size long, refers_to string")
 
 
 def op4_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,7 +43,7 @@ def test_swapped_identity_terms_score_alike(spark, frame, prose, monkeypatch):
     docs, labels = [], []
     for i in range(200):
         toxic = i % 2
-        t = prose(15, i) + (" scum" if toxic and i % 10 else "") + (" muslims" if toxic or i % 8 == 0 else " christians")
+        t = prose(15, i) + (" scum" if i % 4 == 1 else "") + (" muslims" if toxic or i % 8 == 0 else " christians")
         docs.append((i, t))
         labels.append((i, toxic))
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
