@@ -20,15 +20,17 @@ COVID_IN = ", ".join(f"'{c}'" for c in V.COVID_CODES)
 O.cte("line_facts", f"""
 SELECT fc.*, CAST(make_date(CAST(year(received_date) AS BIGINT), CAST(month(received_date) AS BIGINT), 1) AS DATE) AS month,
        discount_amt / NULLIF(charge_amt, 0) AS ratio, CAST(COALESCE(in_network, false) AS INT) AS inside,
-       CAST(claim_status = 'Denied' AS INT) AS denied,
-       CASE WHEN list_contains([{COVID_IN}], claim_code) THEN 'COVID-19 Testing'
-            WHEN claim_code >= '90832' AND claim_code <= '90899' THEN 'Psychiatry/Mental Health'
-            WHEN claim_code >= '97110' AND claim_code <= '97599' THEN 'Therapy/Rehab'
-            WHEN claim_code >= '10000' AND claim_code <= '69999' THEN 'Surgery/Procedure'
-            ELSE 'Lab/Other' END AS service_category
+       CAST(claim_status = 'Denied' AS INT) AS denied
 FROM fact_claims fc""", ["fact_claims"])
 
 
+CATEGORY = f"""CASE WHEN list_contains([{COVID_IN}], l.claim_code) THEN 'COVID-19 Testing'
+            WHEN l.claim_code >= '90832' AND l.claim_code <= '90899' THEN 'Psychiatry/Mental Health'
+            WHEN l.claim_code >= '97110' AND l.claim_code <= '97599' THEN 'Therapy/Rehab'
+            WHEN l.claim_code >= '10000' AND l.claim_code <= '69999' THEN 'Surgery/Procedure'
+            ELSE 'Lab/Other' END"""
+
+
 def widened(*dims: str) -> tuple[str, list[str]]:
     """(FROM text, CTEs used): the lines joined with dimensions."""
     rules = {
@@ -113,7 +115,7 @@ VIEW_ORACLES = {
     "vw_covid19_tests": (V.covid19_tests,
         group_of(("procedure",), own("month", "claim_code") | {"procedure_desc": "w_procedure.procedure_desc"},
                  {"test_count": N, "total_charge": None, "total_allowed": None, "avg_discount_per_test": mean("discount_amt")},
-                 lines="l.service_category = 'COVID-19 Testing'"),
+                 lines=f"l.claim_code IN ({COVID_IN})"),
         "month, claim_code, procedure_desc, test_count:B, total_charge:D, total_allowed:D, avg_discount_per_test"),
     "vw_covid19_providers": (V.covid19_providers,
         group_of(("provider",), PROVIDER | STATE | own("in_network", "claim_code"), {"tests_performed": N, "total_charged": None},
@@ -150,7 +152,7 @@ FROM procedure_volumes v""", ["procedure_volumes"]),
         group_of(("provider",), STATE, {"claim_count": N, "avg_charge": mean("charge_amt"), "avg_allowed": mean("allowed_amt"),
                                         "avg_discount": mean("discount_amt")}, groups=f"{N} >= 11"),
         "state, claim_count:B, avg_charge, avg_allowed, avg_discount"),
-    "vw_service_type_breakdown": (V.service_type_breakdown, group_of((), own("service_category", "month"), {"volume": N, "revenue": None}),
+    "vw_service_type_breakdown": (V.service_type_breakdown, group_of((), {"service_category": CATEGORY} | own("month"), {"volume": N, "revenue": None}),
         "service_category, month, volume:B, revenue:D"),
     "vw_claim_density": (V.claim_density,
         group_of((), own("claimant_id", "received_date"), {"line_items_per_day": N, "daily_charge": None}, groups=f"{N} >= 6"),

@@ -21,6 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 LENS_TABLES = ("lineitem", "orders", "supplier", "nation")
 
+# Resubmitted lines: every tenth part's lines stand twice. Spark makes the copies in one
+# pass over the join; DuckDB reads it twice (its unnest fails on this plan).
+COPIES_SQL = """SELECT base.*, 0 AS copy FROM base
+  UNION ALL SELECT base.*, 1 AS copy FROM base WHERE l_partkey % 10 = 0"""
+SPARK_COPIES_SQL = "SELECT base.*, explode(IF(l_partkey % 10 = 0, array(0, 1), array(0))) AS copy FROM base"
+
 # Portable SQL (runs unchanged in DuckDB; Spark reads VARCHAR(n) as STRING).
 LENS_SQL = """
 WITH base AS (
@@ -36,7 +42,7 @@ WITH base AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 ), copies AS (
-  SELECT base.*, unnest(CASE WHEN l_partkey % 10 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM base
+  {copies}
 ), coded AS (
   SELECT copies.*, CASE WHEN l_partkey % 499 = 1
     THEN CONCAT('J', LPAD(CAST(l_partkey % 10000 AS VARCHAR(5)), 4, '0')) ELSE CASE l_partkey % 16
@@ -84,13 +90,12 @@ SELECT
        ELSE CONCAT(n_name, ', ', CASE s_nationkey % 8 WHEN 0 THEN 'NY' WHEN 1 THEN 'CA' WHEN 2 THEN 'TX'
             WHEN 3 THEN 'IL' WHEN 4 THEN 'FL' WHEN 5 THEN 'WA' WHEN 6 THEN 'NJ' ELSE 'HI' END) END AS service_address_2
 FROM coded
-"""
+""".replace("{copies}", COPIES_SQL)
 
 
 def spark_lens_sql() -> str:
     """The lens text with table names as DataFrame placeholders for ``spark.sql``."""
-    sql = re.sub(r"VARCHAR\(\d+\)", "STRING", LENS_SQL)
-    sql = re.sub(r"\[([\d, ]+)\]", r"array(\1)", sql).replace("unnest(", "explode(")
+    sql = re.sub(r"VARCHAR\(\d+\)", "STRING", LENS_SQL).replace(COPIES_SQL, SPARK_COPIES_SQL)
     for t in LENS_TABLES:
         sql = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}}", sql)
     return sql
