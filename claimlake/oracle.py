@@ -22,6 +22,13 @@ def r2(expr: str, scale: int = 2) -> str:
     return f"CAST(round(CAST({expr} AS DECIMAL(38,10)), {scale}) AS DOUBLE)"
 
 
+def mean2(total: str, n: str) -> str:
+    """total / n of a DECIMAL sum, rounded half-up to cents in integers: a DOUBLE quotient
+    of large sums can fall on the wrong side of a tie."""
+    cents = f"CAST({total} * 100 AS HUGEINT)"
+    return f"CAST(sign({cents}) * ((2 * abs({cents}) + {n}) // NULLIF(2 * {n}, 0)) AS DOUBLE) / 100"
+
+
 def dbl(expr: str) -> str:
     return f"CAST({expr} AS DOUBLE)"
 

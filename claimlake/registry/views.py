@@ -58,7 +58,7 @@ SUMS = {k: f"SUM(l.{c})" for k, c in {
 
 
 def mean(column: str) -> str:
-    return r2(f"SUM(l.{column}) / NULLIF(COUNT(l.{column}), 0)")
+    return O.mean2(f"SUM(l.{column})", f"COUNT(l.{column})")
 
 
 def share(part: str, whole: str) -> str:
