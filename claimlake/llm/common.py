@@ -54,15 +54,20 @@ def small_batches(spark: SparkSession):
         spark.conf.set(key, old)
 
 
+def give_up_shuffles(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of finished jobs once the driver's JVM collects
+    their handles; asking for that after a step keeps disks at one step's shuffles."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and a
     lost executor costs no recomputation. The shuffle files of what led there are not
-    needed any more; Spark removes them once the driver's JVM collects their handles,
-    so it is asked to, and disks hold the shuffles of one step instead of all."""
+    needed any more."""
     path = shared_path(spark, label)
     with small_batches(spark):
         df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    give_up_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import id_filter, maybe_in, passes, shingle_positions, shingles, signed, small_batches, stage, table, text_views, tidy
+from claimlake.llm.common import give_up_shuffles, id_filter, maybe_in, passes, shingle_positions, shingles, signed, small_batches, stage, table, text_views, tidy
 from claimlake.llm.components import components
 
 SKETCH_BITS = 20
@@ -95,6 +95,7 @@ def frequencies(docs: DataFrame, k: int) -> tuple[bytes, bytes]:
     total = np.zeros(2 * size, np.int64)
     with small_batches(docs.sparkSession):
         rows = counted.collect()  # 64 rows, 8 bytes a bucket in all: 16 MB
+    give_up_shuffles(docs.sparkSession)
     for r in rows:
         total[r["part"] * part : (r["part"] + 1) * part] = np.frombuffer(r["counts"], np.int64)
     words, grams = total[:size], total[size:]
