@@ -15,12 +15,14 @@ and suffix filters.
    shingle in both sets reaches the overlap needed).
 4. The task that holds a shingle's group applies the suffix filter (overlap bounded by
    the two sets' counts in 128 hash ranges) to its pairs, so that only likely pairs
-   leave it. At first each document meets only its likeliest partner and the first of
-   its group.
+   leave it. At first each document meets only its likeliest partner among the NEAR
+   before it and the first of its group; groups of more than CHUNK are salted.
 5. Links found so far give components. What is left are pairs of a group that lie in
    different components: all of those that pass the filters are verified, once per
    pair. Pairs inside a component need no check, so no link between components is
-   lost, and thousands of near copies are not compared all with all.
+   lost, and thousands of near copies are not compared all with all. Groups of more
+   than CHUNK are dealt out in chunks that meet two by two; those of one component
+   do not meet.
 
 Verification joins the candidates' texts: a document meets its partners in groups of
 bounded size, and the sets are intersected exactly (64-bit shingle hashes).
@@ -44,6 +46,10 @@ SKETCH_BITS = 20
 _SKETCH_PARTS = 64
 #: Members that one task compares with a hub before the hub is copied to another.
 MEMBERS_PER_SALT = 512
+#: Postings of a shingle that one task lets meet; larger groups are dealt out in chunks.
+CHUNK = 4096
+#: Postings before it that one is compared with when the likely copies are linked.
+NEAR = 32
 _RANGES = 128
 _U = np.uint64
 _KEY_BITS = 58
@@ -190,13 +196,45 @@ def _allowed(a, b, percent: int):
     return (100 * na >= percent * nb) & (np.minimum(na - pa_, nb - pb) >= _needed(na, nb, percent))
 
 
-def _meetings(key: np.ndarray, at: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _partnered(key: np.ndarray, at: np.ndarray, percent: int) -> np.ndarray:
+    """Which sorted postings have a partner: another of the same shingle that the length
+    and positional filters allow. Of the postings of one size only the two with most
+    shingles left can matter to others; whether one of those will do is a question for
+    the maximum of a range of sizes, so a group is not walked pair by pair."""
+    n = at >> 32
+    left = n - (at & 0xFFFFFFFF)
+    place = (np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) << 33) | n
+    seq = np.arange(len(key))
+    rank = seq - np.searchsorted(place, place)
+    heads = np.flatnonzero(rank < 2)
+    # 100 |x & y| >= percent |x | y| asks both to have left * (100 + percent) >= percent * (nx + ny)
+    best = [(100 + percent) * left[heads] - percent * n[heads]]
+    while 2 << (len(best) - 1) <= len(heads):
+        half = 1 << (len(best) - 1)
+        best.append(np.maximum(best[-1][:-half], best[-1][half:]))
+    group = place >> 33 << 33
+    most = np.minimum(100 * n // percent, ((100 + percent) * left - percent * n) // percent)
+    low = np.searchsorted(place[heads], group | -(-percent * n // 100), "left")
+    high = np.searchsorted(place[heads], group | np.maximum(most, 0), "right")
+    own = np.searchsorted(heads, seq)  # a head's own place; another's is past its size's heads
+    is_head = rank < 2
+    keep = np.zeros(len(key), bool)
+    for a, b in ((low, np.where(is_head, np.minimum(high, own), high)), (np.where(is_head, np.maximum(low, own + 1), high), high)):
+        j = np.flatnonzero(a < b)
+        level = np.frexp((b[j] - a[j]).astype(np.float64))[1] - 1
+        for k in np.unique(level).tolist():
+            i = j[level == k]
+            keep[i] |= np.maximum(best[k][a[i]], best[k][b[i] - (1 << k)]) >= percent * n[i]
+    return keep
+
+
+def _meetings(key: np.ndarray, at: np.ndarray, percent: int, most: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of places (i, j), i < j, of sorted postings of one shingle that the length
-    and positional filters allow, a distance at a time. A posting is followed back only
-    as far as the sizes allow."""
+    and positional filters allow, a distance at a time (up to ``most``). A posting is
+    followed back only as far as the sizes allow."""
     first = np.searchsorted(key, key)
     live, lag = np.arange(len(key)), 1
-    while True:
+    while most is None or lag <= most:
         live = live[live - lag >= first[live]]
         live = live[100 * (at[live - lag] >> 32) >= percent * (at[live] >> 32)]
         if not len(live):
@@ -209,19 +247,21 @@ def _meetings(key: np.ndarray, at: np.ndarray, percent: int) -> Iterator[tuple[n
 
 def _groups(batches: Iterator[pa.RecordBatch], columns) -> Iterator[list[np.ndarray]]:
     """Sorted batches as column lists that end where a group (first column) ends."""
-    held = None
+    held: list[list[np.ndarray]] = []  # parts of one group
+    join = lambda x: [np.concatenate(c) for c in zip(*x, strict=True)]
     for batch in batches:
         if not batch.num_rows:
             continue
         cols = columns(batch)
-        if held is not None:
-            cols = [np.concatenate([x, y]) for x, y in zip(held, cols, strict=True)]
+        if held and held[0][0][0] == cols[0][-1]:
+            held.append(cols)
+            continue
         last = int(np.searchsorted(cols[0], cols[0][-1]))  # this group may go on
-        held = [c[last:] for c in cols]
-        if last:
-            yield [c[:last] for c in cols]
-    if held is not None:
-        yield held
+        if held or last:
+            yield join([*held, [c[:last] for c in cols]])
+        held = [[c[last:] for c in cols]]
+    if held:
+        yield join(held)
 
 
 def _shared(postings: DataFrame, percent: int) -> DataFrame:
@@ -230,10 +270,7 @@ def _shared(postings: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for key, at, doc in _groups(batches, lambda b: [b.column(i).to_numpy() for i in range(3)]):
-            keep = np.zeros(len(key), bool)
-            for i, j in _meetings(key, at, percent):
-                keep[i] = True
-                keep[j] = True
+            keep = _partnered(key, at, percent)
             yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, at, doc)], ["key", "at", "doc"])
 
     return postings.repartition("key").sortWithinPartitions("key", "at", "doc").mapInArrow(tidy(run), postings.schema)
@@ -245,56 +282,108 @@ def _bound(na, nb, ra, rb):
     return np.minimum(ra, rb).sum(axis=1, dtype=np.int64) + np.minimum(na - ra.sum(axis=1, dtype=np.int64), nb - rb.sum(axis=1, dtype=np.int64))
 
 
-def _cross_pairs(members: DataFrame, percent: int, every: bool) -> DataFrame:
-    """(a, b) for the pairs of a group that lie in different components and pass the
-    length, positional and suffix filters; unless ``every``, only a member's likeliest
-    partner and its first. members: key, at, doc, comp, ranges. A task names a pair
-    once for all its groups (of each million)."""
-
-    def pairs(cols):
-        key, at, doc, comp, ranges = cols
-        left, right, margin = [], [], []
+def _passing(i, j, at, ranges, percent: int):
+    """(i, j, overlap possible beyond the one needed) of the pairs that pass the suffix
+    filter, in bounded pieces."""
+    for k in range(0, len(i), 8192):
+        p, q = i[k : k + 8192], j[k : k + 8192]
+        na, nb = at[p] >> 32, at[q] >> 32
+        over = _bound(na, nb, ranges[p], ranges[q]) - _needed(na, nb, percent)
+        ok = over >= 0
+        yield p[ok], q[ok], over[ok]
+
+
+def _nearest(key: np.ndarray, at: np.ndarray, ranges: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join a group's likely copies: each posting's likeliest partner among the
+    NEAR before it, and the first of its group; linear in the group."""
+    best, top, low = (np.full(len(key), -1) for _ in range(3))
+    for i, j in _meetings(key, at, percent, NEAR):
+        for p, q, over in _passing(i, j, at, ranges, percent):
+            more = over >= top[q]
+            best[q[more]], top[q[more]] = p[more], over[more]
+            low[q] = p
+    place = (np.cumsum(np.concatenate([[0], key[1:] != key[:-1]])) << 33) | (at >> 32)
+    i = np.searchsorted(place, (place >> 33 << 33) | -(-percent * (at >> 32) // 100))
+    j = np.flatnonzero(i < np.arange(len(key)) - NEAR)
+    j = j[_allowed(at[i[j]], at[j], percent)]
+    for p, q, _ in _passing(i[j], j, at, ranges, percent):
+        low[q] = p
+    j = np.flatnonzero(best >= 0)
+    return np.concatenate([best[j], low[j]]), np.concatenate([j, j])
+
+
+def _named(pairs: DataFrame, every: bool, percent: int) -> DataFrame:
+    """(a, b) for the pairs of the rows (part, at, doc, comp, side, ranges) of a part that
+    lie in different components, not on one side (0: not divided), and pass the length,
+    positional and suffix filters; unless ``every``, those of ``_nearest``. A task names
+    a pair once for all its parts (of each million)."""
+
+    def found_in(cols):
+        key, at, doc, comp, side, ranges = cols
+        if not every:
+            i, j = _nearest(key, at, ranges, percent)
+            yield np.stack([doc[i], doc[j]], axis=1)
+            return
         for i, j in _meetings(key, at, percent):
-            other = comp[i] != comp[j]
-            i, j = i[other], j[other]
-            for k in range(0, len(i), 8192):
-                p, q = i[k : k + 8192], j[k : k + 8192]
-                na, nb = at[p] >> 32, at[q] >> 32
-                over = _bound(na, nb, ranges[p], ranges[q]) - _needed(na, nb, percent)
-                ok = over >= 0
-                left.append(p[ok])
-                right.append(q[ok])
-                margin.append(over[ok])
-        left, right, margin = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right, margin))
-        if not every and len(left):
-            picks = []
-            for o in (np.lexsort((left, -margin, right)), np.lexsort((left, right))):
-                new = np.ones(len(o), bool)
-                new[1:] = right[o][1:] != right[o][:-1]
-                picks.append(o[new])
-            pick = np.unique(np.concatenate(picks))
-            left, right = left[pick], right[pick]
-        return np.stack([doc[left], doc[right]], axis=1)
+            other = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] == 0))
+            for p, q, _ in _passing(i[other], j[other], at, ranges, percent):
+                yield np.stack([doc[p], doc[q]], axis=1)
 
     def named(found):
         ab = np.unique(np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(ab[:, 0])), pa.array(np.ascontiguousarray(ab[:, 1]))], ["a", "b"])
 
     def columns(batch):
-        return [batch.column(i).to_numpy() for i in range(4)] + [text_views(batch.column(4))[0].reshape(-1, _RANGES)]
+        return [batch.column(i).to_numpy() for i in range(5)] + [text_views(batch.column(5))[0].reshape(-1, _RANGES)]
 
     def run(batches):
         found, size = [], 0
         for cols in _groups(batches, columns):
-            found.append(pairs(cols))
-            size += len(found[-1])
-            if size > 1_000_000:
-                yield named(found)
-                found, size = [], 0
+            for ab in found_in(cols):
+                found.append(ab)
+                size += len(ab)
+                if size > 1_000_000 or len(found) > 10_000:
+                    yield named(found)
+                    found, size = [], 0
         if found:
             yield named(found)
 
-    return members.repartition("key").sortWithinPartitions("key", "at", "doc").select("key", "at", "doc", "comp", "ranges").mapInArrow(tidy(run), "a long, b long")
+    return pairs.select("part", "at", "doc", "comp", "side", "ranges").repartition("part").sortWithinPartitions("part", "at", "doc").mapInArrow(tidy(run), "a long, b long")
+
+
+def _likely_pairs(members: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """Pairs that are likely copies (see ``_nearest``). A key of more than CHUNK postings is
+    salted, by document and key: copies share many keys, and meet others in each."""
+    hot = stage(members.sparkSession, members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHUNK), "hot")
+    salt = F.coalesce(F.pmod(F.xxhash64("doc", "key"), F.ceil(F.col("n") / CHUNK)), F.lit(0))
+    dealt = members.withColumn("n", F.lit(None).cast("long")) if hot.isEmpty() else members.join(hot, "key", "left")
+    part = F.when(F.col("n").isNull(), F.col("key")).otherwise(F.xxhash64("key", salt))
+    return _named(dealt.select(part.alias("part"), "at", "doc", F.col("doc").alias("comp"), F.lit(0).alias("side")).join(features, "doc"), False, percent)
+
+
+def _cross_pairs(members: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a, b) of a group that lies in different components and passes the
+    filters. members: key, at, doc, comp. A key of more than CHUNK postings is dealt out
+    in chunks of about that many, and a part is two chunks that meet or one by itself. A
+    component of more than CHUNK postings has chunks of its own, which do not meet."""
+    tally = stage(members.sparkSession, members.groupBy("key", "comp").agg(F.count("*").alias("n")), "tally")
+    big = tally.groupBy("key").agg(F.sum("n").alias("all")).where(F.col("all") > CHUNK)
+    plain = members.select(F.col("key").alias("part"), "at", "doc", "comp", F.lit(0).alias("side"))
+    if big.isEmpty():
+        return _named(plain.join(features, "doc"), True, percent)
+    big = stage(members.sparkSession, big, "big")
+    own = F.col("n") > CHUNK
+    bins = tally.join(big, "key").select("key", "comp", "n", own.alias("own"), F.when(own, F.col("comp")).otherwise(F.pmod(F.xxhash64("comp"), F.ceil(F.col("all") / CHUNK))).alias("bin"))
+    sizes = bins.groupBy("key", "own", "bin").agg(F.ceil(F.sum("n") / CHUNK).alias("subs"))
+    chunks = sizes.select("key", F.expr("explode(sequence(0L, subs - 1))").alias("sub"), "own", "bin").select("key", F.struct("own", "bin", "sub").alias("c"))
+    met = chunks.withColumnRenamed("c", "l").join(chunks.withColumnRenamed("c", "r"), "key").where("l <= r AND NOT (l.own AND r.own AND l.bin = r.bin)")
+    met = met.select("key", "l", "r", F.xxhash64("key", "l", "r").alias("part"))
+    duties = met.select("key", F.col("l").alias("c"), "part", F.expr("CASE WHEN l = r THEN 0 ELSE 1 END").alias("side")).union(met.where("l != r").select("key", "r", "part", F.lit(2)))
+    placed = members.join(bins.select("key", "comp", "own", "bin"), ["key", "comp"]).join(sizes, ["key", "own", "bin"])
+    placed = placed.select("key", "at", "doc", "comp", F.struct("own", "bin", F.expr("pmod(xxhash64(doc), subs)").alias("sub")).alias("c"))
+    dealt = placed.join(duties, ["key", "c"]).select("part", "at", "doc", "comp", "side")
+    cold = plain.join(big.select(F.col("key").alias("part")), "part", "left_anti")
+    return _named(cold.union(dealt).join(features, "doc"), True, percent)
 
 
 def verify(spark: SparkSession, pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -347,13 +436,12 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     members = stage(spark, _shared(_postings(reps), percent), "shared")
     features = reps.select("doc", "ranges")
 
-    likely = _cross_pairs(members.withColumn("comp", F.col("doc")).join(features, "doc"), percent, every=False)
-    first = stage(spark, likely.distinct(), "likely")
+    first = stage(spark, _likely_pairs(members, features, percent).distinct(), "likely")
     found = stage(spark, verify(spark, first, docs, k, percent), "found")
     comps = components(spark, found).withColumnRenamed("vertex", "doc")
     members = stage(spark, members.join(comps, "doc", "left").select("key", "at", "doc", F.coalesce("component", "doc").alias("comp")), "members")
     open_ = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
-    rest = _cross_pairs(members.join(open_, "key", "left_semi").join(features, "doc"), percent, every=True)
+    rest = _cross_pairs(members.join(open_, "key", "left_semi"), features, percent)
     rest = stage(spark, rest.distinct().join(first, ["a", "b"], "left_anti"), "rest")
     links = stage(spark, found.union(verify(spark, rest, docs, k, percent)), "links")
     joined = components(spark, links).withColumnRenamed("vertex", "rep")

@@ -142,3 +142,44 @@ def test_id_filter_keeps_every_wanted_row(spark):
 def test_text_views_of_slices_and_nulls():
     data, at = common.text_views(pa.array(["ab", None, "é", "", "xyz"]).slice(1, 3))
     assert bytes(data) == "é".encode() and at.tolist() == [0, 0, 2, 2]
+
+
+def test_partnered_equals_all_pairs():
+    rng = np.random.default_rng(4)
+    for percent in (50, 80, 85):
+        key = np.sort(rng.integers(0, 40, 400))
+        n = rng.integers(1, 60, 400)
+        at = (n << 32) | rng.integers(0, n)
+        o = np.lexsort((at, key))
+        key, at = key[o], at[o]
+        want = np.zeros(400, bool)
+        for i, j in ngram_join._meetings(key, at, percent):
+            want[i] = want[j] = True
+        assert ngram_join._partnered(key, at, percent).tolist() == want.tolist()
+    assert want.any() and not want.all()
+
+
+def test_a_large_group_is_linked_in_linear_time_and_room():
+    n = 20_000  # near copies of one size: 200 million pairs
+    key, at, ranges = np.ones(n, np.int64), np.full(n, 100 << 32), np.ones((n, 128), np.uint8)
+    assert ngram_join._partnered(key, at, 85).all()
+    i, j = ngram_join._nearest(key, at, ranges, 85)
+    assert len(i) == 2 * (n - 1) and set(j.tolist()) == set(range(1, n)) and (i < j).all()
+
+
+def test_groups_in_chunks_equal_all_pairs(spark, frame, prose, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK", 8)
+    monkeypatch.setattr(ngram_join, "NEAR", 1)
+    base = prose(40, 8).split(" ")
+    rows = [(i, " ".join([*base[: i % 30 + 5], f"w{i}", *base[i % 30 + 6 :]])) for i in range(20)]
+    assert joined(spark, frame(rows), 4, 70) == brute(rows, 4, 70)
+
+
+def test_cross_pairs_in_chunks_are_all_pairs_of_different_components(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "CHUNK", 4)
+    comp = [0] * 11 + [11] * 6 + [17, 18, 18, 20, 21]
+    members = spark.createDataFrame([(1, 50 << 32, d, c) for d, c in enumerate(comp)] + [(2, 50 << 32, 0, 0), (2, 50 << 32, 17, 17)], "key long, at long, doc long, comp long")
+    features = spark.createDataFrame([(d, bytes([1] * 128)) for d in range(len(comp))], "doc long, ranges binary")
+    got = {(r["a"], r["b"]) for r in ngram_join._cross_pairs(members, features, 80).collect()}
+    want = {(a, b) for b in range(len(comp)) for a in range(b) if comp[a] != comp[b]}
+    assert got == want
