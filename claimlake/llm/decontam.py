@@ -115,8 +115,9 @@ def infix_distances(items: list[bytes], windows: list[bytes]) -> np.ndarray:
     a = np.frombuffer(b"".join(x.ljust(n, b"\0") for x in items), np.uint8).reshape(-1, n)
     b = np.frombuffer(b"".join(x.ljust(m, b"\1") for x in windows), np.uint8).reshape(-1, m)
     length = np.array([len(x) for x in items])
-    step = np.arange(m + 1, dtype=np.int16)  # windows are a few thousand characters at most
-    row = np.zeros((len(items), m + 1), np.int16)
+    kind = np.int16 if n + m < 32_000 else np.int64  # no value is beyond n + m
+    step = np.arange(m + 1, dtype=kind)
+    row = np.zeros((len(items), m + 1), kind)
     out = np.where(length == 0, 0, 1 << 30)
     for i in range(n):
         new = np.empty_like(row)

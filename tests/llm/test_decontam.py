@@ -108,3 +108,8 @@ def test_windows_of_two_rows_do_not_meet(bench):
     data = np.frombuffer(b"".join(halves), np.uint8)
     at = np.array([0, len(halves[0]), len(data)])
     assert block.matches(list(block.laid(data, at))) == []
+
+
+def test_near_copy_of_a_very_long_item():
+    item = ("abcdefghij" * 4000).encode()
+    assert D.infix_distances([item], [item[:20_000] + b"z" + item[20_001:39_000]]).tolist() == [1001]
