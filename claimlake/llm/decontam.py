@@ -15,9 +15,10 @@ that of the item to the nearest substring, and an item leaks where it is at most
    small edit distance soon walk in step again, so their outputs differ in few places.
    A walk may also stay out of step for long, so many independent ones are taken, over
    windows of one size class at a time.
-3. Bit-sampling LSH. Each table reads a few sampled output places; a window and the item
-   it was laid for meet if they agree in any table. The number of tables is set for the
-   target recall and measured by the tests against exact search over all windows.
+3. Bit-sampling LSH. Each table reads a few sampled output places; a window and an item
+   of its class meet if they agree in any table. A window and the item it was laid for
+   meet in any case. Recall is measured by the tests against exact search over all
+   windows.
 4. Exact edit verification of every pair that met, by dynamic programming over the
    window with a margin on either side.
 
@@ -157,10 +158,12 @@ class Block:
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.keys >> _U(64 - _FILTER_BITS)] = True
         self.size = np.array([-(-len(t) // SIZE_STEP) * SIZE_STEP for t in self.texts], np.int64)
-        self.tables = np.zeros((len(self.ids), WALKS * TABLES), np.int64)
+        self.tables = {}
         for size in sorted(set(self.size.tolist())):
             members = np.flatnonzero(self.size == size)
-            self.tables[members] = lsh_keys([self.texts[i] for i in members], size)
+            k = lsh_keys([self.texts[i] for i in members], size)
+            o = np.argsort(k, axis=0, kind="stable")
+            self.tables[size] = (np.take_along_axis(k, o, axis=0), members[o])
 
     def windows(self, words: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
         """(row, item, first word) of the windows laid over rows of word hashes."""
@@ -220,8 +223,14 @@ class Block:
             group = [laid[k] for k in np.flatnonzero(sizes == size)]
             for k in range(0, len(group), 4096):
                 part = group[k : k + 4096]
-                met = (lsh_keys([w for _, _, w, _ in part], size) == self.tables[[x for _, x, _, _ in part]]).any(axis=1)
-                self._verify([part[w] for w in np.flatnonzero(met)], found)
+                mine = lsh_keys([w for _, _, w, _ in part], size)
+                keys, members = self.tables[size]
+                met = {(w, x) for w, (_, x, _, _) in enumerate(part)}  # what a window was laid for needs no table
+                for c in range(mine.shape[1]):
+                    a, b = np.searchsorted(keys[:, c], mine[:, c], "left"), np.searchsorted(keys[:, c], mine[:, c], "right")
+                    for w in np.flatnonzero(b > a).tolist():
+                        met.update((w, int(members[y, c])) for y in range(a[w], b[w]))
+                self._verify([(part[w][0], x, *part[w][2:]) for w, x in sorted(met)], found)
         return [(r, x, d) for (r, x), d in found.items()]
 
     def _verify(self, pairs: list[tuple[int, int, bytes, bytes]], found: dict[tuple[int, int], int]) -> None:

@@ -113,3 +113,15 @@ def test_windows_of_two_rows_do_not_meet(bench):
 def test_near_copy_of_a_very_long_item():
     item = ("abcdefghij" * 4000).encode()
     assert D.infix_distances([item], [item[:20_000] + b"z" + item[20_001:39_000]]).tolist() == [1001]
+
+
+def test_tables_add_items_and_lose_no_seeded_pair(prose, monkeypatch):
+    text = prose(30, 61)
+    near = text[:40] + "#" + text[41:]
+    block = D.Block([(1, text), (2, near)], 0.9)
+    window = D.normal(text.encode())
+    assert {x for _, x, _ in block.matches([(0, 0, window, window)])} == {0, 1}
+    monkeypatch.setattr(D, "lsh_keys", lambda texts, size: np.arange(len(texts) * 128).reshape(-1, 128) - (10**6 if len(texts) == 1 else 0))
+    alone = D.Block([(1, text), (2, prose(200, 62))], 0.9)
+    alone.tables = {k: (v[0] + 10**9, v[1]) for k, v in alone.tables.items()}  # no table agrees
+    assert block and alone.matches([(0, 0, window, window)]) == [(0, 0, 0)]
