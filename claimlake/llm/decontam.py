@@ -10,6 +10,9 @@ that of the item to the nearest substring, and an item leaks where it is at most
    it has two) occur in line, their offsets within one word of each other, and is
    aligned by them. Ordinary prose rarely does so; an edited passage keeps a third of
    its bigrams even with one edit in ten characters.
+   Items of fewer than FEW_WORDS words or in scripts without spaces may keep no bigram:
+   these are also cut into one piece more than the edits allowed, and a window is laid
+   wherever a piece stands. It goes straight to step 4.
 2. CGK embedding. A window walks over its characters, and at every step a random bit,
    drawn for the step and the character under it, says whether to move on. Windows at a
    small edit distance soon walk in step again, so their outputs differ in few places.
@@ -26,7 +29,7 @@ One narrow pass: no shuffle, nothing gathered, whole texts of any length. The be
 goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text, one pass per block.
 
 Null and empty texts leak nothing; null or empty items, and items of fewer than three
-words, which ordinary prose repeats, match nothing. Equal items are reported each by
+words, which ordinary prose repeats, match nothing unless in a script without spaces. Equal items are reported each by
 its own id. Other columns are ignored.
 """
 
@@ -47,6 +50,8 @@ WALKS, TABLES, SAMPLES = 16, 8, 4
 SIZE_STEP = 32
 #: Benchmark text that a task holds at a time.
 BLOCK_BYTES = 8 << 20
+#: Items of fewer words, and those in scripts without spaces, are found by pieces.
+FEW_WORDS = 12
 _FILTER_BITS = 22
 _U = np.uint64
 
@@ -132,6 +137,66 @@ def infix_distances(items: list[bytes], windows: list[bytes]) -> np.ndarray:
     return out
 
 
+def _unspaced(text: bytes) -> bool:
+    """Whether a text has four characters of scripts that mostly write without spaces
+    (three or four bytes each, signs aside)."""
+    lead = np.frombuffer(text, np.uint8)
+    return int(((lead == 0xE0) | (lead == 0xE1) | ((lead >= 0xE3) & (lead < 0xEE)) | (lead >= 0xF0)).sum()) >= 4
+
+
+class Pieces:
+    """Items cut into one piece more than the edits allowed: a passage within that
+    distance holds one of them unchanged, not far from its place."""
+
+    def __init__(self, texts: list[bytes], use: list[int], similarity: float):
+        self.texts, self.edits = texts, {}
+        self.at: dict[int, dict[int, list[tuple[int, int, bytes]]]] = {}  # by bytes looked up, then by these
+        for x in use:
+            n = len(texts[x])
+            e = self.edits[x] = int((1 - similarity) * n + 1e-9)
+            edges = [k * n // (e + 1) for k in range(e + 2)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                piece = texts[x][a:b]
+                if piece:
+                    q = min(8, len(piece))
+                    self.at.setdefault(q, {}).setdefault(int.from_bytes(piece[:q], "little"), []).append((x, a, piece))
+        self.filters = {}
+        for q, own in self.at.items():
+            self.filters[q] = np.zeros(1 << _FILTER_BITS, bool)
+            self.filters[q][self._slot(np.array(list(own), np.uint64))] = True
+
+    @staticmethod
+    def _slot(grams: np.ndarray) -> np.ndarray:
+        return (grams * _U(0x9E3779B97F4A7C15)) >> _U(64 - _FILTER_BITS)
+
+    def laid(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
+        if not self.at:
+            return
+        rows = [normal(data[a:b].tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        text = b"\0".join(rows)  # no item holds a zero
+        own = np.concatenate([[0], np.cumsum([len(r) + 1 for r in rows])])
+        spots: dict[tuple[int, int], set[int]] = {}
+        for begin in range(0, len(text), 1 << 20):
+            part = text[begin : begin + (1 << 20) + 7]
+            grams = np.ndarray((min(len(text) - begin, 1 << 20),), "<u8", part + bytes(8), strides=(1,))
+            for q, known in self.at.items():
+                g = grams & _U((1 << 8 * q) - 1)
+                for p in np.flatnonzero(self.filters[q][self._slot(g)]).tolist():
+                    for x, a, piece in known.get(int(g[p]), ()):
+                        if text.startswith(piece, begin + p):
+                            r = int(np.searchsorted(own, begin + p, side="right")) - 1
+                            spots.setdefault((r, x), set()).add(begin + p - a - int(own[r]))
+        for (r, x), places in spots.items():
+            n, e = len(self.texts[x]), self.edits[x]
+            low = high = None
+            for a in sorted(places):
+                if low is not None and (a - high > n or a - low > 4 * n):
+                    yield r, x, b"", rows[r][max(0, low - e) : high + n + e]
+                    low = None
+                low, high = (a if low is None else low), a
+            yield r, x, b"", rows[r][max(0, low - e) : high + n + e]
+
+
 class Block:
     """An index of some items: bigram places, and LSH tables by size class."""
 
@@ -141,10 +206,12 @@ class Block:
         at = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         words, _, _, own = word_spans(np.frombuffer(b"".join(texts), np.uint8), at, _GAP)
         counts = np.diff(own)
-        use = np.flatnonzero(counts >= 3)
+        whole = np.array([_unspaced(t) for t in texts], bool)
+        use = np.flatnonzero((counts >= 3) | whole)
         self.ids = np.array([items[i][0] for i in use], np.int64)
         self.texts = [normal(texts[i]) for i in use]
         self.words = counts[use]
+        self.pieces = Pieces(self.texts, np.flatnonzero((self.words < FEW_WORDS) | whole[use]).tolist(), similarity)
         keys, item, place = [], [], []
         for k, i in enumerate(use):
             g = _bigrams(words[own[i] : own[i + 1]])
@@ -214,10 +281,13 @@ class Block:
         for r, x, f, m in zip(row.tolist(), item.tolist(), first.tolist(), margin.tolist(), strict=True):
             low, high, n = int(own[r]), int(own[r + 1]), int(self.words[x])
             yield r, x, cut(max(f, low), min(f + n, high)), cut(max(f - m, low), min(f + n + m, high))
+        yield from self.pieces.laid(data, at)
 
     def matches(self, laid: list[tuple[int, int, bytes, bytes]]) -> list[tuple[int, int, int]]:
         """(row, item's index, distance) of the leaks among laid windows."""
         found: dict[tuple[int, int], int] = {}
+        self._verify([x for x in laid if not x[2]], found)
+        laid = [x for x in laid if x[2]]
         sizes = self.size[[x for _, x, _, _ in laid]] if laid else np.zeros(0, np.int64)
         for size in np.unique(sizes).tolist():
             group = [laid[k] for k in np.flatnonzero(sizes == size)]

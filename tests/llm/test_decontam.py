@@ -125,3 +125,23 @@ def test_tables_add_items_and_lose_no_seeded_pair(prose, monkeypatch):
     alone = D.Block([(1, text), (2, prose(200, 62))], 0.9)
     alone.tables = {k: (v[0] + 10**9, v[1]) for k, v in alone.tables.items()}  # no table agrees
     assert block and alone.matches([(0, 0, window, window)]) == [(0, 0, 0)]
+
+
+def test_short_and_unspaced_items_are_found_at_any_edit(prose):
+    """Recall by length, against exact search over all windows."""
+    rng = random.Random(8)
+    items = [(i, prose(3 + i % 9, 40_000 + i)) for i in range(45)] + [(100, "これは公開された評価問題の本文であり空白がない"), (101, "問題の本文")]
+    block = D.Block(items, 0.9)
+    got, want = set(), set()
+    for k, t in enumerate(block.texts):
+        for _ in range(4):
+            bad = bytearray(t)
+            for at in rng.sample(range(len(t)), int(0.1 * len(t) + 1e-9)):
+                bad[at] = ord("z")
+            raw = prose(20, k).encode() + b" - " + bytes(bad) + b" \n " + prose(20, k + 1).encode()
+            data, at = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
+            got |= {(raw, x, d) for _, x, d in block.matches(list(block.laid(data, at)))}
+            near = D.infix_distances(block.texts, [D.normal(raw)] * len(block.texts)).tolist()
+            want |= {(raw, x, d) for x, d in enumerate(near) if d <= 0.1 * len(block.texts[x]) + 1e-9}
+    assert len(block.ids) == 47 and want and {g[:2] for g in got} == {w[:2] for w in want}
+    assert len({w[1] for w in want}) == 47
