@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from claimlake.llm import bpe, chat, decontam, langid, ngram_join, pii, sentence_pieces, suffix_dedup, topk_tree, toxicity, warc
+from claimlake.llm import bpe, chat, decontam, langid, ngram_join, pii, sentence_pieces, suffix_dedup, topk_tree, toxicity, warc, whitening
 
 QUERIES = {
     "op1_ngram_join": ngram_join.op1_ngram_join,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_decontaminate": decontam.op10_decontaminate,
     "op12_sentence_pieces": sentence_pieces.op12_sentence_pieces,
+    "op13_whitening": whitening.op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
