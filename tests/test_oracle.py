@@ -1,4 +1,4 @@
-"""Every registered query against its DuckDB oracle on the smallest tables.
+"""Every registered claims query against its DuckDB oracle on the smallest tables.
 
 Same rule as the driver's check: column names, row count and an
 order-insensitive hash of the values (floats to 6 places, decimals as floats).
@@ -11,6 +11,7 @@ import math
 import pytest
 
 import __spark_entry__ as E
+from claimlake import registry
 from conftest import SF_SMALL
 
 # Keyed stream dedup keeps whichever of two lines sharing an id arrives
@@ -29,13 +30,13 @@ def _norm(v):
     return v
 
 
-def _hashes(cols, rows):
+def hashes(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted(hashlib.md5(repr(tuple(_norm(r[i]) for i in order)).encode()).hexdigest() for r in rows)
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.queries()) - set(registry.oracle_sql())
     assert not missing
 
 
@@ -44,12 +45,12 @@ def test_entry_smoke(spark):
     assert df.count() == 37  # 36 months + the NULL month of unparseable dates
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - ORDER_DEPENDENT))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - ORDER_DEPENDENT))
 def test_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+    sdf = registry.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in sdf.collect()]
-    rel = duck.sql(E.oracle_sql()[name])
+    rel = duck.sql(registry.oracle_sql()[name])
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
     assert len(srows) == len(drows)
-    assert _hashes(sdf.columns, srows) == _hashes(rel.columns, drows)
+    assert hashes(sdf.columns, srows) == hashes(rel.columns, drows)
