@@ -16,10 +16,11 @@ from claimlake.operators import star as G
 from claimlake.plans.pipeline import run, silver_from_tables
 from claimlake.registry import register, select_typed
 from claimlake.registry.gold import SILVER_COLS
-from claimlake.schema import RAW_COLUMNS
+from claimlake.schema import RAW_COLUMNS, RAW_SCHEMA
 from claimlake.session import checkpoint_dir
 from claimlake.sources.fixture import raw_claims
 from claimlake.streaming import incremental as I, stream as S
+from claimlake.streaming.changes import ChangeTable
 
 FACT_SPEC = ("claim_item_id, claimant_id, provider_npi, payer_name, claim_code, service_date_key, charge_amt:D, "
              "allowed_amt:D, discount_amt:D, units, in_network, received_date, claim_status, service_month")
@@ -127,11 +128,28 @@ def _stream_cdc(spark, sf_dir):
     """The change feed streamed as JSON files into the loaded claims, each file once."""
     work = _scratch(spark, "cdc")
     raw = raw_claims(spark, sf_dir)
-    table, feed = os.path.join(work, "claims"), os.path.join(work, "feed")
-    raw.write.parquet(table)
+    feed = os.path.join(work, "feed")
+    table = ChangeTable(spark, os.path.join(work, "claims"), RAW_SCHEMA, "claim_item_id", buckets=8)
+    table.load(raw)
     _changes(raw).write.json(feed)
     S.change_feed(spark, feed, table, os.path.join(work, "_ckpt"), available_now=True).awaitTermination()
-    return spark.read.parquet(table).select(*RAW_COLUMNS)
+    return table.current().select(*RAW_COLUMNS)
+
+
+@register("stream_cdc_out_of_order", O.query(select_typed("cdc_applied", _RAW), ["cdc_applied"]))
+def _stream_cdc_reversed(spark, sf_dir):
+    """The same feed with the last changes delivered first, in micro-batches of their own, then
+    all of it once more, and the loaded claims last of all."""
+    work = _scratch(spark, "cdc_reversed")
+    raw = raw_claims(spark, sf_dir)
+    changes = _changes(raw)
+    feed = os.path.join(work, "feed")
+    table = ChangeTable(spark, os.path.join(work, "claims"), RAW_SCHEMA, "claim_item_id", buckets=8)
+    for delivery, part in enumerate((changes.where("seq = 3"), changes.where("seq = 2"), changes)):
+        part.write.json(os.path.join(feed, str(delivery)))
+        S.change_feed(spark, os.path.join(feed, "*"), table, os.path.join(work, "_ckpt"), available_now=True).awaitTermination()
+    table.load(raw)
+    return table.current().select(*RAW_COLUMNS)
 
 
 # -------------------------------------------------------------- streaming

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimlake.operators.cleaning import clean_claims
 from claimlake.schema import RAW_COLUMNS, RAW_SCHEMA
+from claimlake.streaming.changes import ChangeTable, follow
 
 BUFFER_INTERVAL = "60 seconds"   # stream buffer interval of the Bronze hop
 SILVER_INTERVAL = "15 minutes"   # micro-batch interval of the Silver hop
@@ -114,23 +115,21 @@ def silver_to_fact(spark: SparkSession, silver_dir: str, fact_dir: str, checkpoi
     return _trigger(w, available_now, SILVER_INTERVAL).start()
 
 
-def change_feed(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
-                key: str = "claim_item_id", available_now: bool = False) -> StreamingQuery:
-    """A feed of changed claims (JSON with ``op`` I/U/D and ``seq``) streamed into an
-    unpartitioned table: each micro-batch merges the last change of every key, and
-    deletes drop it. Replaying a batch changes nothing. A later batch must not
-    carry older changes of a key than an earlier one."""
-    from claimlake.streaming.incremental import upsert
-
+def read_change_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of changed claims (JSON with ``op`` I/U/D and ``seq``)."""
     schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("op", T.StringType()), T.StructField("seq", T.LongType())])
-    stream = spark.readStream.schema(schema).json(source_dir)
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(source_dir)
 
-    def merge(batch: DataFrame, _epoch: int) -> None:
-        upsert(batch.sparkSession, table_dir, batch, key, partition_col=None, order_col="seq",
-               deleted=F.col("op") == "D", helper_cols=("op", "seq"))
 
-    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, SILVER_INTERVAL).start()
+def change_feed(spark: SparkSession, source_dir: str, table: ChangeTable, checkpoint: str,
+                available_now: bool = False, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """A feed of changed claims taken into a table of runs: the change of the highest
+    ``seq`` of a key counts, in whatever order and however often changes arrive."""
+    feed = read_change_stream(spark, source_dir, max_files_per_trigger)
+    return follow(table, feed, checkpoint, SILVER_INTERVAL, available_now=available_now)
 
 
 def run_available_now(spark: SparkSession, source_dir: str, work_dir: str) -> str:
