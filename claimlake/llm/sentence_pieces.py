@@ -10,10 +10,9 @@ shortened, and a bitfield notes that its end leads nowhere. Pieces whose neighbo
 all compatible are the exact merge result: the first merge across an edge would also be
 the first across it among the two pieces alone.
 
-No piece holds the space mark behind another character, so no merge crosses from a
-word to the mark that begins the next one; words are encoded apart and remembered in a
-table of bounded size, which only saves time. A model with such pieces is encoded in
-whole texts.
+Where two neighbouring characters stand side by side in no piece, no merge can cross; texts are
+cut there (before every space mark, for one), and the parts are encoded apart and
+remembered in a table of bounded size, which only saves time.
 
 Decoding joins the pieces' bytes, cut out of one buffer by an offset table; the mark
 becomes a space, and the first space, which encoding adds, is taken off.
@@ -28,8 +27,8 @@ cannot clash.
 from __future__ import annotations
 
 import hashlib
-import re
 import struct
+import sys
 from collections.abc import Iterator
 
 import ahocorasick
@@ -41,7 +40,7 @@ from claimlake.llm.common import table, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
-#: Words, and pairs of pieces, that a task remembers before it starts afresh; longer words are not remembered.
+#: Parts of texts, and pairs of pieces, that a task remembers before it starts afresh; longer parts are not remembered.
 REMEMBERED_WORDS = 300_000
 REMEMBERED_PAIRS = 1_000_000
 WORD_CHARS = 64
@@ -112,20 +111,35 @@ class Encoder:
         self.byte_ids = [of_byte[b] for b in range(256)]
         control = {s: i for i, (s, _, kind) in enumerate(pieces) if kind == _CONTROL}
         self.begin, self.end = control["<s>"], control["</s>"]
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for s in self.id:
-            self.automaton.add_word(s)
+        #: A character c that is no piece is known as ``strange`` + ord(c) while a word is split.
+        self.strange = len(pieces)
+        self.text = [s for s, _, _ in pieces]
+        self.size = [len(s) for s in self.text]
+        self.automaton = ahocorasick.Automaton()
+        for s, i in self.id.items():
+            self.automaton.add_word(s, i)
         self.automaton.make_automaton()
-        apart = not any(re.search(f"[^{MARK}]{MARK}", s) for s in self.id)
-        self.cut = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if apart else "(?s).+")
+        together = {s[i : i + 2] for s in self.id for i in range(len(s) - 1)}
+        order = {c: i for i, c in enumerate(sorted({c for pair in together for c in pair}), 1)}
+        self.kind = np.zeros(sys.maxunicode + 1, np.int32)
+        self.kind[[ord(c) for c in order]] = list(order.values())
+        self.together = np.zeros((len(order) + 1, len(order) + 1), bool)
+        self.together[[order[a] for a, _ in together], [order[b] for _, b in together]] = True
+        self.packed = [struct.pack("<I", i) for i in range(len(pieces))]
         surfaces = [bytes([int(s[3:5], 16)]) if kind == _BYTE else b" \xe2\x81\x87 " if kind == _UNKNOWN else b"" if kind == _CONTROL else s.replace(MARK, " ").encode() for s, _, kind in pieces]
         self.surface = b"".join(surfaces)
         self.offsets = np.concatenate([[0], np.cumsum([len(x) for x in surfaces])]).tolist()
         self.is_byte = [kind == _BYTE for _, _, kind in pieces]
-        self.shorter: dict[str, int] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.shorter: dict[int, int] = {}
+        self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[bytes, bytes]] = {}
 
+    def cut(self, text: str) -> list[str]:
+        """The text cut between characters that no piece holds side by side."""
+        kinds = self.kind[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        cuts = (np.flatnonzero(~self.together[kinds[:-1], kinds[1:]]) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])] if text else []
+
     def merged(self, s: str) -> list[str]:
         """The symbols that merging the characters of a short string leaves."""
         out, score = list(s), self.score
@@ -139,83 +153,89 @@ class Encoder:
                 return out
             out[at : at + 2] = [out[at] + out[at + 1]]
 
-    def _fits(self, before: str, piece: str) -> bool:
+    def _name(self, piece: int) -> str:
+        return self.text[piece] if piece < self.strange else chr(piece - self.strange)
+
+    def _fits(self, before: int, piece: int) -> bool:
         """Whether merging leaves ``before`` and ``piece`` side by side, or ``piece``
-        whole if it is the first."""
-        found = self.pairs.get((before, piece))
-        if found is None:
-            if len(self.pairs) >= REMEMBERED_PAIRS:
-                self.pairs.clear()
-            found = self.merged(before + piece) == ([before, piece] if before else [piece])
-            self.pairs[before, piece] = found
+        whole if it is the first (``before`` is -1)."""
+        if len(self.pairs) >= REMEMBERED_PAIRS:
+            self.pairs.clear()
+        names = [self._name(i) for i in (before, piece) if i >= 0]
+        found = self.merged("".join(names)) == names
+        self.pairs[before << 22 | piece] = found
         return found
 
-    def _next_shorter(self, piece: str) -> int:
-        """Characters of the longest piece that ``piece`` goes on; one character always stands."""
+    def _next_shorter(self, piece: int) -> int:
+        """The longest piece that ``piece`` goes on; its first character always stands."""
         found = self.shorter.get(piece)
         if found is None:
-            found = next((n for n in range(len(piece) - 1, 1, -1) if piece[:n] in self.id), 1)
+            s = self.text[piece]
+            found = next((self.id[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in self.id), self.strange + ord(s[0]))
             self.shorter[piece] = found
         return found
 
-    def split(self, word: str) -> list[str]:
+    def split(self, word: str) -> list[int]:
         """The exact pieces of a word; a character without a piece stands alone."""
-        n = len(word)
-        longest = np.ones(n, np.int32)
-        for last, size in self.automaton.iter(word):
-            longest[last - size + 1] = size  # later ends are longer pieces
-        longest = longest.tolist()
+        n, strange, size, pairs = len(word), self.strange, self.size, self.pairs
+        longest = [-1] * n
+        for last, piece in self.automaton.iter(word):
+            longest[last - size[piece] + 1] = piece  # later ends are longer pieces
         dead = bytearray((n >> 3) + 1)  # one bit for each position that leads nowhere
-        out: list[str] = []
-        at = 0
-        size = longest[0] if n else 0
+        out: list[int] = []
+        at, before, piece = 0, -1, -1
         while at < n:
-            stop = at + size
-            piece = word[at:stop]
-            if not dead[stop >> 3] & (1 << (stop & 7)) and self._fits(out[-1] if out else "", piece):
-                out.append(piece)
-                at = stop
-                if at < n:
-                    size = longest[at]
-            elif size > 1:
-                size = self._next_shorter(piece)
+            if piece < 0:
+                piece = longest[at]
+                if piece < 0:
+                    piece = strange + ord(word[at])
+            stop = at + (size[piece] if piece < strange else 1)
+            if not dead[stop >> 3] >> (stop & 7) & 1:
+                fits = pairs.get(before << 22 | piece)
+                if self._fits(before, piece) if fits is None else fits:
+                    out.append(piece)
+                    at, before, piece = stop, piece, -1
+                    continue
+            if stop > at + 1:
+                piece = self._next_shorter(piece)
             else:
                 dead[at >> 3] |= 1 << (at & 7)
-                size = len(out.pop())
-                at -= size
+                piece = out.pop()
+                at -= size[piece] if piece < strange else 1
+                before = out[-1] if out else -1
         return out
 
     def encode_word(self, word: str) -> list[int]:
-        ids: list[int] = []
-        for piece in self.split(word):
-            i = self.id.get(piece)
-            if i is None:
-                ids.extend([self.byte_ids[b] for b in piece.encode()])
-            else:
-                ids.append(i)
-        return ids
+        strange = self.strange
+        ids = self.split(word)
+        if max(ids, default=0) < strange:
+            return ids
+        return [j for i in ids for j in ([i] if i < strange else [self.byte_ids[b] for b in chr(i - strange).encode()])]
 
     def surfaces(self, ids: list[int]) -> bytes:
         at, text = self.offsets, self.surface
         return b"".join([text[at[i] : at[i + 1]] for i in ids])
 
-    def _word(self, word: str) -> tuple[bytes, bytes]:
-        found = self.words.get(word)
-        if found is None:
-            ids = self.encode_word(word)
-            found = (np.array(ids, "<u4").tobytes(), self.surfaces(ids))
-            if len(word) <= WORD_CHARS:
-                if len(self.words) >= REMEMBERED_WORDS:
-                    self.words.clear()
-                self.words[word] = found
-        return found
+    def _encoded(self, word: str) -> tuple[bytes, bytes]:
+        ids = self.encode_word(word)
+        return b"".join([self.packed[i] for i in ids]), self.surfaces(ids)
+
+    def _words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        if len(self.words) >= REMEMBERED_WORDS:
+            self.words.clear()
+        new = {w: self._encoded(w) for w in set(words).difference(self.words)}
+        known = self.words
+        known.update((w, x) for w, x in new.items() if len(w) <= WORD_CHARS)
+        if all(len(w) <= WORD_CHARS for w in new):
+            return [known[w] for w in words]
+        return [new.get(w) or known[w] for w in words]
 
     def encode_text(self, text: str) -> tuple[bytes, bytes]:
         """The ids of a whole text, begin and end ids included, as little-endian unsigned
         32-bit integers, and its decoded text in UTF-8."""
         marked = (MARK if self.prefix and text else "") + text.replace(" ", MARK)
-        found = [self._word(w) for w in self.cut.findall(marked)]
-        ids = b"".join([struct.pack("<I", self.begin), *[x[0] for x in found], struct.pack("<I", self.end)])
+        found = self._words(self.cut(marked))
+        ids = b"".join([self.packed[self.begin], *[x[0] for x in found], self.packed[self.end]])
         decoded = b"".join([x[1] for x in found])
         return ids, decoded[1:] if self.prefix and decoded[:1] == b" " else decoded
 
