@@ -21,6 +21,7 @@ from claimlake.session import checkpoint_dir
 from claimlake.sources.fixture import raw_claims
 from claimlake.streaming import incremental as I, stream as S
 from claimlake.streaming.changes import ChangeTable
+from claimlake.streaming.register import KeyRegister, batch_name, read_silver, silver_once
 
 FACT_SPEC = ("claim_item_id, claimant_id, provider_npi, payer_name, claim_code, service_date_key, charge_amt:D, "
              "allowed_amt:D, discount_amt:D, units, in_network, received_date, claim_status, service_month")
@@ -166,3 +167,57 @@ def _stream(spark, sf_dir):
     raw.where(F.col("type") == "Medicare").write.mode("overwrite").json(os.path.join(src, "batch1_resent"))
     silver_dir = S.run_available_now(spark, os.path.join(src, "*"), work)
     return spark.read.parquet(silver_dir).select(*SILVER_COLS)
+
+
+O.cte("raw_first", f"""
+SELECT {_RAW} FROM raw
+QUALIFY claim_item_id IS NULL OR row_number() OVER (PARTITION BY claim_item_id ORDER BY concat_ws(chr(31), {', '.join(f"COALESCE({c}, '')" for c in RAW_COLUMNS)})) = 1""", ["raw"])
+O.cte("silver_first_lines", O.SILVER_LAMBDA.replace("FROM raw", "FROM raw_first"), ["raw_first"])
+O.cte("silver_first", "SELECT *, CASE WHEN is_valid THEN 'PASS' ELSE 'FAIL' END AS _validation_status FROM silver_first_lines", ["silver_first_lines"])
+
+
+@register("stream_silver_late", O.query(select_typed(
+    "silver_first", ", ".join(c + (":D" if c in ("charge_amt", "allowed_amt", "discount_amt") else "")
+                              for c in SILVER_COLS)), ["silver_first"]))
+def _stream_late(spark, sf_dir):
+    """All lines, then, in deliveries of their own and long after any watermark, the Medicare and
+    the Group lines again: each line stands once in Silver."""
+    work = _scratch(spark, "late")
+    bronze, silver = os.path.join(work, "bronze"), os.path.join(work, "silver")
+    raw = raw_claims(spark, sf_dir)
+    for part in (raw, raw.where(F.col("type") == "Medicare"), raw.where(F.col("type") == "Group")):
+        part.write.mode("append").parquet(bronze)
+        silver_once(spark, bronze, silver, os.path.join(work, "register"), os.path.join(work, "_ckpt"), S.SILVER_INTERVAL, available_now=True, buckets=8).awaitTermination()
+    return read_silver(spark, silver).select(*SILVER_COLS)
+
+
+# ---------------------------------------------------------- key register
+_DELIVERIES = """
+SELECT claim_item_id, CASE WHEN claim_code LIKE 'U%' THEN 1 WHEN claim_code LIKE 'G%' THEN 2 ELSE 3 END AS batch FROM fact_claims
+UNION ALL SELECT claim_item_id, 3 FROM fact_claims WHERE payer_name = 'Medicare'"""
+O.cte("deliveries", _DELIVERIES, ["fact_claims"])
+O.cte("uniqueness_by_batch", """
+SELECT b.batch, COUNT(*) - COUNT(DISTINCT COALESCE(CAST(d.claim_item_id AS VARCHAR), '')) = 0 AS is_unique,
+       COUNT(*) - COUNT(DISTINCT COALESCE(CAST(d.claim_item_id AS VARCHAR), '')) AS duplicate_count
+FROM (SELECT DISTINCT batch FROM deliveries) b JOIN deliveries d ON d.batch <= b.batch GROUP BY b.batch""", ["deliveries"])
+
+
+def deliveries(fact: DataFrame) -> list[DataFrame]:
+    """Three batches of the fact's lines; the last one brings the Medicare lines once more."""
+    code = F.col("claim_code")
+    kind = F.when(code.startswith("U"), 1).when(code.startswith("G"), 2).otherwise(3)
+    parts = [fact.where(kind == i) for i in (1, 2, 3)]
+    return [*parts[:2], parts[2].unionByName(fact.where(F.col("payer_name") == "Medicare"))]
+
+
+@register("dq_uniqueness_by_batch", O.query(select_typed("uniqueness_by_batch", "batch:I, is_unique, duplicate_count:B"), ["uniqueness_by_batch"]))
+def _unique_by_batch(spark, sf_dir):
+    """Uniqueness of the claim id after each of three batches, from the key register alone."""
+    fact = G.fact_claims(silver_from_tables(spark, sf_dir)).select("claim_item_id", "claim_code", "payer_name")
+    keys = KeyRegister(spark, _scratch(spark, "register"), buckets=8)
+    reports = []
+    for i, part in enumerate(deliveries(fact), 1):
+        keys.add(part, "claim_item_id", batch_name(i), most=1)
+        found = keys.report().first()
+        reports.append((i, found["is_unique"], found["duplicate_count"]))
+    return spark.createDataFrame(reports, "batch int, is_unique boolean, duplicate_count long")
