@@ -1,25 +1,26 @@
-"""Incremental loads without a table format.
-
-``upsert`` merges new rows into a Parquet table partitioned by
-``service_month`` by key: only the partitions a batch touches are rewritten
-(dynamic partition overwrite). A touched partition is either the month of
-an incoming row or the old month of an incoming key (a claim whose date
-changed must leave its old month). The merged partitions are first staged
-under the shared checkpoint folder, which cuts lineage and means a lost
-executor recomputes from the staged files, not from the source. A table without
-partitions (a dimension) is merged by a full rewrite.
+"""Incremental loads without a table format.
+
+``upsert`` merges new rows into a Parquet table by key and rewrites only the files that
+hold one of the batch's keys: a key-to-file index (``streaming.file_index``) names the files
+that may, the key column of these says which do. Their other rows and the batch's images are
+written as new files beside the table, in order of the key's hash within a partition, which keeps the
+index's ranges narrow. The swap is noted before the new files are moved into place and the old ones
+deleted, so a job that ends in between is finished by the next merge; a plain reader may see
+rows twice for the length of these moves. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from claimlake.session import checkpoint_dir
 from claimlake.sources import writers as W
-from claimlake.sources.readers import _folder, partition_folders, path_exists
+from claimlake.sources.readers import path_exists
+from claimlake.streaming import file_index as X
 
 
 def select_new(existing: DataFrame, new: DataFrame, date_col: str = "received_date") -> DataFrame:
@@ -41,9 +42,19 @@ def _staged(spark: SparkSession, df: DataFrame, partition_col: str | None = None
     return W.write_table(df, path, [partition_col] if partition_col else None)
 
 
-def upsert(spark: SparkSession, path: str, new: DataFrame, key: str = "claim_item_id",
-           partition_col: str | None = "service_month", mode: str = "key", order_col: str | None = None,
-           deleted: Column | None = None, helper_cols: tuple[str, ...] = ()) -> str:
+@dataclass
+class Upsert:
+    """What a merge did: files rewritten (by their paths under the table), and, if asked for, the
+    changed rows: old images with ``_sign`` -1, new ones with +1."""
+
+    path: str
+    rewritten: list[str]
+    changes: DataFrame | None = None
+
+
+def merge_batch(spark: SparkSession, path: str, new: DataFrame, key: str = "claim_item_id",
+                partition_col: str | None = "service_month", mode: str = "key", order_col: str | None = None,
+                deleted: Column | None = None, helper_cols: tuple[str, ...] = (), images: bool = False) -> Upsert:
     """Merge ``new`` into the Parquet table at ``path``.
 
     ``mode="key"``: insert-or-replace by key; re-running a batch changes nothing. Of
@@ -51,53 +62,56 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, key: str = "claim_ite
     for which ``deleted`` holds remove their key. ``helper_cols`` of the batch (an
     operation, a sequence number) do not go into the table. ``mode="literal"``: only rows newer
     than the table's newest ``received_date`` are inserted, as the documented
-    incremental model does.
+    incremental model does. ``images``: keep the changed rows' old and new images.
 
-    With a ``partition_col`` only the partitions that a batch touches are rewritten,
-    and one that loses its last row is deleted; without (a dimension) the table is
-    rewritten. The batch and the merged rows are staged in the shared folder."""
+    A partition that loses its last row is deleted. Columns that the table lacks are added, and
+    read as NULL from files that are not rewritten. The batch is staged in the shared folder."""
+    X.finish(spark, path)
     columns = [c for c in new.columns if c not in helper_cols]
     schema = new.select(*columns).schema
     gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
-    if not path_exists(spark, path):
-        existing = spark.createDataFrame([], schema)
-    else:
-        # read back with the incoming schema: a 'yyyy-MM' partition value must
-        # stay text (type inference would turn it into a date)
-        existing = spark.read.schema(schema).parquet(path)
-    if mode == "literal":
-        new = select_new(existing, new) if path_exists(spark, path) else new
+    if mode == "literal" and path_exists(spark, path):
+        # read with the incoming schema: a 'yyyy-MM' partition value must stay text
+        new = select_new(spark.read.schema(schema).parquet(path), new)
     row = F.struct(*[F.col(c) for c in columns], gone.alias("_gone"))
     order = F.struct(F.col(order_col), row) if order_col else row
     last = new.withColumn("_k", _merge_key(columns, key)).groupBy("_k").agg(F.max_by(row, order).alias("_r")).select("_k", "_r.*")
-    incoming = spark.read.parquet(_staged(spark, last))
+    incoming = spark.read.schema(last.schema).parquet(_staged(spark, last))
     keys = incoming.select("_k")
-    known = existing.withColumn("_k", _merge_key(columns, key))
-    images = incoming.where(~F.col("_gone")).select(*columns)
-    if partition_col is None:
-        stage = _staged(spark, known.join(keys, "_k", "left_anti").select(*columns).unionByName(images))
-        W.write_table(spark.read.schema(schema).parquet(stage), path)
-        return path
-    old = known.join(keys, "_k", "left_semi").select(partition_col)
-    # bounded by the number of partition values (months)
-    touched = [r[0] for r in images.select(partition_col).union(old).distinct().collect()]
-    if not touched:
-        return path
-    values = [m for m in touched if m is not None]
-    in_touched = F.col(partition_col).isin(values) if values else F.lit(False)
-    if None in touched:
-        in_touched = in_touched | F.col(partition_col).isNull()
-    kept = known.where(in_touched).join(keys, "_k", "left_anti").select(*columns)
-    stage = _staged(spark, kept.unionByName(images), partition_col)
-    filled = set(partition_folders(spark, stage, partition_col))
-    (W.clustered(spark.read.schema(schema).parquet(stage), [partition_col]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    names = {"__HIVE_DEFAULT_PARTITION__" if m is None else m for m in touched}
-    for value, folder in partition_folders(spark, path, partition_col).items():
-        if value in names - filled:  # the batch took its last row
-            fs, p = _folder(spark, folder)
-            fs.delete(p, True)
-    return path
+
+    def keyed(df: DataFrame) -> DataFrame:
+        missing = {c: F.lit(None).cast(schema[c].dataType) for c in columns if c not in df.columns}
+        return df.withColumns(missing).withColumn("_k", _merge_key(columns, key))
+
+    index = X.FileIndex(spark, path)
+    here = index.update(lambda df: keyed(df.select("_file", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns])))
+    touched: list[str] = []
+    if here:
+        maybe = X.read_files(spark, path, index.candidates(keys, here), schema).withColumn("_file", X.file_name())
+        touched = sorted(r[0] for r in keyed(maybe).join(keys, "_k", "left_semi").select("_file").distinct().collect())
+    held = keyed(X.read_files(spark, path, touched, schema))
+    new_images = incoming.where(~F.col("_gone")).select("_k", *columns)
+    changes = None
+    if images:
+        old = held.join(keys, "_k", "left_semi").select(*columns, F.lit(-1).alias("_sign"))
+        both = old.unionByName(new_images.select(*columns, F.lit(1).alias("_sign")))
+        changes = spark.read.schema(both.schema).parquet(_staged(spark, both))
+    out = held.join(keys, "_k", "left_anti").select("_k", *columns).unionByName(new_images)
+    by = [F.col(partition_col)] if partition_col else []
+    out = out.withColumn("_h", X.key_hash("_k"))
+    out = out.repartitionByRange(*by, F.col("_h")).sortWithinPartitions(*by, F.col("_h")).select(*columns)
+    writer = out.write.mode("append").option("maxRecordsPerFile", W.MAX_RECORDS_PER_FILE)
+    staged = os.path.join(path, "_index", f"new-{uuid.uuid4().hex}")
+    (writer.partitionBy(partition_col) if partition_col else writer).parquet(staged)
+    X.swap_files(spark, path, staged, touched)
+    return Upsert(path, touched, changes)
+
+
+def upsert(spark: SparkSession, path: str, new: DataFrame, key: str = "claim_item_id",
+           partition_col: str | None = "service_month", mode: str = "key", order_col: str | None = None,
+           deleted: Column | None = None, helper_cols: tuple[str, ...] = ()) -> str:
+    """``merge_batch``, returning the table's path."""
+    return merge_batch(spark, path, new, key, partition_col, mode, order_col, deleted, helper_cols).path
 
 
 def latest_changes(changes: DataFrame, key: str, seq_col: str = "seq") -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from claimlake.session import checkpoint_dir
 from claimlake.sources.readers import latest_run, partition_folders, path_exists, read_latest
 from claimlake.sources.writers import write_bronze
-from claimlake.streaming.incremental import upsert
+from claimlake.streaming.file_index import FileIndex, file_name
+from claimlake.streaming.incremental import merge_batch, upsert
 
 COLS = "claim_item_id long, amount int, service_month string"
 
@@ -92,3 +93,86 @@ def test_claim_ids_never_collide_or_overflow(spark):
     raw = spark.sql(fx.spark_lens_sql(), lineitem=line, orders=orders, supplier=supplier, nation=nation)
     ids = [r[0] for r in raw.select(F.col("claim_item_id").cast("decimal(38,0)")).collect()]
     assert None not in ids and len(set(ids)) == len(ids) > len(keys)
+
+
+def data_files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) if "_index" not in d for f in fs if f.endswith(".parquet")}
+
+
+@pytest.fixture
+def many(spark):
+    """A table of 4 months and some 40 files."""
+    path = os.path.join(checkpoint_dir(spark), f"up-{uuid.uuid4().hex}")
+    rows = spark.range(8000).selectExpr("id AS claim_item_id", "cast(id % 7 AS int) AS amount", "concat('2021-0', 1 + id % 4) AS service_month")
+    out = rows.repartitionByRange(40, "service_month", F.xxhash64(F.concat(F.lit("k"), F.col("claim_item_id").cast("string"))))
+    out.write.partitionBy("service_month").parquet(path)
+    return path
+
+
+def test_a_thousandth_of_the_keys_rewrites_only_their_files(spark, many):
+    before = data_files(many)
+    assert len(before) >= 40
+    holds = spark.read.schema(COLS).parquet(many).where(F.col("claim_item_id").isin(5, 17, 4000, 7999)).select("_metadata.file_path").distinct().count()
+    batch = spark.createDataFrame([(5, 100, "2021-02"), (17, 100, "2021-01"), (4000, -1, "2021-01"), (7999, 100, "2021-04"), (9000, 100, "2021-03")], COLS)
+    done = merge_batch(spark, many, batch, deleted=F.col("amount") < 0, images=True)
+    after = data_files(many)
+    assert len(done.rewritten) == holds <= 4 and len(set(before) - set(after)) == holds
+    assert all(after[f] == t for f, t in before.items() if f in after)
+    got = {r[0]: (r[1], r[2]) for r in spark.read.schema(COLS).parquet(many).collect()}
+    assert len(got) == 8000 and got[5] == (100, "2021-02") and got[17] == (100, "2021-01") and 4000 not in got and got[9000] == (100, "2021-03")
+    assert {(r["claim_item_id"], r["_sign"]) for r in done.changes.collect()} == {(5, -1), (5, 1), (17, -1), (17, 1), (4000, -1), (7999, -1), (7999, 1), (9000, 1)}
+
+
+def test_new_keys_rewrite_no_file(spark, many):
+    before = data_files(many)
+    assert merge_batch(spark, many, spark.createDataFrame([(k, 1, "2021-09") for k in range(10_000, 10_050)], COLS)).rewritten == []
+    assert before.items() <= data_files(many).items()
+
+
+def test_filters_rule_files_out_before_they_are_read(spark, many):
+    """Keys of a hash-ordered table meet one file a month by range; the filter leaves few of these."""
+    index = FileIndex(spark, many)
+    keyed = lambda df: df.withColumn("_k", F.concat(F.lit("k"), F.col("claim_item_id").cast("string")))
+    here = index.update(keyed)
+    ask = lambda ids: index.candidates(spark.createDataFrame([(f"k{i}",) for i in ids], "_k string"), here)
+    assert len(ask(range(50_000, 50_100))) <= 8  # of 400 pairs of key and file in range, one in 120
+    held = {r[0]: r[1] for r in spark.read.parquet(many).select("claim_item_id", file_name()).collect()}
+    for i in (1, 2, 3, 777, 4242):
+        assert held[i] in ask([i])  # a file that holds a key is never ruled out
+
+
+@pytest.mark.parametrize("cut", ["before", "within"])
+def test_a_swap_that_was_cut_off_is_finished_by_the_next_merge(spark, many, monkeypatch, cut):
+    batch = spark.createDataFrame([(5, 100, "2021-02"), (6, 100, "2021-01")], COLS)
+
+    def fail(*a):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr("claimlake.streaming.file_index." + {"before": "finish", "within": "_delete"}[cut], fail)
+    if cut == "before":
+        monkeypatch.setattr("claimlake.streaming.incremental.X.finish", lambda *a: None)
+        monkeypatch.setattr("claimlake.streaming.file_index.finish", lambda *a: None)
+        merge_batch(spark, many, batch)
+        assert spark.read.schema(COLS).parquet(many).where("amount = 100").count() == 0
+    else:
+        with pytest.raises(RuntimeError):
+            merge_batch(spark, many, batch)
+        assert spark.read.schema(COLS).parquet(many).count() > 8000
+    monkeypatch.undo()
+    merge_batch(spark, many, spark.createDataFrame([(7, 100, "2021-04")], COLS))
+    got = spark.read.schema(COLS).parquet(many)
+    assert got.where("amount = 100").count() == 3 and got.select("claim_item_id").distinct().count() == got.count() == 8000
+
+
+def test_a_new_column_is_null_where_nothing_was_rewritten(spark, table):
+    table([(1, 5, "2021-01"), (2, 6, "2021-02")])
+    wide = COLS + ", note string"
+    upsert(spark, table.path, spark.createDataFrame([(1, 7, "2021-01", "x")], wide))
+    assert sorted(tuple(r) for r in spark.read.schema(wide).parquet(table.path).select("claim_item_id", "amount", "note").collect()) == [(1, 7, "x"), (2, 6, None)]
+
+
+def test_keys_without_partitions_go_by_file_too(spark, table):
+    table([(k, 0, "a") for k in range(200)], partition_col=None)
+    before = data_files(table.path)
+    assert len(table([(3, 9, "a")], partition_col=None)) == 200
+    assert len(set(before) - set(data_files(table.path))) == 1
