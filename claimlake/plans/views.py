@@ -80,7 +80,11 @@ def _ratio_avg(sum_col: str, n_col: str) -> Column:
 # ----------------------------------------------------------------- V1 / V1b
 def monthly_costs(star: Star) -> DataFrame:
     """V1: month, in_network, state -> counts, sums, average discount %."""
-    joined = _with_provider(star, [_month(), "in_network"])
+    return monthly_costs_of(_with_provider(star, [_month(), "in_network"]))
+
+
+def monthly_costs_of(joined: DataFrame) -> DataFrame:
+    """V1 from partial measures joined with the provider."""
     return (joined.groupBy("month", "in_network", "state")
                   .agg(F.sum("_n").alias("claim_count"),
                        F.sum("_charge").alias("total_charged"),
@@ -104,7 +108,11 @@ def monthly_costs_by_payer(star: Star) -> DataFrame:
 # ----------------------------------------------------------------- V2 / V2b
 def provider_kpis(star: Star) -> DataFrame:
     """V2: provider name, city, state -> claims, charged, avg charge, in-network %."""
-    joined = _with_provider(star, [])
+    return provider_kpis_of(_with_provider(star, []))
+
+
+def provider_kpis_of(joined: DataFrame) -> DataFrame:
+    """V2 from partial measures joined with the provider."""
     return (joined.groupBy("provider_name", "city", "state")
                   .agg(F.sum("_n").alias("total_claims"),
                        F.sum("_charge").alias("total_charged"),

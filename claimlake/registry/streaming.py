@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimlake import oracle as O
 from claimlake.operators import star as G
+from claimlake.plans.mart_deltas import MartStore
 from claimlake.plans.pipeline import run, silver_from_tables
 from claimlake.registry import register, select_typed
 from claimlake.registry.gold import SILVER_COLS
+from claimlake.registry.views import VIEW_ORACLES
 from claimlake.schema import RAW_COLUMNS, RAW_SCHEMA
 from claimlake.session import checkpoint_dir
 from claimlake.sources.fixture import raw_claims
@@ -221,3 +223,42 @@ def _unique_by_batch(spark, sf_dir):
         found = keys.report().first()
         reports.append((i, found["is_unique"], found["duplicate_count"]))
     return spark.createDataFrame(reports, "batch int, is_unique boolean, duplicate_count long")
+
+
+# ------------------------------------------------------------- mart deltas
+O.cte("changed_facts", """
+SELECT fc.*, CAST(date_trunc('month', received_date) AS DATE) AS month, discount_amt / NULLIF(charge_amt, 0) AS ratio,
+       CAST(COALESCE(in_network, false) AS INT) AS inside
+FROM moved_claims fc WHERE payer_name IS DISTINCT FROM 'Medicare'""", ["moved_claims"])
+for _view in ("vw_monthly_costs", "vw_provider_kpis"):
+    _, (_body, _uses), _ = VIEW_ORACLES[_view]
+    O.cte(f"{_view}_changed", _body.replace("line_facts l", "changed_facts l"), ["changed_facts" if u == "line_facts" else u for u in _uses])
+
+
+def _marts_by_delta(spark, sf_dir) -> MartStore:
+    """Three batches: the lines before 2021, all lines with those of March 2020 dated a month later,
+    and the deletion of the Medicare lines."""
+    silver = silver_from_tables(spark, sf_dir)
+    fact, providers = G.fact_claims(silver).drop("_loaded_at"), G.dim_provider(silver)
+    work = _scratch(spark, "marts")
+    marts, path = MartStore(spark, os.path.join(work, "marts")), os.path.join(work, "fact_claims")
+    month, later = F.col("service_month") == "2020-03", F.add_months("received_date", 1)
+    moved = fact.withColumns({"received_date": F.when(month, later).otherwise(F.col("received_date")),
+                              "service_date_key": F.when(month, F.date_format(later, "yyyyMMdd").cast("int")).otherwise(F.col("service_date_key")),
+                              "service_month": F.when(month, F.lit("2020-04")).otherwise(F.col("service_month"))})
+    medicare = F.col("payer_name") == "Medicare"
+    for i, (rows, gone) in enumerate(((fact.where(F.col("service_month") < "2021-01"), None), (moved, None), (moved.where(medicare), medicare))):
+        marts.follow(path, rows, providers, batch_name(i), deleted=gone)
+    return marts
+
+
+@register("mart_monthly_costs_by_delta", O.query(select_typed("vw_monthly_costs_changed", VIEW_ORACLES["vw_monthly_costs"][2]), ["vw_monthly_costs_changed"]))
+def _costs_by_delta(spark, sf_dir):
+    """The monthly mart kept up by the changes of three batches."""
+    return _marts_by_delta(spark, sf_dir).monthly_costs()
+
+
+@register("mart_provider_kpis_by_delta", O.query(select_typed("vw_provider_kpis_changed", VIEW_ORACLES["vw_provider_kpis"][2]), ["vw_provider_kpis_changed"]))
+def _kpis_by_delta(spark, sf_dir):
+    """The provider mart kept up by the changes of three batches."""
+    return _marts_by_delta(spark, sf_dir).provider_kpis()

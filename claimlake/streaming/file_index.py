@@ -87,17 +87,20 @@ def finish(spark: SparkSession, path: str) -> None:
             fs.mkdirs(target.getParent())
             fs.rename(source, target)
     _delete(spark, path, swap["old"])
+    if swap["done"]:
+        fs, p = _folder(spark, swap["done"])
+        fs.create(p, True).close()
     fs, p = _folder(spark, swap["staged"])
     fs.delete(p, True)
     fs, p = _folder(spark, _intent(path))
     fs.delete(p, False)
 
 
-def swap_files(spark: SparkSession, path: str, staged: str, old: list[str]) -> None:
-    """Puts the files written under ``staged`` (a folder of the table's ``_index``) in place of ``old``.
-    What is to be done is noted first, in one rename; ``finish`` does it, now or when the next
-    merge finds the note."""
-    note = json.dumps({"staged": staged, "new": present(spark, staged), "old": old})
+def swap_files(spark: SparkSession, path: str, staged: str, old: list[str], done: str | None = None) -> None:
+    """Puts the files written under ``staged`` (a folder of the table's ``_index``) in place of ``old``,
+    and then makes an empty file ``done``. What is to be done is noted first, in one rename;
+    ``finish`` does it, now or when the next merge finds the note."""
+    note = json.dumps({"staged": staged, "new": present(spark, staged), "old": old, "done": done})
     fs, draft = _folder(spark, _intent(path) + ".draft")
     out = fs.create(draft, True)
     out.write(bytearray(note.encode()))

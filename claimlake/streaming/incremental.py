@@ -15,7 +15,7 @@ import os
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from claimlake.session import checkpoint_dir
 from claimlake.sources import writers as W
@@ -44,8 +44,9 @@ def _staged(spark: SparkSession, df: DataFrame, partition_col: str | None = None
 
 @dataclass
 class Upsert:
-    """What a merge did: files rewritten (by their paths under the table), and, if asked for, the
-    changed rows: old images with ``_sign`` -1, new ones with +1."""
+    """What a merge did: files rewritten (by their paths under the table; none if the batch was
+    merged before), and, if asked for, the changed rows: old images with ``_sign`` -1, new
+    ones with +1."""
 
     path: str
     rewritten: list[str]
@@ -54,7 +55,7 @@ class Upsert:
 
 def merge_batch(spark: SparkSession, path: str, new: DataFrame, key: str = "claim_item_id",
                 partition_col: str | None = "service_month", mode: str = "key", order_col: str | None = None,
-                deleted: Column | None = None, helper_cols: tuple[str, ...] = (), images: bool = False) -> Upsert:
+                deleted: Column | None = None, helper_cols: tuple[str, ...] = (), images: str | None = None) -> Upsert:
     """Merge ``new`` into the Parquet table at ``path``.
 
     ``mode="key"``: insert-or-replace by key; re-running a batch changes nothing. Of
@@ -62,13 +63,17 @@ def merge_batch(spark: SparkSession, path: str, new: DataFrame, key: str = "clai
     for which ``deleted`` holds remove their key. ``helper_cols`` of the batch (an
     operation, a sequence number) do not go into the table. ``mode="literal"``: only rows newer
     than the table's newest ``received_date`` are inserted, as the documented
-    incremental model does. ``images``: keep the changed rows' old and new images.
+    incremental model does. ``images``: a folder of this batch's own for the changed rows' old and new
+    images; if the batch is sent again after it was merged, these are returned as they were.
 
     A partition that loses its last row is deleted. Columns that the table lacks are added, and
     read as NULL from files that are not rewritten. The batch is staged in the shared folder."""
     X.finish(spark, path)
     columns = [c for c in new.columns if c not in helper_cols]
     schema = new.select(*columns).schema
+    signed = T.StructType([*schema.fields, T.StructField("_sign", T.IntegerType())])
+    if images and path_exists(spark, os.path.join(images, "merged")):
+        return Upsert(path, [], spark.read.schema(signed).parquet(os.path.join(images, "rows")))
     gone = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
     if mode == "literal" and path_exists(spark, path):
         # read with the incoming schema: a 'yyyy-MM' partition value must stay text
@@ -95,7 +100,8 @@ def merge_batch(spark: SparkSession, path: str, new: DataFrame, key: str = "clai
     if images:
         old = held.join(keys, "_k", "left_semi").select(*columns, F.lit(-1).alias("_sign"))
         both = old.unionByName(new_images.select(*columns, F.lit(1).alias("_sign")))
-        changes = spark.read.schema(both.schema).parquet(_staged(spark, both))
+        W.write_table(both, os.path.join(images, "rows"))
+        changes = spark.read.schema(signed).parquet(os.path.join(images, "rows"))
     out = held.join(keys, "_k", "left_anti").select("_k", *columns).unionByName(new_images)
     by = [F.col(partition_col)] if partition_col else []
     out = out.withColumn("_h", X.key_hash("_k"))
@@ -103,7 +109,7 @@ def merge_batch(spark: SparkSession, path: str, new: DataFrame, key: str = "clai
     writer = out.write.mode("append").option("maxRecordsPerFile", W.MAX_RECORDS_PER_FILE)
     staged = os.path.join(path, "_index", f"new-{uuid.uuid4().hex}")
     (writer.partitionBy(partition_col) if partition_col else writer).parquet(staged)
-    X.swap_files(spark, path, staged, touched)
+    X.swap_files(spark, path, staged, touched, done=images and os.path.join(images, "merged"))
     return Upsert(path, touched, changes)
 
 

@@ -114,13 +114,15 @@ def test_a_thousandth_of_the_keys_rewrites_only_their_files(spark, many):
     assert len(before) >= 40
     holds = spark.read.schema(COLS).parquet(many).where(F.col("claim_item_id").isin(5, 17, 4000, 7999)).select("_metadata.file_path").distinct().count()
     batch = spark.createDataFrame([(5, 100, "2021-02"), (17, 100, "2021-01"), (4000, -1, "2021-01"), (7999, 100, "2021-04"), (9000, 100, "2021-03")], COLS)
-    done = merge_batch(spark, many, batch, deleted=F.col("amount") < 0, images=True)
+    done = merge_batch(spark, many, batch, deleted=F.col("amount") < 0, images=many + "-images")
     after = data_files(many)
     assert len(done.rewritten) == holds <= 4 and len(set(before) - set(after)) == holds
     assert all(after[f] == t for f, t in before.items() if f in after)
     got = {r[0]: (r[1], r[2]) for r in spark.read.schema(COLS).parquet(many).collect()}
     assert len(got) == 8000 and got[5] == (100, "2021-02") and got[17] == (100, "2021-01") and 4000 not in got and got[9000] == (100, "2021-03")
     assert {(r["claim_item_id"], r["_sign"]) for r in done.changes.collect()} == {(5, -1), (5, 1), (17, -1), (17, 1), (4000, -1), (7999, -1), (7999, 1), (9000, 1)}
+    again = merge_batch(spark, many, batch, deleted=F.col("amount") < 0, images=many + "-images")
+    assert again.rewritten == [] and again.changes.count() == 8
 
 
 def test_new_keys_rewrite_no_file(spark, many):
