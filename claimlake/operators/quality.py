@@ -5,9 +5,9 @@ that concern single rows are also available as boolean columns, so routing
 and per-record scores need no second pass. Uniqueness is measured with a
 grouped count (partial aggregation; skew-safe), never with a window.
 
-Exact distinct counts of many columns in one pass make Spark expand each row
-once per distinct column; ``exact=False`` switches to HyperLogLog
-(``approx_count_distinct``), which keeps one row and a fixed-size sketch.
+Exact profiles count (column, value) pairs in one pass; ``exact=False`` switches to
+HyperLogLog (``approx_count_distinct``), and ``profile_sketches`` stores mergeable sketches
+of a batch for a running profile.
 """
 
 from __future__ import annotations
@@ -54,25 +54,57 @@ def null_profile(df: DataFrame, columns: list[str] | None = None, approx_distinc
     return out.withColumn("null_pct", X.pct_of(F.col("null_count"), F.col("_rows"))).drop("_rows")
 
 
+def _as_text(df: DataFrame, c: str) -> Column:
+    """A value as text, equal values alike (-0.0 is 0.0)."""
+    value = F.col(c) + F.lit(0.0) if dict(df.dtypes)[c] in ("float", "double") else F.col(c)
+    return value.cast("string")
+
+
 def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Per column type, nulls, null %, distinct values.
 
-    Exact distinct counts are one ``distinct`` per column, unioned: each
-    branch reads only its own Parquet column and shuffles only that column's
-    distinct values, instead of the row expansion (one copy of every row per
-    column) that several ``count(DISTINCT)`` in one aggregate would cause.
-    ``exact=False`` uses HyperLogLog inside the single aggregate. pandas
-    ``nunique`` ignores NULL, as these counts do."""
+    The exact profile is one pass: every row is spread into (column, value) pairs, which are
+    counted with map-side combining, so a task ships each value of a column once, however often
+    it occurs, and rows, NULLs and distinct values of all columns come from these counts.
+    ``exact=False`` uses HyperLogLog inside a single aggregate. pandas ``nunique`` ignores NULL,
+    as these counts do."""
     cols = columns or df.columns
     if not exact:
         return null_profile(df, cols, approx_distinct=True)
-    distincts = reduce(DataFrame.unionByName, [
-        df.select(F.col(c)).where(F.col(c).isNotNull()).distinct()
-          .agg(F.count(F.lit(1)).alias("unique_values")).select(F.lit(c).alias("_col"), "unique_values")
-        for c in cols])
-    return (null_profile(df, cols)
-            .join(distincts, F.col("column_name") == F.col("_col")).drop("_col")
-            .select("column_name", "data_type", "null_count", "null_pct", "unique_values"))
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), _as_text(df, c).alias("v")) for i, c in enumerate(cols)])
+    counts = df.select(F.explode(pairs).alias("p")).groupBy("p.i", "p.v").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.groupBy("i").agg(F.sum("n").alias("rows"), F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("null_count"),
+                                    F.count("v").alias("unique_values"))
+    types = dict(df.dtypes)
+    names = df.sparkSession.createDataFrame([(i, c, types[c]) for i, c in enumerate(cols)], "i int, column_name string, data_type string")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
+    return (names.join(found, "i", "left")
+            .select("column_name", "data_type", zero("null_count"), F.when(F.col("rows") > 0, X.pct_of(F.col("null_count"), F.col("rows"))).alias("null_pct"), zero("unique_values")))
+
+
+#: Registers of a stored sketch, as a power of two, and its relative standard error, 1.04 / sqrt(2^14).
+SKETCH_BITS = 14
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def profile_sketches(df: DataFrame, batch: str, columns: list[str] | None = None) -> DataFrame:
+    """D1 for a batch, to be stored and merged: (batch, column, type, rows, nulls, sketch of the
+    distinct values), one aggregate over one pass. A sketch has a fixed size (16 KB)."""
+    cols = columns or df.columns
+    types = dict(df.dtypes)
+    one = df.agg(F.count(F.lit(1)).alias("_rows"), *[_n_null(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+                 *[F.hll_sketch_agg(_as_text(df, c), SKETCH_BITS).alias(f"s_{i}") for i, c in enumerate(cols)])
+    line = lambda i, c: F.struct(F.lit(batch).alias("batch"), F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
+                                 F.col("_rows").alias("rows"), F.col(f"n_{i}").alias("null_count"), F.col(f"s_{i}").alias("sketch"))
+    return _long(one, [line(i, c) for i, c in enumerate(cols)])
+
+
+def running_profile(sketches: DataFrame) -> DataFrame:
+    """D1 over all stored batches: rows and NULLs are added, sketches merged; no row of a
+    batch is read. The distinct count has a standard error of ``SKETCH_ERROR``."""
+    merged = sketches.groupBy("column_name", "data_type").agg(F.sum("rows").alias("rows"), F.sum("null_count").alias("null_count"), F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select("column_name", "data_type", "rows", "null_count", X.pct_of(F.col("null_count"), F.col("rows")).alias("null_pct"),
+                         F.hll_sketch_estimate("sketch").alias("unique_values"))
 
 
 def high_null_columns(df: DataFrame, threshold: float = 50.0) -> DataFrame:

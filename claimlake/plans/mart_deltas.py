@@ -76,7 +76,8 @@ class MartStore:
         (costs.hint("rebalance", "service_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if months is not None else "static")
          .partitionBy("service_month").parquet(path))
         if months:
-            left = {r[0] for r in costs.select("service_month").distinct().collect()}  # of the touched months
+            held = self.runs.read(months).where(F.col("_n") > 0)
+            left = {r[0] or NO_MONTH for r in held.select("service_month").distinct().collect()}  # of the touched months
             for month, folder in partition_folders(self.spark, path, "service_month").items():
                 if month in set(months) - left:  # the batch took its last line
                     fs, p = _folder(self.spark, folder)

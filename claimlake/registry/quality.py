@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import functions as F
+
 from claimlake import oracle as O
 from claimlake.operators import quality as Q, star as G
 from claimlake.plans.pipeline import silver_from_tables
 from claimlake.registry import register, select_typed
 from claimlake.schema import DIAG_COLUMNS, DUPLICATE_KEY, RAW_COLUMNS
+from claimlake.session import scratch_path
 from claimlake.sources.fixture import raw_claims
 
 pct = O.pct
@@ -34,6 +39,26 @@ _reg("dq_high_null_columns", lambda s, d: Q.high_null_columns(raw_claims(s, d)),
 _reg("dq_diagnosis_sparsity", lambda s, d: Q.profile(raw_claims(s, d), DIAG_COLUMNS),
      _profile_sql("raw", DIAG_COLUMNS), ["raw"], PROFILE_SPEC)
 
+
+
+def _running(spark, sf_dir):
+    """D1 over three batches by their stored sketches, beside the exact profile."""
+    raw = raw_claims(spark, sf_dir)
+    path = scratch_path(spark, f"sketches-{uuid.uuid4().hex}")
+    code = F.col("claim_code")
+    kind = F.when(code.startswith("U"), 1).when(code.startswith("G"), 2).otherwise(3)
+    for i in (1, 2, 3):
+        Q.profile_sketches(raw.where(kind == i), str(i)).write.mode("append").parquet(path)
+    running = Q.running_profile(spark.read.parquet(path))
+    exact = Q.profile(raw).select("column_name", F.col("unique_values").alias("exact"))
+    near = F.abs(F.col("unique_values") - F.col("exact")) <= F.ceil(4 * Q.SKETCH_ERROR * F.col("exact"))
+    return running.join(exact, "column_name").select("column_name", "rows", "null_count", "null_pct", F.col("exact").alias("unique_values"), near.alias("within_error"))
+
+
+_reg("dq_profile_running", _running,
+     "SELECT column_name, (SELECT COUNT(*) FROM raw) AS rows, null_count, null_pct, unique_values, true AS within_error FROM dq_profile_raw",
+     ["raw", "dq_profile_raw"], "column_name, rows:B, null_count:B, null_pct, unique_values:B, within_error")
+
 _reg("dq_duplicate_rows", lambda s, d: Q.duplicate_row_count(silver_from_tables(s, d), DUPLICATE_KEY), f"""
 SELECT COALESCE(SUM(CASE WHEN n > 1 THEN n END), 0) AS duplicate_rows, COUNT(*) FILTER (WHERE n > 1) AS duplicate_keys
 FROM (SELECT COUNT(*) AS n FROM silver GROUP BY {', '.join(DUPLICATE_KEY)})""", ["silver"],

@@ -33,6 +33,12 @@ def _scratch(spark, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def _written(spark, df: DataFrame, path: str) -> DataFrame:
+    """``df``, written once and read back: batches cut from it do not derive it anew."""
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @register("incremental_fact_claims", O.query(select_typed("fact_claims", FACT_SPEC), ["fact_claims"]))
 def _incremental(spark, sf_dir):
     """T4 / T5: first half of the months, then every line (overlapping keys
@@ -56,7 +62,7 @@ FROM fact_claims""", ["fact_claims"])
 def _moved(spark, sf_dir):
     """T5: a batch that dates every claim of a month to the next one, sent twice: the old
     month's partition goes, no claim stands twice."""
-    fact = G.fact_claims(silver_from_tables(spark, sf_dir)).drop("_loaded_at")
+    fact = _written(spark, G.fact_claims(silver_from_tables(spark, sf_dir)).drop("_loaded_at"), _scratch(spark, "lines"))
     path = _scratch(spark, "fact_claims")
     I.upsert(spark, path, fact)
     later = F.add_months("received_date", 1)
@@ -239,8 +245,9 @@ def _marts_by_delta(spark, sf_dir) -> MartStore:
     """Three batches: the lines before 2021, all lines with those of March 2020 dated a month later,
     and the deletion of the Medicare lines."""
     silver = silver_from_tables(spark, sf_dir)
-    fact, providers = G.fact_claims(silver).drop("_loaded_at"), G.dim_provider(silver)
     work = _scratch(spark, "marts")
+    fact = _written(spark, G.fact_claims(silver).drop("_loaded_at"), os.path.join(work, "lines"))
+    providers = _written(spark, G.dim_provider(silver), os.path.join(work, "dim_provider"))
     marts, path = MartStore(spark, os.path.join(work, "marts")), os.path.join(work, "fact_claims")
     month, later = F.col("service_month") == "2020-03", F.add_months("received_date", 1)
     moved = fact.withColumns({"received_date": F.when(month, later).otherwise(F.col("received_date")),
