@@ -347,14 +347,15 @@ ROLES = ("engineer", "scientist", "analyst", "billing_manager", "executive")
 def role_view(df: DataFrame, role: str, salt: str = "", unknown: str = "drop") -> DataFrame:
     """Role-scoped projection. Engineers see everything; scientists see
     PHI hashed (SHA-256, after ``salt``); analysts and billing managers lose PII and
-    see PHI hashed; executives get no row-level access (use the aggregate views).
+    see PHI hashed; executives get no row-level access: ``aggregates.role_report`` has the
+    aggregated reports of billing managers and executives.
     Columns without a tag are withheld unless ``unknown`` is "keep"."""
     if role not in ROLES:
         raise ValueError(f"unknown role {role!r}")
     if role == "engineer":
         return df
     if role == "executive":
-        raise PermissionError("executives read aggregate views only")
+        raise PermissionError("executives read aggregates only: see operators.aggregates.role_report")
     shown = []
     for c in df.columns:
         tag = PHI_TAGS.get(c)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from claimlake import oracle as O
-from claimlake.operators import quality as Q, star as G
+from claimlake.operators import aggregates as A, quality as Q, star as G
 from claimlake.plans.pipeline import silver_from_tables
 from claimlake.registry import register, select_typed
 from claimlake.schema import DIAG_COLUMNS, DUPLICATE_KEY, RAW_COLUMNS
@@ -209,3 +209,39 @@ for _role, _salt in (("analyst", ""), ("scientist", "s3"), ("billing_manager", "
          lambda s, d, role=_role, salt=_salt: Q.role_view(
              G.fact_claims(silver_from_tables(s, d)).drop("_loaded_at"), role, salt),
          f"SELECT * EXCLUDE (claimant_id), {_hashed} FROM fact_claims", ["fact_claims"], _ROLE_SPEC)
+
+
+def _report_sql(group: str, cell: str, measures: dict[str, str], more: str = "", least: int = A.LEAST_PATIENTS) -> str:
+    """The rules of withholding by lists: per parent, the names of the small children and of the cover."""
+    facts = ", ".join(f"{e} AS {n}" for n, e in measures.items())
+    names = ", ".join(f"CASE WHEN shown THEN {n} END AS {n}" for n in ("patients", *measures))
+    return f"""
+WITH src AS (SELECT *, {group} AS g, {cell} AS c FROM fact_claims),
+total AS (SELECT COUNT(DISTINCT claimant_id) AS patients, {facts} FROM src),
+by_group AS (SELECT g, COUNT(DISTINCT claimant_id) AS patients, {facts} FROM src GROUP BY g),
+by_cell AS (SELECT g, c, COUNT(DISTINCT claimant_id) AS patients, {facts} FROM src GROUP BY g, c),
+cover_group AS (SELECT COALESCE(g, '') AS name FROM by_group WHERE patients >= {least} AND EXISTS (SELECT 1 FROM by_group WHERE patients < {least})
+                ORDER BY patients, g NULLS FIRST LIMIT 1),
+open_group AS (SELECT g FROM by_group WHERE patients >= {least} AND COALESCE(g, '') NOT IN (SELECT name FROM cover_group)),
+in_open AS (SELECT b.*, list({{'p': b.patients, 'c': COALESCE(b.c, '')}}) OVER (PARTITION BY b.g) AS family FROM by_cell b JOIN open_group o ON o.g IS NOT DISTINCT FROM b.g),
+judged AS (
+  SELECT g, c, patients >= {least} AND NOT (len(list_filter(family, lambda f: f.p < {least})) > 0
+         AND COALESCE(c, '') = list_sort(list_filter(family, lambda f: f.p >= {least}))[1].c) AS shown FROM in_open),
+report AS (
+  SELECT 'all' AS level, CAST(NULL AS VARCHAR) AS g, CAST(NULL AS VARCHAR) AS c, patients >= {least} AS shown, * FROM total
+  UNION ALL SELECT 'group', g, NULL, EXISTS (SELECT 1 FROM open_group o WHERE o.g IS NOT DISTINCT FROM b.g), * EXCLUDE (g) FROM by_group b
+  UNION ALL SELECT 'cell', b.g, b.c, COALESCE(j.shown, false), b.* EXCLUDE (g, c)
+            FROM by_cell b LEFT JOIN judged j ON j.g IS NOT DISTINCT FROM b.g AND j.c IS NOT DISTINCT FROM b.c)
+SELECT *{more} FROM (SELECT level, g AS "group", c AS cell, shown, {names} FROM report)"""
+
+
+_reg("role_report_billing_manager", lambda s, d: A.role_report(G.fact_claims(silver_from_tables(s, d)), "billing_manager"), _report_sql(
+    "service_month", "payer_name", {"claims": "COUNT(*)", "total_charges": "SUM(charge_amt)", "total_paid": "SUM(allowed_amt)",
+                                    "denied_claims": "COUNT(*) FILTER (WHERE claim_status = 'Denied')"},
+    f", {O.r2('100 * denied_claims / NULLIF(claims, 0)')} AS denial_rate_pct"), ["fact_claims"],
+     'level, "group", cell, shown, patients:B, claims:B, total_charges:D, total_paid:D, denied_claims:B, denial_rate_pct')
+_reg("role_report_executive", lambda s, d: A.role_report(G.fact_claims(silver_from_tables(s, d)), "executive"), _report_sql(
+    "year(received_date) || '-Q' || quarter(received_date)", "payer_name",
+    {"claims": "COUNT(*)", "total_revenue": "SUM(charge_amt)", "total_adjustments": "SUM(discount_amt)"},
+    f", total_revenue - total_adjustments AS net_reimbursement, {O.r2('100 * ((total_revenue - total_adjustments) / NULLIF(total_revenue, 0))')} AS payment_to_charge_pct"), ["fact_claims"],
+     'level, "group", cell, shown, patients:B, claims:B, total_revenue:D, total_adjustments:D, net_reimbursement:D, payment_to_charge_pct')
