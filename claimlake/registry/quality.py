@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from claimlake import oracle as O
 from claimlake.operators import aggregates as A, quality as Q, star as G
 from claimlake.plans.pipeline import silver_from_tables
 from claimlake.registry import register, select_typed
-from claimlake.schema import DIAG_COLUMNS, DUPLICATE_KEY, RAW_COLUMNS
+from claimlake.schema import DIAG_COLUMNS, DUPLICATE_KEY, RAW_COLUMNS, RAW_SCHEMA
 from claimlake.session import scratch_path
 from claimlake.sources.fixture import raw_claims
+from claimlake.sources.ingest import ingest_batch
 
 pct = O.pct
 
@@ -245,3 +248,34 @@ _reg("role_report_executive", lambda s, d: A.role_report(G.fact_claims(silver_fr
     {"claims": "COUNT(*)", "total_revenue": "SUM(charge_amt)", "total_adjustments": "SUM(discount_amt)"},
     f", total_revenue - total_adjustments AS net_reimbursement, {O.r2('100 * ((total_revenue - total_adjustments) / NULLIF(total_revenue, 0))')} AS payment_to_charge_pct"), ["fact_claims"],
      'level, "group", cell, shown, patients:B, claims:B, total_revenue:D, total_adjustments:D, net_reimbursement:D, payment_to_charge_pct')
+
+
+# ------------------------------------------------------ ingest of broken text
+def _broken_text(spark, sf_dir):
+    """The raw lines delivered as CSV and as JSON text, Medicare lines with a field too many
+    or cut off, Group lines cut after three fields: every record, with its route and reason."""
+    raw = raw_claims(spark, sf_dir)
+    work = scratch_path(spark, f"broken-{uuid.uuid4().hex}")
+    line, record = F.to_csv(F.struct(*RAW_COLUMNS)), F.to_json(F.struct(*RAW_COLUMNS))
+    kind = F.coalesce("type", F.lit(""))
+    comma = F.when(kind == "Medicare", F.concat(line, F.lit(",x"))).when(kind == "Group", F.array_join(F.slice(F.split(line, ","), 1, 3), ",")).otherwise(line)
+    cut = F.when(kind == "Medicare", F.expr("substring(_json, 1, length(_json) - 1)")).otherwise(F.col("_json"))
+    raw.select(comma).write.text(os.path.join(work, "csv"))
+    raw.withColumn("_json", record).select(cut).write.text(os.path.join(work, "json"))
+    parts = []
+    for fmt in ("csv", "json"):
+        ingest_batch(spark, os.path.join(work, fmt), os.path.join(work, f"bronze_{fmt}"), os.path.join(work, "audit", fmt), "20240101_120000", fmt, schema=RAW_SCHEMA, header=False)
+        rows = spark.read.parquet(os.path.join(work, f"bronze_{fmt}"))
+        unread = spark.read.parquet(os.path.join(work, "audit", fmt))
+        name = F.split("record", ",")[1] if fmt == "csv" else F.regexp_extract("record", '"claim_item_id":"([^"]*)"', 1)
+        parts += [rows.select(F.lit(fmt).alias("format"), F.lit("rows").alias("route"), F.col("claim_item_id").cast("string").alias("line"), F.lit(None).cast("string").alias("reason")),
+                  unread.select(F.lit(fmt), F.lit("unread"), name, "reason")]
+    return reduce(DataFrame.union, parts)
+
+
+_reg("ingest_broken_text", _broken_text, """
+SELECT 'csv' AS format, CASE WHEN type IN ('Medicare', 'Group') THEN 'unread' ELSE 'rows' END AS route, claim_item_id AS line,
+       CASE type WHEN 'Medicare' THEN 'more fields than columns' WHEN 'Group' THEN 'fewer fields than columns' END AS reason FROM raw
+UNION ALL
+SELECT 'json', CASE WHEN type = 'Medicare' THEN 'unread' ELSE 'rows' END, claim_item_id, CASE type WHEN 'Medicare' THEN 'no JSON object' END FROM raw""",
+     ["raw"], "format, route, line, reason")
