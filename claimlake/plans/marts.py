@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimlake import functions as X
 from claimlake.operators import quality as Q, star as G
+from claimlake.operators.quantiles import quantiles
 
 # Fixed value: number of equal-width bins of the discount histogram.
 HISTOGRAM_BINS = 30
@@ -124,6 +125,24 @@ def discount_stats(items: DataFrame) -> DataFrame:
                    F.count(F.lit(1)).alias("positive_discount_lines"))
 
 
+# The shares reported for amounts.
+AMOUNT_SHARES = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.9, "p99": 0.99}
+
+
+def amount_quantiles(items: DataFrame, columns: tuple[str, ...] = ("charge_amt", "allowed_amt", "discount_amt")) -> DataFrame:
+    """Exact quartiles and upper percentiles of amounts, by histogram refinement: an amount has
+    about as many values as there are lines, too many for one ``percentile`` buffer."""
+    rows = [(c, *quantiles(items, c, list(AMOUNT_SHARES.values()))) for c in columns]
+    return items.sparkSession.createDataFrame(rows, "column_name string, " + ", ".join(f"{n} double" for n in AMOUNT_SHARES))
+
+
+def discount_quantiles(items: DataFrame) -> DataFrame:
+    """The same for positive discount %, which has two places."""
+    pos = items.where(F.col("discount_pct") > 0)
+    row = ("discount_pct", *quantiles(pos, "discount_pct", list(AMOUNT_SHARES.values()), scale=2))
+    return items.sparkSession.createDataFrame([row], "column_name string, " + ", ".join(f"{n} double" for n in AMOUNT_SHARES))
+
+
 def claim_type_share(items: DataFrame) -> DataFrame:
     """M5d / A11: ``value_counts`` of claim type with its share of lines."""
     counts = items.where(F.col("claim_type").isNotNull()).groupBy("claim_type").agg(

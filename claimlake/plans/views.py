@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from claimlake import functions as X
 from claimlake.operators.star import Star
 
+# Fixed value: a state is shown with more lines than this.
+LEAST_STATE_LINES = 10
 # Procedure codes treated as COVID-19 testing.
 COVID_CODES = ["U0003", "U0004", "U0005", "87635", "87426", "G2023", "G2024"]
 
@@ -266,7 +268,7 @@ def geo_cost_variation(star: Star) -> DataFrame:
                        X.round2(_avg("_charge", "_n_charge")).alias("avg_charge"),
                        X.round2(_avg("_allowed", "_n_allowed")).alias("avg_allowed"),
                        X.round2(_avg("_discount", "_n_discount")).alias("avg_discount"))
-                  .where(F.col("claim_count") > 10))
+                  .where(F.col("claim_count") > LEAST_STATE_LINES))
 
 
 # --------------------------------------------------------------------- V12

@@ -3,11 +3,14 @@ W1, W2, S15, G3, G11, M1-M7): Spark builders and DuckDB oracles."""
 
 from __future__ import annotations
 
+import uuid
+
 from claimlake import oracle as O
 from claimlake.operators import dedup as D, star as G
 from claimlake.plans import marts as M
 from claimlake.plans.pipeline import silver_from_tables
 from claimlake.registry import register, select_typed
+from claimlake.session import scratch_path
 from claimlake.sources.fixture import raw_claims
 
 r2, pct = O.r2, O.pct
@@ -168,6 +171,30 @@ SELECT {MEAN_PCT} AS mean_discount_pct, ROUND(quantile_cont(discount_pct, 0.5),
 FROM fact_items WHERE discount_pct > 0""", ["fact_items"],
      "mean_discount_pct, median_discount_pct, positive_discount_lines:B")
 
+
+def _quantiles_sql(column: str, src: str) -> str:
+    """Value by rank in a sorted list, in proportion between neighbours."""
+    shown = ", ".join(f"CAST(v[a{i}] AS DOUBLE) + (p{i} - floor(p{i})) * (CAST(v[b{i}] AS DOUBLE) - CAST(v[a{i}] AS DOUBLE)) AS {n}" for i, n in enumerate(M.AMOUNT_SHARES))
+    places = ", ".join(f"{s} * (len(v) - 1) AS p{i}, CAST(floor({s} * (len(v) - 1)) AS BIGINT) + 1 AS a{i}, CAST(ceil({s} * (len(v) - 1)) AS BIGINT) + 1 AS b{i}" for i, s in enumerate(M.AMOUNT_SHARES.values()))
+    return f"SELECT '{column}' AS column_name, {shown} FROM (SELECT v, {places} FROM (SELECT list_sort(list({column})) AS v FROM {src} WHERE {column} IS NOT NULL))"
+
+
+_QUANTILE_SPEC = "column_name, " + ", ".join(M.AMOUNT_SHARES)
+_AMOUNTS = ("charge_amt", "allowed_amt", "discount_amt")
+
+
+def _amount_quantiles(spark, sf_dir):
+    """Written once: every pass of the refinement reads one column of it."""
+    path = scratch_path(spark, f"amounts-{uuid.uuid4().hex}")
+    _items(spark, sf_dir).select(*_AMOUNTS).write.parquet(path)
+    return M.amount_quantiles(spark.read.parquet(path), _AMOUNTS)
+
+
+_reg("mart_amount_quantiles", _amount_quantiles,
+     "\nUNION ALL\n".join(_quantiles_sql(c, "fact_items") for c in _AMOUNTS), ["fact_items"], _QUANTILE_SPEC)
+_reg("mart_discount_quantiles", lambda s, d: M.discount_quantiles(_items(s, d)),
+     _quantiles_sql("discount_pct", "(SELECT * FROM fact_items WHERE discount_pct > 0)"), ["fact_items"], _QUANTILE_SPEC)
+
 _reg("mart_claim_type_share", lambda s, d: M.claim_type_share(_items(s, d)), f"""
 SELECT claim_type, COUNT(*) AS claims,
        {r2('COUNT(*) * 100.0 / (SELECT COUNT(*) FROM fact_items WHERE claim_type IS NOT NULL)')} AS share_pct

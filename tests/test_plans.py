@@ -41,3 +41,22 @@ def test_small_dimension_is_broadcast_over_written_star(spark):
     df.collect()  # final adaptive plan
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
+
+
+def test_view_counts_scan_the_fact_once(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from claimlake.plans import analysis as A
+    star = star_from_tables(spark, SF_SMALL)
+    written = {}
+    for name in ("fact_claims", "dim_provider", "dim_procedure"):
+        getattr(star, name).write.parquet(str(tmp_path / name))
+        written[name] = spark.read.parquet(str(tmp_path / name))
+    written = SimpleNamespace(**written)
+    counts = A.view_row_counts(written)
+    scans = [line for line in _plan(counts).splitlines() if "FileScan" in line]
+    assert sum("received_date" in line for line in scans) == 1 and len(scans) == 3
+    got = {r["view_name"]: r["row_count"] for r in counts.collect()}
+    assert got == {n: V.VIEWS[n](written).count() for n in A.COUNTED_VIEWS}
+    empty = SimpleNamespace(**{k: v.limit(0) for k, v in vars(written).items()})
+    assert {r["row_count"] for r in A.view_row_counts(empty).collect()} == {0}
