@@ -136,15 +136,16 @@ class Model:
             out[now] = (into[now][:, :, None] + through[now]).max(axis=1)
 
         # the label before each word, for each label of the word
-        prior = np.zeros((SEGMENT, total, k), np.int8)
+        kind = np.int8 if k < 128 else np.int32
+        prior = np.zeros((SEGMENT, total, k), kind)
         v = into + s[:, 0]
-        same = np.arange(k, dtype=np.int8)
+        same = np.arange(k, dtype=kind)
         for t in range(1, SEGMENT):
             best = v.argmax(axis=1)
             top = v[np.arange(total), best][:, None] - np.float32(SWITCH)
-            prior[t] = np.where(v >= top, same, best[:, None].astype(np.int8))
+            prior[t] = np.where(v >= top, same, best[:, None].astype(kind))
             v = np.maximum(v, top) + s[:, t]
-        path = np.zeros((SEGMENT, total, k), np.int8)
+        path = np.zeros((SEGMENT, total, k), kind)
         path[-1] = same
         for t in range(SEGMENT - 1, 0, -1):
             path[t - 1] = np.take_along_axis(prior[t], path[t].astype(np.int64), axis=1)

@@ -20,7 +20,10 @@ followed by something else) is cut further: its windows are keyed anew by their
 from the key's gram, in steps of 16, and the bytes that all windows of a step share.
 
 Null and empty texts and texts below ``length`` bytes lose nothing. Texts are judged as
-they came in: all copies of a repeated string go. Other columns are ignored.
+they came in: all copies of a repeated string go. Rows are known by a number given to each when
+the texts are written once at the start, not by their ids: rows without an id, or that
+repeat one, are documents of their own, and every row is returned with the id it has. Other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -355,8 +358,9 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, id:
     [start, end) pairs, and the remaining bytes."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
-    docs = docs.select(F.col(f"`{id}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
-    runs = stage(spark, window_runs(docs, length), "runs")
+    docs = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    docs = stage(spark, docs.withColumn("doc", F.monotonically_increasing_id()), "docs")
+    runs = stage(spark, window_runs(docs.select("doc", "text"), length), "runs")
     marks = stage(spark, repeat_marks(spark, docs, runs, length), "marks")
     places = runs.join(marks, ["key", "digest", "size"])
     spans = places.select("doc", F.transform("heads", lambda x: x + F.col("start")).alias("heads"), F.transform("tails", lambda x: x + F.col("start")).alias("tails"))
@@ -380,13 +384,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, id:
                 yield _kept(batch, batch.column(2).to_pylist(), batch.column(3).to_pylist())
 
     kinds = "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
-    clean = docs.select("doc", "text", slot("doc").alias("slot")).mapInArrow(tidy(untouched), kinds)
-    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("doc", "text", "heads", "tails").mapInArrow(tidy(cut), kinds)
+    clean = docs.select("id", "text", slot("doc").alias("slot")).mapInArrow(tidy(untouched), kinds)
+    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("id", "text", "heads", "tails").mapInArrow(tidy(cut), kinds)
     return clean.union(hit)
 
 
 def _kept(batch: pa.RecordBatch, heads: list, tails: list) -> pa.RecordBatch:
-    """(doc, n_bytes, spans, kept) of rows (doc, text, ...) and their raw spans."""
+    """(doc, n_bytes, spans, kept) of rows (id, text, ...) and their raw spans."""
     n, found, kept = [], [], []
     for t, h, e in zip(batch.column(1).to_pylist(), heads, tails, strict=True):
         raw = (t or "").encode("utf-8")
@@ -402,4 +406,4 @@ def _kept(batch: pa.RecordBatch, heads: list, tails: list) -> pa.RecordBatch:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(spark, table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])
-    return out.select(F.col("doc").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select(F.col("doc").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("removed"))

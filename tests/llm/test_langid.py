@@ -40,12 +40,13 @@ def test_spans_of_a_mixed_text(spark, model):
     assert r["lang"] == max(letters, key=letters.get) and abs(r["score"] - max(letters.values()) / sum(letters.values())) < 1e-9
 
 
-def test_viterbi_equals_the_plain_recursion(model, monkeypatch):
+@pytest.mark.parametrize("languages", [3, 150, 400])
+def test_viterbi_equals_the_plain_recursion(model, monkeypatch, languages):
     monkeypatch.setattr(G, "SEGMENT", 5)
     rng = np.random.default_rng(1)
     counts = [0, 1, 4, 5, 6, 23, 0, 40]
     own = np.concatenate([[0], np.cumsum(counts)])
-    scores = (rng.normal(size=(own[-1], 3)) * 6).astype(np.float32)
+    scores = (rng.normal(size=(own[-1], languages)) * 6).astype(np.float32)
     scores -= scores.max(axis=1, keepdims=True)
     labels = model.labels(scores, own)
     for a, b in zip(own[:-1], own[1:], strict=True):

@@ -54,6 +54,15 @@ def test_equals_all_windows(spark, frame, prose, monkeypatch, hot):
     assert removed(spark, frame(rows)) == brute(rows, L)
 
 
+def test_rows_without_an_id_or_that_repeat_one(spark, frame, prose):
+    """Each row is a document of its own, whatever its id; ids beyond 2^53 stay as they are."""
+    same = prose(30, 5)
+    big = (1 << 53) + 1
+    rows = [(1, prose(20, 1) + " " + same), (2, prose(20, 2) + " " + same), (None, prose(3, 3) + same), (None, prose(30, 4)), (None, None),
+            (7, prose(40, 6)), (7, same + prose(9, 7)), (7, prose(40, 6)), (big, prose(30, 8)), (big + 1, prose(9, 9) + same), (1, prose(50, 10))]
+    assert removed(spark, frame(rows)) == brute(rows, L)
+
+
 def test_small_blocks_and_parts(spark, frame, prose, monkeypatch):
     monkeypatch.setattr(S, "BLOCK_BYTES", 500)
     monkeypatch.setattr(S, "RUN", 16)
