@@ -9,6 +9,6 @@ from claimlake.functions.money import (  # noqa: F401
     pct_of, clip_negative, money_ratio, money_avg,
 )
 from claimlake.functions.dates import (  # noqa: F401
-    to_date_lenient, month_start, date_key, service_month, fiscal_year, fiscal_period,
+    to_date_lenient, date_reading, day_first_text, month_start, date_key, service_month, fiscal_year, fiscal_period,
 )
 from claimlake.functions.masking import mask_sha256, mask_md5, MASKERS  # noqa: F401

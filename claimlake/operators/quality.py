@@ -130,6 +130,23 @@ def value_checks(typed: DataFrame) -> DataFrame:
                      F.max("received_date").alias("date_max"))
 
 
+def date_readings(df: DataFrame, col: str, by: list[str] | None = None) -> DataFrame:
+    """Lines by how their date text can be read (see ``dates.date_reading``), per ``by`` (a file or batch).
+    Dates that two orders would read differently are counted here; cleaning takes their month first."""
+    return df.groupBy(*(by or []), X.date_reading(F.col(col)).alias("reading")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def date_orders(df: DataFrame, col: str, by: list[str]) -> DataFrame:
+    """Per file or batch, the order that its unambiguous slashed dates show (``month_first``, ``day_first``,
+    ``mixed``, or NULL if there are none) and the number of dates that hang on it."""
+    kind = X.date_reading(F.col(col))
+    n = lambda name: F.count(F.when(kind == name, 1)).alias(name)
+    counts = df.groupBy(*by).agg(n("month_first"), n("day_first"), n("ambiguous"))
+    month, day = F.col("month_first") > 0, F.col("day_first") > 0
+    order = F.when(month & day, F.lit("mixed")).when(month, F.lit("month_first")).when(day, F.lit("day_first"))
+    return counts.withColumn("date_order", order)
+
+
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """Counts per non-NULL value."""
     return df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimlake import functions as X
 from claimlake.operators import quality as Q, star as G
 from claimlake.operators.quantiles import quantiles
+from claimlake.schema import DIAG_COLUMNS
 
 # Fixed value: number of equal-width bins of the discount histogram.
 HISTOGRAM_BINS = 30
@@ -152,19 +153,32 @@ def claim_type_share(items: DataFrame) -> DataFrame:
 
 
 def pipeline_summary(raw: DataFrame, silver_nb: DataFrame) -> DataFrame:
-    """M6: row counts per layer and table, in one job. Raw and Bronze are one count; of
-    the summaries only their keys are counted (the optimizer drops the sums)."""
+    """M6: row counts per layer and table. The lines are read twice: raw, for raw and Bronze, and Silver for all
+    that is made of it. Tables of distinct keys have as many rows as the lines have keys, taken as
+    grouping sets of one aggregation; lines and diagnoses add up over the same keys."""
     items = G.fact_claim_items(silver_nb)
-    monthly, providers = monthly_summary(items), provider_summary(items)
+    empty = items.limit(0)
+    provider = ["provider_npi", "service_provider", "provider_street", "city", "state"]
+    month = year_month(F.col("received_date"))
+    codes = reduce(lambda a, b: a + b, [F.when(F.coalesce(F.col(c), F.lit("")) != "", 1).otherwise(0) for c in DIAG_COLUMNS])
+    lines = silver_nb.select(*provider, month.alias("_month"), "claim_type", codes.alias("_codes"))
+    sets = [provider, ["_month", "claim_type"], ["provider_npi"]]
+    keys = lines.groupingSets(sets, *provider, "_month", "claim_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_codes").alias("_codes"), F.grouping("_month").alias("_no_month"), F.grouping("city").alias("_no_city"))
+    of_month, of_provider = F.col("_no_month") == 0, F.col("_no_city") == 0
+    of_npi = ~of_month & ~of_provider
+    has_npi = F.col("provider_npi").isNotNull()
+    known = {"silver": {"fact_claim_items": F.sum(F.when(of_month, F.col("n"))), "dim_provider": F.count(F.when(of_provider & has_npi, 1)),
+                        "bridge_diagnosis": F.sum(F.when(of_month, F.col("_codes")))},
+             "gold": {"monthly_summary": F.count(F.when(of_month & F.col("_month").isNotNull() & F.col("claim_type").isNotNull(), 1)),
+                      "provider_summary": F.count(F.when(of_npi & has_npi, 1))}}
+    widths = {"fact_claim_items": len(items.columns), "dim_provider": len(provider), "bridge_diagnosis": len(G.bridge_diagnosis(silver_nb).columns),
+              "monthly_summary": len(monthly_summary(empty).columns), "provider_summary": len(provider_summary(empty).columns)}
+    one = keys.agg(*[F.coalesce(c, F.lit(0)).alias(t) for tables in known.values() for t, c in tables.items()])
     line = lambda layer, table, value, width: F.struct(
-        F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), value.alias("rows"), F.lit(width).alias("columns"))
-    n = F.count(F.lit(1)).alias("n")
-    raw_lines = [line(x, "claims", F.col("n"), len(raw.columns)) for x in ("raw", "bronze")]
-    parts = [Q._long(raw.agg(n), raw_lines), Q._long(items.agg(n), [line("silver", "fact_claim_items", F.col("n"), len(items.columns))])]
-    for layer, table, df in (("silver", "dim_provider", G.dim_provider_notebook(silver_nb)), ("silver", "bridge_diagnosis", G.bridge_diagnosis(silver_nb)),
-                             ("gold", "monthly_summary", monthly), ("gold", "provider_summary", providers)):
-        parts.append(Q._long(df.agg(n), [line(layer, table, F.col("n"), len(df.columns))]))
-    return reduce(DataFrame.unionByName, parts)
+        F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), value.cast("long").alias("rows"), F.lit(width).alias("columns"))
+    made = Q._long(one, [line(layer, t, F.col(t), widths[t]) for layer, tables in known.items() for t in tables])
+    return Q._long(raw.agg(F.count(F.lit(1)).alias("n")), [line(x, "claims", F.col("n"), len(raw.columns)) for x in ("raw", "bronze")]).unionByName(made)
 
 
 def payer_mix(fact: DataFrame, remittance_long: DataFrame | None = None) -> DataFrame:

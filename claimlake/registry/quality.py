@@ -250,6 +250,18 @@ _reg("role_report_executive", lambda s, d: A.role_report(G.fact_claims(silver_fr
      'level, "group", cell, shown, patients:B, claims:B, total_revenue:D, total_adjustments:D, net_reimbursement:D, payment_to_charge_pct')
 
 
+# ------------------------------------------------------------ date readings
+_SLASH = r"'^\s*(\d{1,2})/(\d{1,2})/(\d{4})\s*$'"
+_A, _B = (f"TRY_CAST(regexp_extract(received_date, {_SLASH}, {i}) AS INT)" for i in (1, 2))
+_reg("dq_date_readings", lambda s, d: Q.date_readings(raw_claims(s, d), "received_date", ["type"]), f"""
+SELECT type, CASE WHEN received_date IS NULL THEN NULL WHEN TRY_CAST(received_date AS DATE) IS NOT NULL THEN 'iso'
+            WHEN regexp_matches(received_date, {_SLASH}) THEN
+              list_extract(['ambiguous', 'either', 'month_first', 'day_first', 'unreadable'],
+                           CASE WHEN {_A} > 12 THEN 4 + CAST({_B} > 12 AS INT) WHEN {_B} > 12 THEN 3 ELSE 1 + CAST({_A} = {_B} AS INT) END)
+            WHEN {O.DATE_SQL} IS NOT NULL THEN 'other' ELSE 'unreadable' END AS reading, COUNT(*) AS lines
+FROM raw GROUP BY ALL""", ["raw"], "type, reading, lines:B")
+
+
 # ------------------------------------------------------ ingest of broken text
 def _broken_text(spark, sf_dir):
     """The raw lines delivered as CSV and as JSON text, Medicare lines with a field too many

@@ -9,10 +9,11 @@ import os
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from claimlake import oracle as O
 from claimlake.operators import star as G
+from claimlake.operators.cleaning import select_available
 from claimlake.plans.mart_deltas import MartStore
 from claimlake.plans.pipeline import run, silver_from_tables
 from claimlake.registry import register, select_typed
@@ -20,7 +21,9 @@ from claimlake.registry.gold import SILVER_COLS
 from claimlake.registry.views import VIEW_ORACLES
 from claimlake.schema import RAW_COLUMNS, RAW_SCHEMA
 from claimlake.session import checkpoint_dir
+from claimlake.sources import writers as W
 from claimlake.sources.fixture import raw_claims
+from claimlake.sources.readers import read_latest, read_layer
 from claimlake.streaming import incremental as I, stream as S
 from claimlake.streaming.changes import ChangeTable
 from claimlake.streaming.register import KeyRegister, batch_name, read_silver, silver_once
@@ -269,3 +272,63 @@ def _costs_by_delta(spark, sf_dir):
 def _kpis_by_delta(spark, sf_dir):
     """The provider mart kept up by the changes of three batches."""
     return _marts_by_delta(spark, sf_dir).provider_kpis()
+
+
+# ------------------------------------------------------------ written layers
+@register("layer_latest_run", O.query(f"SELECT {_RAW} FROM raw WHERE type = 'Group'", ["raw"]))
+def _latest_run(spark, sf_dir):
+    """Two runs in Bronze, the later one of the Group lines: the newest run is read."""
+    path = _scratch(spark, "bronze")
+    raw = raw_claims(spark, sf_dir)
+    W.write_bronze(raw, path, "20240101_080000")
+    W.write_bronze(raw.where(F.col("type") == "Group"), path, "20240101_200000")
+    return read_latest(spark, path, schema=RAW_SCHEMA).select(*RAW_COLUMNS)
+
+
+_STAGED = ("claim_item_id, claimant_id, claim_code, provider_npi, service_provider, city, state, type, charge_amt, allowed_amt, units, received_date, "
+           "oi_in_network, proc_desc, claim_code_modifier, claim_code_modifier_2")
+
+
+O.cte("declared", "SELECT *, CAST(NULL AS VARCHAR) AS note FROM staging_claims_q", ["staging_claims_q"])
+
+
+@register("layer_declared_schema", O.query(select_typed("declared", _STAGED + ", note"), ["declared"]))
+def _declared(spark, sf_dir):
+    """The staged claims read with a declared schema, whose last column no file has."""
+    path = W.write_table(W.stage(silver_from_tables(spark, sf_dir)), _scratch(spark, "staging"))
+    return read_layer(spark, path, T.StructType([*W.STAGING_SCHEMA.fields, T.StructField("note", T.StringType())]))
+
+
+@register("layer_insert_select", O.query(select_typed("staging_claims_q", _STAGED), ["staging_claims_q"]))
+def _insert_select(spark, sf_dir):
+    """A table of a declared schema, filled by two insert-selects of columns in another order."""
+    path = _scratch(spark, "inserted")
+    silver = silver_from_tables(spark, sf_dir)
+    staged = W.stage(silver).select(*reversed(W.STAGING_SCHEMA.names))
+    medicare = F.coalesce(F.col("type") == "Medicare", F.lit(False))
+    W.insert_into(staged.where(medicare), W.STAGING_SCHEMA, path, mode="overwrite")
+    W.insert_into(staged.where(~medicare), W.STAGING_SCHEMA, path)
+    return read_layer(spark, path, W.STAGING_SCHEMA)
+
+
+O.cte("literal_claims", """
+SELECT * FROM fact_claims WHERE received_date < DATE '2021-03-05'
+   OR received_date > (SELECT MAX(received_date) FROM fact_claims WHERE received_date < DATE '2021-03-05')""", ["fact_claims"])
+
+
+@register("incremental_literal", O.query(select_typed("literal_claims", FACT_SPEC), ["literal_claims"]))
+def _literal(spark, sf_dir):
+    """As documented, a second load takes only lines received after the newest one there."""
+    fact = _written(spark, G.fact_claims(silver_from_tables(spark, sf_dir)).drop("_loaded_at"), _scratch(spark, "lines"))
+    path = _scratch(spark, "fact_claims")
+    I.upsert(spark, path, fact.where(F.col("received_date") < "2021-03-05"))
+    I.upsert(spark, path, fact, mode="literal")
+    return spark.read.schema(fact.schema).parquet(path)
+
+
+@register("json_payload_claims", O.query(f"SELECT {', '.join(RAW_COLUMNS[:8])} FROM raw", ["raw"]))
+def _payload(spark, sf_dir):
+    """Claims as JSON message values, parsed, and the columns of a list that are there."""
+    raw = raw_claims(spark, sf_dir)
+    parsed = S.json_payload(raw.select(F.to_json(F.struct(*RAW_COLUMNS)).alias("value")))
+    return select_available(parsed, [*RAW_COLUMNS[:8], "no_such_column"])

@@ -92,3 +92,20 @@ def test_masking(spark):
 
 def test_code_type(spark):
     assert _one(spark, X.code_type, ["99213", "G2023", None]) == ["CPT", "HCPCS", None]
+
+
+def test_date_readings(spark):
+    from claimlake.functions import date_reading, day_first_text
+    texts = {"2021-03-04": "iso", "3/4/2021": "ambiguous", "13/4/2021": "day_first", "4/13/2021": "month_first", "5/5/2021": "either",
+             "13/14/2021": "unreadable", "2021/3/4": "other", "04-Mar-2021": "other", "soon": "unreadable", None: None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r[0]: r[1] for r in df.select("t", date_reading(F.col("t"))).collect()} == texts
+    fixed = {r[0]: r[1] for r in df.select("t", day_first_text(F.col("t"))).collect()}
+    assert fixed["3/4/2021"] == "2021-04-03" and fixed["13/4/2021"] == "2021-04-13" and fixed["4/13/2021"] == "4/13/2021" and fixed["soon"] == "soon"
+
+
+def test_the_order_of_a_delivery(spark):
+    from claimlake.operators.quality import date_orders
+    rows = [("us", "1/31/2021"), ("us", "2/3/2021"), ("eu", "31/1/2021"), ("eu", "2/3/2021"), ("eu", "3/2/2021"), ("both", "31/1/2021"), ("both", "1/31/2021"), ("iso", "2021-01-01")]
+    got = {r["f"]: (r["date_order"], r["ambiguous"]) for r in date_orders(spark.createDataFrame(rows, "f string, t string"), "t", ["f"]).collect()}
+    assert got == {"us": ("month_first", 1), "eu": ("day_first", 2), "both": ("mixed", 0), "iso": (None, 0)}
