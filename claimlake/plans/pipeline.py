@@ -63,7 +63,7 @@ def _observed(df: DataFrame, name: str):
 
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambda",
         batch_id: str | None = None, marts: bool = False, bucket_claims: int | None = None,
-        table_prefix: str = "gold_") -> DataFrame:
+        table_prefix: str = "gold_", strict: bool = False) -> DataFrame:
     """Bronze -> Silver -> Gold under ``out_dir``; returns a status table
     (table, status, rows) -- a failed table does not stop the others. Row
     counts come from Observations on the writes themselves (M6).
@@ -72,6 +72,9 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambd
     id; re-running a batch replaces it. Silver and Gold are rebuilt from the
     batch by static overwrites, dimensions before facts, so no table mixes runs.
 
+    ``strict``: after all tables were tried, raise if one failed, instead of leaving it to the
+    reader of the status.
+
     ``bucket_claims=n`` also registers ``fact_claims`` and
     ``fact_remittance`` as catalog tables (``table_prefix`` + name) bucketed
     by claim id into ``n`` buckets, so their claim-id joins and per-claim
@@ -107,4 +110,7 @@ def run(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str = "lambd
                 status.append((name, "SUCCESS", obs.get["rows"]))
             except Exception as e:
                 status.append((name, f"ERROR: {e}", None))
+    failed = [f"{name}: {said}" for name, said, _ in status if said != "SUCCESS"]
+    if strict and failed:
+        raise RuntimeError("tables failed: " + "; ".join(failed))
     return spark.createDataFrame(status, "table string, status string, rows long")

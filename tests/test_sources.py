@@ -121,3 +121,21 @@ def test_newest_file_rows(spark):
     spark.range(100, 103).coalesce(1).write.mode("append").parquet(d)
     got = sorted(r.id for r in R.newest_file_rows(spark.read.parquet(d)).collect())
     assert got == [100, 101, 102]
+
+
+def test_strict_run_raises_when_a_table_fails(spark, monkeypatch):
+    import pytest
+    from claimlake.plans import pipeline as P
+    raw = raw_claims(spark, SF_SMALL).limit(50)
+    real = W.write_table
+
+    def fails(df, path, *a, **k):
+        if path.endswith("dim_payer"):
+            raise OSError("disk full")
+        return real(df, path, *a, **k)
+
+    monkeypatch.setattr(P.W, "write_table", fails)
+    status = {r.table: r.status for r in P.run(spark, raw, _tmp(spark, "strict"), batch_id="1").collect()}
+    assert status["dim_payer"].startswith("ERROR") and status["fact_claims"] == "SUCCESS"
+    with pytest.raises(RuntimeError, match="dim_payer: ERROR: disk full"):
+        P.run(spark, raw, _tmp(spark, "strict"), batch_id="1", strict=True)
