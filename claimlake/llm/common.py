@@ -60,17 +60,28 @@ def give_up_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, label: str, paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and a
     lost executor costs no recomputation. The shuffle files of what led there are not
-    needed any more."""
+    needed any more. ``paths`` notes the folder, for ``discard``."""
     path = shared_path(spark, label)
+    if paths is not None:
+        paths.append(path)
     with small_batches(spark):
         df.write.parquet(path)
     give_up_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that nothing reads any more: call it when what was made of
+    them is itself staged. Empties the list."""
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(settings).delete(path, True)
+
+
 def tidy(job):
     """A mapInArrow function that hands its freed memory back to the system when a task
     ends: Python workers live on between tasks, side by side with the JVM."""

@@ -18,14 +18,22 @@ and suffix filters.
    leave it. At first each document meets only its likeliest partner among the NEAR
    before it and the first of its group; groups of more than CHUNK are salted.
 5. Links found so far give components. What is left are pairs of a group that lie in
-   different components: all of those that pass the filters are verified, once per
-   pair. Pairs inside a component need no check, so no link between components is
-   lost, and thousands of near copies are not compared all with all. Groups of more
-   than CHUNK are dealt out in chunks that meet two by two; those of one component
-   do not meet.
-
-Verification joins the candidates' texts: a document meets its partners in groups of
-bounded size, and the sets are intersected exactly (64-bit shingle hashes).
+   different components. Groups of more than CHUNK are dealt out in chunks that meet
+   two by two; those of one component do not meet.
+   a. A posting with at most FEW partners before it by the counts names them. Those
+      with more go on, with these partners, and their documents get a sketch: the
+      parities of the counts in some eight hash ranges a shingle. The places where two
+      sketches differ are at most the shingles that only one set has, so a pair that
+      the sketches rule out is no link.
+   b. Of those that go on, each names one pair, its likeliest partner in another
+      component; what the pairs of a and b link is one component from here on.
+   c. All pairs still in different components that the sketches allow are verified,
+      once per pair. Pairs inside a component need no check, so no link between
+      components is lost. Only pairs close to the threshold are left to name.
+
+Verification rules candidates out by their sketches and joins the texts of the others: a
+document meets its partners in groups of bounded size, and the sets are intersected
+exactly (64-bit shingle hashes).
 
 Null and empty texts have no shingles and no links; equal texts are linked. Rows without
 an id take no part. Other columns of the input are ignored, whatever their names.
@@ -39,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import give_up_shuffles, id_filter, maybe_in, passes, shingle_positions, shingles, signed, small_batches, stage, table, text_views, tidy
+from claimlake.llm.common import discard, give_up_shuffles, id_filter, maybe_in, parts, passes, shingle_positions, shingles, signed, small_batches, stage, table, text_views, tidy
 from claimlake.llm.components import components
 
 SKETCH_BITS = 20
@@ -50,7 +58,11 @@ MEMBERS_PER_SALT = 512
 CHUNK = 4096
 #: Postings before it that one is compared with when the likely copies are linked.
 NEAR = 32
+#: Partners that a posting names itself; with more, sketches are compared first.
+FEW = 4
 _RANGES = 128
+#: Bits of a sketch, at most (2 KB); sets of more than 2,048 shingles have a coarser one.
+SKETCH_MOST = 1 << 14
 _U = np.uint64
 _KEY_BITS = 58
 
@@ -282,13 +294,66 @@ def _bound(na, nb, ra, rb):
     return np.minimum(ra, rb).sum(axis=1, dtype=np.int64) + np.minimum(na - ra.sum(axis=1, dtype=np.int64), nb - rb.sum(axis=1, dtype=np.int64))
 
 
-def _passing(i, j, at, ranges, percent: int):
+def _sketch(keys: np.ndarray) -> bytes:
+    """Parities of the counts of a set's shingles in some eight hash ranges a shingle."""
+    width = min(max(256, 8 << len(keys).bit_length()), SKETCH_MOST)
+    return np.packbits(np.bincount((keys & _U(width - 1)).astype(np.int64), minlength=width) & 1 == 1, bitorder="little").tobytes()
+
+
+class Sketches:
+    """Packed sketches of several widths, to be compared pair by pair."""
+
+    def __init__(self, packed: np.ndarray):
+        self.width = np.array([len(x) for x in packed], np.int64)
+        self.place, self.rows = np.zeros(len(packed), np.int64), {}
+        for w in np.unique(self.width).tolist():
+            own = np.flatnonzero(self.width == w)
+            self.place[own] = np.arange(len(own))
+            self.rows[w] = np.frombuffer(b"".join(packed[own]), np.uint64).reshape(-1, w // 8)
+
+    def _folded(self, of: np.ndarray, width: int, to: int) -> np.ndarray:
+        x = self.rows[width][self.place[of]]
+        while x.shape[1] > to // 8:  # two ranges become one, and their parities add up
+            half = x.shape[1] // 2
+            x = x[:, :half] ^ x[:, half:]
+        return x
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """At most the number of shingles that only one set of each pair (i, j) has."""
+        out = np.zeros(len(i), np.int64)
+        for v in self.rows:
+            for w in self.rows:
+                k = np.flatnonzero((self.width[i] == v) & (self.width[j] == w))
+                step = max(1, (8 << 20) // max(v, w))
+                for b in range(0, len(k), step):
+                    p = k[b : b + step]
+                    differ = self._folded(i[p], v, min(v, w)) ^ self._folded(j[p], w, min(v, w))
+                    out[p] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def sketches(docs: DataFrame, k: int) -> DataFrame:
+    """(doc, n, sketch) of documents (doc, text); those without shingles give no row."""
+
+    def run(batches):
+        for batch in parts(batches, 256):
+            data, at = text_views(batch.column(1))
+            sets = list(shingles(data, at, k))
+            some = pa.array([len(s) > 0 for s in sets], pa.bool_())
+            n, packed = pa.array([len(s) for s in sets], pa.int64()), pa.array([_sketch(s) for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), n.filter(some), packed.filter(some)], ["doc", "n", "sketch"])
+
+    return docs.select("doc", "text").mapInArrow(tidy(run), "doc long, n long, sketch binary")
+
+
+def _passing(i, j, at, features: np.ndarray | Sketches, percent: int):
     """(i, j, overlap possible beyond the one needed) of the pairs that pass the suffix
-    filter, in bounded pieces."""
+    filter (counts by range, or sketches), in bounded pieces."""
     for k in range(0, len(i), 8192):
         p, q = i[k : k + 8192], j[k : k + 8192]
         na, nb = at[p] >> 32, at[q] >> 32
-        over = _bound(na, nb, ranges[p], ranges[q]) - _needed(na, nb, percent)
+        most = (na + nb - features.apart(p, q)) // 2 if isinstance(features, Sketches) else _bound(na, nb, features[p], features[q])
+        over = most - _needed(na, nb, percent)
         ok = over >= 0
         yield p[ok], q[ok], over[ok]
 
@@ -312,33 +377,60 @@ def _nearest(key: np.ndarray, at: np.ndarray, ranges: np.ndarray, percent: int)
     return np.concatenate([best[j], low[j]]), np.concatenate([j, j])
 
 
-def _named(pairs: DataFrame, every: bool, percent: int) -> DataFrame:
-    """(a, b) for the pairs of the rows (part, at, doc, comp, side, ranges) of a part that
-    lie in different components, not on one side (0: not divided), and pass the length,
-    positional and suffix filters; unless ``every``, those of ``_nearest``. A task names
-    a pair once for all its parts (of each million)."""
+def _crossing(key, at, comp, side, features, percent: int):
+    """(i, j, overlap possible beyond the one needed) of a part's pairs that lie in
+    different components, not on one side (0: not divided), and pass the filters."""
+    for i, j in _meetings(key, at, percent):
+        other = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] == 0))
+        yield from _passing(i[other], j[other], at, features, percent)
+
+
+def _part_columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """part, at, doc, comp, side, key, and the counts by range or packed sketches."""
+    packed = batch.column(6)
+    if batch.schema.names[6] == "ranges":
+        return [batch.column(i).to_numpy() for i in range(6)] + [text_views(packed)[0].reshape(-1, _RANGES)]
+    last = np.empty(batch.num_rows, object)
+    last[:] = packed.to_pylist()
+    return [batch.column(i).to_numpy() for i in range(6)] + [last]
+
+
+def _by_part(pairs: DataFrame) -> DataFrame:
+    last = "ranges" if "ranges" in pairs.columns else "sketch"
+    return pairs.select("part", "at", "doc", "comp", "side", "key", last).repartition("part").sortWithinPartitions("part", "at", "doc")
+
+
+def _named(pairs: DataFrame, which: str, percent: int) -> DataFrame:
+    """(a, b) of a part's pairs. ``near``: those of ``_nearest``. ``best``: each posting's
+    likeliest partner in another component. ``all``: all pairs of ``_crossing``. A task
+    names a pair once for all its parts (of each million)."""
 
     def found_in(cols):
-        key, at, doc, comp, side, ranges = cols
-        if not every:
-            i, j = _nearest(key, at, ranges, percent)
+        key, at, doc, comp, side, _, features = cols
+        if features.dtype == object:
+            features = Sketches(features)
+        if which == "near":
+            i, j = _nearest(key, at, features, percent)
             yield np.stack([doc[i], doc[j]], axis=1)
-            return
-        for i, j in _meetings(key, at, percent):
-            other = (comp[i] != comp[j]) & ((side[i] != side[j]) | (side[i] == 0))
-            for p, q, _ in _passing(i[other], j[other], at, ranges, percent):
-                yield np.stack([doc[p], doc[q]], axis=1)
+        elif which == "best":
+            top, best = np.full(len(key), -1), np.full(len(key), -1)
+            for i, j, over in _crossing(key, at, comp, side, features, percent):
+                for p, q in ((i, j), (j, i)):  # a place occurs once in each
+                    more = over > top[p]
+                    top[p[more]], best[p[more]] = over[more], q[more]
+            j = np.flatnonzero(best >= 0)
+            yield np.stack([doc[np.minimum(j, best[j])], doc[np.maximum(j, best[j])]], axis=1)
+        else:
+            for i, j, _ in _crossing(key, at, comp, side, features, percent):
+                yield np.stack([doc[i], doc[j]], axis=1)
 
     def named(found):
-        ab = np.unique(np.concatenate(found), axis=0)
+        ab = np.unique(np.sort(np.concatenate(found), axis=1) if which == "best" else np.concatenate(found), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(ab[:, 0])), pa.array(np.ascontiguousarray(ab[:, 1]))], ["a", "b"])
 
-    def columns(batch):
-        return [batch.column(i).to_numpy() for i in range(5)] + [text_views(batch.column(5))[0].reshape(-1, _RANGES)]
-
     def run(batches):
         found, size = [], 0
-        for cols in _groups(batches, columns):
+        for cols in _groups(batches, _part_columns):
             for ab in found_in(cols):
                 found.append(ab)
                 size += len(ab)
@@ -348,7 +440,44 @@ def _named(pairs: DataFrame, every: bool, percent: int) -> DataFrame:
         if found:
             yield named(found)
 
-    return pairs.select("part", "at", "doc", "comp", "side", "ranges").repartition("part").sortWithinPartitions("part", "at", "doc").mapInArrow(tidy(run), "a long, b long")
+    return _by_part(pairs).mapInArrow(tidy(run), "a long, b long")
+
+
+def _crossed(pairs: DataFrame, percent: int) -> DataFrame:
+    """(key, at, doc, comp, other): of the pairs of ``_crossing``, those whose later posting
+    has at most FEW as (null, null, a, null, b), and the postings of the others with
+    other null. All pairs are among the named ones or between such postings."""
+
+    def batch_of(key, at, doc, comp, other):
+        columns = [pa.array(x, pa.int64()) if x is not None else pa.nulls(len(doc), pa.int64()) for x in (key, at, doc, comp, other)]
+        return pa.RecordBatch.from_arrays(columns, ["key", "at", "doc", "comp", "other"])
+
+    def named(found):
+        ab = np.unique(np.concatenate(found), axis=0)
+        return batch_of(None, None, np.ascontiguousarray(ab[:, 0]), None, np.ascontiguousarray(ab[:, 1]))
+
+    def run(batches):
+        found, size = [], 0
+        for key, at, doc, comp, side, own, features in _groups(batches, _part_columns):
+            keep, count, early = np.zeros(len(key), bool), np.zeros(len(key), np.int64), []
+            for i, j, _ in _crossing(key, at, comp, side, features, percent):
+                count[j] += 1  # a place occurs once
+                few = count[j] <= FEW
+                early.append(np.stack([i[few], j[few]]))
+                keep[i[~few]] = keep[j[~few]] = True
+            i, j = np.concatenate([np.zeros((2, 0), np.int64), *early], axis=1)
+            few = count[j] <= FEW
+            keep[i[~few]] = keep[j[~few]] = True
+            yield batch_of(own[keep], at[keep], doc[keep], comp[keep], None)
+            found.append(np.stack([doc[i[few]], doc[j[few]]], axis=1))
+            size += int(few.sum())
+            if size > 1_000_000 or len(found) > 10_000:
+                yield named(found)
+                found, size = [], 0
+        if found:
+            yield named(found)
+
+    return _by_part(pairs).mapInArrow(tidy(run), "key long, at long, doc long, comp long, other long")
 
 
 def _likely_pairs(members: DataFrame, features: DataFrame, percent: int) -> DataFrame:
@@ -358,19 +487,20 @@ def _likely_pairs(members: DataFrame, features: DataFrame, percent: int) -> Data
     salt = F.coalesce(F.pmod(F.xxhash64("doc", "key"), F.ceil(F.col("n") / CHUNK)), F.lit(0))
     dealt = members.withColumn("n", F.lit(None).cast("long")) if hot.isEmpty() else members.join(hot, "key", "left")
     part = F.when(F.col("n").isNull(), F.col("key")).otherwise(F.xxhash64("key", salt))
-    return _named(dealt.select(part.alias("part"), "at", "doc", F.col("doc").alias("comp"), F.lit(0).alias("side")).join(features, "doc"), False, percent)
+    return _named(dealt.select(part.alias("part"), "at", "doc", F.col("doc").alias("comp"), F.lit(0).alias("side"), "key").join(features, "doc"), "near", percent)
 
 
-def _cross_pairs(members: DataFrame, features: DataFrame, percent: int) -> DataFrame:
-    """Every pair (a, b) of a group that lies in different components and passes the
-    filters. members: key, at, doc, comp. A key of more than CHUNK postings is dealt out
-    in chunks of about that many, and a part is two chunks that meet or one by itself. A
-    component of more than CHUNK postings has chunks of its own, which do not meet."""
+def _cross_parts(members: DataFrame) -> DataFrame:
+    """(part, at, doc, comp, side, key) from postings (key, at, doc, comp), such that the
+    pairs of a group that lie in different components meet in a part. A key of more than
+    CHUNK postings is dealt out in chunks of about that many, and a part is two chunks
+    that meet or one by itself. A component of more than CHUNK postings has chunks of its
+    own, which do not meet."""
     tally = stage(members.sparkSession, members.groupBy("key", "comp").agg(F.count("*").alias("n")), "tally")
     big = tally.groupBy("key").agg(F.sum("n").alias("all")).where(F.col("all") > CHUNK)
-    plain = members.select(F.col("key").alias("part"), "at", "doc", "comp", F.lit(0).alias("side"))
+    plain = members.select(F.col("key").alias("part"), "at", "doc", "comp", F.lit(0).alias("side"), "key")
     if big.isEmpty():
-        return _named(plain.join(features, "doc"), True, percent)
+        return plain
     big = stage(members.sparkSession, big, "big")
     own = F.col("n") > CHUNK
     bins = tally.join(big, "key").select("key", "comp", "n", own.alias("own"), F.when(own, F.col("comp")).otherwise(F.pmod(F.xxhash64("comp"), F.ceil(F.col("all") / CHUNK))).alias("bin"))
@@ -381,17 +511,42 @@ def _cross_pairs(members: DataFrame, features: DataFrame, percent: int) -> DataF
     duties = met.select("key", F.col("l").alias("c"), "part", F.expr("CASE WHEN l = r THEN 0 ELSE 1 END").alias("side")).union(met.where("l != r").select("key", "r", "part", F.lit(2)))
     placed = members.join(bins.select("key", "comp", "own", "bin"), ["key", "comp"]).join(sizes, ["key", "own", "bin"])
     placed = placed.select("key", "at", "doc", "comp", F.struct("own", "bin", F.expr("pmod(xxhash64(doc), subs)").alias("sub")).alias("c"))
-    dealt = placed.join(duties, ["key", "c"]).select("part", "at", "doc", "comp", "side")
-    cold = plain.join(big.select(F.col("key").alias("part")), "part", "left_anti")
-    return _named(cold.union(dealt).join(features, "doc"), True, percent)
+    dealt = placed.join(duties, ["key", "c"]).select("part", "at", "doc", "comp", "side", "key")
+    return plain.join(big.select("key"), "key", "left_anti").select(*dealt.columns).union(dealt)
+
+
+def _cross_pairs(members: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a, b) of a group that lies in different components and passes the
+    filters. members: key, at, doc, comp; features: doc and ranges or sketch."""
+    return _named(_cross_parts(members).join(features, "doc"), "all", percent)
+
 
+def _possible(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their sketches do not rule out."""
+    left = sketched.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    right = sketched.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
 
-def verify(spark: SparkSession, pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    def run(batches):
+        for batch in parts(batches):
+            n, (a, b, na, nb) = batch.num_rows, (batch.column(i).to_numpy() for i in range(4))
+            packed = np.empty(2 * n, object)
+            packed[:] = batch.column(4).to_pylist() + batch.column(5).to_pylist()
+            at = np.concatenate([na, nb]) << 32
+            for i, _, _ in _passing(np.arange(n), np.arange(n) + n, at, Sketches(packed), percent):
+                yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[i])], ["a", "b"])
+
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "x", "y").mapInArrow(tidy(run), "a long, b long").distinct()
+
+
+def verify(spark: SparkSession, pairs: DataFrame, docs: DataFrame, k: int, percent: int, old: list[str], sketched: bool = False) -> DataFrame:
     """(a, b) for the pairs (columns a, b) whose shingle sets reach the threshold. Each
-    pair is compared once. A document's partners are dealt out by MEMBERS_PER_SALT, and
-    its text goes to each of these groups once."""
+    pair is compared once, if the sketches allow it (``sketched``: they do for all). A document's partners are dealt out
+    by MEMBERS_PER_SALT, and its text goes to each of these groups once. ``old`` notes the
+    tables that are not needed once the result is staged."""
     wanted = pairs.select(F.col("a").alias("doc")).union(pairs.select("b"))
-    texts = stage(spark, maybe_in(docs, "doc", id_filter(wanted, "doc")), "texts")
+    texts = stage(spark, maybe_in(docs, "doc", id_filter(wanted, "doc")), "texts", old)
+    if not sketched:
+        pairs = stage(spark, _possible(pairs, sketches(texts, k), percent), "possible", old)
     ranked = pairs.selectExpr("a", "b", "row_number() OVER (PARTITION BY a ORDER BY b) - 1 AS nth")
     ranked = ranked.select("a", "b", F.expr(f"nth div {MEMBERS_PER_SALT}").alias("salt"), F.expr(f"nth % {MEMBERS_PER_SALT}").alias("nth"))
     hubs = ranked.where("nth = 0").join(texts, F.col("a") == F.col("doc")).select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
@@ -432,18 +587,33 @@ def ngram_join(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int =
     # read twice: the prefixes of all documents need not be kept on disk
     sets = stage(spark, shingle_sets(docs, tables, k, percent, keys_only=True).select("doc", "n", "h1", "h2"), "sets")
     same = shingle_sets(docs, tables, k, percent).where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc", "prefix", "ranges")).alias("first"))
-    reps = stage(spark, same.select("first.doc", "n", "first.prefix", "first.ranges", "h1", "h2"), "reps")
-    members = stage(spark, _shared(_postings(reps), percent), "shared")
+    old: list[str] = []
+    whole = stage(spark, same.select("first.doc", "n", "first.prefix", "first.ranges", "h1", "h2"), "whole", old)
+    members = stage(spark, _shared(_postings(whole), percent), "shared")
+    reps = stage(spark, whole.drop("prefix"), "reps")
+    discard(spark, old)
     features = reps.select("doc", "ranges")
 
     first = stage(spark, _likely_pairs(members, features, percent).distinct(), "likely")
-    found = stage(spark, verify(spark, first, docs, k, percent), "found")
+    found = stage(spark, verify(spark, first, docs, k, percent, old), "found")
+    discard(spark, old)
     comps = components(spark, found).withColumnRenamed("vertex", "doc")
     members = stage(spark, members.join(comps, "doc", "left").select("key", "at", "doc", F.coalesce("component", "doc").alias("comp")), "members")
     open_ = members.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("key")
-    rest = _cross_pairs(members.join(open_, "key", "left_semi"), features, percent)
-    rest = stage(spark, rest.distinct().join(first, ["a", "b"], "left_anti"), "rest")
-    links = stage(spark, found.union(verify(spark, rest, docs, k, percent)), "links")
+    parts_ = _cross_parts(members.join(open_, "key", "left_semi"))
+    crossed = stage(spark, _crossed(parts_.join(features, "doc"), percent).distinct(), "crossed")
+    alive = crossed.where("other IS NULL").select("key", "at", "doc", "comp")
+    wide = stage(spark, sketches(maybe_in(docs, "doc", id_filter(alive, "doc")), k), "sketches").select("doc", "sketch")
+    best = _named(_cross_parts(alive).join(wide, "doc"), "best", percent)
+    best = crossed.where("other IS NOT NULL").select(F.col("doc").alias("a"), F.col("other").alias("b")).union(best).distinct()
+    best = stage(spark, best.join(first, ["a", "b"], "left_anti"), "best")
+    found = found.union(stage(spark, verify(spark, best, docs, k, percent, old), "found"))
+    discard(spark, old)
+    comps = components(spark, found).withColumnRenamed("vertex", "doc")
+    alive = alive.join(comps, "doc", "left").select("key", "at", "doc", F.coalesce("component", "comp").alias("comp"))
+    rest = _cross_pairs(alive, wide, percent).distinct().join(first.union(best), ["a", "b"], "left_anti")
+    links = stage(spark, found.union(verify(spark, stage(spark, rest, "rest"), docs, k, percent, old, sketched=True)), "links")
+    discard(spark, old)
     joined = components(spark, links).withColumnRenamed("vertex", "rep")
     rep = reps.select(F.col("doc").alias("rep"), "h1", "h2", "n")
     all_sets = sets.join(rep, ["h1", "h2", "n"], "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))

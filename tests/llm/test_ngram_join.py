@@ -183,3 +183,38 @@ def test_cross_pairs_in_chunks_are_all_pairs_of_different_components(spark, monk
     got = {(r["a"], r["b"]) for r in ngram_join._cross_pairs(members, features, 80).collect()}
     want = {(a, b) for b in range(len(comp)) for a in range(b) if comp[a] != comp[b]}
     assert got == want
+
+
+def test_sketches_never_rule_a_link_out():
+    rng = np.random.default_rng(6)
+    sets = []
+    for n in (1, 5, 60, 300, 9000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for part in (0, 0.05, 0.5, 1):
+            sets.append(np.unique(np.concatenate([base[int(part * n) :], rng.integers(0, 1 << 63, int(part * n) + 1, dtype=np.uint64)])))
+    packed = np.empty(len(sets), object)
+    packed[:] = [ngram_join._sketch(s) for s in sets]
+    i, j = np.triu_indices(len(sets), 1)
+    apart = ngram_join.Sketches(packed).apart(i, j)
+    true = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    assert (apart <= true).all()
+    alike = (np.maximum(i, j) < 16) & (true < 150) & (i // 4 == j // 4)
+    assert alike.any() and (apart[alike] >= 0.7 * true[alike] - 1).all()
+
+
+def test_near_copies_below_the_threshold_are_not_named_pair_by_pair(spark, frame, prose, monkeypatch):
+    """Each of 120 copies has changes of its own: some 7,000 pairs share most shingles, none is linked."""
+    named = {}
+    stage = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", lambda spark, df, label, *paths: named.setdefault(label, []).append(stage(spark, df, label, *paths)) or named[label][-1])
+    rng, base = random.Random(7), prose(200, 77).split(" ")
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for at in rng.sample(range(200), 5):
+            w[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(w)))
+    got = joined(spark, frame(rows), 4, 85)
+    assert got == brute(rows, 4, 85)
+    pairs = sum(df.count() for label in ("likely", "best", "rest") for df in named.get(label, []))
+    assert pairs < 1200
