@@ -1,59 +1,65 @@
 """Benchmark decontamination: documents that hold a passage within a small edit
 distance of a benchmark item.
 
-Texts are compared as lower-cased words (bytes a-z, 0-9 and all above 127) joined by
-single spaces. The item's passage may stand anywhere in a document: the distance is
-that of the item to the nearest substring, and an item leaks where it is at most
+Texts are compared as lower-cased words (a-z, 0-9 and all beyond ASCII) joined by single
+spaces. The item's passage may stand anywhere in a document: the distance is that of the
+item to the nearest substring in characters, and an item leaks where it is at most
 ``1 - similarity`` times the item's length (0.9: one edit in ten characters).
 
-1. Item-sized windows. A window is laid where three of the item's word bigrams (both, if
-   it has two) occur in line, their offsets within one word of each other, and is
-   aligned by them. Ordinary prose rarely does so; an edited passage keeps a third of
-   its bigrams even with one edit in ten characters.
-   Items of fewer than FEW_WORDS words or in scripts without spaces may keep no bigram:
-   these are also cut into one piece more than the edits allowed, and a window is laid
-   wherever a piece stands. It goes straight to step 4.
-2. CGK embedding. A window walks over its characters, and at every step a random bit,
-   drawn for the step and the character under it, says whether to move on. Windows at a
-   small edit distance soon walk in step again, so their outputs differ in few places.
-   A walk may also stay out of step for long, so many independent ones are taken, over
-   windows of one size class at a time.
-3. Bit-sampling LSH. Each table reads a few sampled output places; a window and an item
-   of its class meet if they agree in any table. A window and the item it was laid for
-   meet in any case. Recall is measured by the tests against exact search over all
-   windows.
-4. Exact edit verification of every pair that met, by dynamic programming over the
-   window with a margin on either side.
+1. Item-sized windows. An item of n characters has the size class W, the largest power
+   of two with 2 W - 1 <= n. Over every whole text windows of W characters begin at every
+   W-th character, for each class that has items; of an item all windows that begin in
+   its first W characters are kept. Wherever a passage stands, one window of the text
+   begins at one of these.
+2. CGK embedding. A window walks over its characters for W steps, and at every step a
+   random bit, drawn for the step and the character under it, says whether to move on.
+   Windows at a small edit distance soon walk in step again, so their outputs differ in
+   few places. A walk may also stay out of step for long, so WALKS independent ones are
+   taken.
+3. Bit-sampling LSH. Each table reads SAMPLES places of a walk's output, half of the
+   tables from its first half. A window and an item that agree in any table meet. Equal
+   windows always do.
+4. Few tables agree where edits are many, so items are also cut into one piece more than
+   the edits allowed, of which a passage within that distance holds one unchanged; text
+   and item meet wherever a piece stands. This makes the recall 1, for any item and any
+   place of the edits; items under 2 * SIZES[0] - 1 characters rest on it alone.
+5. Exact edit verification by dynamic programming over the passage with a margin on
+   either side, of every pair that met but those whose passage holds fewer of the item's
+   runs of GRAM characters than the edits allowed would leave.
 
 One narrow pass: no shuffle, nothing gathered, whole texts of any length. The benchmark
-goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text, one pass per block.
+goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text, one pass per block; a
+Python worker builds a block's tables once.
 
-Null and empty texts leak nothing; null or empty items, and items of fewer than three
-words, which ordinary prose repeats, match nothing unless in a script without spaces. Equal items are reported each by
-its own id. Other columns are ignored.
+Null and empty texts leak nothing; null or empty items, and those without a letter or
+digit, match nothing. Items of one or two words are found like all others, inside longer
+words as well. Equal items are reported each by its own id, repeated rows each by itself.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import mix, parts, passes, table, text_views, tidy, word_spans
+from claimlake.llm.common import mix, parts, passes, table, text_views, tidy
 
 SIMILARITY = 0.9
 #: Independent walks, tables per walk and sampled places per table.
-WALKS, TABLES, SAMPLES = 16, 8, 4
-#: Window sizes are rounded up to multiples of this many characters.
-SIZE_STEP = 32
-#: Benchmark text that a task holds at a time.
-BLOCK_BYTES = 8 << 20
-#: Items of fewer words, and those in scripts without spaces, are found by pieces.
-FEW_WORDS = 12
+WALKS, TABLES, SAMPLES = 8, 4, 8
+#: Window sizes; the smallest is the least that leaves a choice of places.
+SIZES = tuple(1 << k for k in range(4, 31))
+#: Benchmark text that a task holds at a time (its tables take some 500 bytes a byte).
+BLOCK_BYTES = 1 << 18
+#: Characters of a piece that are looked up, and those in line that passages are ruled out by.
+PIECE, GRAM = 10, 4
 _FILTER_BITS = 22
 _U = np.uint64
+_BASE = _U(0x9E3779B97F4A7C15)
 
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -64,63 +70,175 @@ def normal(raw: bytes) -> bytes:
     return b" ".join(raw.translate(_PLAIN).split())
 
 
-def _bigrams(words: np.ndarray) -> np.ndarray:
-    return mix(words[:-1] * _U(0x9E3779B97F4A7C15) + words[1:])
+def _codes(text: str | bytes) -> np.ndarray:
+    return np.frombuffer(text, np.uint8).astype(np.uint32) if isinstance(text, bytes) else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def _folded(codes: np.ndarray) -> np.ndarray:
+    """Characters as bytes, which may coincide for rare ones: the walk's alphabet."""
+    return (codes ^ (codes >> 8)).astype(np.uint8)
+
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return (keys * _BASE) >> _U(64 - _FILTER_BITS)
+
+
+def _filter(keys: np.ndarray) -> np.ndarray:
+    out = np.zeros(1 << _FILTER_BITS, bool)
+    out[_slot(keys)] = True
+    return out
 
 
 class Walk:
-    """The random bits and sampled places of one size class."""
+    """The random bits and sampled places of one window size."""
 
     def __init__(self, size: int, walk: int):
         rng = np.random.default_rng([size, walk])
-        steps = 2 * size
-        self.bits = rng.integers(0, 2, (steps, 256), dtype=np.uint8)
-        self.places = np.sort(rng.integers(0, steps, (TABLES, SAMPLES)), axis=1)
-
-    def keys(self, texts: np.ndarray) -> np.ndarray:
-        """Table keys (rows by TABLES) of zero-padded byte strings."""
-        n, width = texts.shape
-        flat, base = texts.ravel(), np.arange(n) * width
-        at = np.zeros(n, np.int64)
-        read = {}
-        for t in range(int(self.places.max()) + 1):
-            c = flat[base + at]
-            read[t] = c
-            at += self.bits[t][c]
-            np.minimum(at, width - 1, out=at)
-        out = np.zeros((n, TABLES), np.int64)
-        for r in range(TABLES):
-            for p in self.places[r]:
-                out[:, r] = out[:, r] * 256 + read[int(p)]
-        return out
-
-
-_walks: dict[tuple[int, int], Walk] = {}
+        self.bits = rng.integers(0, 2, (size, 256))
+        self.places = [np.sort(rng.choice(size >> (r % 2), SAMPLES, replace=False)) for r in range(TABLES)]
+        self.salt = rng.integers(0, 1 << 63, TABLES).astype(np.uint64)
+
+    def keys(self, letters: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
+        """Each table's keys of the windows that begin at places of a text."""
+        steps = int(max(p[-1] for p in self.places)) + 1
+        sampled = {int(x) for p in self.places for x in p}
+        at, read = at.copy(), {}
+        for t in range(steps):
+            c = letters.take(at)
+            if t in sampled:
+                read[t] = c
+            at += self.bits[t].take(c)
+        for places, salt in zip(self.places, self.salt, strict=True):
+            key = np.zeros(len(at), np.uint64)
+            for x in places.tolist():
+                key = (key << _U(8)) | read[x]
+            yield mix(key ^ salt)
+
+
+class Tables:
+    """The LSH tables of the items of one window size."""
+
+    def __init__(self, size: int, items: list[int], codes: list[np.ndarray]):
+        self.size = size
+        self.walks = [Walk(size, w) for w in range(WALKS)]
+        letters = _folded(np.concatenate([codes[x] for x in items]))
+        begin = np.concatenate([[0], np.cumsum([len(codes[x]) for x in items])[:-1]])
+        at = (begin[:, None] + np.arange(size)).ravel()
+        item, offset = np.repeat(np.array(items, np.int32), size), np.tile(np.arange(size, dtype=np.int32), len(items))
+        keys = np.concatenate([k for w in self.walks for k in w.keys(letters, at)])
+        order = np.argsort(keys, kind="stable")
+        self.keys, order = keys[order], order % len(at)
+        self.item, self.offset = item[order], offset[order]
+        self.filter = _filter(self.keys)
+
+    def met(self, letters: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(item, place of the window, place in the item) of those that agree in any table."""
+        many = np.maximum(-(-(ends - begins) // self.size), 0)
+        first = np.cumsum(many) - many
+        at = np.repeat(begins - first * self.size, many) + np.arange(int(many.sum())) * self.size
+        items, places, offsets = [], [], []
+        for walk in self.walks:
+            for keys in walk.keys(letters, at):
+                i = np.flatnonzero(self.filter[_slot(keys)])
+                entry, i = _entries(self.keys, keys, i)
+                items.append(self.item[entry].astype(np.int64))
+                places.append(at[i])
+                offsets.append(self.offset[entry].astype(np.int64))
+        return np.concatenate(items), np.concatenate(places), np.concatenate(offsets)
+
+
+def _grams(codes: np.ndarray, most: int) -> list[np.ndarray]:
+    """Keys of the 1, 2, ... ``most`` characters from each place on."""
+    n, wide = len(codes) - most + 1, codes.astype(np.uint64)
+    out = [wide[:n]]
+    for k in range(1, most):
+        out.append(out[-1] * _BASE + wide[k : k + n])
+    return out
 
 
-def _walk(size: int, walk: int) -> Walk:
-    if (size, walk) not in _walks:
-        _walks[size, walk] = Walk(size, walk)
-    return _walks[size, walk]
+class Pieces:
+    """Items cut into one piece more than the edits allowed: a passage within that
+    distance holds one of them unchanged, not far from its place."""
 
+    def __init__(self, texts: list[str], edits: list[int]):
+        known: dict[int, list[tuple[int, int, int]]] = {}  # by characters looked up
+        for x, (text, e) in enumerate(zip(texts, edits, strict=True)):
+            edges = [k * len(text) // (e + 1) for k in range(e + 2)]
+            codes = _codes(text)
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if b > a:
+                    q = min(PIECE, b - a)
+                    known.setdefault(q, []).append((int(_grams(codes[a : a + q], q)[-1][0]), x, a))
+        self.at = {}
+        for q, own in known.items():
+            keys, item, offset = np.array([k for k, _, _ in own], np.uint64), np.array([x for _, x, _ in own]), np.array([a for *_, a in own])
+            order = np.argsort(keys, kind="stable")
+            self.at[q] = keys[order], item[order], offset[order], _filter(keys)
+
+    def met(self, codes: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+        """(item, place of the piece, place in the item) wherever a piece's first
+        characters stand in a text of ``n`` characters."""
+        out = []
+        most = max(self.at, default=1)
+        for begin in range(0, n, 1 << 16):
+            grams = _grams(codes[begin : min(n, begin + (1 << 16)) + most - 1], most)
+            for q, (keys, item, offset, known) in self.at.items():
+                g = grams[q - 1]
+                i = np.flatnonzero(known[_slot(g)])
+                entry, i = _entries(keys, g, i)
+                out.append((item[entry], begin + i, offset[entry]))
+        return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3))
+
+
+class Shares:
+    """Sets of the items' GRAM characters in line (by 12 bits of a hash). Every edit
+    costs a passage at most GRAM of its item's, so one that holds fewer is ruled out."""
+
+    def __init__(self, texts: list[str], edits: list[int]):
+        self.length, self.edits = np.array([len(t) for t in texts], np.int64), np.array(edits, np.int64)
+        self.has = np.zeros((len(texts), 1 << 12), bool)
+        for x, t in enumerate(texts):
+            if len(t) >= GRAM:
+                self.has[x, self.slots(_codes(t))] = True
+        self.has = self.has.ravel()
+        self.least = self.length - GRAM + 1 - GRAM * self.edits
 
-def _padded(texts: list[bytes], size: int) -> np.ndarray:
-    """One zero at least ends each row; texts are read as far as a walk can come."""
-    width = size + 1
-    return np.frombuffer(b"".join(t[:size].ljust(width, b"\0") for t in texts), np.uint8).reshape(-1, width)
+    @staticmethod
+    def slots(codes: np.ndarray) -> np.ndarray:
+        return ((_grams(codes, GRAM)[-1] * _BASE) >> _U(52)).astype(np.int32)
+
+    def likely(self, item: np.ndarray, low: np.ndarray, high: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Which of the items may lie in the passages from ``low`` up to ``high``."""
+        out = np.ones(len(item), bool)
+        size = np.maximum(high - low - GRAM + 1, 1)
+        ends = np.cumsum(size)
+        low, base = low.astype(np.int32), (item << 12).astype(np.int32)
+        k = 0
+        while k < len(item):  # some 2 MB of places at a time
+            j = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + (1 << 18), side="right")))
+            n = size[k:j]
+            before = np.cumsum(n) - n
+            at = np.arange(int(n.sum()), dtype=np.int32) + np.repeat(low[k:j] - before.astype(np.int32), n)
+            held = self.has.take(slots.take(at) + np.repeat(base[k:j], n)).view(np.uint8)
+            out[k:j] = np.add.reduceat(held, before, dtype=np.int32) >= self.least[item[k:j]]
+            k = j
+        return out
 
 
-def lsh_keys(texts: list[bytes], size: int) -> np.ndarray:
-    rows = _padded(texts, 2 * size)
-    return np.concatenate([_walk(size, w).keys(rows) for w in range(WALKS)], axis=1)
+def _entries(known: np.ndarray, keys: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the sorted ``known``, place in ``keys``) of all equal ones, of those at ``i``."""
+    lo, hi = np.searchsorted(known, keys[i], "left"), np.searchsorted(known, keys[i], "right")
+    n = hi - lo
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), np.repeat(i, n)
 
 
-def infix_distances(items: list[bytes], windows: list[bytes]) -> np.ndarray:
+def infix_distances(items: list[str] | list[bytes], windows: list[str] | list[bytes]) -> np.ndarray:
     """Edit distance of each item to the nearest substring of its window."""
-    n, m = max(map(len, items)), max(map(len, windows))
-    a = np.frombuffer(b"".join(x.ljust(n, b"\0") for x in items), np.uint8).reshape(-1, n)
-    b = np.frombuffer(b"".join(x.ljust(m, b"\1") for x in windows), np.uint8).reshape(-1, m)
-    length = np.array([len(x) for x in items])
+    rows, cols = [_codes(x) for x in items], [_codes(x) for x in windows]
+    length, n, m = np.array([len(x) for x in rows]), max(map(len, rows)), max(map(len, cols))
+    a, b = np.zeros((len(rows), n), np.uint32), np.full((len(cols), m), 1, np.uint32)
+    for k, (x, y) in enumerate(zip(rows, cols, strict=True)):
+        a[k, : len(x)], b[k, : len(y)] = x, y
     kind = np.int16 if n + m < 32_000 else np.int64  # no value is beyond n + m
     step = np.arange(m + 1, dtype=kind)
     row = np.zeros((len(items), m + 1), kind)
@@ -137,187 +255,84 @@ def infix_distances(items: list[bytes], windows: list[bytes]) -> np.ndarray:
     return out
 
 
-def _unspaced(text: bytes) -> bool:
-    """Whether a text has four characters of scripts that mostly write without spaces
-    (three or four bytes each, signs aside)."""
-    lead = np.frombuffer(text, np.uint8)
-    return int(((lead == 0xE0) | (lead == 0xE1) | ((lead >= 0xE3) & (lead < 0xEE)) | (lead >= 0xF0)).sum()) >= 4
-
-
-class Pieces:
-    """Items cut into one piece more than the edits allowed: a passage within that
-    distance holds one of them unchanged, not far from its place."""
-
-    def __init__(self, texts: list[bytes], use: list[int], similarity: float):
-        self.texts, self.edits = texts, {}
-        self.at: dict[int, dict[int, list[tuple[int, int, bytes]]]] = {}  # by bytes looked up, then by these
-        for x in use:
-            n = len(texts[x])
-            e = self.edits[x] = int((1 - similarity) * n + 1e-9)
-            edges = [k * n // (e + 1) for k in range(e + 2)]
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                piece = texts[x][a:b]
-                if piece:
-                    q = min(8, len(piece))
-                    self.at.setdefault(q, {}).setdefault(int.from_bytes(piece[:q], "little"), []).append((x, a, piece))
-        self.filters = {}
-        for q, own in self.at.items():
-            self.filters[q] = np.zeros(1 << _FILTER_BITS, bool)
-            self.filters[q][self._slot(np.array(list(own), np.uint64))] = True
-
-    @staticmethod
-    def _slot(grams: np.ndarray) -> np.ndarray:
-        return (grams * _U(0x9E3779B97F4A7C15)) >> _U(64 - _FILTER_BITS)
-
-    def laid(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
-        if not self.at:
-            return
-        rows = [normal(data[a:b].tobytes()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        text = b"\0".join(rows)  # no item holds a zero
-        own = np.concatenate([[0], np.cumsum([len(r) + 1 for r in rows])])
-        spots: dict[tuple[int, int], set[int]] = {}
-        for begin in range(0, len(text), 1 << 20):
-            part = text[begin : begin + (1 << 20) + 7]
-            grams = np.ndarray((min(len(text) - begin, 1 << 20),), "<u8", part + bytes(8), strides=(1,))
-            for q, known in self.at.items():
-                g = grams & _U((1 << 8 * q) - 1)
-                for p in np.flatnonzero(self.filters[q][self._slot(g)]).tolist():
-                    for x, a, piece in known.get(int(g[p]), ()):
-                        if text.startswith(piece, begin + p):
-                            r = int(np.searchsorted(own, begin + p, side="right")) - 1
-                            spots.setdefault((r, x), set()).add(begin + p - a - int(own[r]))
-        for (r, x), places in spots.items():
-            n, e = len(self.texts[x]), self.edits[x]
-            low = high = None
-            for a in sorted(places):
-                if low is not None and (a - high > n or a - low > 4 * n):
-                    yield r, x, b"", rows[r][max(0, low - e) : high + n + e]
-                    low = None
-                low, high = (a if low is None else low), a
-            yield r, x, b"", rows[r][max(0, low - e) : high + n + e]
-
-
 class Block:
-    """An index of some items: bigram places, and LSH tables by size class."""
+    """Some items with their LSH tables and pieces. Only the items travel; what is made
+    of them is built where it is first used."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float):
-        self.similarity = similarity
-        texts = [t.encode("utf-8") for _, t in items]
-        at = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        words, _, _, own = word_spans(np.frombuffer(b"".join(texts), np.uint8), at, _GAP)
-        counts = np.diff(own)
-        whole = np.array([_unspaced(t) for t in texts], bool)
-        use = np.flatnonzero((counts >= 3) | whole)
-        self.ids = np.array([items[i][0] for i in use], np.int64)
-        self.texts = [normal(texts[i]) for i in use]
-        self.words = counts[use]
-        self.pieces = Pieces(self.texts, np.flatnonzero((self.words < FEW_WORDS) | whole[use]).tolist(), similarity)
-        keys, item, place = [], [], []
-        for k, i in enumerate(use):
-            g = _bigrams(words[own[i] : own[i + 1]])
-            keys.append(g)
-            item.append(np.full(len(g), k))
-            place.append(np.arange(len(g)))
-        cat = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        keys, item, place = cat(keys, np.uint64), cat(item, np.int64), cat(place, np.int64)
-        o = np.argsort(keys, kind="stable")
-        self.keys, self.item, self.place = keys[o], item[o], place[o]
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self.keys >> _U(64 - _FILTER_BITS)] = True
-        self.size = np.array([-(-len(t) // SIZE_STEP) * SIZE_STEP for t in self.texts], np.int64)
-        self.tables = {}
-        for size in sorted(set(self.size.tolist())):
-            members = np.flatnonzero(self.size == size)
-            k = lsh_keys([self.texts[i] for i in members], size)
-            o = np.argsort(k, axis=0, kind="stable")
-            self.tables[size] = (np.take_along_axis(k, o, axis=0), members[o])
-
-    def windows(self, words: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(row, item, first word) of the windows laid over rows of word hashes."""
-        none = tuple(np.zeros(0, np.int64) for _ in range(3))
-        if len(words) < 3 or not len(self.keys):
-            return none
-        grams = _bigrams(words)
-        ok = self.filter[grams >> _U(64 - _FILTER_BITS)]
-        inner = own[1:-1]
-        ok[inner[(inner > 0) & (inner < len(words))] - 1] = False  # two rows' words
-        i = np.flatnonzero(ok)
-        lo, hi = np.searchsorted(self.keys, grams[i], "left"), np.searchsorted(self.keys, grams[i], "right")
-        many = hi - lo
-        i, lo, many = i[many > 0], lo[many > 0], many[many > 0]
-        if many.sum() < 2:
-            return none
-        entry = np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        i = np.repeat(i, many)
-        item = self.item[entry]
-        first = i - self.place[entry]
-        row = np.searchsorted(own, i, side="right") - 1
-        pair = row * len(self.ids) + item
-        o = np.lexsort((i, first, pair))
-        pair, first, i = pair[o], first[o], i[o]
-        place = i - first
-        hit = np.zeros(len(pair), bool)
-        two = (pair[1:] == pair[:-1]) & (first[1:] - first[:-1] <= 1) & (i[1:] != i[:-1]) & (place[1:] != place[:-1])
-        three = (pair[2:] == pair[:-2]) & (first[2:] - first[:-2] <= 2)
-        for x in (i, place):
-            three &= (x[2:] != x[:-2]) & (x[2:] != x[1:-1]) & (x[1:-1] != x[:-2])
-        two &= self.words[pair[1:] % len(self.ids)] == 3  # items with two bigrams only
-        hit[1:] |= two
-        hit[:-1] |= two
-        for k in range(3):
-            hit[k : len(hit) - 2 + k] |= three  # empty for two hits
-        pair, first = pair[hit], first[hit]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (first[1:] != first[:-1])
-        pair, first = pair[new], first[new]
-        return pair // len(self.ids), pair % len(self.ids), first
-
-    def laid(self, data: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, bytes, bytes]]:
-        """(row, item's index, window, window with a margin) over rows of text."""
-        words, starts, ends, own = word_spans(data, at, _GAP)
-        row, item, first = self.windows(words, own)
-        margin = np.ceil((1 - self.similarity) * self.words[item]).astype(np.int64) + 1
-        cut = lambda a, b: normal(data[starts[a] : ends[b - 1]].tobytes()) if b > a else b""
-        for r, x, f, m in zip(row.tolist(), item.tolist(), first.tolist(), margin.tolist(), strict=True):
-            low, high, n = int(own[r]), int(own[r + 1]), int(self.words[x])
-            yield r, x, cut(max(f, low), min(f + n, high)), cut(max(f - m, low), min(f + n + m, high))
-        yield from self.pieces.laid(data, at)
-
-    def matches(self, laid: list[tuple[int, int, bytes, bytes]]) -> list[tuple[int, int, int]]:
-        """(row, item's index, distance) of the leaks among laid windows."""
-        found: dict[tuple[int, int], int] = {}
-        self._verify([x for x in laid if not x[2]], found)
-        laid = [x for x in laid if x[2]]
-        sizes = self.size[[x for _, x, _, _ in laid]] if laid else np.zeros(0, np.int64)
-        for size in np.unique(sizes).tolist():
-            group = [laid[k] for k in np.flatnonzero(sizes == size)]
-            for k in range(0, len(group), 4096):
-                part = group[k : k + 4096]
-                mine = lsh_keys([w for _, _, w, _ in part], size)
-                keys, members = self.tables[size]
-                met = {(w, x) for w, (_, x, _, _) in enumerate(part)}  # what a window was laid for needs no table
-                for c in range(mine.shape[1]):
-                    a, b = np.searchsorted(keys[:, c], mine[:, c], "left"), np.searchsorted(keys[:, c], mine[:, c], "right")
-                    for w in np.flatnonzero(b > a).tolist():
-                        met.update((w, int(members[y, c])) for y in range(a[w], b[w]))
-                self._verify([(part[w][0], x, *part[w][2:]) for w, x in sorted(met)], found)
-        return [(r, x, d) for (r, x), d in found.items()]
-
-    def _verify(self, pairs: list[tuple[int, int, bytes, bytes]], found: dict[tuple[int, int], int]) -> None:
+        self.similarity, self.token = similarity, uuid.uuid4().hex
+        own = [(i, normal(t.encode("utf-8")).decode("utf-8")) for i, t in items]
+        own = [(i, t) for i, t in own if t]
+        self.ids, self.texts = [i for i, _ in own], [t for _, t in own]
+        self.edits = [int((1 - similarity) * len(t) + 1e-9) for t in self.texts]
+
+    def index(self) -> tuple[list[Tables], Pieces, Shares]:
+        if self.token not in _built:
+            _built.clear()  # a worker holds one block's tables
+            codes, classes = [_codes(t) for t in self.texts], {}
+            for x, t in enumerate(self.texts):
+                fits = [w for w in SIZES if 2 * w - 1 <= len(t)]
+                if fits:
+                    classes.setdefault(fits[-1], []).append(x)
+            tables = [Tables(w, x, codes) for w, x in sorted(classes.items())]
+            _built[self.token] = tables, Pieces(self.texts, self.edits), Shares(self.texts, self.edits)
+        return _built[self.token]
+
+    def candidates(self, rows: list[str], pieces: bool = True) -> list[tuple[int, int, str]]:
+        """(row, item, passage with a margin) of all that met and may be near."""
+        tables, cut, shares = self.index()
+        text = "\0".join(rows)  # no text or item holds a zero
+        size = np.array([len(r) for r in rows], np.int64)
+        begin = (np.cumsum(size + 1) - size - 1).astype(np.int64)
+        pad = max([PIECE, *(t.size for t in tables)])
+        codes = np.concatenate([_codes(text), np.zeros(pad, np.uint32)])
+        letters, slots = _folded(codes), shares.slots(codes)
+        met = [t.met(letters, begin, begin + size) for t in tables]
+        if pieces:
+            met.append(cut.met(codes, len(text)))
+        if not met:
+            return []
+        item, at, offset = (np.concatenate([m[k] for m in met]) for k in range(3))
+        row, place = np.searchsorted(begin, at, side="right") - 1, at - offset
+        order = np.lexsort((place, item, row))
+        row, item, place = row[order], item[order], place[order]
+        new = np.ones(len(item), bool)  # the same place, met more than once
+        new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1])
+        row, item, place = row[new], item[new], place[new]
+        margin = shares.edits[item]
+        low = np.maximum(place - margin, begin[row])
+        high = np.minimum(place + shares.length[item] + margin, begin[row] + size[row])
+        near = shares.likely(item, low, high, slots)
+        out: list[tuple[int, int, int, int]] = []
+        for r, x, a, b in zip(row[near].tolist(), item[near].tolist(), low[near].tolist(), high[near].tolist(), strict=True):
+            if out and out[-1][:2] == (r, x) and a <= out[-1][3] and b - out[-1][2] <= 5 * len(self.texts[x]):
+                out[-1] = (r, x, out[-1][2], b)
+            else:
+                out.append((r, x, a, b))
+        return [(r, x, text[a:b]) for r, x, a, b in out]
+
+    def found(self, data: np.ndarray, at: np.ndarray, pieces: bool = True) -> list[tuple[int, int, int]]:
+        """(row, item's index, distance) of the leaks in rows of text."""
+        rows = [normal(data[a:b].tobytes()).decode("utf-8", "replace") for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        best: dict[tuple[int, int], int] = {}
         todo = []
-        for r, x, _, wide in pairs:
+        for r, x, wide in self.candidates(rows, pieces):
             if self.texts[x] in wide:
-                found[r, x] = 0
+                best[r, x] = 0
             else:
                 todo.append((r, x, wide))
-        for k in range(0, len(todo), 512):
-            group = [g for g in todo[k : k + 512] if found.get(g[:2]) != 0]
-            if not group:
-                continue
+        todo = sorted((t for t in todo if best.get(t[:2]) != 0), key=lambda t: len(t[2]))
+        for k in range(0, len(todo), 128):
+            group = todo[k : k + 128]
             d = infix_distances([self.texts[x] for _, x, _ in group], [w for *_, w in group])
             for (r, x, _), v in zip(group, d.tolist(), strict=True):
-                if v <= (1 - self.similarity) * len(self.texts[x]) + 1e-9:
-                    found[r, x] = min(v, found.get((r, x), 1 << 30))
+                if v <= self.edits[x]:
+                    best[r, x] = min(v, best.get((r, x), 1 << 30))
+        return [(r, x, d) for (r, x), d in best.items()]
+
+
+#: Tables of the block in use, one per Python worker.
+_built: dict[str, tuple[list[Tables], Pieces, Shares]] = {}
 
 
 def blocks(benchmark: DataFrame, similarity: float, id: str = "item_id", text: str = "text") -> Iterator[Block]:
@@ -326,7 +341,7 @@ def blocks(benchmark: DataFrame, similarity: float, id: str = "item_id", text: s
     size = 0
     for r in benchmark.select(F.col(f"`{id}`").cast("long").alias("i"), F.col(f"`{text}`").cast("string").alias("t")).where("i IS NOT NULL AND t IS NOT NULL").toLocalIterator():
         held.append((r["i"], r["t"]))
-        size += len(r["t"])
+        size += len(r["t"].encode())
         if size >= BLOCK_BYTES:
             yield Block(held, similarity)
             held, size = [], 0
@@ -336,13 +351,7 @@ def blocks(benchmark: DataFrame, similarity: float, id: str = "item_id", text: s
 
 def _leaks(batch: pa.RecordBatch, column: int, block: Block) -> list[tuple[int, int, int]]:
     data, at = text_views(batch.column(column))
-    out, held = [], []
-    for i, j in passes(at):
-        held += [(i + r, *rest) for r, *rest in block.laid(data[at[i] : at[j]], at[i : j + 1] - at[i])]
-        if len(held) > 20_000:  # rows are not split between passes
-            out += block.matches(held)
-            held = []
-    return out + block.matches(held)
+    return [(i + r, *rest) for i, j in passes(at) for r, *rest in block.found(data[at[i] : at[j]], at[i : j + 1] - at[i])]
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -359,7 +368,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([r for r, _, _ in found], pa.int64())),
-                        pa.array([int(block.ids[x]) for _, x, _ in found], pa.int64()),
+                        pa.array([block.ids[x] for _, x, _ in found], pa.int64()),
                         pa.array([d for *_, d in found], pa.int64()),
                         pa.array([len(block.texts[x]) for _, x, _ in found], pa.int64()),
                     ],
