@@ -17,11 +17,11 @@ item to the nearest substring in characters, and an item leaks where it is at mo
    few places. A walk may also stay out of step for long, so WALKS independent ones are
    taken.
 3. Bit-sampling LSH. Each table reads SAMPLES places of a walk's output, half of the
-   tables from its first half. A window and an item that agree in any table meet. Equal
-   windows always do.
+   tables from its first half (16 steps at least). A window and an item that agree in any
+   table meet; equal windows always do.
 4. Few tables agree where edits are many, so items are also cut into one piece more than
-   the edits allowed, of which a passage within that distance holds one unchanged; text
-   and item meet wherever a piece stands. This makes the recall 1, for any item and any
+   the edits allowed, of which a passage within that distance holds one unchanged beside
+   half of its neighbour; text and item meet wherever these stand. This makes the recall 1, for any item and any
    place of the edits; items under 2 * SIZES[0] - 1 characters rest on it alone.
 5. Exact edit verification by dynamic programming over the passage with a margin on
    either side, of every pair that met but those whose passage holds fewer of the item's
@@ -50,14 +50,13 @@ from claimlake.llm.common import mix, parts, passes, table, text_views, tidy
 
 SIMILARITY = 0.9
 #: Independent walks, tables per walk and sampled places per table.
-WALKS, TABLES, SAMPLES = 8, 4, 8
+WALKS, TABLES, SAMPLES = 8, 4, 12
 #: Window sizes; the smallest is the least that leaves a choice of places.
 SIZES = tuple(1 << k for k in range(4, 31))
 #: Benchmark text that a task holds at a time (its tables take some 500 bytes a byte).
 BLOCK_BYTES = 1 << 18
 #: Characters of a piece that are looked up, and those in line that passages are ruled out by.
 PIECE, GRAM = 10, 4
-_FILTER_BITS = 22
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 
@@ -79,14 +78,24 @@ def _folded(codes: np.ndarray) -> np.ndarray:
     return (codes ^ (codes >> 8)).astype(np.uint8)
 
 
-def _slot(keys: np.ndarray) -> np.ndarray:
-    return (keys * _BASE) >> _U(64 - _FILTER_BITS)
+class Known:
+    """Sorted keys behind a filter of some 16 slots a key, small enough to stay near the
+    processor."""
 
+    def __init__(self, keys: np.ndarray):
+        self.order = np.argsort(keys, kind="stable")
+        self.keys = keys[self.order]
+        self.shift = _U(64 - max(10, (16 * len(keys)).bit_length()))
+        self.slots = np.zeros(1 << int(_U(64) - self.shift), bool)
+        self.slots[(keys * _BASE) >> self.shift] = True
 
-def _filter(keys: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << _FILTER_BITS, bool)
-    out[_slot(keys)] = True
-    return out
+    def equal(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of the known key, place in ``keys``) of all that are equal."""
+        i = np.flatnonzero(self.slots.take(((keys * _BASE) >> self.shift).view(np.int64)))
+        lo, hi = np.searchsorted(self.keys, keys[i], "left"), np.searchsorted(self.keys, keys[i], "right")
+        n = hi - lo
+        entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.order[entry], np.repeat(i, n)
 
 
 class Walk:
@@ -95,7 +104,7 @@ class Walk:
     def __init__(self, size: int, walk: int):
         rng = np.random.default_rng([size, walk])
         self.bits = rng.integers(0, 2, (size, 256))
-        self.places = [np.sort(rng.choice(size >> (r % 2), SAMPLES, replace=False)) for r in range(TABLES)]
+        self.places = [np.sort(rng.choice(max(SIZES[0], size >> (r % 2)), SAMPLES, replace=False)) for r in range(TABLES)]
         self.salt = rng.integers(0, 1 << 63, TABLES).astype(np.uint64)
 
     def keys(self, letters: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
@@ -111,7 +120,7 @@ class Walk:
         for places, salt in zip(self.places, self.salt, strict=True):
             key = np.zeros(len(at), np.uint64)
             for x in places.tolist():
-                key = (key << _U(8)) | read[x]
+                key = key * _BASE + read[x]
             yield mix(key ^ salt)
 
 
@@ -124,12 +133,8 @@ class Tables:
         letters = _folded(np.concatenate([codes[x] for x in items]))
         begin = np.concatenate([[0], np.cumsum([len(codes[x]) for x in items])[:-1]])
         at = (begin[:, None] + np.arange(size)).ravel()
-        item, offset = np.repeat(np.array(items, np.int32), size), np.tile(np.arange(size, dtype=np.int32), len(items))
-        keys = np.concatenate([k for w in self.walks for k in w.keys(letters, at)])
-        order = np.argsort(keys, kind="stable")
-        self.keys, order = keys[order], order % len(at)
-        self.item, self.offset = item[order], offset[order]
-        self.filter = _filter(self.keys)
+        self.item, self.offset = np.repeat(np.array(items), size), np.tile(np.arange(size), len(items))
+        self.known = [[Known(k) for k in w.keys(letters, at)] for w in self.walks]
 
     def met(self, letters: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         """(item, place of the window, place in the item) of those that agree in any table."""
@@ -137,13 +142,12 @@ class Tables:
         first = np.cumsum(many) - many
         at = np.repeat(begins - first * self.size, many) + np.arange(int(many.sum())) * self.size
         items, places, offsets = [], [], []
-        for walk in self.walks:
-            for keys in walk.keys(letters, at):
-                i = np.flatnonzero(self.filter[_slot(keys)])
-                entry, i = _entries(self.keys, keys, i)
-                items.append(self.item[entry].astype(np.int64))
+        for walk, tables in zip(self.walks, self.known, strict=True):
+            for keys, known in zip(walk.keys(letters, at), tables, strict=True):
+                entry, i = known.equal(keys)
+                items.append(self.item[entry])
                 places.append(at[i])
-                offsets.append(self.offset[entry].astype(np.int64))
+                offsets.append(self.offset[entry])
         return np.concatenate(items), np.concatenate(places), np.concatenate(offsets)
 
 
@@ -157,36 +161,56 @@ def _grams(codes: np.ndarray, most: int) -> list[np.ndarray]:
 
 
 class Pieces:
-    """Items cut into one piece more than the edits allowed: a passage within that
-    distance holds one of them unchanged, not far from its place."""
+    """Items cut into one piece more than the edits allowed, and taken in pairs. Of a
+    passage within that distance some pair holds at most one edit (a last one alone
+    none): one piece stands unchanged, and of its neighbour the half beside it does, or
+    the far half, moved by one character at most."""
 
     def __init__(self, texts: list[str], edits: list[int]):
-        known: dict[int, list[tuple[int, int, int]]] = {}  # by characters looked up
+        known: dict[int, list[tuple[int, ...]]] = {}  # by characters looked up
+        self.reach = 2 * PIECE
         for x, (text, e) in enumerate(zip(texts, edits, strict=True)):
             edges = [k * len(text) // (e + 1) for k in range(e + 2)]
             codes = _codes(text)
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
+
+            def key(a: int, b: int, codes=codes) -> tuple[int, int]:
+                q = min(PIECE, b - a)
+                return q, int(_grams(codes[a : a + q], q)[-1][0])
+
+            for k in range(e + 1):
+                a, b = edges[k], edges[k + 1]
+                low, high = (edges[k - 1], a) if k % 2 else (b, edges[min(k + 2, e + 1)])
+                half = (high - low) // 2
+                beside, far = ((high - half, high), (low, high - half)) if k % 2 else ((low, low + half), (low + half, high))
                 if b > a:
-                    q = min(PIECE, b - a)
-                    known.setdefault(q, []).append((int(_grams(codes[a : a + q], q)[-1][0]), x, a))
+                    # no neighbour, or one too short to tell: nothing to see beside it
+                    more = (*key(*beside), beside[0] - a, *key(*far), far[0] - a) if half else (0,) * 6
+                    q, own = key(a, b)
+                    known.setdefault(q, []).append((own, x, a, *more))
+                    self.reach = max(self.reach, high - a + PIECE, a - low + PIECE)
         self.at = {}
         for q, own in known.items():
-            keys, item, offset = np.array([k for k, _, _ in own], np.uint64), np.array([x for _, x, _ in own]), np.array([a for *_, a in own])
-            order = np.argsort(keys, kind="stable")
-            self.at[q] = keys[order], item[order], offset[order], _filter(keys)
+            keys, halves = (np.array([[o[k] for k in part] for o in own], np.uint64) for part in ((0,), (4, 7)))
+            places = np.array([[o[k] for k in (1, 2, 3, 5, 6, 8)] for o in own], np.int64)
+            self.at[q] = Known(keys[:, 0]), halves, places
 
     def met(self, codes: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
         """(item, place of the piece, place in the item) wherever a piece's first
-        characters stand in a text of ``n`` characters."""
+        characters stand beside its neighbour in a text of ``n`` characters."""
         out = []
-        most = max(self.at, default=1)
-        for begin in range(0, n, 1 << 16):
-            grams = _grams(codes[begin : min(n, begin + (1 << 16)) + most - 1], most)
-            for q, (keys, item, offset, known) in self.at.items():
-                g = grams[q - 1]
-                i = np.flatnonzero(known[_slot(g)])
-                entry, i = _entries(keys, g, i)
-                out.append((item[entry], begin + i, offset[entry]))
+        side = np.zeros(self.reach, np.uint32)
+        codes = np.concatenate([side, codes[:n], side, side])
+        for begin in range(0, n, 1 << 15):
+            end = min(n, begin + (1 << 15))
+            grams = np.stack(_grams(codes[begin : end + 2 * self.reach + PIECE], PIECE))
+            for q, (known, halves, places) in self.at.items():
+                entry, i = known.equal(grams[q - 1, self.reach : self.reach + end - begin])
+                item, offset, q1, at1, q2, at2 = places[entry].T
+                at = i + self.reach
+                ok = (q1 == 0) | (grams[q1 - 1, at + at1] == halves[entry, 0])
+                for moved in (-1, 0, 1):
+                    ok |= grams[q2 - 1, at + at2 + moved] == halves[entry, 1]
+                out.append((item[ok], begin + i[ok], offset[ok]))
         return tuple(np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k in range(3))
 
 
@@ -225,13 +249,6 @@ class Shares:
         return out
 
 
-def _entries(known: np.ndarray, keys: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in the sorted ``known``, place in ``keys``) of all equal ones, of those at ``i``."""
-    lo, hi = np.searchsorted(known, keys[i], "left"), np.searchsorted(known, keys[i], "right")
-    n = hi - lo
-    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum())), np.repeat(i, n)
-
-
 def infix_distances(items: list[str] | list[bytes], windows: list[str] | list[bytes]) -> np.ndarray:
     """Edit distance of each item to the nearest substring of its window."""
     rows, cols = [_codes(x) for x in items], [_codes(x) for x in windows]

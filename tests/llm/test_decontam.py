@@ -163,7 +163,7 @@ def test_recall_by_length_against_exact_search(prose, name):
                     spread += len(leak & set(found(block, raw, pieces=False)))
     assert want >= 30
     if name in ("some", "many", "unspaced"):
-        assert spread >= 0.9 * want
+        assert spread >= 0.85 * want
 
 
 def test_items_of_two_words_and_edits_in_every_bigram_are_found():
