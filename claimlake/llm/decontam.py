@@ -21,8 +21,9 @@ item to the nearest substring in characters, and an item leaks where it is at mo
    table meet; equal windows always do.
 4. Few tables agree where edits are many, so items are also cut into one piece more than
    the edits allowed, of which a passage within that distance holds one unchanged beside
-   half of its neighbour; text and item meet wherever these stand. This makes the recall 1, for any item and any
-   place of the edits; items under 2 * SIZES[0] - 1 characters rest on it alone.
+   half of its neighbour; text and item meet wherever these stand. This makes the recall
+   1, for any item and any place of the edits; items under 2 * SIZES[0] - 1 characters
+   rest on it alone.
 5. Exact edit verification by dynamic programming over the passage with a margin on
    either side, of every pair that met but those whose passage holds fewer of the item's
    runs of GRAM characters than the edits allowed would leave.
@@ -46,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import mix, parts, passes, table, text_views, tidy
+from claimlake.llm.common import parts, passes, table, text_views, tidy
 
 SIMILARITY = 0.9
 #: Independent walks, tables per walk and sampled places per table.
@@ -92,8 +93,10 @@ class Known:
     def equal(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number of the known key, place in ``keys``) of all that are equal."""
         i = np.flatnonzero(self.slots.take(((keys * _BASE) >> self.shift).view(np.int64)))
-        lo, hi = np.searchsorted(self.keys, keys[i], "left"), np.searchsorted(self.keys, keys[i], "right")
-        n = hi - lo
+        lo = np.searchsorted(self.keys, keys[i], "left")
+        met = self.keys.take(lo, mode="clip") == keys[i]  # most that pass the filter are not known
+        i, lo = i[met], lo[met]
+        n = np.searchsorted(self.keys, keys[i], "right") - lo
         entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         return self.order[entry], np.repeat(i, n)
 
@@ -105,7 +108,6 @@ class Walk:
         rng = np.random.default_rng([size, walk])
         self.bits = rng.integers(0, 2, (size, 256))
         self.places = [np.sort(rng.choice(max(SIZES[0], size >> (r % 2)), SAMPLES, replace=False)) for r in range(TABLES)]
-        self.salt = rng.integers(0, 1 << 63, TABLES).astype(np.uint64)
 
     def keys(self, letters: np.ndarray, at: np.ndarray) -> Iterator[np.ndarray]:
         """Each table's keys of the windows that begin at places of a text."""
@@ -115,13 +117,14 @@ class Walk:
         for t in range(steps):
             c = letters.take(at)
             if t in sampled:
-                read[t] = c
+                read[t] = c.astype(np.uint64)
             at += self.bits[t].take(c)
-        for places, salt in zip(self.places, self.salt, strict=True):
-            key = np.zeros(len(at), np.uint64)
-            for x in places.tolist():
-                key = key * _BASE + read[x]
-            yield mix(key ^ salt)
+        for places in self.places:
+            key = read[int(places[0])].copy()
+            for x in places[1:].tolist():
+                key *= _BASE
+                key += read[x]
+            yield key
 
 
 class Tables:
@@ -151,12 +154,14 @@ class Tables:
         return np.concatenate(items), np.concatenate(places), np.concatenate(offsets)
 
 
-def _grams(codes: np.ndarray, most: int) -> list[np.ndarray]:
-    """Keys of the 1, 2, ... ``most`` characters from each place on."""
+def _grams(codes: np.ndarray, most: int) -> np.ndarray:
+    """Keys of the 1, 2, ... ``most`` characters from each place on, one row each."""
     n, wide = len(codes) - most + 1, codes.astype(np.uint64)
-    out = [wide[:n]]
+    out = np.empty((most, n), np.uint64)
+    out[0] = wide[:n]
     for k in range(1, most):
-        out.append(out[-1] * _BASE + wide[k : k + n])
+        np.multiply(out[k - 1], _BASE, out=out[k])
+        out[k] += wide[k : k + n]
     return out
 
 
@@ -168,7 +173,7 @@ class Pieces:
 
     def __init__(self, texts: list[str], edits: list[int]):
         known: dict[int, list[tuple[int, ...]]] = {}  # by characters looked up
-        self.reach = 2 * PIECE
+        self.reach = 2 * PIECE  # characters looked at on either side
         for x, (text, e) in enumerate(zip(texts, edits, strict=True)):
             edges = [k * len(text) // (e + 1) for k in range(e + 2)]
             codes = _codes(text)
@@ -202,7 +207,7 @@ class Pieces:
         codes = np.concatenate([side, codes[:n], side, side])
         for begin in range(0, n, 1 << 15):
             end = min(n, begin + (1 << 15))
-            grams = np.stack(_grams(codes[begin : end + 2 * self.reach + PIECE], PIECE))
+            grams = _grams(codes[begin : end + 2 * self.reach + PIECE], PIECE)
             for q, (known, halves, places) in self.at.items():
                 entry, i = known.equal(grams[q - 1, self.reach : self.reach + end - begin])
                 item, offset, q1, at1, q2, at2 = places[entry].T
