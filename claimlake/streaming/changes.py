@@ -27,7 +27,7 @@ class ChangeTable:
         self.schema, self.key = schema, key
         whole = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(SEQ, T.LongType()), T.StructField(GONE, T.BooleanType()), *schema.fields])
         columns = [SEQ, GONE, *schema.names]
-        self.runs = Runs(spark, path, whole, [KEY], lambda: last_by(F.col(SEQ), columns), buckets)
+        self.runs = Runs(spark, path, whole, [KEY], lambda: last_by(F.col(SEQ), columns), buckets, sparse=True)
 
     def _keyed(self, changes: DataFrame, seq: Column, gone: Column) -> DataFrame:
         content = F.sha2(F.to_json(F.struct(*sorted(self.schema.names))), 256)

@@ -9,6 +9,11 @@ of buckets with many runs as one run and then deletes the runs it read, so a rea
 always finds every row, a failure in between only leaves rows that merge to the same, and
 the work of a batch is in proportion to the batch.
 
+Tables of wide rows of which few stand in several runs (``sparse``) merge in two steps: the hashes of
+the keys that stand more than once are found from the key columns alone, and only the rows of these are
+gathered by key; the others are taken as they stand. A batch is then written aside first, and the
+buckets in which no key of it repeats, as a rule all, are moved into place.
+
 How rows of a key merge is the table's ``merge``, a list of aggregates that may be taken
 again over their own results: a last value by sequence number, a sum, a minimum.
 """
@@ -22,18 +27,21 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from claimlake.session import checkpoint_dir
 from claimlake.sources.readers import _folder, partition_folders, path_exists
 
 BUCKETS = 64
 #: Runs from which a bucket is compacted.
 MOST_RUNS = 8
+#: Hashes of repeated keys up to which they are sent to every task (some 100 MB); more are joined by a shuffle.
+MOST_SENT = 4_000_000
 
 
 @dataclass
 class Runs:
     """``key``: the columns a row is known by. ``merge``: column -> aggregate over the column's own
     values. ``bucket``: an expression of the key's bucket (a hash of the key if not given), the same at
-    every use of the table."""
+    every use of the table. ``sparse``: rows are wide and few keys stand in several runs."""
 
     spark: SparkSession
     path: str
@@ -42,6 +50,7 @@ class Runs:
     merge: Callable[[], list[Column]]
     buckets: int = BUCKETS
     bucket: Column | None = None
+    sparse: bool = False
 
     def _bucket(self) -> Column:
         known = self.bucket if self.bucket is not None else F.pmod(F.xxhash64(*self.key), F.lit(self.buckets))
@@ -51,15 +60,59 @@ class Runs:
         """One row per key; both steps of the aggregation combine before the shuffle, whatever a key's share."""
         return rows.groupBy(*self.key).agg(*self.merge()).select(*self.schema.names)
 
+    def _gathered(self, rows: DataFrame) -> DataFrame:
+        """``merged`` for rows read from files: of a sparse table only the rows of repeated keys meet."""
+        if not self.sparse:
+            return self.merged(rows)
+        h = F.xxhash64(*self.key).alias("_h")
+        path = os.path.join(checkpoint_dir(self.spark), f"repeated-{uuid.uuid4().hex}")
+        rows.groupBy(h).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h").write.parquet(path)
+        repeated = self.spark.read.schema("_h long").parquet(path)
+        found = repeated.count()  # from the footers
+        if not found:
+            return rows
+        repeated = F.broadcast(repeated) if found <= MOST_SENT else repeated
+        rows = rows.select("*", h)
+        alone, several = (rows.join(repeated, "_h", how).select(*self.schema.names) for how in ("left_anti", "left_semi"))
+        return alone.unionByName(self.merged(several))
+
+    def _write(self, rows: DataFrame, run: str | Column, path: str) -> None:
+        out = rows.withColumns({"bucket": self._bucket(), "run": F.lit(run) if isinstance(run, str) else run})
+        (out.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", "run").parquet(path))
+
     def append(self, rows: DataFrame, run: str | None = None) -> str:
         """Adds ``rows``, merged by key, as a run. A run of the same name is replaced in the
         buckets that both hold, so a batch sent again under its name changes nothing."""
         run = run or uuid.uuid4().hex
-        out = self.merged(rows).withColumns({"bucket": self._bucket(), "run": F.lit(run)})
-        (out.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket", "run").parquet(self.path))
+        if self.sparse:
+            self._append_aside(rows, run)
+        else:
+            self._write(self.merged(rows), run, self.path)
         return run
 
+    def _append_aside(self, rows: DataFrame, run: str) -> None:
+        """The rows are written once, as they come; buckets in which a key repeats are then written merged."""
+        staged = os.path.join(self.path, "_new", uuid.uuid4().hex)  # hidden from readers of the table
+        self._write(rows.select(*self.schema.names), run, staged)
+        folders = partition_folders(self.spark, staged, "bucket")
+        if folders:
+            schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.StringType())])
+            held = self.spark.read.schema(schema).parquet(staged)
+            counts = held.groupBy("bucket", F.xxhash64(*self.key)).agg(F.count(F.lit(1)).alias("_n"))
+            repeat = {r[0] for r in counts.where("_n > 1").select("bucket").distinct().collect()}  # at most the buckets
+            if repeat:
+                self._write(self._gathered(held.where(F.col("bucket").isin(*repeat)).drop("bucket")), run, self.path)
+            for b in folders.keys() - repeat:
+                fs, source = _folder(self.spark, os.path.join(folders[b], f"run={run}"))
+                _, target = _folder(self.spark, os.path.join(self.path, f"bucket={b}", f"run={run}"))
+                fs.delete(target, True)
+                fs.mkdirs(target.getParent())
+                if not fs.rename(source, target):
+                    raise OSError(f"{source} was not moved to {target}")
+        fs, p = _folder(self.spark, staged)
+        fs.delete(p, True)
+
     def layout(self) -> dict[str, list[str]]:
         """bucket -> names of its runs, from the folders; no file is opened."""
         if not path_exists(self.spark, self.path):
@@ -81,7 +134,7 @@ class Runs:
         several = [b for b, rs in runs.items() if len(rs) > 1]
         parts = [self._rows(single, runs)] if single or not several else []
         if several:
-            parts.append(self.merged(self._rows(several, runs)))
+            parts.append(self._gathered(self._rows(several, runs)))
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def touched(self, rows: DataFrame) -> list[str]:
@@ -97,9 +150,7 @@ class Runs:
             return []
         # sorts where its last run did, so "before" keeps its meaning
         name = F.create_map(*[x for b in full for x in (F.lit(b), F.lit(f"{runs[b][-1]}-{uuid.uuid4().hex[:8]}"))])
-        rows = self.merged(self._rows(full, runs)).withColumn("bucket", self._bucket())
-        (rows.withColumn("run", name[F.col("bucket")]).hint("rebalance", "bucket").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "run").parquet(self.path))
+        self._write(self._gathered(self._rows(full, runs)), name[self._bucket()], self.path)
         for b in full:
             for r in runs[b]:
                 fs, p = _folder(self.spark, os.path.join(self.path, f"bucket={b}", f"run={r}"))

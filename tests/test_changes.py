@@ -92,3 +92,32 @@ def test_empty_table_and_empty_batch(spark, table):
     assert rows(t) == []
     t.apply(spark.createDataFrame([], FEED))
     assert rows(t) == []
+
+
+def test_rows_of_a_key_of_its_own_are_not_gathered(spark, table):
+    """Only hashes and the rows of repeated keys are shuffled, whatever the table's width."""
+    t = table(buckets=2)
+    wide = F.concat(F.lit("s"), *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 512) for i in range(4)]).alias("v")
+    t.load(spark.range(3000).select(F.col("id").alias("k"), wide))
+    t.apply(spark.createDataFrame([(k, "new", "U", 1) for k in (1, 2, 3, 3)] + [(5000, "new", "I", 1), (4, None, "D", 2)], FEED))
+    plan = t.current()._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    got = dict(rows(t))
+    assert len(got) == 3000 and [got[k] for k in (1, 2, 3, 5000)] == ["new"] * 4 and 4 not in got and got[5].startswith("s")
+
+
+def test_many_repeated_keys_are_joined_by_a_shuffle(spark, table, monkeypatch):
+    monkeypatch.setattr("claimlake.streaming.runs.MOST_SENT", 10)
+    t = table()
+    for seq, n in ((1, 100), (2, 50)):
+        t.apply(spark.range(n).selectExpr("id AS k", f"'v{seq}' AS v", "'U' AS op", f"{seq}L AS seq").unionByName(spark.range(n).selectExpr("id AS k", "'a' AS v", "'U' AS op", f"{seq}L AS seq")))
+    assert rows(t) == [(k, "v2" if k < 50 else "v1") for k in range(100)]
+
+
+def test_a_run_sent_again_replaces_itself(spark, table):
+    t = table()
+    runs = t.runs
+    for v in ("old", "new"):
+        runs.append(t._keyed(spark.createDataFrame([(k, v) for k in range(20)], ROW), F.lit(1), F.lit(False)), "r")
+    assert rows(t) == [(k, "new") for k in range(20)] and {tuple(r) for r in runs.layout().values()} == {("r",)}
+    assert not glob.glob(runs.path + "/_new/*")
