@@ -1,14 +1,15 @@
-"""Which files of a Parquet table may hold a key: a range and a Bloom filter per file.
+"""Which files of a Parquet table hold a key: the 64-bit hash of every key, by file.
 
-The index stands beside the data, in ``_index`` (hidden from readers of the table): ``files``
-has a row per data file with the smallest and the largest key hash, ``bloom`` the words of the file's
-filter that are not zero. Only new files are read to index them: those on disk that ``files`` does
-not name, be it that the table had no index, that another job wrote them, or that a job ended
+The index stands beside the data, in ``_index`` (hidden from readers of the table): ``named``
+has a row per data file with the file's number (a hash of its name), ``held`` the file's number and key
+hash of every row. Only new files are read to index them, without a shuffle: those on disk that ``named``
+does not have, be it that the table had no index, that another job wrote them, or that a job ended
 between writing and indexing. Entries of files that are gone are left out when looked up.
 
-Looking up keys joins them with the files by hash range (files written in order of the hash
-have narrow ones) and then with the filters' words by (file, word); the filters are read in columns, some
-ten bits a row of the table, and no row of the table is. Files are named by their path
+Looking up keys is one semi join of ``held`` with the hashes of the keys, so its work is in proportion to
+the rows and the keys, whatever the number of files or partitions: a small batch is sent to the
+index's tasks, a large one meets it in a shuffle of two numbers a row. No row of the table is read. A file is named in
+error only if two keys share their hash. Files are named by their path
 under the table, as ``_metadata.file_path`` has it.
 """
 
@@ -22,12 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from claimlake.sources.readers import _folder, path_exists
 
-#: Bits of a filter for each row of its file, and bits set by a key: one key in some 120 is found in error.
-BITS_PER_ROW = 10
-HASHES = 6
-
-_FILES = T.StructType([T.StructField("file", T.StringType()), T.StructField("rows", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
-_BLOOM = T.StructType([T.StructField("file", T.StringType()), T.StructField("word", T.LongType()), T.StructField("bits", T.LongType())])
+_NAMED = T.StructType([T.StructField("file", T.StringType()), T.StructField("number", T.LongType())])
+_HELD = T.StructType([T.StructField("number", T.LongType()), T.StructField("hash", T.LongType())])
 
 
 def key_hash(key: str | Column) -> Column:
@@ -109,27 +106,15 @@ def swap_files(spark: SparkSession, path: str, staged: str, old: list[str], done
     finish(spark, path)
 
 
-def _positions(bits: Column) -> Column:
-    return F.array(*[F.pmod(F.xxhash64("_k", F.lit(i)), bits) for i in range(HASHES)])
-
-
-def _bits(rows: Column) -> Column:
-    return F.greatest(F.lit(64), rows * BITS_PER_ROW)
-
-
-def _mask() -> Column:
-    return F.bit_or(F.expr("shiftleft(1L, cast(pos % 64 AS int))"))
-
-
 class FileIndex:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self._files, self._bloom = os.path.join(path, "_index", "files"), os.path.join(path, "_index", "bloom")
+        self._named, self._held = os.path.join(path, "_index", "named"), os.path.join(path, "_index", "held")
 
     def files(self) -> DataFrame:
-        if not path_exists(self.spark, self._files):
-            return self.spark.createDataFrame([], _FILES)
-        return self.spark.read.schema(_FILES).parquet(self._files)
+        if not path_exists(self.spark, self._named):
+            return self.spark.createDataFrame([], _NAMED)
+        return self.spark.read.schema(_NAMED).parquet(self._named)
 
     def update(self, keyed) -> list[str]:
         """Indexes the files that are not yet; ``keyed`` adds the key as text, ``_k``, to rows
@@ -141,25 +126,14 @@ class FileIndex:
         new = [f for f in here if f not in known]
         if new:
             rows = keyed(self.spark.read.option("basePath", self.path).parquet(*[os.path.join(self.path, unquote(f)) for f in new]).withColumn("_file", file_name()))
-            rows = rows.select(F.col("_file").alias("file"), "_k")
-            facts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min(key_hash("_k")).alias("lo"), F.max(key_hash("_k")).alias("hi"))
-            set_ = rows.join(facts.select("file", "rows"), "file").select("file", F.explode(_positions(_bits(F.col("rows")))).alias("pos"))
-            words = set_.groupBy("file", F.expr("pos div 64").alias("word")).agg(_mask().alias("bits"))
-            words.write.mode("append").parquet(self._bloom)
-            facts.write.mode("append").parquet(self._files)  # last: a file counts as indexed from here on
+            rows.select(F.xxhash64("_file").alias("number"), key_hash("_k").alias("hash")).write.mode("append").parquet(self._held)
+            names = self.spark.createDataFrame([(f,) for f in new], "file string").coalesce(1).withColumn("number", F.xxhash64("file"))
+            names.write.mode("append").parquet(self._named)  # last: a file counts as indexed from here on
         return here
 
     def candidates(self, keys: DataFrame, here: list[str]) -> list[str]:
-        """Files, of those ``here``, that may hold one of ``keys`` (column ``_k``)."""
-        shift = 64 - min(16, max(4, len(here).bit_length()))
-        files = self.files().dropDuplicates(["file"])
-        bins = files.withColumn("bin", F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift))))
-        h = key_hash("_k")
-        near = keys.select("_k", h.alias("h"), F.shiftright(h, shift).alias("bin")).join(bins, "bin").where(F.col("h").between(F.col("lo"), F.col("hi")))
-        asked = near.select("_k", "file", F.explode(_positions(_bits(F.col("rows")))).alias("pos"))
-        asked = asked.groupBy("_k", "file", F.expr("pos div 64").alias("word")).agg(_mask().alias("mask"))
-        bloom = self.spark.read.schema(_BLOOM).parquet(self._bloom)
-        answers = asked.join(bloom, ["file", "word"], "left").groupBy("_k", "file", "word").agg(F.max(F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False))).alias("held"))
-        held = answers.groupBy("_k", "file").agg(F.min("held").alias("held")).where("held").select("file").distinct()
-        live = set(here)
-        return sorted(r["file"] for r in held.collect() if r["file"] in live)
+        """Files, of those ``here``, that hold one of ``keys`` (column ``_k``)."""
+        held = self.spark.read.schema(_HELD).parquet(self._held)
+        found = held.join(keys.select(key_hash("_k").alias("hash")), "hash", "left_semi").select("number").distinct()
+        numbers, live = {r["number"] for r in found.collect()}, set(here)  # one a file
+        return sorted({r["file"] for r in self.files().collect() if r["number"] in numbers and r["file"] in live})

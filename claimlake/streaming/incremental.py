@@ -1,10 +1,8 @@
 """Incremental loads without a table format.
 
 ``upsert`` merges new rows into a Parquet table by key and rewrites only the files that
-hold one of the batch's keys: a key-to-file index (``streaming.file_index``) names the files
-that may, the key column of these says which do. Their other rows and the batch's images are
-written as new files beside the table, in order of the key's hash within a partition, which keeps the
-index's ranges narrow. The swap is noted before the new files are moved into place and the old ones
+hold one of the batch's keys, which a key-to-file index (``streaming.file_index``) names. Their other rows and the batch's images are
+written as new files beside the table, in order of the key's hash within a partition. The swap is noted before the new files are moved into place and the old ones
 deleted, so a job that ends in between is finished by the next merge; a plain reader may see
 rows twice for the length of these moves. A table has one writer at a time.
 """
@@ -79,8 +77,8 @@ def merge_batch(spark: SparkSession, path: str, new: DataFrame, key: str = "clai
         # read with the incoming schema: a 'yyyy-MM' partition value must stay text
         new = select_new(spark.read.schema(schema).parquet(path), new)
     row = F.struct(*[F.col(c) for c in columns], gone.alias("_gone"))
-    order = F.struct(F.col(order_col), row) if order_col else row
-    last = new.withColumn("_k", _merge_key(columns, key)).groupBy("_k").agg(F.max_by(row, order).alias("_r")).select("_k", "_r.*")
+    order = [F.col(order_col).alias("_order")] if order_col else []
+    last = new.withColumn("_k", _merge_key(columns, key)).groupBy("_k").agg(F.max(F.struct(*order, row.alias("_r"))).alias("_last")).select("_k", "_last._r.*")
     incoming = spark.read.schema(last.schema).parquet(_staged(spark, last))
     keys = incoming.select("_k")
 
@@ -90,10 +88,7 @@ def merge_batch(spark: SparkSession, path: str, new: DataFrame, key: str = "clai
 
     index = X.FileIndex(spark, path)
     here = index.update(lambda df: keyed(df.select("_file", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns])))
-    touched: list[str] = []
-    if here:
-        maybe = X.read_files(spark, path, index.candidates(keys, here), schema).withColumn("_file", X.file_name())
-        touched = sorted(r[0] for r in keyed(maybe).join(keys, "_k", "left_semi").select("_file").distinct().collect())
+    touched = index.candidates(keys, here) if here else []
     held = keyed(X.read_files(spark, path, touched, schema))
     new_images = incoming.where(~F.col("_gone")).select("_k", *columns)
     changes = None

@@ -143,6 +143,18 @@ def test_filters_rule_files_out_before_they_are_read(spark, many):
         assert held[i] in ask([i])  # a file that holds a key is never ruled out
 
 
+def test_many_unknown_keys_name_no_file_and_the_index_has_one_entry_a_row(spark, many):
+    """A lookup's work does not hang on the files a key's hash lies between."""
+    index = FileIndex(spark, many)
+    keyed = lambda df: df.withColumn("_k", F.concat(F.lit("k"), F.col("claim_item_id").cast("string")))
+    here = index.update(keyed)
+    keys = lambda a, b: spark.range(a, b).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("_k"))
+    assert index.candidates(keys(50_000, 90_000), here) == []
+    assert index.candidates(keys(0, 8000), here) == sorted(here)
+    assert spark.read.parquet(os.path.join(many, "_index", "held")).count() == 8000
+    assert index.update(keyed) == here and spark.read.parquet(os.path.join(many, "_index", "held")).count() == 8000
+
+
 @pytest.mark.parametrize("cut", ["before", "within"])
 def test_a_swap_that_was_cut_off_is_finished_by_the_next_merge(spark, many, monkeypatch, cut):
     batch = spark.createDataFrame([(5, 100, "2021-02"), (6, 100, "2021-01")], COLS)
