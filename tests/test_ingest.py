@@ -1,5 +1,7 @@
 """Ingest of text with broken records and changing columns."""
 
+import os
+
 import pytest
 
 from claimlake.sources.ingest import ingest_batch, ingest_checked
@@ -63,3 +65,13 @@ def test_many_records_are_all_in_one_route(spark, tmp_path):
     bad = {i for i in range(5000) if i % 7 == 0 or i % 11 == 0}
     assert {int(r["record"].split(",")[0]) for r in found.unread.collect()} == bad and found.unread.count() == len(bad)
     assert {int(r["k"]) for r in found.rows.collect()} == set(range(5000)) - bad and found.rows.count() == 5000 - len(bad)
+
+
+def test_a_batch_leaves_no_staged_copy(spark, delivered, tmp_path):
+    bronze, audit = str(tmp_path / "bronze"), str(tmp_path / "audit")
+    found = ingest_batch(spark, delivered(a_csv="k,v\n1,a\n2\n"), bronze, audit, "20240101_120000")
+    assert not os.path.exists(found.staged)
+    assert rows(found.rows) == [("1", "a")] and rows(found.unread.select("record", "reason")) == [("2", "fewer fields than columns")]
+    (tmp_path / "in" / "a.csv").write_text("k,v\n3\n")
+    found = ingest_batch(spark, str(tmp_path / "in"), bronze, audit, "20240101_130000")
+    assert (found.rows.count(), found.unread.count()) == (0, 1) and not os.path.exists(found.staged)
