@@ -58,6 +58,35 @@ def test_templates_that_look_far_back_are_rendered_in_full():
     assert out == numbered(turns)
 
 
+@pytest.mark.parametrize("whole", [4096, 4])
+def test_no_result_hangs_on_the_number_of_turns(monkeypatch, whole):
+    """Templates of unknown reach are rendered in full and false statements refused, at any length."""
+    monkeypatch.setattr(C, "WHOLE", whole)
+
+    def numbered(turns):
+        return "".join(f"{k} {r}: {t}\n" for k, (r, t) in enumerate(turns))
+
+    def speakers(turns):  # whether a role spoke before, however long ago
+        return "".join(f"{'again ' if r in [x for x, _ in turns[:k]] else ''}{r}: {t}\n" for k, (r, t) in enumerate(turns))
+
+    def third(turns):
+        return "".join(f"{turns[k - 3][1] if k >= 3 else ''}>{t}\n" for k, (_, t) in enumerate(turns))
+
+    turns = [("system" if k in (0, 10) else "user", f"t{k}") for k in range(16)]
+
+    def rendered(template):
+        state = C.Rendering(template)
+        return "".join(state.block(turns[k : k + 2])[0] for k in range(0, len(turns), 2))
+
+    for template in (numbered, speakers, third):
+        assert rendered(template) == template(turns)
+    third.looks_back = 3
+    assert rendered(third) == third(turns)
+    numbered.looks_back = 1
+    with pytest.raises(ValueError, match="looks further back"):
+        rendered(numbered)
+
+
 def test_digests(spark, monkeypatch):
     monkeypatch.setattr(C, "BLOCK", 4)
     rng = random.Random(5)
