@@ -16,7 +16,7 @@ from claimlake.operators import star as G
 from claimlake.operators.cleaning import select_available
 from claimlake.plans.mart_deltas import MartStore
 from claimlake.plans.pipeline import run, silver_from_tables
-from claimlake.registry import register, select_typed
+from claimlake.registry import register, select_typed, written_once
 from claimlake.registry.gold import SILVER_COLS
 from claimlake.registry.views import VIEW_ORACLES
 from claimlake.schema import RAW_COLUMNS, RAW_SCHEMA
@@ -225,6 +225,7 @@ def deliveries(fact: DataFrame) -> list[DataFrame]:
 def _unique_by_batch(spark, sf_dir):
     """Uniqueness of the claim id after each of three batches, from the key register alone."""
     fact = G.fact_claims(silver_from_tables(spark, sf_dir)).select("claim_item_id", "claim_code", "payer_name")
+    fact = written_once(fact, "lines")
     keys = KeyRegister(spark, _scratch(spark, "register"), buckets=8)
     reports = []
     for i, part in enumerate(deliveries(fact), 1):
