@@ -197,7 +197,7 @@ def _stream_late(spark, sf_dir):
     bronze, silver = os.path.join(work, "bronze"), os.path.join(work, "silver")
     raw = raw_claims(spark, sf_dir)
     for part in (raw, raw.where(F.col("type") == "Medicare"), raw.where(F.col("type") == "Group")):
-        part.write.mode("append").parquet(bronze)
+        part.write.mode("append").option("compression", "zstd").parquet(bronze)
         silver_once(spark, bronze, silver, os.path.join(work, "register"), os.path.join(work, "_ckpt"), S.SILVER_INTERVAL, available_now=True, buckets=8).awaitTermination()
     return read_silver(spark, silver).select(*SILVER_COLS)
 

@@ -11,10 +11,14 @@ delivery may have.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from claimlake.streaming.runs import BUCKETS, MOST_RUNS, Runs
+from claimlake.session import checkpoint_dir
+from claimlake.streaming.runs import BUCKETS, MOST_RUNS, MOST_SENT, Runs
 
 KEY, ROWS, FIRST = "_key", "_rows", "_first"
 _SCHEMA = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(ROWS, T.LongType()), T.StructField(FIRST, T.StringType())])
@@ -64,13 +68,25 @@ class KeyRegister:
     def first_deliveries(self, rows: DataFrame, key: str, batch: str) -> DataFrame:
         """Rows whose key no earlier batch held, one per key (the one whose columns, as text one
         after the other, come first); rows without a key are no deliveries of one another and
-        all stay."""
-        known = self.known(rows, key, batch).where(F.col(KEY).isNotNull()).select(F.col(KEY).alias("_known"))
+        all stay. As a rule few keys repeat within a batch: hashes of the keys tell which, and only
+        their rows are gathered by key."""
         keyed = rows.where(F.col(key).isNotNull())
         row = F.struct(*rows.columns)
         content = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
-        one = keyed.groupBy(F.col(key).cast("string").alias(KEY)).agg(F.min_by(row, content).alias("_row"))
-        new = one.join(known, F.col(KEY) == F.col("_known"), "left_anti").select("_row.*")
+        h, name = F.xxhash64(F.col(key).cast("string")).alias("_h"), F.col(key).cast("string").alias(KEY)
+        path = os.path.join(checkpoint_dir(self.spark), f"repeated-{uuid.uuid4().hex}")
+        keyed.groupBy(h).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h").write.parquet(path)
+        repeated = self.spark.read.schema("_h long").parquet(path)
+        found = repeated.count()  # from the footers
+        repeated = F.broadcast(repeated) if found <= MOST_SENT else repeated
+        one = keyed.select(name, h, row.alias("_row"), content.alias("_content"))
+        if found:
+            alone, several = (one.join(repeated, "_h", how) for how in ("left_anti", "left_semi"))
+            one = alone.select(KEY, "_row").unionByName(several.groupBy(KEY).agg(F.min_by("_row", "_content").alias("_row")))
+        if any(r != batch for runs in self.runs.layout().values() for r in runs):  # else nothing is known, and no row need be moved to find it
+            known = self.known(rows, key, batch).where(F.col(KEY).isNotNull()).select(F.col(KEY).alias("_known"))
+            one = one.join(known, F.col(KEY) == F.col("_known"), "left_anti")
+        new = one.select("_row.*")
         return new.unionByName(rows.where(F.col(key).isNull()))
 
 
@@ -94,7 +110,7 @@ def silver_once(spark: SparkSession, bronze_dir: str, silver_dir: str, register_
         name = batch_name(epoch)
         fresh = register.first_deliveries(batch.select(*RAW_COLUMNS), "claim_item_id", name)
         silver = clean_claims(fresh, batch_id="stream").withColumn("batch", F.lit(name))
-        silver.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(silver_dir)
+        silver.write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd").partitionBy("batch").parquet(silver_dir)
         register.add(batch, "claim_item_id", name)
 
     w = bronze.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
