@@ -174,8 +174,9 @@ def _stream(spark, sf_dir):
     work = _scratch(spark, "stream")
     src = os.path.join(work, "incoming")
     raw = raw_claims(spark, sf_dir)
-    raw.write.mode("overwrite").json(os.path.join(src, "batch1"))
-    raw.where(F.col("type") == "Medicare").write.mode("overwrite").json(os.path.join(src, "batch1_resent"))
+    packed = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}  # a packed file is read by one task
+    raw.write.mode("overwrite").options(**packed).json(os.path.join(src, "batch1"))
+    raw.where(F.col("type") == "Medicare").write.mode("overwrite").options(**packed).json(os.path.join(src, "batch1_resent"))
     silver_dir = S.run_available_now(spark, os.path.join(src, "*"), work)
     return spark.read.parquet(silver_dir).select(*SILVER_COLS)
 

@@ -54,7 +54,7 @@ def raw_to_bronze(spark: SparkSession, source_dir: str, bronze_dir: str, checkpo
     stream = (read_claim_stream(spark, source_dir, fmt)
               .withColumn("_ingested_at", F.current_timestamp())
               .withColumn("run_date", F.date_format(F.col("_ingested_at"), "yyyyMMdd")))
-    w = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    w = (stream.writeStream.format("parquet").options(checkpointLocation=checkpoint, compression="zstd")
          .partitionBy("run_date").outputMode("append"))
     return _trigger(w, available_now, BUFFER_INTERVAL).start(bronze_dir)
 
@@ -92,7 +92,7 @@ def bronze_to_silver(spark: SparkSession, bronze_dir: str, silver_dir: str, chec
     bronze_schema = spark.read.parquet(bronze_dir).schema
     bronze = spark.readStream.schema(bronze_schema).parquet(bronze_dir)
     out = silver_stream(bronze)
-    w = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+    w = (out.writeStream.format("parquet").options(checkpointLocation=checkpoint, compression="zstd")
          .partitionBy("year", "month").outputMode("append"))
     return _trigger(w, available_now, SILVER_INTERVAL).start(silver_dir)
 
