@@ -54,6 +54,14 @@ def small_batches(spark: SparkSession):
         spark.conf.set(key, old)
 
 
+def keep_batches_small(spark: SparkSession) -> None:
+    """As ``small_batches``, for what the session runs from here on: a lazy result is
+    computed by whoever writes it, when ``small_batches`` has ended. A smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def give_up_shuffles(spark: SparkSession) -> None:
     """Spark removes the shuffle files of finished jobs once the driver's JVM collects
     their handles; asking for that after a step keeps disks at one step's shuffles."""

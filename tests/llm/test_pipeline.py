@@ -1,11 +1,13 @@
 """The pipeline against a plain version, stage by stage, on the smallest tables."""
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from claimlake.llm import bpe, decontam, pii, toxicity
+from claimlake.llm.common import BATCH_ROWS
 from tests.llm.test_ngram_join import brute
 
 SF = "/root/testdata/sf0.001"
@@ -63,3 +65,21 @@ def test_odd_rows(spark, step):
     kept = step[1](spark, docs.withColumn("label", docs["n_chars"]), SF).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "2", "3", "None"]
     assert step[1](spark, docs.limit(0), SF).count() == 0
+
+
+@pytest.mark.parametrize("step", corpus_pipeline.STAGES, ids=lambda s: s[0])
+def test_results_are_computed_in_small_batches(spark, step):
+    """Whoever writes a step's result gives its Python tasks a bounded number of texts at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        docs = spark.range(BATCH_ROWS + 500).selectExpr("id AS doc_id", "concat('plain words ', id) AS text", "'en' AS lang", "'s' AS source", "16L AS n_chars")
+        kept = step[1](spark, docs, SF).select("doc_id").coalesce(1)
+        sizes = [r["n"] for r in kept.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()]
+        assert sum(sizes) == BATCH_ROWS + 500 and max(sizes) <= BATCH_ROWS
+        spark.conf.set(key, "7")
+        step[1](spark, docs.limit(1), SF)
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.set(key, old)
