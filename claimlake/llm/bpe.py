@@ -20,9 +20,11 @@ for one) may be classed otherwise than there.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -36,6 +38,8 @@ from claimlake.llm.common import table, tidy
 VOCABULARY = "word_bpe_49k.json"
 #: Words a task remembers before it starts afresh.
 REMEMBERED_WORDS = 300_000
+#: The same where only ids are asked for: two Python workers and the ones that wait share an executor's memory.
+REMEMBERED_IDS = 100_000
 
 # The byte alphabet of byte-level BPE (printable bytes stand for
 # themselves, the others for the characters from U+0100 on).
@@ -105,6 +109,7 @@ class Encoder:
         self.shorter: dict[int, int] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.words: dict[str, tuple[str, str]] = {}
+        self.ids: dict[str, bytes] = {}
 
     def _next_shorter(self, t: int) -> int:
         """The longest token that is a proper prefix of token t, or -1."""
@@ -184,19 +189,39 @@ class Encoder:
             ids = self.encode_piece(p)
             self.words[p] = (" ".join(map(str, ids)), self.decode(ids))
 
+    def _pieces(self, text: str) -> Iterator[tuple[int, list[str]]]:
+        """Special tokens (id, no pieces) and the pieces of what stands between them (-1, pieces)."""
+        for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
+            if k % 2:
+                yield self.special[part], []
+                continue
+            # each capital on its own: the library knows no final sigma
+            low = unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").lower()
+            yield -1, self.pieces.findall(low)
+
+    def encode_ids(self, text: str) -> np.ndarray:
+        """Ids of a whole text."""
+        out: list[bytes] = []
+        for t, pieces in self._pieces(text):
+            if t >= 0:
+                out.append(array("i", [t]).tobytes())
+                continue
+            if len(self.ids) > REMEMBERED_IDS:  # words seen first are the frequent ones
+                self.ids = dict(itertools.islice(self.ids.items(), REMEMBERED_IDS // 2))
+            for p in set(pieces).difference(self.ids):
+                self.ids[p] = array("i", self.encode_piece(p)).tobytes()
+            out.extend(map(self.ids.__getitem__, pieces))
+        return np.frombuffer(b"".join(out), np.int32)
+
     def encode_text(self, text: str) -> tuple[str, str]:
         """(ids joined by a space, decoded text) of a whole text."""
         ids: list[str] = []
         names: list[str] = []
-        for k, part in enumerate(self.cut.split(text) if self.cut else [text]):
-            if k % 2:
-                t = self.special[part]
+        for t, pieces in self._pieces(text):
+            if t >= 0:
                 ids.append(str(t))
                 names.append(self.decode([t]))
                 continue
-            # each capital on its own: the library knows no final sigma
-            low = unicodedata.normalize("NFC", part).replace("\u03a3", "\u03c3").lower()
-            pieces = self.pieces.findall(low)
             if len(self.words) > REMEMBERED_WORDS:
                 self.words.clear()
             self._new_words(pieces)
@@ -234,7 +259,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
         for whole in batches:
             for at in range(0, max(1, whole.num_rows), 256):
                 batch = whole.slice(at, 256)
-                pairs = [enc.encode_text(x.as_py() or "") for x in batch.column(batch.num_columns - 1)]
+                texts = [x.as_py() or "" for x in batch.column(batch.num_columns - 1)]
+                pairs = [enc.encode_text(x) for x in texts] if digests or decoded else []
                 if digests:
                     columns = [
                         pa.array([a.count(" ") + 1 if a else 0 for a, _ in pairs], pa.int64()),
@@ -242,11 +268,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
                         pa.array([hashlib.sha256(b.encode()).hexdigest() for _, b in pairs], pa.string()),
                     ]
                     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-                else:
+                elif decoded:
                     columns = [pa.array([np.array(a.split(), np.int32) for a, _ in pairs], pa.list_(pa.int32())), pa.array([b for _, b in pairs], pa.string())]
                     names = ["token_ids", "decoded"]
-                    if not decoded:
-                        columns, names = columns[:1], names[:1]
+                else:
+                    columns, names = [pa.array([enc.encode_ids(x) for x in texts], pa.list_(pa.int32()))], ["token_ids"]
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], [*batch.schema.names[:-1], *names])
 
     return kept.mapInArrow(tidy(run), ", ".join([*fields, made]))

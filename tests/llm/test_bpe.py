@@ -66,3 +66,26 @@ def test_table(spark, frame, pair):
     digests = B.encode(frame(rows), B.vocabulary_path(), digests=True)
     assert digests.count() == 6 and digests.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert B.encode(frame([]), B.vocabulary_path(), digests=True).count() == 0
+
+
+def test_ids_alone(spark, frame, pair, prose, monkeypatch):
+    """Where only ids are asked for, no decoded words are remembered, and few words."""
+    import tracemalloc
+
+    theirs, ours = pair[1], B.Encoder(B.vocabulary_path())
+    text = " ".join(f"w{k}x" for k in range(30_000))
+    tracemalloc.start()
+    ours.encode_ids(text[:1000])
+    before = tracemalloc.get_traced_memory()[0]
+    ids = ours.encode_ids(text)
+    held = tracemalloc.get_traced_memory()[0] - before - ids.nbytes
+    tracemalloc.stop()
+    assert ids.tolist() == theirs.encode(text, add_special_tokens=False).ids
+    assert not ours.words and held < 300 * 30_000
+    monkeypatch.setattr(B, "REMEMBERED_IDS", 20)
+    rows = [(k, prose(30, k) + " <|endoftext|> ÉΣ " + prose(9, k % 3)) for k in range(20)] + [(20, None), (21, "")]
+    for _, t in rows[:20]:
+        assert ours.encode_ids(t).tolist() == theirs.encode(t, add_special_tokens=False).ids
+    assert len(ours.ids) <= 20 + 60
+    got = {r["doc_id"]: r["token_ids"] for r in B.encode(frame(rows), B.vocabulary_path(), decoded=False).collect()}
+    assert got == {k: theirs.encode(t or "", add_special_tokens=False).ids for k, t in rows}
