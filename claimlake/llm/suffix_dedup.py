@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlake.llm.common import PASS_BYTES, byte_hash, id_filter, in_filter, maybe_in, mix, passes, signed, slot, stage, table, text_views, tidy
+from claimlake.llm.common import PASS_BYTES, byte_hash, id_filter, in_filter, maybe_in, mix, passes, shingle_positions, signed, slot, stage, table, text_views, tidy
 
 GRAM = 24
 #: Positions of a run at most; longer ones (periodic texts) are cut.
@@ -42,9 +42,12 @@ RUN = 512
 #: Classes of a key that are sorted as they are; beyond, the key is cut further.
 CLASSES_PER_KEY = 2048
 STEP = 16
+#: Words of a run that name it, hashed in parts of so many words (see ``shared_passages``).
+LEAST, PARTS = 30, 10
 #: Bytes of class texts that go into one suffix array, if a key has no more.
 BLOCK_BYTES = 1 << 18
 _U = np.uint64
+_NONE = np.zeros(0, np.uint64)
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -353,18 +356,56 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, id: str = "doc_id", text: str = "text") -> DataFrame:
+def _passages(data: np.ndarray, at: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    """For each row, the distinct hashes of LEAST words that are the smallest of their run of ``words`` words."""
+    for grams, own in shingle_positions(data, at, PARTS):
+        n = len(own) - LEAST + 1
+        if len(own) < words:
+            yield _NONE
+            continue
+        total = np.zeros(n, np.uint64)
+        for d in range(0, LEAST, PARTS):
+            total = mix(total * _U(0x9E3779B97F4A7C15) + grams[d : d + n])
+        yield np.unique(_sliding_min(total, words - LEAST + 1))
+
+
+def shared_passages(spark: SparkSession, docs: DataFrame, words: int) -> DataFrame:
+    """Numbers (doc) of all documents that hold a run of ``words`` words of another one, A-Z lower-cased, by 64-bit
+    hashes. Equal runs have the same smallest hash of LEAST words, so these alone are gathered; documents
+    that share fewer words, but LEAST or more, may be among the found."""
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            data, at = text_views(batch.column(1))
+            for i, j in passes(at):
+                found = list(_passages(data[at[i] : at[j]], at[i : j + 1] - at[i], words))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(found))), pa.array(np.repeat(ids[i:j], [len(f) for f in found]).astype(np.int64))], ["passage", "doc"])
+
+    found = stage(spark, docs.select("doc", "text").mapInArrow(tidy(run), "passage long, doc long"), "passages")
+    held = found.groupBy("passage").agg(F.min("doc").alias("a"), F.max("doc").alias("b")).where("a < b").select("passage")
+    return stage(spark, found.join(held, "passage", "left_semi").select("doc").distinct(), "shared")
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, id: str = "doc_id", text: str = "text", words: int | None = None) -> DataFrame:
     """(doc, n_bytes, spans, kept) for every document: byte spans removed, as maximal
-    [start, end) pairs, and the remaining bytes."""
+    [start, end) pairs, and the remaining bytes. ``words``: also ``shared``, true if another document holds a
+    run of that many of its words, however few bytes these are (see ``shared_passages``); nothing is removed for that."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
+    if words is not None and words < LEAST:
+        raise ValueError(f"words must be at least {LEAST}")
     docs = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     docs = stage(spark, docs.withColumn("doc", F.monotonically_increasing_id()), "docs")
+    shared = shared_passages(spark, docs, words) if words is not None else None
     runs = stage(spark, window_runs(docs.select("doc", "text"), length), "runs")
     marks = stage(spark, repeat_marks(spark, docs, runs, length), "marks")
     places = runs.join(marks, ["key", "digest", "size"])
-    spans = places.select("doc", F.transform("heads", lambda x: x + F.col("start")).alias("heads"), F.transform("tails", lambda x: x + F.col("start")).alias("tails"))
-    spans = stage(spark, spans.groupBy("doc").agg(F.flatten(F.collect_list("heads")).alias("heads"), F.flatten(F.collect_list("tails")).alias("tails")), "spans")
+    spans = places.select("doc", F.transform("heads", lambda x: x + F.col("start")).alias("heads"), F.transform("tails", lambda x: x + F.col("start")).alias("tails"), F.lit(False).alias("shared"))
+    if shared is not None:
+        none = F.array().cast("array<long>")
+        spans = spans.union(shared.select("doc", none, none, F.lit(True)))
+    spans = stage(spark, spans.groupBy("doc").agg(F.flatten(F.collect_list("heads")).alias("heads"), F.flatten(F.collect_list("tails")).alias("tails"), F.max("shared").alias("shared")), "spans")
 
     bits = id_filter(spans, "doc")
 
@@ -375,22 +416,23 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 400, id:
                 batch = whole.slice(k, 64)
                 batch = batch.filter(pa.array(~in_filter(held, batch.column(2).to_numpy())))
                 none = [[]] * batch.num_rows
-                yield _kept(batch, none, none)
+                yield _kept(batch, none, none, [False] * batch.num_rows)
 
     def cut(batches):
         for whole in batches:
             for k in range(0, max(1, whole.num_rows), 64):
                 batch = whole.slice(k, 64)
-                yield _kept(batch, batch.column(2).to_pylist(), batch.column(3).to_pylist())
+                yield _kept(batch, *(batch.column(i).to_pylist() for i in (2, 3, 4)))
 
-    kinds = "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    kinds = "doc long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary, shared boolean"
     clean = docs.select("id", "text", slot("doc").alias("slot")).mapInArrow(tidy(untouched), kinds)
-    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("id", "text", "heads", "tails").mapInArrow(tidy(cut), kinds)
-    return clean.union(hit)
+    hit = maybe_in(docs, "doc", bits).join(spans, "doc", "left").select("id", "text", "heads", "tails", "shared").mapInArrow(tidy(cut), kinds)
+    out = clean.union(hit)
+    return out if words is not None else out.drop("shared")
 
 
-def _kept(batch: pa.RecordBatch, heads: list, tails: list) -> pa.RecordBatch:
-    """(doc, n_bytes, spans, kept) of rows (id, text, ...) and their raw spans."""
+def _kept(batch: pa.RecordBatch, heads: list, tails: list, shared: list) -> pa.RecordBatch:
+    """(doc, n_bytes, spans, kept, shared) of rows (id, text, ...), their raw spans and marks."""
     n, found, kept = [], [], []
     for t, h, e in zip(batch.column(1).to_pylist(), heads, tails, strict=True):
         raw = (t or "").encode("utf-8")
@@ -400,10 +442,10 @@ def _kept(batch: pa.RecordBatch, heads: list, tails: list) -> pa.RecordBatch:
         found.append([{"start": a, "end": b} for a, b in own])
         kept.append(b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
     spans = pa.array(found, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), spans, pa.array(kept, pa.binary())], ["doc", "n_bytes", "spans", "kept"])
+    return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), spans, pa.array(kept, pa.binary()), pa.array([x is True for x in shared], pa.bool_())], ["doc", "n_bytes", "spans", "kept", "shared"])
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = remove_repeats(spark, table(spark, sf_dir, "documents"))
+    out = remove_repeats(spark, table(spark, sf_dir, "documents"), words=50)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])
-    return out.select(F.col("doc").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("removed"))
+    return out.select(F.col("doc").alias("doc_id"), "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), (F.size("spans") > 0).alias("removed"), F.col("shared").alias("shares_passage"))

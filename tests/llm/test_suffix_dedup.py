@@ -115,3 +115,18 @@ def test_very_long_text(spark, frame, prose):
 
 def test_empty_table(spark, frame):
     assert removed(spark, frame([])) == []
+
+
+def test_passages_of_fifty_words_are_marked(spark):
+    """However few bytes they have; nothing is removed for that, and a document's own repeats do not count."""
+    import random
+
+    r = random.Random(9)
+    text = lambda n: " ".join(f"{r.randrange(10**4)}" for _ in range(n))
+    passage, short, own = text(50), text(29), text(60)
+    texts = [f"{text(40)} {passage} {text(40)}", f"{text(7)} {passage.upper()}", f"{short} {text(60)}", f"{text(60)} {short}", f"{own} {text(5)} {own}", passage, text(300), "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc"]: x for x in S.remove_repeats(spark, df, words=50).collect()}
+    assert {i for i, x in got.items() if x["shared"]} == {0, 1, 5} and len(got) == 9
+    plain = {x["doc"]: x for x in S.remove_repeats(spark, df).collect()}
+    assert {i: (x["n_bytes"], x["spans"], x["kept"]) for i, x in got.items()} == {i: tuple(x)[1:] for i, x in plain.items()}
