@@ -20,7 +20,7 @@ from claimlake.registry import register, select_typed, written_once
 from claimlake.registry.gold import SILVER_COLS
 from claimlake.registry.views import VIEW_ORACLES
 from claimlake.schema import RAW_COLUMNS, RAW_SCHEMA
-from claimlake.session import checkpoint_dir
+from claimlake.session import checkpoint_dir, give_up_shuffles
 from claimlake.sources import writers as W
 from claimlake.sources.fixture import raw_claims
 from claimlake.sources.readers import read_latest, read_layer
@@ -38,7 +38,8 @@ def _scratch(spark, name: str) -> str:
 
 def _written(spark, df: DataFrame, path: str) -> DataFrame:
     """``df``, written once and read back: batches cut from it do not derive it anew."""
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    give_up_shuffles(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,7 +47,7 @@ def _written(spark, df: DataFrame, path: str) -> DataFrame:
 def _incremental(spark, sf_dir):
     """T4 / T5: first half of the months, then every line (overlapping keys
     replace, touched months rewritten); the result must equal a full build."""
-    fact = G.fact_claims(silver_from_tables(spark, sf_dir))
+    fact = _written(spark, G.fact_claims(silver_from_tables(spark, sf_dir)), _scratch(spark, "lines"))
     path = _scratch(spark, "fact_claims")
     I.upsert(spark, path, fact.where(F.col("service_month") < "2021-07"))
     I.upsert(spark, path, fact)

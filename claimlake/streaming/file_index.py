@@ -6,10 +6,10 @@ hash of every row. Only new files are read to index them, without a shuffle: tho
 does not have, be it that the table had no index, that another job wrote them, or that a job ended
 between writing and indexing. Entries of files that are gone are left out when looked up.
 
-Looking up keys is one semi join of ``held`` with the hashes of the keys, so its work is in proportion to
+Looking up keys is one join of ``held`` with the hashes of the keys, so its work is in proportion to
 the rows and the keys, whatever the number of files or partitions: a small batch is sent to the
-index's tasks, a large one meets it in a shuffle of two numbers a row. No row of the table is read. A file is named in
-error only if two keys share their hash. Files are named by their path
+index's tasks, a large one meets it in a shuffle of two numbers a row. No row of the table is read, but the
+keys of files that seem to hold keys of the batch alone. A file is named in error only if two keys share their hash. Files are named by their path
 under the table, as ``_metadata.file_path`` has it.
 """
 
@@ -31,9 +31,15 @@ def key_hash(key: str | Column) -> Column:
     return F.xxhash64(key)
 
 
+def _second_hash(key: str | Column) -> Column:
+    """Another one, which tells keys of one hash apart."""
+    return F.xxhash64(F.lit("second"), key)
+
+
 def file_name() -> Column:
     """A row's file: its path under the table (partition folders and name)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), r"(?:[^/=]+=[^/]*/)*[^/]+$", 0)
+    # tried at the path's slashes only: a search from every letter takes longer than reading the row
+    return F.regexp_extract(F.col("_metadata.file_path"), r"^.*?/((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
 
 
 def _relative(files: list[str], path: str) -> list[str]:
@@ -87,17 +93,17 @@ def finish(spark: SparkSession, path: str) -> None:
     if swap["done"]:
         fs, p = _folder(spark, swap["done"])
         fs.create(p, True).close()
-    fs, p = _folder(spark, swap["staged"])
+    fs, p = _folder(spark, swap.get("root", swap["staged"]))
     fs.delete(p, True)
     fs, p = _folder(spark, _intent(path))
     fs.delete(p, False)
 
 
-def swap_files(spark: SparkSession, path: str, staged: str, old: list[str], done: str | None = None) -> None:
-    """Puts the files written under ``staged`` (a folder of the table's ``_index``) in place of ``old``,
-    and then makes an empty file ``done``. What is to be done is noted first, in one rename;
+def swap_files(spark: SparkSession, path: str, staged: str, old: list[str], done: str | None = None, root: str | None = None) -> None:
+    """Puts the files written under ``staged`` (a folder in the table's ``_index``) in place of ``old``,
+    then makes an empty file ``done`` and deletes ``root``, the folder that ``staged`` is part of. What is to be done is noted first, in one rename;
     ``finish`` does it, now or when the next merge finds the note."""
-    note = json.dumps({"staged": staged, "new": present(spark, staged), "old": old, "done": done})
+    note = json.dumps({"staged": staged, "new": present(spark, staged), "old": old, "done": done, "root": root or staged})
     fs, draft = _folder(spark, _intent(path) + ".draft")
     out = fs.create(draft, True)
     out.write(bytearray(note.encode()))
@@ -133,7 +139,34 @@ class FileIndex:
 
     def candidates(self, keys: DataFrame, here: list[str]) -> list[str]:
         """Files, of those ``here``, that hold one of ``keys`` (column ``_k``)."""
-        held = self.spark.read.schema(_HELD).parquet(self._held)
-        found = held.join(keys.select(key_hash("_k").alias("hash")), "hash", "left_semi").select("number").distinct()
-        numbers, live = {r["number"] for r in found.collect()}, set(here)  # one a file
-        return sorted({r["file"] for r in self.files().collect() if r["number"] in numbers and r["file"] in live})
+        return sorted(self._hits(keys, here))
+
+    def _entries(self) -> DataFrame:
+        return self.spark.read.schema(_HELD).parquet(self._held)
+
+    def _hits(self, keys: DataFrame, here: list[str]) -> dict[str, tuple[int, int, int]]:
+        """file -> (its number, how many of its rows have the hash of a key, the second hashes of these keys, summed bit by bit)."""
+        known = keys.select(key_hash("_k").alias("hash"), _second_hash("_k").alias("_second"))
+        hits = self._entries().join(known, "hash").groupBy("number").agg(F.count(F.lit(1)).alias("rows"), F.bit_xor("_second").alias("second"))
+        found, live = {r["number"]: tuple(r) for r in hits.collect()}, set(here)  # one a file
+        return {r["file"]: found[r["number"]] for r in self.files().collect() if r["number"] in found and r["file"] in live}
+
+    def touched(self, keys: DataFrame, here: list[str], keyed) -> tuple[list[str], list[str]]:
+        """(files that hold rows of ``keys`` alone, files that hold others too); ``keys`` has each key once.
+        A file is of the first kind if as many hashes of keys meet it as it has rows, and the second hashes
+        of these and of the file's own keys agree: the keys of such files are read, but not moved."""
+        hits = self._hits(keys, here)
+        rows = {r["number"]: r["count"] for r in self._entries().groupBy("number").count().collect()} if hits else {}
+        full = [f for f, (number, met, _) in hits.items() if met == rows[number]]
+        if full:
+            own = keyed(self.spark.read.option("basePath", self.path).parquet(*[os.path.join(self.path, unquote(f)) for f in full]).withColumn("_file", file_name()))
+            own = own.groupBy("_file").agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(_second_hash("_k")).alias("second"))
+            full = [r["_file"] for r in own.collect() if (r["rows"], r["second"]) == hits[r["_file"]][1:]]
+        return sorted(full), sorted(set(hits) - set(full))
+
+    def common(self, keys: DataFrame, files: list[str]) -> DataFrame:
+        """Hashes (``_h``) of ``keys`` that stand in ``files``."""
+        wanted = set(files)
+        numbers = [r["number"] for r in self.files().collect() if r["file"] in wanted]
+        held = self._entries().where(F.col("number").isin(numbers))
+        return held.join(keys.select(key_hash("_k").alias("hash")), "hash", "left_semi").select(F.col("hash").alias("_h"))

@@ -27,16 +27,40 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from claimlake.operators.dedup import with_bits
 from claimlake.session import checkpoint_dir
 from claimlake.sources.readers import _folder, partition_folders, path_exists
 
 BUCKETS = 64
 #: Runs from which a bucket is compacted.
 MOST_RUNS = 8
-#: Hashes of repeated keys up to which they are sent to every task (some 100 MB); more are joined by a shuffle.
+#: Hashes of keys up to which they are sent to every task (some 100 MB); of more, a table of bits is.
 MOST_SENT = 4_000_000
 
 
+def written_hashes(hashes: DataFrame) -> tuple[DataFrame, int]:
+    """``hashes`` (column ``_h``), written to the shared folder, and their number."""
+    spark, path = hashes.sparkSession, os.path.join(checkpoint_dir(hashes.sparkSession), f"hashes-{uuid.uuid4().hex}")
+    hashes.write.parquet(path)
+    hashes = spark.read.schema("_h long").parquet(path)
+    return hashes, hashes.count()  # from the footers
+
+
+def repeated_hashes(rows: DataFrame, h: Column) -> tuple[DataFrame, int]:
+    """The hashes ``h`` that occur more than once in rows read from files, and their number."""
+    return written_hashes(rows.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"))
+
+
+def split(rows: DataFrame, h: Column, hashes: DataFrame, found: int) -> tuple[DataFrame, DataFrame]:
+    """(rows whose hash ``h`` is none of the ``found`` ``hashes``, the others); no row is moved. Of many
+    hashes only bits are sent to the tasks, and some rows of other hashes are among the others."""
+    if found <= MOST_SENT:
+        hashed = rows.withColumn("_h", h)
+        return tuple(hashed.join(F.broadcast(hashes), "_h", how).select(*rows.columns) for how in ("left_anti", "left_semi"))
+    marked = with_bits(rows, h, hashes, "_hit")
+    return tuple(marked.where(which).select(*rows.columns) for which in (~F.col("_hit"), F.col("_hit")))
+
+
 @dataclass
 class Runs:
     """``key``: the columns a row is known by. ``merge``: column -> aggregate over the column's own
@@ -64,16 +88,11 @@ class Runs:
         """``merged`` for rows read from files: of a sparse table only the rows of repeated keys meet."""
         if not self.sparse:
             return self.merged(rows)
-        h = F.xxhash64(*self.key).alias("_h")
-        path = os.path.join(checkpoint_dir(self.spark), f"repeated-{uuid.uuid4().hex}")
-        rows.groupBy(h).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h").write.parquet(path)
-        repeated = self.spark.read.schema("_h long").parquet(path)
-        found = repeated.count()  # from the footers
+        rows, h = rows.select(*self.schema.names), F.xxhash64(*self.key)
+        repeated, found = repeated_hashes(rows, h)
         if not found:
             return rows
-        repeated = F.broadcast(repeated) if found <= MOST_SENT else repeated
-        rows = rows.select("*", h)
-        alone, several = (rows.join(repeated, "_h", how).select(*self.schema.names) for how in ("left_anti", "left_semi"))
+        alone, several = split(rows, h, repeated, found)
         return alone.unionByName(self.merged(several))
 
     def _write(self, rows: DataFrame, run: str | Column, path: str) -> None:
