@@ -8,10 +8,12 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from claimlake import registry
 from claimlake.session import checkpoint_dir
 from claimlake.sources import writers as W
 from claimlake.streaming import incremental as I, runs as R
 from claimlake.streaming.file_index import FileIndex
+from conftest import SF_SMALL
 
 COLS = "claim_item_id long, amount int, service_month string"
 
@@ -66,3 +68,11 @@ def test_the_last_by_a_helper_column(spark):
     I.upsert(spark, path, rows, order_col="seq", helper_cols=("seq",))
     assert sorted(map(tuple, spark.read.schema(COLS).parquet(path).collect())) == [(1, 5, "2021-01"), (2, 1, "2021-02")]
     assert "seq" not in spark.read.parquet(path).columns and "_order" not in spark.read.parquet(path).columns
+
+
+@pytest.mark.parametrize("name", ["incremental_fact_claims", "incremental_moved_month"])
+def test_lines_are_derived_once_and_packed(spark, name):
+    before = set(glob.glob(checkpoint_dir(spark).removeprefix("file:") + "/lines-*"))
+    registry.queries()[name](spark, SF_SMALL)
+    made = set(glob.glob(checkpoint_dir(spark).removeprefix("file:") + "/lines-*")) - before
+    assert len(made) == 1 and all(f.endswith(".zstd.parquet") for d in made for f in glob.glob(d + "/*.parquet"))
