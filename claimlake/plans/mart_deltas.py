@@ -48,6 +48,10 @@ def partials(changes: DataFrame) -> DataFrame:
     return lines.groupBy(*KEY).agg(*[c.alias(k) for k, c in (counts | sums).items()])
 
 
+def _delta(changes: DataFrame) -> DataFrame:
+    return partials(changes).select(*_SCHEMA.names)
+
+
 _TYPES = {k: T.LongType() for k in COUNTS} | {k: T.DecimalType(38, 2) for k in SUMS} | {"_ratio": T.DecimalType(38, 18)}
 _SCHEMA = T.StructType([T.StructField("service_month", T.StringType()), T.StructField("provider_npi", T.StringType()), T.StructField("in_network", T.BooleanType()),
                         *[T.StructField(c, t) for c, t in _TYPES.items()]])
@@ -85,9 +89,11 @@ class MartStore:
         W.write_table(V.provider_kpis_of(self._joined(dim_provider)), self._table("provider_kpis"))
 
     def apply(self, changes: DataFrame, dim_provider: DataFrame, batch: str, most: int = MOST_RUNS) -> list[str]:
-        """Takes in a batch's changed lines; returns the months written. Batches are named in the order
-        they come; one sent again replaces its own partials."""
-        delta = self.spark.read.schema(_SCHEMA).parquet(W.write_table(partials(changes).select(*_SCHEMA.names), os.path.join(self.path, "deltas", batch)))
+        """Takes in a batch's changed lines, or the partials of these as ``follow`` wrote them; returns the
+        months written. Batches are named in the order they come; one sent again replaces its own partials."""
+        delta = changes
+        if changes.columns != _SCHEMA.names:
+            delta = self.spark.read.schema(_SCHEMA).parquet(W.write_table(_delta(changes), os.path.join(self.path, "deltas", batch)))
         months = self.runs.touched(delta)
         if months:
             self.runs.append(delta, batch)
@@ -100,9 +106,9 @@ class MartStore:
         self._write(dim_provider, None)
 
     def follow(self, fact_path: str, batch_rows: DataFrame, dim_provider: DataFrame, batch: str, **merge) -> list[str]:
-        """Merges a batch into the fact at ``fact_path`` and its changes into the marts. A batch that
-        ended on the way may be sent again under its name."""
-        done = merge_batch(self.spark, fact_path, batch_rows, images=os.path.join(self.path, "images", batch), **merge)
+        """Merges a batch into the fact at ``fact_path`` and its changes into the marts; of the changed
+        lines only the partials are kept. A batch that ended on the way may be sent again under its name."""
+        done = merge_batch(self.spark, fact_path, batch_rows, images=os.path.join(self.path, "images", batch), image_of=_delta, **merge)
         return self.apply(done.changes, dim_provider, batch)
 
     def monthly_costs(self) -> DataFrame:

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimlake import registry
+from claimlake.plans.mart_deltas import MartStore, _SCHEMA
+from claimlake.registry import streaming as J
 from claimlake.session import checkpoint_dir
 from claimlake.sources import writers as W
 from claimlake.streaming import incremental as I, runs as R
@@ -70,6 +72,17 @@ def test_the_last_by_a_helper_column(spark):
     assert "seq" not in spark.read.parquet(path).columns and "_order" not in spark.read.parquet(path).columns
 
 
+def test_of_changed_lines_marts_keep_the_partials_alone(spark):
+    for name in ("mart_monthly_costs_by_delta", "mart_provider_kpis_by_delta"):
+        made = []
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(J, "MartStore", lambda s, path: made.append(path) or MartStore(s, path))
+            assert registry.queries()[name](spark, SF_SMALL).count()
+        for batch in os.listdir(os.path.join(made[0].removeprefix("file:"), "images")):
+            held = spark.read.parquet(os.path.join(made[0], "images", batch, "rows"))
+            assert held.columns == _SCHEMA.names
+
+
 @pytest.mark.parametrize("name", ["incremental_fact_claims", "incremental_moved_month"])
 def test_lines_are_derived_once_and_packed(spark, name):
     before = set(glob.glob(checkpoint_dir(spark).removeprefix("file:") + "/lines-*"))
