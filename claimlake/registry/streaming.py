@@ -100,6 +100,10 @@ def _two_batches(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+#: Deliveries are packed; a packed file is read by one task.
+PACKED = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
+
+
 # ------------------------------------------------------------ change feed
 def _changes(raw):
     """A change feed derived from the claims: Medicare lines re-sent with
@@ -144,7 +148,7 @@ def _stream_cdc(spark, sf_dir):
     feed = os.path.join(work, "feed")
     table = ChangeTable(spark, os.path.join(work, "claims"), RAW_SCHEMA, "claim_item_id", buckets=8)
     table.load(raw)
-    _changes(raw).write.json(feed)
+    _changes(raw).write.options(**PACKED).json(feed)
     S.change_feed(spark, feed, table, os.path.join(work, "_ckpt"), available_now=True).awaitTermination()
     return table.current().select(*RAW_COLUMNS)
 
@@ -175,9 +179,8 @@ def _stream(spark, sf_dir):
     work = _scratch(spark, "stream")
     src = os.path.join(work, "incoming")
     raw = raw_claims(spark, sf_dir)
-    packed = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}  # a packed file is read by one task
-    raw.write.mode("overwrite").options(**packed).json(os.path.join(src, "batch1"))
-    raw.where(F.col("type") == "Medicare").write.mode("overwrite").options(**packed).json(os.path.join(src, "batch1_resent"))
+    raw.write.mode("overwrite").options(**PACKED).json(os.path.join(src, "batch1"))
+    raw.where(F.col("type") == "Medicare").write.mode("overwrite").options(**PACKED).json(os.path.join(src, "batch1_resent"))
     silver_dir = S.run_available_now(spark, os.path.join(src, "*"), work)
     return spark.read.parquet(silver_dir).select(*SILVER_COLS)
 

@@ -36,7 +36,7 @@ class ChangeTable:
 
     def load(self, rows: DataFrame) -> None:
         """The state before the feed: older than any change."""
-        self.runs.append(self._keyed(rows, F.lit(-(1 << 63)), F.lit(False)))
+        self.runs.append(self._keyed(rows, F.lit(-(1 << 63)), F.lit(False)), cluster=False)
 
     def apply(self, changes: DataFrame, op: str = "op", seq: str = "seq", compact_from: int = MOST_RUNS) -> list[str]:
         """Takes in a batch of changes (``op`` "D" deletes). Returns the compacted buckets."""

@@ -11,8 +11,9 @@ the work of a batch is in proportion to the batch.
 
 Tables of wide rows of which few stand in several runs (``sparse``) merge in two steps: the hashes of
 the keys that stand more than once are found from the key columns alone, and only the rows of these are
-gathered by key; the others are taken as they stand. A batch is then written aside first, and the
-buckets in which no key of it repeats, as a rule all, are moved into place.
+gathered by key; the others are taken as they stand. A batch is then written aside first, files in which a
+key of it repeats are written again merged, and all are moved into place. A load, which is large and comes once, is
+written by the tasks that have its rows, without a shuffle.
 
 How rows of a key merge is the table's ``merge``, a list of aggregates that may be taken
 again over their own results: a last value by sequence number, a sum, a minimum.
@@ -28,8 +29,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from claimlake.operators.dedup import with_bits
-from claimlake.session import checkpoint_dir
+from claimlake.session import checkpoint_dir, give_up_shuffles
 from claimlake.sources.readers import _folder, partition_folders, path_exists
+from claimlake.streaming import file_index as X
 
 BUCKETS = 64
 #: Runs from which a bucket is compacted.
@@ -95,35 +97,31 @@ class Runs:
         alone, several = split(rows, h, repeated, found)
         return alone.unionByName(self.merged(several))
 
-    def _write(self, rows: DataFrame, run: str | Column, path: str) -> None:
+    def _write(self, rows: DataFrame, run: str | Column, path: str, cluster: bool = True, mode: str = "overwrite") -> None:
         out = rows.withColumns({"bucket": self._bucket(), "run": F.lit(run) if isinstance(run, str) else run})
-        (out.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bucket", "run").parquet(path))
+        out = out.hint("rebalance", "bucket") if cluster else out
+        out.write.mode(mode).options(partitionOverwriteMode="dynamic", compression="zstd").partitionBy("bucket", "run").parquet(path)
+        give_up_shuffles(self.spark)
 
-    def append(self, rows: DataFrame, run: str | None = None) -> str:
+    def append(self, rows: DataFrame, run: str | None = None, cluster: bool = True) -> str:
         """Adds ``rows``, merged by key, as a run. A run of the same name is replaced in the
-        buckets that both hold, so a batch sent again under its name changes nothing."""
+        buckets that both hold, so a batch sent again under its name changes nothing. ``cluster=False``: rows of
+        a sparse table are not dealt out by bucket first; each task writes a file per bucket."""
         run = run or uuid.uuid4().hex
         if self.sparse:
-            self._append_aside(rows, run)
+            self._append_aside(rows, run, cluster)
         else:
             self._write(self.merged(rows), run, self.path)
         return run
 
-    def _append_aside(self, rows: DataFrame, run: str) -> None:
-        """The rows are written once, as they come; buckets in which a key repeats are then written merged."""
+    def _append_aside(self, rows: DataFrame, run: str, cluster: bool) -> None:
+        """The rows are written once, as they come; files that hold a repeated key are then written again, merged."""
         staged = os.path.join(self.path, "_new", uuid.uuid4().hex)  # hidden from readers of the table
-        self._write(rows.select(*self.schema.names), run, staged)
-        folders = partition_folders(self.spark, staged, "bucket")
-        if folders:
-            schema = T.StructType([*self.schema.fields, T.StructField("bucket", T.StringType())])
-            held = self.spark.read.schema(schema).parquet(staged)
-            counts = held.groupBy("bucket", F.xxhash64(*self.key)).agg(F.count(F.lit(1)).alias("_n"))
-            repeat = {r[0] for r in counts.where("_n > 1").select("bucket").distinct().collect()}  # at most the buckets
-            if repeat:
-                self._write(self._gathered(held.where(F.col("bucket").isin(*repeat)).drop("bucket")), run, self.path)
-            for b in folders.keys() - repeat:
-                fs, source = _folder(self.spark, os.path.join(folders[b], f"run={run}"))
+        self._write(rows.select(*self.schema.names), run, staged, cluster)
+        if X.present(self.spark, staged):
+            self._merge_files(staged, run)
+            for b, folder in partition_folders(self.spark, staged, "bucket").items():
+                fs, source = _folder(self.spark, os.path.join(folder, f"run={run}"))
                 _, target = _folder(self.spark, os.path.join(self.path, f"bucket={b}", f"run={run}"))
                 fs.delete(target, True)
                 fs.mkdirs(target.getParent())
@@ -132,6 +130,18 @@ class Runs:
         fs, p = _folder(self.spark, staged)
         fs.delete(p, True)
 
+    def _merge_files(self, staged: str, run: str) -> None:
+        h = F.xxhash64(*self.key)
+        repeated, found = repeated_hashes(self.spark.read.schema(self.schema).parquet(staged), h)
+        if not found:
+            return
+        held = self.spark.read.schema(self.schema).parquet(staged).select(*self.schema.names, X.file_name().alias("_file"))
+        files = [r[0] for r in split(held, h, repeated, found)[1].select("_file").distinct().collect()]  # one name a file
+        alone, several = split(X.read_files(self.spark, staged, files, self.schema).select(*self.schema.names), h, repeated, found)
+        self._write(alone, run, staged, cluster=False, mode="append")  # files of a bucket each
+        self._write(self.merged(several), run, staged, mode="append")
+        X._delete(self.spark, staged, files)
+
     def layout(self) -> dict[str, list[str]]:
         """bucket -> names of its runs, from the folders; no file is opened."""
         if not path_exists(self.spark, self.path):
