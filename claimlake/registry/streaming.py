@@ -163,7 +163,7 @@ def _stream_cdc_reversed(spark, sf_dir):
     feed = os.path.join(work, "feed")
     table = ChangeTable(spark, os.path.join(work, "claims"), RAW_SCHEMA, "claim_item_id", buckets=8)
     for delivery, part in enumerate((changes.where("seq = 3"), changes.where("seq = 2"), changes)):
-        part.write.json(os.path.join(feed, str(delivery)))
+        part.write.options(**PACKED).json(os.path.join(feed, str(delivery)))
         S.change_feed(spark, os.path.join(feed, "*"), table, os.path.join(work, "_ckpt"), available_now=True).awaitTermination()
     table.load(raw)
     return table.current().select(*RAW_COLUMNS)

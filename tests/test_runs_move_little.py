@@ -48,7 +48,7 @@ def test_many_repeats_without_moving_the_others(spark, table, monkeypatch, sent)
     assert "SortMergeJoin" not in now._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["stream_cdc_claims"])
+@pytest.mark.parametrize("name", ["stream_cdc_claims", "stream_cdc_out_of_order"])
 def test_change_feeds_are_packed(spark, name):
     work = checkpoint_dir(spark).removeprefix("file:")
     before = set(glob.glob(work + "/cdc*"))
