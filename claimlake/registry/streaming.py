@@ -92,9 +92,9 @@ def _two_batches(spark, sf_dir):
     Gold hold the last one only."""
     out = _scratch(spark, "batches")
     raw = written_once(raw_claims(spark, sf_dir), "raw")
-    run(spark, raw, out, batch_id="20240101_120000")
-    run(spark, raw.where(F.col("type") == "Medicare"), out, batch_id="20240101_200000")
-    run(spark, raw, out, batch_id="20240101_120000")
+    give_up_shuffles(spark)
+    for lines, batch in ((raw, "20240101_120000"), (raw.where(F.col("type") == "Medicare"), "20240101_200000"), (raw, "20240101_120000")):
+        run(spark, lines, out, batch_id=batch, silver_passes=4)
     tables = {"bronze": "bronze", "silver": "silver"} | {n: f"gold/{n}" for n in ("fact_claims", "fact_remittance", "dim_member", "dim_provider")}
     counts = [spark.read.parquet(os.path.join(out, p)).agg(F.lit(n).alias("layer"), F.count(F.lit(1)).alias("row_count")) for n, p in tables.items()]
     return reduce(DataFrame.unionByName, counts)
