@@ -11,14 +11,11 @@ delivery may have.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from claimlake.session import checkpoint_dir
-from claimlake.streaming.runs import BUCKETS, MOST_RUNS, MOST_SENT, Runs
+from claimlake.session import give_up_shuffles
+from claimlake.streaming.runs import BUCKETS, MOST_RUNS, MOST_SENT, Runs, repeated_hashes, split
 
 KEY, ROWS, FIRST = "_key", "_rows", "_first"
 _SCHEMA = T.StructType([T.StructField(KEY, T.StringType()), T.StructField(ROWS, T.LongType()), T.StructField(FIRST, T.StringType())])
@@ -42,7 +39,7 @@ class KeyRegister:
     def add(self, rows: DataFrame, key: str, batch: str, most: int = MOST_RUNS) -> None:
         """Takes in a batch. Batches are named in the order they come; runs of earlier batches
         only are compacted, as a batch may still be sent again until the next one comes."""
-        self.runs.append(self._counted(rows, key, batch), batch)
+        self.runs.append(self._counted(rows, key, batch), batch, cluster=False)  # counted keys come in few tasks
         self.runs.compact(most, before=batch)
 
     def known(self, rows: DataFrame, key: str, batch: str) -> DataFrame:
@@ -73,16 +70,13 @@ class KeyRegister:
         keyed = rows.where(F.col(key).isNotNull())
         row = F.struct(*rows.columns)
         content = F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
-        h, name = F.xxhash64(F.col(key).cast("string")).alias("_h"), F.col(key).cast("string").alias(KEY)
-        path = os.path.join(checkpoint_dir(self.spark), f"repeated-{uuid.uuid4().hex}")
-        keyed.groupBy(h).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h").write.parquet(path)
-        repeated = self.spark.read.schema("_h long").parquet(path)
-        found = repeated.count()  # from the footers
-        repeated = F.broadcast(repeated) if found <= MOST_SENT else repeated
-        one = keyed.select(name, h, row.alias("_row"), content.alias("_content"))
+        name = F.col(key).cast("string").alias(KEY)
+        repeated, found = repeated_hashes(keyed, F.xxhash64(F.col(key).cast("string")))
+        one = keyed.select(name, row.alias("_row"))
         if found:
-            alone, several = (one.join(repeated, "_h", how) for how in ("left_anti", "left_semi"))
-            one = alone.select(KEY, "_row").unionByName(several.groupBy(KEY).agg(F.min_by("_row", "_content").alias("_row")))
+            alone, several = split(keyed, F.xxhash64(F.col(key).cast("string")), repeated, found, MOST_SENT)
+            several = several.select(name, row.alias("_row"), content.alias("_content"))
+            one = alone.select(name, row.alias("_row")).unionByName(several.groupBy(KEY).agg(F.min_by("_row", "_content").alias("_row")))
         if any(r != batch for runs in self.runs.layout().values() for r in runs):  # else nothing is known, and no row need be moved to find it
             known = self.known(rows, key, batch).where(F.col(KEY).isNotNull()).select(F.col(KEY).alias("_known"))
             one = one.join(known, F.col(KEY) == F.col("_known"), "left_anti")
@@ -111,6 +105,7 @@ def silver_once(spark: SparkSession, bronze_dir: str, silver_dir: str, register_
         fresh = register.first_deliveries(batch.select(*RAW_COLUMNS), "claim_item_id", name)
         silver = clean_claims(fresh, batch_id="stream").withColumn("batch", F.lit(name))
         silver.write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd").partitionBy("batch").parquet(silver_dir)
+        give_up_shuffles(spark)
         register.add(batch, "claim_item_id", name)
 
     w = bronze.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)

@@ -53,10 +53,10 @@ def repeated_hashes(rows: DataFrame, h: Column) -> tuple[DataFrame, int]:
     return written_hashes(rows.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"))
 
 
-def split(rows: DataFrame, h: Column, hashes: DataFrame, found: int) -> tuple[DataFrame, DataFrame]:
+def split(rows: DataFrame, h: Column, hashes: DataFrame, found: int, most: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows whose hash ``h`` is none of the ``found`` ``hashes``, the others); no row is moved. Of many
     hashes only bits are sent to the tasks, and some rows of other hashes are among the others."""
-    if found <= MOST_SENT:
+    if found <= (MOST_SENT if most is None else most):
         hashed = rows.withColumn("_h", h)
         return tuple(hashed.join(F.broadcast(hashes), "_h", how).select(*rows.columns) for how in ("left_anti", "left_semi"))
     marked = with_bits(rows, h, hashes, "_hit")
@@ -105,13 +105,13 @@ class Runs:
 
     def append(self, rows: DataFrame, run: str | None = None, cluster: bool = True) -> str:
         """Adds ``rows``, merged by key, as a run. A run of the same name is replaced in the
-        buckets that both hold, so a batch sent again under its name changes nothing. ``cluster=False``: rows of
-        a sparse table are not dealt out by bucket first; each task writes a file per bucket."""
+        buckets that both hold, so a batch sent again under its name changes nothing. ``cluster=False``: rows
+        are not dealt out by bucket first; each task writes a file per bucket."""
         run = run or uuid.uuid4().hex
         if self.sparse:
             self._append_aside(rows, run, cluster)
         else:
-            self._write(self.merged(rows), run, self.path)
+            self._write(self.merged(rows), run, self.path, cluster)
         return run
 
     def _append_aside(self, rows: DataFrame, run: str, cluster: bool) -> None:
